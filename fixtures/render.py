@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qadump.schemas import (
@@ -38,32 +38,32 @@ ESCAPES = (
 )
 
 
-def escaped(text: Column) -> Column:
+def escaped(text: str) -> str:
     for raw, entity in ESCAPES:
-        text = F.replace(text, F.lit(raw), F.lit(entity))
+        text = f"replace({text}, '{raw}', '{entity}')"
     return text
 
 
-def row_line(numbers: dict[str, str], texts: dict[str, str]) -> Column:
-    """A record line from SQL expressions; a null expression leaves its attribute out."""
-
-    def attribute(name: str, value: Column) -> Column:
-        return F.coalesce(F.concat(F.lit(f' {name}="'), value, F.lit('"')), F.lit(""))
-
-    parts = [attribute(n, F.expr(e).cast("string")) for n, e in numbers.items()]
-    parts += [attribute(n, escaped(F.expr(e))) for n, e in texts.items()]
-    return F.concat(F.lit("  <row"), *parts, F.lit(" />"))
+def row_line(numbers: dict[str, str], texts: dict[str, str]) -> str:
+    """SQL text of a record line; an attribute whose expression is null is left out."""
+    values = numbers | {name: escaped(expression) for name, expression in texts.items()}
+    parts = [
+        f"coalesce(concat(' {name}=\"', {value}, '\"'), '')" for name, value in values.items()
+    ]
+    return f"concat('  <row', {', '.join(parts)}, ' />')"
 
 
 def _lines(table: DataFrame, numbers: dict[str, str], texts: dict[str, str]) -> DataFrame:
-    return table.select(row_line(numbers, texts).alias("value"))
+    # a generator, so that filters on the line stay above it and it is built once
+    return table.selectExpr(f"explode(array({row_line(numbers, texts)})) as value")
 
 
 def _with_envelope(entity: Entity, *bodies: DataFrame) -> DataFrame:
     spark = bodies[0].sparkSession
 
     def constant(*values: str) -> DataFrame:
-        return spark.range(1).select(F.explode(F.array(*map(F.lit, values))).alias("value"))
+        one_row = spark.range(0, 1, 1, 1)
+        return one_row.selectExpr(f"explode(array({', '.join(map(repr, values))})) as value")
 
     parts = (
         constant(XML_DECLARATION, f"<{entity.name}>"),
@@ -247,8 +247,8 @@ BROKEN_USERS = {
 
 def _broken_lines(table: DataFrame, key: str, kinds: dict[int, str]) -> DataFrame:
     cases = " ".join(f"when {kind} then {_broken(line)}" for kind, line in kinds.items())
-    return table.select(F.expr(f"{key} as id"), F.expr(f"{key} % 20 as kind")).select(
-        F.explode(F.expr(f"filter(array(case kind {cases} end), x -> x is not null)")).alias("value")
+    return table.selectExpr(f"{key} as id", f"{key} % 20 as kind").selectExpr(
+        f"explode(filter(array(case kind {cases} end), x -> x is not null)) as value"
     )
 
 

@@ -1,6 +1,7 @@
-"""Typed columns from attribute text.
+"""SQL expressions that turn attribute text into typed columns.
 
-An attribute can be absent (null), empty or filled; the three are kept apart:
+Each function takes a column name and returns SQL text for `selectExpr`. An
+attribute can be absent (null), empty or filled; the three are kept apart:
 
 | text              | `int_or_zero` | `int_or_null` |
 | ----------------- | ------------- | ------------- |
@@ -11,9 +12,6 @@ An attribute can be absent (null), empty or filled; the three are kept apart:
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Text forms of integers and of timestamps. `\z`, because `$`
 # would accept a final newline.
 INT_TEXT = r"\A[+-]?[0-9]+\z"
@@ -22,41 +20,43 @@ TIMESTAMP_TEXT = (
 )
 
 
-def int_or_null(text: Column) -> Column:
+def matches(text: str, pattern: str) -> str:
+    return f"{text} rlike r'{pattern}'"
+
+
+def int_or_null(text: str) -> str:
     # try_cast alone would trim blanks and read " 5 " as 5
-    return F.when(text.rlike(INT_TEXT), text).try_cast("int")
+    return f"try_cast(if({matches(text, INT_TEXT)}, {text}, null) as int)"
 
 
-def int_or_zero(text: Column) -> Column:
-    return F.when(text.isNull(), F.lit(0)).otherwise(int_or_null(text))
+def int_or_zero(text: str) -> str:
+    return f"if({text} is null, 0, {int_or_null(text)})"
 
 
-def length_or_zero(text: Column) -> Column:
+def length_or_zero(text: str) -> str:
     """Characters of the decoded text, markup included."""
-    return F.coalesce(F.length(text), F.lit(0))
+    return f"coalesce(length({text}), 0)"
 
 
-def presence_flag(text: Column) -> Column:
-    return F.coalesce(F.length(text) > 0, F.lit(False)).cast("int")
+def presence_flag(text: str) -> str:
+    return f"cast(coalesce(length({text}) > 0, false) as int)"
 
 
-def instant(text: Column) -> Column:
+def instant(text: str) -> str:
     """UTC timestamp of ISO text; null if absent or invalid. Independent of the session zone."""
-    valid = F.when(text.rlike(TIMESTAMP_TEXT), text)
-    return F.try_to_timestamp(F.concat(valid, F.lit("Z")))
+    return f"try_to_timestamp(concat(if({matches(text, TIMESTAMP_TEXT)}, {text}, null), 'Z'))"
 
 
-def epoch_or_zero(text: Column) -> Column:
+def epoch_or_zero(text: str) -> str:
     """Whole seconds since 1970, rounded down; 0 if absent, null if invalid or beyond int32."""
-    seconds = F.unix_seconds(instant(text)).try_cast("int")
-    return F.when(text.isNull(), F.lit(0)).otherwise(seconds)
+    return f"if({text} is null, 0, try_cast(unix_seconds({instant(text)}) as int))"
 
 
-def truth_flag(number: Column) -> Column:
+def truth_flag(number: str) -> str:
     """1 if not zero, 0 if zero, null if null."""
-    return number.cast("boolean").cast("int")
+    return f"cast(cast({number} as boolean) as int)"
 
 
-def ratio(total: Column, count: Column) -> Column:
+def ratio(total: str, count: str) -> str:
     """Exact long totals divided as doubles; null if the count is 0."""
-    return F.try_divide(total, count)
+    return f"try_divide({total}, {count})"

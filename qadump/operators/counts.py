@@ -24,8 +24,8 @@ def keys(
     counters: Observation | None = None,
 ) -> DataFrame:
     """The typed key columns of each record."""
-    return records(lines, entity, mode, counters).select(
-        *[int_or_null(F.col(name)).alias(_KEY_COLUMNS[name]) for name in entity.attributes]
+    return records(lines, entity, mode, counters).selectExpr(
+        *[f"{int_or_null(name)} as {_KEY_COLUMNS[name]}" for name in entity.attributes]
     )
 
 

@@ -27,19 +27,18 @@ def users(
     lines: DataFrame, mode: str = PERMISSIVE, counters: Observation | None = None
 ) -> DataFrame:
     """One row per user record. Ids are taken as they are, not made unique."""
-    number = lambda name: int_or_zero(F.col(name))
-    return records(lines, USERS, mode, counters).select(
-        number("Id").alias("id"),
-        number("Reputation").alias("reputation"),
-        epoch_or_zero(F.col("CreationDate")).alias("signup_date"),
-        epoch_or_zero(F.col("LastAccessDate")).alias("last_access_date"),
-        presence_flag(F.col("WebsiteUrl")).alias("has_website"),
-        presence_flag(F.col("Location")).alias("has_location"),
-        presence_flag(F.col("AboutMe")).alias("has_about_me"),
-        number("Views").alias("profile_views"),
-        number("UpVotes").alias("up_votes"),
-        number("DownVotes").alias("down_votes"),
-        number("Age").alias("age"),
+    return records(lines, USERS, mode, counters).selectExpr(
+        f"{int_or_zero('Id')} as id",
+        f"{int_or_zero('Reputation')} as reputation",
+        f"{epoch_or_zero('CreationDate')} as signup_date",
+        f"{epoch_or_zero('LastAccessDate')} as last_access_date",
+        f"{presence_flag('WebsiteUrl')} as has_website",
+        f"{presence_flag('Location')} as has_location",
+        f"{presence_flag('AboutMe')} as has_about_me",
+        f"{int_or_zero('Views')} as profile_views",
+        f"{int_or_zero('UpVotes')} as up_votes",
+        f"{int_or_zero('DownVotes')} as down_votes",
+        f"{int_or_zero('Age')} as age",
     )
 
 
@@ -50,18 +49,17 @@ def posts(
 
     `post_type` tells them apart; every column is typed as in both tables.
     """
-    number = lambda name: int_or_zero(F.col(name))
-    return records(lines, POSTS, mode, counters).select(
-        F.col("PostTypeId").alias("post_type"),
-        number("Id").alias("id"),
-        number("AcceptedAnswerId").alias("accepted_answer_id"),
-        number("Score").alias("score"),
-        number("ViewCount").alias("views"),
-        number("OwnerUserId").alias("user_id"),
-        number("AnswerCount").alias("answer_count"),
-        number("CommentCount").alias("comment_count"),
-        number("FavoriteCount").alias("favourite_count"),
-        length_or_zero(F.col("Body")).alias("body_length"),
+    return records(lines, POSTS, mode, counters).selectExpr(
+        "PostTypeId as post_type",
+        f"{int_or_zero('Id')} as id",
+        f"{int_or_zero('AcceptedAnswerId')} as accepted_answer_id",
+        f"{int_or_zero('Score')} as score",
+        f"{int_or_zero('ViewCount')} as views",
+        f"{int_or_zero('OwnerUserId')} as user_id",
+        f"{int_or_zero('AnswerCount')} as answer_count",
+        f"{int_or_zero('CommentCount')} as comment_count",
+        f"{int_or_zero('FavoriteCount')} as favourite_count",
+        f"{length_or_zero('Body')} as body_length",
     )
 
 

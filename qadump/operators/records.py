@@ -7,36 +7,35 @@ in silence.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from qadump.functions.values import instant
+from qadump.functions.values import instant, matches
 from qadump.schemas import POSTS, USERS, Entity
 
 PERMISSIVE = "permissive"
 FAILFAST = "failfast"
 
-_XML_OPTIONS = {
-    "ignoreSurroundingSpaces": "false",
-    "attributePrefix": "@",
-    "columnNameOfCorruptRecord": "@error",
-}
+_XML_OPTIONS = (
+    "map('ignoreSurroundingSpaces', 'false', 'attributePrefix', '@', "
+    "'columnNameOfCorruptRecord', '@error')"
+)
 _ROW_START = r"\A[ \t]*+<row[ \t/>]"
 
 
 def _row_shape(attributes: tuple[str, ...], exact_case: bool) -> str:
-    """Pattern for a line that holds one `row` element and nothing else.
+    r"""Pattern for a line that holds one `row` element and nothing else.
 
     `from_xml` leaves three things to check here: it takes any element name, it
     ignores what follows the first element, and it compares attribute names
     without regard to case. All quantifiers are possessive, so that long lines
-    need neither backtracking nor stack.
+    need neither backtracking nor stack. `\x27` is the single quote.
     """
-    name = r"""(?!xmlns)(?:xml:)?[^ \t=<>"'/:]++"""
+    name = r"(?!xmlns)(?:xml:)?[^ \t=<>\x22\x27/:]++"
     if exact_case:
         known = "|".join(attributes)
         name = rf"(?:(?:{known})(?=[ \t]*+=)|(?!(?i:{known})[ \t]*+=){name})"
-    value = r"""(?:"[^"<]*+"|'[^'<]*+')"""
+    value = r"(?:\x22[^\x22<]*+\x22|\x27[^\x27<]*+\x27)"
     content = r">(?!.*</row[ \t]*+>.*</row).*</row[ \t]*+>"
     return (
         rf"(?s)\A[ \t]*+<row(?:[ \t]++{name}[ \t]*+=[ \t]*+{value})*+[ \t]*+"
@@ -44,56 +43,59 @@ def _row_shape(attributes: tuple[str, ...], exact_case: bool) -> str:
     )
 
 
-def _entity_checks(entity: Entity) -> list[tuple[str, Column]]:
+def _entity_checks(entity: Entity) -> list[tuple[str, str]]:
     """Reasons to reject a well-formed record, each with the condition that holds if it is bad."""
     if entity == POSTS:
-        return [("no_post_type", F.col("PostTypeId").isNull())]
+        return [("no_post_type", "PostTypeId is null")]
     if entity == USERS:
         return [
-            ("bad_date", F.col(name).isNotNull() & instant(F.col(name)).isNull())
+            ("bad_date", f"({name} is not null and {instant(name)} is null)")
             for name in ("CreationDate", "LastAccessDate")
         ]
     return []
 
 
+def _reject_reason(entity: Entity) -> str:
+    """SQL text: null for a good record, else why it is none. Good ones pass the first branch."""
+    checks = _entity_checks(entity)
+    exact = matches("line", _row_shape(entity.attributes, exact_case=True))
+    any_case = matches("line", _row_shape(entity.attributes, exact_case=False))
+    good = " and ".join([exact, "xml_error is null", *[f"not {bad}" for _, bad in checks]])
+    return f"""case
+        when {good} then null
+        when not {matches("line", _ROW_START)} then 'not_a_row'
+        when xml_error is not null or not {any_case} then 'malformed'
+        when not {exact} then 'attribute_case'
+        {" ".join(f"when {bad} then '{name}'" for name, bad in checks)}
+        end"""
+
+
 def parse(lines: DataFrame, entity: Entity) -> DataFrame:
     """Attributes as text (null if absent), with `line` and `reject_reason` (null for good rows).
 
     The parse runs in a generator: filters on its output stay above it, so
     each line is parsed once. Only the entity's own attributes are extracted.
     """
-    line = F.col("line")
-    attributes = entity.attributes
-    fields = ", ".join(f"`@{name}` string" for name in (*attributes, "error"))
-    parsed = (
-        lines.select(F.col("value").alias("line"))
-        .where(~F.trim("line").isin(*entity.envelope))
-        .select(
+    names = entity.attributes
+    fields = ", ".join(f"`@{name}` string" for name in (*names, "error"))
+    envelope = ", ".join(f"'{line}'" for line in entity.envelope)
+    return (
+        lines.selectExpr("value as line")
+        .where(f"trim(line) not in ({envelope})")
+        .selectExpr(
             "line",
-            F.inline(F.array(F.from_xml("line", fields, _XML_OPTIONS))).alias(
-                *attributes, "xml_error"
-            ),
+            f"inline(array(from_xml(line, '{fields}', {_XML_OPTIONS})))"
+            f" as ({', '.join(names)}, xml_error)",
         )
+        .selectExpr("line", *names, f"{_reject_reason(entity)} as reject_reason")
     )
-    well_formed = F.col("xml_error").isNull()
-    good = line.rlike(_row_shape(attributes, exact_case=True)) & well_formed
-    reason = (
-        F.when(~line.rlike(_ROW_START), "not_a_row")
-        .when(~well_formed, "malformed")
-        .when(~line.rlike(_row_shape(attributes, exact_case=False)), "malformed")
-    )
-    for name, bad in _entity_checks(entity):
-        good = good & ~bad
-        reason = reason.when(bad, name)
-    reason = reason.otherwise("attribute_case")
-    return parsed.select("line", *attributes, F.when(~good, reason).alias("reject_reason"))
 
 
-def counter_columns() -> list[Column]:
-    return [
-        F.count_if(F.col("reject_reason").isNull()).alias("rows"),
-        F.count_if(F.col("reject_reason").isNotNull()).alias("rejects"),
-    ]
+# The counters of a pass: records and rejects
+COUNTERS = (
+    "count_if(reject_reason is null) as rows",
+    "count_if(reject_reason is not null) as rejects",
+)
 
 
 def records(
@@ -110,13 +112,12 @@ def records(
     """
     parsed = parse(lines, entity)
     if counters is not None:
-        parsed = parsed.observe(counters, *counter_columns())
-    reason = F.col("reject_reason")
+        parsed = parsed.observe(counters, *map(F.expr, COUNTERS))
     if mode == PERMISSIVE:
-        keep = reason.isNull()
+        keep = "reject_reason is null"
     elif mode == FAILFAST:
-        message = F.concat(F.lit(f"{entity.file}: "), reason, F.lit(": "), F.col("line"))
-        keep = F.when(reason.isNull(), F.lit(True)).otherwise(F.raise_error(message))
+        message = f"concat('{entity.file}: ', reject_reason, ': ', line)"
+        keep = f"if(reject_reason is null, true, raise_error({message}))"
     else:
         raise ValueError(f"mode must be {PERMISSIVE!r} or {FAILFAST!r}, not {mode!r}")
     return parsed.where(keep).select(*entity.attributes)
@@ -126,8 +127,8 @@ def rejects(lines: DataFrame, entity: Entity) -> DataFrame:
     """Lines that are no record of the entity, whole, with the reason."""
     return (
         parse(lines, entity)
-        .where(F.col("reject_reason").isNotNull())
-        .select(F.lit(entity.name).alias("entity"), "reject_reason", "line")
+        .where("reject_reason is not null")
+        .selectExpr(f"'{entity.name}' as entity", "reject_reason", "line")
     )
 
 
@@ -135,6 +136,6 @@ def counters(lines: DataFrame, entity: Entity) -> DataFrame:
     """One row: the entity's name, its number of good records and of rejects."""
     return (
         parse(lines, entity)
-        .agg(*counter_columns())
-        .select(F.lit(entity.name).alias("entity"), "rows", "rejects")
+        .agg(*map(F.expr, COUNTERS))
+        .selectExpr(f"'{entity.name}' as entity", "rows", "rejects")
     )

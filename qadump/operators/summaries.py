@@ -6,7 +6,7 @@ counts skip posts without an id. Averages divide the exact totals.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qadump.functions.values import ratio, truth_flag
@@ -20,50 +20,40 @@ from qadump.schemas import (
 )
 
 
-def _measures(totals: dict[str, str], count_name: str) -> dict[str, Column]:
-    """What one post adds to each total of its owner."""
-    measures = {}
-    for name, source in totals.items():
-        if source == "has_accepted_answer":
-            measures[name] = truth_flag(F.col("accepted_answer_id"))
-        else:
-            measures[name] = F.col(source)
-    measures[count_name] = F.col("id").isNotNull().cast("bigint")
-    return measures
+def _measures(totals: dict[str, str], count_name: str) -> dict[str, str]:
+    """What one post adds to each total of its owner, as SQL text."""
+    derived = {"has_accepted_answer": truth_flag("accepted_answer_id")}
+    measures = {name: derived.get(column, column) for name, column in totals.items()}
+    return measures | {count_name: "cast(id is not null as bigint)"}
 
 
-def answer_measures() -> dict[str, Column]:
-    return _measures(ANSWER_TOTALS, ANSWER_COUNT)
+ANSWER_MEASURES = _measures(ANSWER_TOTALS, ANSWER_COUNT)
+QUESTION_MEASURES = _measures(QUESTION_TOTALS, QUESTION_COUNT)
 
 
-def question_measures() -> dict[str, Column]:
-    return _measures(QUESTION_TOTALS, QUESTION_COUNT)
+def sum_per_user(rows: DataFrame, measures: dict[str, str]) -> DataFrame:
+    return rows.groupBy("user_id").agg(
+        *[F.expr(f"sum({measure}) as {name}") for name, measure in measures.items()]
+    )
 
 
-def with_answer_averages(totals: DataFrame) -> DataFrame:
-    return totals.withColumns(
-        {name: ratio(F.col(total), F.col(ANSWER_COUNT)) for name, total in ANSWER_AVERAGES.items()}
+def _with_averages(totals: DataFrame, averages: dict[str, str], count_name: str) -> DataFrame:
+    return totals.selectExpr(
+        "*", *[f"{ratio(total, count_name)} as {name}" for name, total in averages.items()]
     )
 
 
-def with_question_averages(totals: DataFrame) -> DataFrame:
-    return totals.withColumns(
-        {
-            name: ratio(F.col(total), F.col(QUESTION_COUNT))
-            for name, total in QUESTION_AVERAGES.items()
-        }
-    )
+def with_answer_averages(totals: DataFrame) -> DataFrame:
+    return _with_averages(totals, ANSWER_AVERAGES, ANSWER_COUNT)
 
 
-def _totals(rows: DataFrame, measures: dict[str, Column]) -> DataFrame:
-    return rows.groupBy("user_id").agg(
-        *[F.sum(column).alias(name) for name, column in measures.items()]
-    )
+def with_question_averages(totals: DataFrame) -> DataFrame:
+    return _with_averages(totals, QUESTION_AVERAGES, QUESTION_COUNT)
 
 
 def answer_summary(answers: DataFrame) -> DataFrame:
-    return with_answer_averages(_totals(answers, answer_measures()))
+    return with_answer_averages(sum_per_user(answers, ANSWER_MEASURES))
 
 
 def question_summary(questions: DataFrame) -> DataFrame:
-    return with_question_averages(_totals(questions, question_measures()))
+    return with_question_averages(sum_per_user(questions, QUESTION_MEASURES))

@@ -15,42 +15,40 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from qadump.operators import entities
 from qadump.operators.counts import keys
 from qadump.operators.records import PERMISSIVE
 from qadump.operators.summaries import (
-    answer_measures,
-    question_measures,
+    ANSWER_MEASURES,
+    QUESTION_MEASURES,
+    sum_per_user,
     with_answer_averages,
     with_question_averages,
 )
-from qadump.schemas import BADGES, COMMENTS, MASTER_COLUMNS, QUESTION_POST_TYPE
+from qadump.schemas import BADGES, COMMENTS, MASTER_COLUMNS, QUESTION_POST_TYPE, USER_COLUMNS
 
 # Every user record without an Id has id 0, so that id can hold a large share of
 # all users; they are spread over this many join keys.
 ZERO_ID_SALTS = 64
 
 
-def _part(rows: DataFrame, measures: dict[str, Column]) -> DataFrame:
-    return rows.select("user_id", *[c.cast("bigint").alias(n) for n, c in measures.items()])
+def _part(rows: DataFrame, measures: dict[str, str]) -> DataFrame:
+    return rows.selectExpr(
+        "user_id", *[f"cast({measure} as bigint) as {name}" for name, measure in measures.items()]
+    )
 
 
-def _only(condition: Column, measures: dict[str, Column]) -> dict[str, Column]:
-    return {name: F.when(condition, column) for name, column in measures.items()}
+def _only_if(condition: str, measures: dict[str, str]) -> dict[str, str]:
+    return {name: f"if({condition}, {measure}, null)" for name, measure in measures.items()}
 
 
 def activity(*parts: DataFrame) -> DataFrame:
     """Sum the parts (`user_id` and any measures) to one row per user."""
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    measures = [name for name in rows.columns if name != "user_id"]
-    totals = (
-        rows.where(F.col("user_id").isNotNull())
-        .groupBy("user_id")
-        .agg(*[F.sum(name).alias(name) for name in measures])
-    )
+    measures = {name: name for name in rows.columns if name != "user_id"}
+    totals = sum_per_user(rows.where("user_id is not null"), measures)
     return with_question_averages(with_answer_averages(totals))
 
 
@@ -62,14 +60,12 @@ def attach(users: DataFrame, user_activity: DataFrame) -> DataFrame:
     adaptive skew join, which can split the users' side: with the salt in the key,
     both sides come straight from a shuffle of the join.
     """
-    spread = F.pmod(F.xxhash64(*users.columns), F.lit(ZERO_ID_SALTS)).cast("int")
-    left = users.withColumn("salt", F.when(F.col("id") == 0, spread).otherwise(F.lit(0)))
-    salts = F.when(F.col("user_id") == 0, F.sequence(F.lit(0), F.lit(ZERO_ID_SALTS - 1)))
-    right = user_activity.withColumn(
-        "activity_salt", F.explode(F.coalesce(salts, F.array(F.lit(0))))
-    )
-    matches = (F.col("id") == F.col("user_id")) & (F.col("salt") == F.col("activity_salt"))
-    return left.join(right, matches, "left_outer").select(*MASTER_COLUMNS)
+    spread = f"int(pmod(xxhash64({', '.join(USER_COLUMNS)}), {ZERO_ID_SALTS}))"
+    salted = users.selectExpr(*USER_COLUMNS, f"if(id = 0, {spread}, 0) as salt")
+    salts = f"if(user_id = 0, sequence(0, {ZERO_ID_SALTS - 1}), array(0))"
+    repeated = user_activity.selectExpr("*", f"explode({salts}) as salt")
+    same_user = (salted.id == repeated.user_id) & (salted.salt == repeated.salt)
+    return salted.join(repeated, same_user, "left_outer").select(*MASTER_COLUMNS)
 
 
 def user_master_from_dump(
@@ -80,17 +76,16 @@ def user_master_from_dump(
     mode: str = PERMISSIVE,
 ) -> DataFrame:
     """The user table straight from the dump; each file is read and parsed once."""
-    posts = entities.posts(post_lines, mode)
-    is_question = F.col("post_type") == QUESTION_POST_TYPE
+    is_question = f"post_type = '{QUESTION_POST_TYPE}'"
+    post_measures = _only_if(f"not {is_question}", ANSWER_MEASURES) | _only_if(
+        is_question, QUESTION_MEASURES
+    )
     return attach(
         entities.users(user_lines, mode),
         activity(
-            _part(keys(badge_lines, BADGES, mode), {"number_of_badges": F.lit(1)}),
-            _part(keys(comment_lines, COMMENTS, mode), {"number_of_comments": F.lit(1)}),
-            _part(
-                posts,
-                _only(~is_question, answer_measures()) | _only(is_question, question_measures()),
-            ),
+            _part(keys(badge_lines, BADGES, mode), {"number_of_badges": "1"}),
+            _part(keys(comment_lines, COMMENTS, mode), {"number_of_comments": "1"}),
+            _part(entities.posts(post_lines, mode), post_measures),
         ),
     )
 
@@ -106,9 +101,9 @@ def user_master_from_sets(
     return attach(
         users,
         activity(
-            _part(badges, {"number_of_badges": F.col("number_of_badges")}),
-            _part(comments, {"number_of_comments": F.col("number_of_comments")}),
-            _part(answers, answer_measures()),
-            _part(questions, question_measures()),
+            _part(badges, {"number_of_badges": "number_of_badges"}),
+            _part(comments, {"number_of_comments": "number_of_comments"}),
+            _part(answers, ANSWER_MEASURES),
+            _part(questions, QUESTION_MEASURES),
         ),
     )
