@@ -22,6 +22,11 @@ _XML_OPTIONS = (
 )
 _ROW_START = r"\A[ \t]*+<row[ \t/>]"
 
+# The XML parser behind `from_xml` gives up on attributes of more than 524288
+# characters, so longer lines are taken apart first (`_long_record`).
+LONG_LINE = 500_000
+PIECE = 400_000
+
 
 def _row_shape(attributes: tuple[str, ...], exact_case: bool) -> str:
     r"""Pattern for a line that holds one `row` element and nothing else.
@@ -70,6 +75,42 @@ def _reject_reason(entity: Entity) -> str:
         end"""
 
 
+def _from_xml(xml: str, attributes: tuple[str, ...]) -> str:
+    fields = ", ".join(f"`@{name}` string" for name in attributes)
+    return f"from_xml({xml}, '{fields}', {_XML_OPTIONS})"
+
+
+def _long_record(attributes: tuple[str, ...]) -> str:
+    r"""SQL text: what `from_xml` gives for a line without content, whatever its length.
+
+    The line is cut into attributes, their values into pieces that end between
+    character references, and each piece is decoded as an attribute of its own. A
+    piece that cannot be decoded makes its whole value null, and the record an error.
+    """
+    attribute = (
+        r"(?:\A[ \t]*+<row|\G)[ \t]++([^ \t=<>\x22\x27/]++)"
+        r"[ \t]*+=[ \t]*+(\x22[^\x22]*+\x22|\x27[^\x27]*+\x27)"
+    )
+    names, quoted = (f"regexp_extract_all(line, r'{attribute}', {group})" for group in (1, 2))
+    pieces = (
+        f"regexp_extract_all(substr(q, 2, length(q) - 2), r'(?:[^&]|&[^;&]*+;?){{1,{PIECE}}}+', 0)"
+    )
+    decoded = _from_xml("concat('<v a=', left(q, 1), piece, left(q, 1), '/>')", ("a",))
+    value = (
+        f"reduce(transform({pieces}, piece -> {decoded}.`@a`), '', "
+        "(text, piece) -> concat(text, piece))"
+    )
+    # duplicate and invalid names show in an element of the names alone
+    names_only = "concat('<v ', array_join(transform(r.names, n -> concat(n, '=\"\"')), ' '), '/>')"
+    fields = [f"get(r.texts, int(array_position(r.names, '{n}')) - 1) as `@{n}`" for n in attributes]
+    error = (
+        f"coalesce({_from_xml(names_only, ('error',))}.`@error`, "
+        "if(exists(r.texts, text -> text is null), 'value', null)) as `@error`"
+    )
+    parts = f"struct({names} as names, transform({quoted}, q -> {value}) as texts)"
+    return f"transform(array({parts}), r -> struct({', '.join(fields)}, {error}))"
+
+
 def parse(lines: DataFrame, entity: Entity) -> DataFrame:
     """Attributes as text (null if absent), with `line` and `reject_reason` (null for good rows).
 
@@ -77,16 +118,13 @@ def parse(lines: DataFrame, entity: Entity) -> DataFrame:
     each line is parsed once. Only the entity's own attributes are extracted.
     """
     names = entity.attributes
-    fields = ", ".join(f"`@{name}` string" for name in (*names, "error"))
     envelope = ", ".join(f"'{line}'" for line in entity.envelope)
+    is_long = rf"length(line) > {LONG_LINE} and {matches('line', r'/>[ \t]*+\z')}"
+    record = f"if({is_long}, {_long_record(names)}, array({_from_xml('line', (*names, 'error'))}))"
     return (
         lines.selectExpr("value as line")
         .where(f"trim(line) not in ({envelope})")
-        .selectExpr(
-            "line",
-            f"inline(array(from_xml(line, '{fields}', {_XML_OPTIONS})))"
-            f" as ({', '.join(names)}, xml_error)",
-        )
+        .selectExpr("line", f"inline({record}) as ({', '.join(names)}, xml_error)")
         .selectExpr("line", *names, f"{_reject_reason(entity)} as reject_reason")
     )
 
@@ -113,14 +151,15 @@ def records(
     parsed = parse(lines, entity)
     if counters is not None:
         parsed = parsed.observe(counters, *map(F.expr, COUNTERS))
+    names = ", ".join(entity.attributes)
     if mode == PERMISSIVE:
-        keep = "reject_reason is null"
-    elif mode == FAILFAST:
+        return parsed.where("reject_reason is null").select(*entity.attributes)
+    if mode == FAILFAST:
+        # a generator, so that no later filter can drop a faulty line before it is seen
         message = f"concat('{entity.file}: ', reject_reason, ': ', line)"
-        keep = f"if(reject_reason is null, true, raise_error({message}))"
-    else:
-        raise ValueError(f"mode must be {PERMISSIVE!r} or {FAILFAST!r}, not {mode!r}")
-    return parsed.where(keep).select(*entity.attributes)
+        record = f"if(reject_reason is null, array(struct({names})), raise_error({message}))"
+        return parsed.selectExpr(f"inline({record}) as ({names})")
+    raise ValueError(f"mode must be {PERMISSIVE!r} or {FAILFAST!r}, not {mode!r}")
 
 
 def rejects(lines: DataFrame, entity: Entity) -> DataFrame:

@@ -1,0 +1,211 @@
+"""How single dump lines are read."""
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import Observation
+
+from qadump.operators import counts, entities
+from qadump.operators.records import parse, records, rejects
+from qadump.schemas import BADGES, POSTS, USERS, XML_DECLARATION
+from qadump.sources.dump import read_lines
+
+
+def post(attributes):
+    return f'<row Id="1" PostTypeId="1" {attributes} />'
+
+
+def one_question(lines_of, attributes):
+    (row,) = entities.questions(lines_of(post(attributes))).collect()
+    return row
+
+
+@pytest.mark.parametrize(
+    ("body", "length"),
+    [
+        ("&lt;p&gt;hi &amp;amp; bye&lt;/p&gt;&#xA;", 20),
+        ("  padded  ", 10),
+        ("😀é &#128512; tab&#9;x", 10),
+        ("raw > gt /> inside", 18),
+        ("", 0),
+        ("null", 4),
+    ],
+)
+def test_body_length(lines_of, body, length):
+    assert one_question(lines_of, f'Body="{body}"').body_length == length
+
+
+def test_absent_body_has_length_0(lines_of):
+    assert one_question(lines_of, "").body_length == 0
+
+
+@pytest.mark.parametrize(
+    ("attribute", "score"),
+    [
+        ("", 0),
+        ('Score=""', None),
+        ('Score="-7"', -7),
+        ('Score="+7"', 7),
+        ('Score="007"', 7),
+        ('Score="x"', None),
+        ('Score="1.5"', None),
+        ('Score=" 5 "', None),
+        ('Score="5&#xA;"', None),
+        ('Score="9999999999"', None),
+        ("Score='5'", 5),
+        ('Score = "5"', 5),
+        ('Score="&#53;"', 5),
+    ],
+)
+def test_numbers(lines_of, attribute, score):
+    assert one_question(lines_of, attribute).score == score
+
+
+def test_owner_of_posts_absent_is_0_and_empty_is_null(lines_of):
+    assert one_question(lines_of, "").user_id == 0
+    assert one_question(lines_of, 'OwnerUserId=""').user_id is None
+
+
+def test_key_of_counts_absent_and_empty_are_null(lines_of):
+    lines = lines_of("<row/>", '<row UserId="" />', '<row UserId="3" />', '<row UserId="03" />')
+    found = {tuple(row) for row in counts.badge_counts(lines).collect()}
+    assert found == {(None, 2), (3, 2)}
+
+
+@pytest.mark.parametrize(
+    ("date", "seconds"),
+    [
+        ("2008-07-31T21:42:52.667", 1217540572),
+        ("2008-7-31T21:42:52.6", 1217540572),
+        ("2021-03-14T02:30:00.000", 1615689000),
+        ("1969-12-31T23:59:59.5", -1),
+        ("2100-01-01T00:00:00.0", None),
+    ],
+)
+def test_dates(lines_of, date, seconds):
+    (user,) = entities.users(lines_of(f'<row Id="1" CreationDate="{date}" />')).collect()
+    assert (user.signup_date, user.last_access_date) == (seconds, 0)
+
+
+@pytest.mark.parametrize(
+    "date", ["", "2008", "2008-07-31", "2008-07-31T21:42:52", "2008-02-30T00:00:00.0", "x"]
+)
+def test_invalid_dates_are_rejects(lines_of, date):
+    line = f'<row Id="1" LastAccessDate="{date}" />'
+    assert entities.users(lines_of(line)).count() == 0
+    assert [tuple(r) for r in rejects(lines_of(line), USERS).collect()] == [
+        ("users", "bad_date", line)
+    ]
+
+
+def test_user_flags(lines_of):
+    lines = lines_of(
+        '<row Id="1" WebsiteUrl="" Location="here" />', '<row Id="2" AboutMe=" " />'
+    )
+    flags = {
+        u.id: (u.has_website, u.has_location, u.has_about_me)
+        for u in entities.users(lines).collect()
+    }
+    assert flags == {1: (0, 1, 0), 2: (0, 0, 1)}
+
+
+def test_every_type_but_questions_is_an_answer(lines_of):
+    lines = lines_of(*[f'<row Id="{i}" PostTypeId="{t}" />' for i, t in enumerate("12345")])
+    assert {row.id for row in entities.questions(lines).collect()} == {0}
+    assert {row.id for row in entities.answers(lines).collect()} == {1, 2, 3, 4}
+    assert {row.id for row in entities.answers(lines, post_types=["2"]).collect()} == {1}
+
+
+FAULTS = [
+    ('<row Id="2" Score=3 PostTypeId="1" />', "malformed"),
+    ('<row Id="2" PostTypeId="1"', "malformed"),
+    ('<row Id="2" PostTypeId="1" /> more', "malformed"),
+    ('<row Id="2" PostTypeId="1" /><row Id="3" PostTypeId="1" />', "malformed"),
+    ('<row Id="2" PostTypeId="1" Id="3" />', "malformed"),
+    ('<row Id="2" PostTypeId="1" Body="a&nbsp;b" />', "malformed"),
+    ('<row Id="2" PostTypeId="1" Body="a<b" />', "malformed"),
+    ('<row Id="2" PostTypeId="1" Body="&#0;" />', "malformed"),
+    ('<row Id="2" PostTypeId="1" x:y="1" />', "malformed"),
+    ('<row Id="2" PostTypeId="1" xmlns="u" />', "malformed"),
+    ('<row Id="2" />', "no_post_type"),
+    ("<row/>", "no_post_type"),
+    ('<row id="2" PostTypeId="1" />', "attribute_case"),
+    ('<tag Id="2" PostTypeId="1" />', "not_a_row"),
+    ('<rows Id="2" PostTypeId="1" />', "not_a_row"),
+    ("<users>", "not_a_row"),
+    ("", "not_a_row"),
+    ("   ", "not_a_row"),
+]
+
+
+def test_faulty_lines_are_rejects_and_their_neighbours_are_kept(lines_of):
+    good = '<row Id="1" PostTypeId="1" />'
+    lines = lines_of(good, *[line for line, _ in FAULTS], good)
+    found = {(r.line, r.reject_reason) for r in rejects(lines, POSTS).collect()}
+    assert found == set(FAULTS)
+    assert [row.Id for row in records(lines, POSTS).collect()] == ["1", "1"]
+
+
+@pytest.mark.parametrize("line", [line for line, _ in FAULTS[::3]])
+def test_failfast_fails_at_a_faulty_line(lines_of, line):
+    with pytest.raises(PySparkException, match="Posts.xml"):
+        entities.questions(lines_of(line), mode="failfast").collect()
+
+
+def test_failfast_accepts_good_lines(lines_of):
+    lines = lines_of(XML_DECLARATION, "<posts>", post('Score="3"'), "</posts>")
+    assert entities.questions(lines, mode="failfast").count() == 1
+
+
+def test_unknown_mode(lines_of):
+    with pytest.raises(ValueError, match="mode"):
+        records(lines_of("<row/>"), BADGES, mode="lenient")
+
+
+def test_envelope_is_dropped_only_for_its_own_file(lines_of):
+    lines = lines_of(XML_DECLARATION, "<badges>", '<row UserId="1" />', "</badges>", "</posts>")
+    parsed = parse(lines, BADGES)
+    assert parsed.count() == 2
+    assert [r.line for r in rejects(lines, BADGES).collect()] == ["</posts>"]
+
+
+def test_element_with_content_is_read_by_its_attributes(lines_of):
+    lines = lines_of('<row UserId="1"><UserId>2</UserId></row>', '<row UserId="1">x</row>')
+    assert [tuple(row) for row in counts.badge_counts(lines).collect()] == [(1, 2)]
+
+
+def test_byte_order_mark_and_crlf(spark, tmp_path):
+    path = tmp_path / "Posts.xml"
+    text = "﻿" + "\r\n".join(
+        [XML_DECLARATION, "<posts>", '  <row Id="7" PostTypeId="1" Body="a" />', "</posts>", ""]
+    )
+    path.write_bytes(text.encode())
+    lines = read_lines(spark, str(path))
+    assert rejects(lines, POSTS).count() == 0
+    assert [row.id for row in entities.questions(lines).collect()] == [7]
+
+
+@pytest.mark.parametrize(
+    ("body", "length"),
+    [
+        ("a" * 3_000_000, 3_000_000),
+        ("&lt;a&gt; é&#10;" * 150_000, 900_000),
+        ("&amp;" * 700_000, 700_000),
+    ],
+)
+def test_long_lines_are_read_whole(lines_of, body, length):
+    many = " ".join(f'a{i}="x"' for i in range(500))
+    row = one_question(lines_of, f'Body="{body}" {many} Score="4"')
+    assert (row.body_length, row.score, row.id, row.user_id) == (length, 4, 1, 0)
+
+
+@pytest.mark.parametrize("fault", ["&nbsp;", "&", "&#0;", "\x01", '" Id="2', '" 1x="'])
+def test_faults_in_long_lines_are_found(lines_of, fault):
+    line = post(f'Body="{"a" * 600_000}{fault}{"b" * 600_000}"')
+    assert [row.reject_reason for row in rejects(lines_of(line), POSTS).collect()] == ["malformed"]
+
+
+def test_counters_of_a_pass(lines_of):
+    seen = Observation("posts")
+    lines = lines_of(post(""), post(""), "<row/>", "<posts>")
+    entities.questions(lines, counters=seen).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"rows": 2, "rejects": 1}

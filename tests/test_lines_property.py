@@ -1,0 +1,87 @@
+"""Random lines, read by Spark and by Python's own XML parser."""
+
+import xml.etree.ElementTree as ET
+
+from unittest import mock
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from qadump.operators import records
+from qadump.operators.records import parse
+from qadump.schemas import POST_HISTORY
+
+NAMES = ["UserId", "PostId", "Text", "userid", "postID", "xml:lang", "a:b", "1x", "Post-Id", "_x"]
+CHARACTERS = st.characters(exclude_categories=["Cs"], exclude_characters="\r\n")
+PIECES = st.one_of(
+    st.text(CHARACTERS, max_size=4),
+    st.sampled_from(
+        ["&amp;", "&lt;", "&quot;", "&#xA;", "&#10;", "&#65;", "&#0;", "&nbsp;", "&", "<", ">"]
+        + ['"', "'", "/>", " UserId=", " userid='", "<row/>", "\t", "  ", "7", "ab"]
+    ),
+)
+VALUES = st.lists(PIECES, max_size=4).map("".join)
+
+
+@st.composite
+def attribute(draw):
+    quote = draw(st.sampled_from(['"', '"', '"', "'"]))
+    value = draw(VALUES)
+    if draw(st.integers(0, 9)):
+        value = value.replace(quote, "").replace("<", "").replace("&", "&amp;")
+        value = "".join(c for c in value if c >= " " or c == "\t")
+    name = draw(st.sampled_from(NAMES[:3] * 4 + NAMES))
+    equals = draw(st.sampled_from(["=", "=", "=", " = ", ""]))
+    return draw(st.sampled_from([" ", " ", "  ", "\t"])) + name + equals + quote + value + quote
+
+
+@st.composite
+def line(draw):
+    start = draw(st.sampled_from(["<row", "  <row", "  <row", "\t<row", "<rows", "<tag", "x<row"]))
+    end = draw(st.sampled_from(["/>", " />", " />", "/> ", ">", "></row>", ">t</row>", "/>x", "/><row/>"]))
+    text = start + "".join(draw(st.lists(attribute(), max_size=5))) + end
+    if draw(st.integers(0, 5)) == 0 and text:
+        at = draw(st.integers(0, len(text) - 1))
+        text = text[:at] + draw(st.sampled_from(["", "<", '"', "&", " "])) + text[at + 1 :]
+    return text
+
+
+def expected(text):
+    try:
+        element = ET.fromstring(text.encode())
+    except ET.ParseError:
+        return None
+    if element.tag != "row":
+        return None
+    known = set(POST_HISTORY.attributes)
+    if any(n.lower() in {k.lower() for k in known} - {n.lower() for n in known & {n}} for n in element.attrib):
+        return None  # names that differ from known ones by case only are not read
+    return element.attrib.get("UserId"), element.attrib.get("PostId")
+
+
+def check(spark, lines):
+    frame = spark.createDataFrame([(text,) for text in lines], "value string")
+    found = {
+        row.line: None if row.reject_reason else (row.UserId, row.PostId)
+        for row in parse(frame, POST_HISTORY).collect()
+    }
+    assert found == {text: expected(text) for text in lines}
+
+
+anything = settings(
+    max_examples=12, deadline=None, suppress_health_check=list(HealthCheck), derandomize=True
+)
+some_lines = given(st.lists(line(), min_size=60, max_size=150))
+
+
+@anything
+@some_lines
+def test_lines_are_read_as_by_an_xml_parser(spark, lines):
+    check(spark, lines)
+
+
+@anything
+@some_lines
+def test_so_are_lines_taken_apart(spark, lines):
+    with mock.patch.multiple(records, LONG_LINE=0, PIECE=2):
+        check(spark, lines)
