@@ -204,6 +204,20 @@ def test_faults_in_long_lines_are_found(lines_of, fault):
     assert [row.reject_reason for row in rejects(lines_of(line), POSTS).collect()] == ["malformed"]
 
 
+@pytest.mark.parametrize(
+    "line",
+    [
+        '<row Id="' + "a" * 3_000_000,
+        "<row " + "a " * 1_000_000 + "/>",
+        "<row" + " " * 3_000_000 + "x",
+        '<row Id="1">' + "</row>" * 300_000,
+    ],
+    ids=["open quote", "bare names", "blanks", "end tags"],
+)
+def test_long_faulty_lines_take_linear_time(lines_of, line):
+    assert [row.reject_reason for row in rejects(lines_of(line), POSTS).collect()] == ["malformed"]
+
+
 def test_counters_of_a_pass(lines_of):
     seen = Observation("posts")
     lines = lines_of(post(""), post(""), "<row/>", "<posts>")
