@@ -1,8 +1,8 @@
 """The batch jobs: dump files to typed CSV sets, and the sets to the user table.
 
-Each extraction job returns the counts of its pass by name, for instance
-`{"users": 120, "users_rejects": 1}`. With `rejects_target`, rejected lines are
-written there as well, by a second pass over the file.
+A source is a path, a list of paths, or a DataFrame of lines. Each extraction job
+returns the counts of its pass by name, for instance `{"users": 120, "users_rejects": 1}`.
+With `rejects_target`, rejected lines are written there as well, by a second pass.
 """
 
 from __future__ import annotations
@@ -28,6 +28,9 @@ from qadump.sources.sets import read_set, write_result, write_set
 from qadump.sources.shared import shared_folder
 
 
+Source = str | list[str] | DataFrame
+
+
 def _named_counts(entity: Entity, observed: Observation) -> dict[str, int]:
     return {entity.name: observed.get["rows"], f"{entity.name}_rejects": observed.get["rejects"]}
 
@@ -40,7 +43,7 @@ def _write_rejects(lines: DataFrame, entity: Entity, target: str | None) -> None
 def _extraction(entity: Entity, table: Callable[..., DataFrame]):
     def job(
         spark: SparkSession,
-        source: str,
+        source: Source,
         target: str,
         mode: str = PERMISSIVE,
         rejects_target: str | None = None,
@@ -65,7 +68,7 @@ posthistory_to_csv = _extraction(POST_HISTORY, counts.history_counts)
 
 def posts_to_csv(
     spark: SparkSession,
-    source: str,
+    source: Source,
     questions_target: str,
     answers_target: str,
     mode: str = PERMISSIVE,
