@@ -13,7 +13,7 @@ from qadump.functions.values import (
     length_or_zero,
     presence_flag,
 )
-from qadump.operators.records import PERMISSIVE, records
+from qadump.operators.records import PERMISSIVE, parse_counted, records
 from qadump.schemas import (
     ANSWER_COLUMNS,
     POSTS,
@@ -42,6 +42,20 @@ def users(
     )
 
 
+_TYPED_POST = (
+    "PostTypeId as post_type",
+    f"{int_or_zero('Id')} as id",
+    f"{int_or_zero('AcceptedAnswerId')} as accepted_answer_id",
+    f"{int_or_zero('Score')} as score",
+    f"{int_or_zero('ViewCount')} as views",
+    f"{int_or_zero('OwnerUserId')} as user_id",
+    f"{int_or_zero('AnswerCount')} as answer_count",
+    f"{int_or_zero('CommentCount')} as comment_count",
+    f"{int_or_zero('FavoriteCount')} as favourite_count",
+    f"{length_or_zero('Body')} as body_length",
+)
+
+
 def posts(
     lines: DataFrame, mode: str = PERMISSIVE, counters: Observation | None = None
 ) -> DataFrame:
@@ -49,17 +63,13 @@ def posts(
 
     `post_type` tells them apart; every column is typed as in both tables.
     """
-    return records(lines, POSTS, mode, counters).selectExpr(
-        "PostTypeId as post_type",
-        f"{int_or_zero('Id')} as id",
-        f"{int_or_zero('AcceptedAnswerId')} as accepted_answer_id",
-        f"{int_or_zero('Score')} as score",
-        f"{int_or_zero('ViewCount')} as views",
-        f"{int_or_zero('OwnerUserId')} as user_id",
-        f"{int_or_zero('AnswerCount')} as answer_count",
-        f"{int_or_zero('CommentCount')} as comment_count",
-        f"{int_or_zero('FavoriteCount')} as favourite_count",
-        f"{length_or_zero('Body')} as body_length",
+    return records(lines, POSTS, mode, counters).selectExpr(*_TYPED_POST)
+
+
+def posts_and_rejects(lines: DataFrame, counters: Observation | None = None) -> DataFrame:
+    """As `posts`, with rejects: `reject_reason` is null for posts, and `line` is kept for rejects."""
+    return parse_counted(lines, POSTS, counters).selectExpr(
+        *_TYPED_POST, "reject_reason", "if(reject_reason is null, null, line) as line"
     )
 
 

@@ -137,6 +137,16 @@ COUNTERS = (
 )
 
 
+def parse_counted(
+    lines: DataFrame, entity: Entity, counters: Observation | None
+) -> DataFrame:
+    """As `parse`; `counters` receives the named counts `rows` and `rejects` when an action has run."""
+    parsed = parse(lines, entity)
+    if counters is None:
+        return parsed
+    return parsed.observe(counters, *map(F.expr, COUNTERS))
+
+
 def records(
     lines: DataFrame,
     entity: Entity,
@@ -146,12 +156,9 @@ def records(
     """Good records of a dump file, attributes as text.
 
     `permissive` leaves rejects out (see `rejects`), `failfast` fails the query at
-    the first one. `counters` receives the named counts `rows` and `rejects` of
-    the same pass when an action has run.
+    the first one. For `counters` see `parse_counted`.
     """
-    parsed = parse(lines, entity)
-    if counters is not None:
-        parsed = parsed.observe(counters, *map(F.expr, COUNTERS))
+    parsed = parse_counted(lines, entity, counters)
     names = ", ".join(entity.attributes)
     if mode == PERMISSIVE:
         return parsed.where("reject_reason is null").select(*entity.attributes)
@@ -163,13 +170,15 @@ def records(
     raise ValueError(f"mode must be {PERMISSIVE!r} or {FAILFAST!r}, not {mode!r}")
 
 
+def rejects_of(parsed: DataFrame, entity: Entity) -> DataFrame:
+    return parsed.where("reject_reason is not null").selectExpr(
+        f"'{entity.name}' as entity", "reject_reason", "line"
+    )
+
+
 def rejects(lines: DataFrame, entity: Entity) -> DataFrame:
     """Lines that are no record of the entity, whole, with the reason."""
-    return (
-        parse(lines, entity)
-        .where("reject_reason is not null")
-        .selectExpr(f"'{entity.name}' as entity", "reject_reason", "line")
-    )
+    return rejects_of(parse(lines, entity), entity)
 
 
 def counters(lines: DataFrame, entity: Entity) -> DataFrame:

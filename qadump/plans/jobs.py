@@ -2,7 +2,8 @@
 
 A source is a path, a list of paths, or a DataFrame of lines. Each extraction job
 returns the counts of its pass by name, for instance `{"users": 120, "users_rejects": 1}`.
-With `rejects_target`, rejected lines are written there as well, by a second pass.
+With `rejects_target`, rejected lines are written there as well; but for `posts_to_csv`
+that takes a second pass.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from qadump.operators import counts, entities
-from qadump.operators.records import PERMISSIVE, rejects
+from qadump.operators.records import PERMISSIVE, rejects, rejects_of
 from qadump.plans.master import user_master_from_sets
 from qadump.schemas import (
     BADGES,
@@ -74,19 +75,26 @@ def posts_to_csv(
     mode: str = PERMISSIVE,
     rejects_target: str | None = None,
 ) -> dict[str, int]:
-    """Questions and answers from one pass over the posts.
+    """Questions, answers and, if wanted, rejects from one pass over the posts.
 
-    The typed posts, without bodies, are staged as Parquet in the shared folder,
-    so the dump is not parsed once per target.
+    What the tables need of the posts, without bodies, is staged as Parquet in the
+    shared folder, so the dump is not parsed once per target.
     """
     lines = read_lines(spark, source)
     observed = Observation("posts rows")
     staged = shared_folder(spark, "posts")
-    entities.posts(lines, mode, observed).write.parquet(staged)
-    typed = spark.read.parquet(staged)
+    if mode == PERMISSIVE:
+        entities.posts_and_rejects(lines, observed).write.parquet(staged)
+        parsed = spark.read.parquet(staged)
+        typed = parsed.where("reject_reason is null")
+    else:
+        entities.posts(lines, mode, observed).write.parquet(staged)
+        parsed = None  # there are no rejects
+        typed = spark.read.parquet(staged)
     write_set(entities.questions_of(typed), questions_target)
     write_set(entities.answers_of(typed), answers_target)
-    _write_rejects(lines, POSTS, rejects_target)
+    if rejects_target is not None and parsed is not None:
+        rejects_of(parsed, POSTS).write.mode("errorifexists").parquet(rejects_target)
     return _named_counts(POSTS, observed)
 
 

@@ -4,7 +4,7 @@ import glob
 from types import SimpleNamespace
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 
 from compare import rows_of
 from fixtures import render
@@ -117,6 +117,31 @@ def test_rejects_are_written_on_request(spark, tmp_path):
     assert {r.line for r in spark.read.parquet(str(target)).collect()} == {"<row", "broken"}
 
 
+@pytest.mark.parametrize("mode", ["permissive", "failfast"])
+def test_posts_and_their_rejects_come_from_one_pass(spark, tmp_path, mode):
+    good = ['<row Id="1" PostTypeId="1" />', '<row Id="2" PostTypeId="2" Score="3" />']
+    bad = ["<row/>", "broken", '<row Id="3" PostTypeId="1" Body="&x" />']
+    lines = spark.createDataFrame(
+        [(line,) for line in good + (bad if mode == "permissive" else [])], "value string"
+    )
+    paths = [str(tmp_path / n) for n in ("questions", "answers", "rejects")]
+    found = jobs.posts_to_csv(spark, lines, *paths[:2], mode, rejects_target=paths[2])
+    assert [r.id for r in read_set(spark, "questions", paths[0]).collect()] == [1]
+    assert [(r.id, r.score) for r in read_set(spark, "answers", paths[1]).collect()] == [(2, 3)]
+    if mode == "permissive":
+        assert found == {"posts": 2, "posts_rejects": 3}
+        assert {r.line for r in spark.read.parquet(paths[2]).collect()} == set(bad)
+    else:
+        assert found == {"posts": 2, "posts_rejects": 0}
+
+
+def test_failfast_job_fails_and_leaves_no_set(spark, tmp_path):
+    lines = spark.createDataFrame([("<row/>",)], "value string")
+    with pytest.raises(PySparkException, match="no_post_type"):
+        jobs.posts_to_csv(spark, lines, str(tmp_path / "q"), str(tmp_path / "a"), "failfast")
+    assert not (tmp_path / "q").exists()
+
+
 def test_single_file_keeps_the_work_before_it_parallel(spark, tmp_path):
     write_result(spark.range(1000).repartition(8), str(tmp_path / "one"), single_file=True)
     assert len(glob.glob(f"{tmp_path}/one/part-*")) == 1
