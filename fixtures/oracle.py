@@ -134,34 +134,37 @@ DUMP_SCAN = f"SELECT id, post_type, user_id, body FROM ({POSTS})"
 
 DUMP_REJECTS = """
 SELECT 'posts' AS entity,
-  CASE o_orderkey % 20 WHEN 0 THEN 'no_post_type' WHEN 2 THEN 'not_a_row' WHEN 3 THEN 'not_a_row'
-    WHEN 5 THEN 'attribute_case' ELSE 'malformed' END AS reject_reason,
-  CASE o_orderkey % 20
-    WHEN 0 THEN '  <row Id="' || o_orderkey || '" Body="no type" />'
-    WHEN 1 THEN '  <row Id="' || o_orderkey || '" Score=3 />'
-    WHEN 2 THEN '  <tag Id="' || o_orderkey || '" />'
-    WHEN 3 THEN ''
-    WHEN 4 THEN '  <row Id="' || o_orderkey || '" PostTypeId="1" /><row Id="5" PostTypeId="2" />'
-    WHEN 5 THEN '  <row Id="' || o_orderkey || '" id="5" PostTypeId="1" />'
-    WHEN 6 THEN '  <row Id="' || o_orderkey || '" PostTypeId="1" Body="a&nbsp;b" />'
-    ELSE '  <row Id="' || o_orderkey || '" Id="5" PostTypeId="1" />' END AS line
-FROM orders WHERE o_orderkey % 20 < 8
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'no_post_type' WHEN '2-HIGH' THEN 'malformed'
+    WHEN '3-MEDIUM' THEN 'not_a_row' WHEN '4-NOT SPECIFIED' THEN 'malformed'
+    ELSE CASE o_orderstatus WHEN 'F' THEN 'attribute_case' ELSE 'malformed' END END AS reject_reason,
+  CASE o_orderpriority
+    WHEN '1-URGENT' THEN '  <row Id="' || o_orderkey || '" Body="no type" />'
+    WHEN '2-HIGH' THEN '  <row Id="' || o_orderkey || '" Score=3 />'
+    WHEN '3-MEDIUM' THEN
+      CASE o_orderstatus WHEN 'P' THEN '' ELSE '  <tag Id="' || o_orderkey || '" />' END
+    WHEN '4-NOT SPECIFIED' THEN
+      '  <row Id="' || o_orderkey || '" PostTypeId="1" /><row Id="5" PostTypeId="2" />'
+    ELSE CASE o_orderstatus
+      WHEN 'F' THEN '  <row Id="' || o_orderkey || '" id="5" PostTypeId="1" />'
+      WHEN 'O' THEN '  <row Id="' || o_orderkey || '" PostTypeId="1" Body="a&nbsp;b" />'
+      ELSE '  <row Id="' || o_orderkey || '" Id="5" PostTypeId="1" />' END
+    END AS line
+FROM orders
 UNION ALL
 SELECT 'users', 'bad_date',
-  CASE c_custkey % 20
-    WHEN 0 THEN '  <row Id="' || c_custkey || '" CreationDate="31 July 2008" />'
-    WHEN 1 THEN '  <row Id="' || c_custkey || '" LastAccessDate="" />'
+  CASE c_mktsegment
+    WHEN 'BUILDING' THEN '  <row Id="' || c_custkey || '" CreationDate="31 July 2008" />'
+    WHEN 'MACHINERY' THEN '  <row Id="' || c_custkey || '" LastAccessDate="" />'
     ELSE '  <row Id="' || c_custkey || '" CreationDate="2008-02-30T00:00:00.000" />' END
-FROM customer WHERE c_custkey % 20 < 3
+FROM customer
 """
 
 INGEST_COUNTERS = """
-SELECT 'users' AS entity, count(*) AS "rows", count(*) FILTER (c_custkey % 20 < 3) AS rejects
-FROM customer
+SELECT 'users' AS entity, count(*) AS "rows", count(*) AS rejects FROM customer
 UNION ALL
 SELECT 'posts', (SELECT count(*) FROM orders) + (SELECT count(*) FROM documents)
     + (SELECT count(*) FROM pages) + (SELECT count(*) FROM conversations),
-  (SELECT count(*) FROM orders WHERE o_orderkey % 20 < 8)
+  (SELECT count(*) FROM orders)
 UNION ALL
 SELECT 'badges', count(*), 0 FROM events WHERE event_type NOT IN ('click', 'view')
 UNION ALL

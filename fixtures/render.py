@@ -222,44 +222,40 @@ LINES = {
 }
 
 
-def _broken(line: str) -> str:
-    return f"format_string('{line}', id)"
-
-
-# A dump with faults: besides all good lines, each order and each customer of a
-# kind also adds one faulty line.
-BROKEN_POSTS = {
-    0: '  <row Id="%d" Body="no type" />',
-    1: '  <row Id="%d" Score=3 />',
-    2: '  <tag Id="%d" />',
-    3: "",
-    4: '  <row Id="%d" PostTypeId="1" /><row Id="5" PostTypeId="2" />',
-    5: '  <row Id="%d" id="5" PostTypeId="1" />',
-    6: '  <row Id="%d" PostTypeId="1" Body="a&nbsp;b" />',
-    7: '  <row Id="%d" Id="5" PostTypeId="1" />',
-}
-BROKEN_USERS = {
-    0: '  <row Id="%d" CreationDate="31 July 2008" />',
-    1: '  <row Id="%d" LastAccessDate="" />',
-    2: '  <row Id="%d" CreationDate="2008-02-30T00:00:00.000" />',
-}
-
-
-def _broken_lines(table: DataFrame, key: str, kinds: dict[int, str]) -> DataFrame:
-    cases = " ".join(f"when {kind} then {_broken(line)}" for kind, line in kinds.items())
-    return table.selectExpr(f"{key} as id", f"{key} % 20 as kind").selectExpr(
-        f"explode(filter(array(case kind {cases} end), x -> x is not null)) as value"
-    )
+# A dump with faults: besides all good lines, every order and every customer adds
+# one faulty line, of a kind that follows from its own columns.
+FAULTY_POST = """case
+    when o_orderpriority = '1-URGENT' then format_string('  <row Id="%d" Body="no type" />', o_orderkey)
+    when o_orderpriority = '2-HIGH' then format_string('  <row Id="%d" Score=3 />', o_orderkey)
+    when o_orderpriority = '3-MEDIUM' and o_orderstatus = 'P' then ''
+    when o_orderpriority = '3-MEDIUM' then format_string('  <tag Id="%d" />', o_orderkey)
+    when o_orderpriority = '4-NOT SPECIFIED' then format_string(
+        '  <row Id="%d" PostTypeId="1" /><row Id="5" PostTypeId="2" />', o_orderkey)
+    when o_orderstatus = 'F' then format_string(
+        '  <row Id="%d" id="5" PostTypeId="1" />', o_orderkey)
+    when o_orderstatus = 'O' then format_string(
+        '  <row Id="%d" PostTypeId="1" Body="a&nbsp;b" />', o_orderkey)
+    else format_string('  <row Id="%d" Id="5" PostTypeId="1" />', o_orderkey)
+end"""
+FAULTY_USER = """case c_mktsegment
+    when 'BUILDING' then format_string('  <row Id="%d" CreationDate="31 July 2008" />', c_custkey)
+    when 'MACHINERY' then format_string('  <row Id="%d" LastAccessDate="" />', c_custkey)
+    else format_string('  <row Id="%d" CreationDate="2008-02-30T00:00:00.000" />', c_custkey)
+end"""
+
+
+def _faulty_lines(table: DataFrame, line: str) -> DataFrame:
+    return table.selectExpr(f"explode(array({line})) as value")
 
 
 def faulty_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = _table(spark, sf_dir, "customer")
-    return users(spark, sf_dir).union(_broken_lines(customers, "c_custkey", BROKEN_USERS))
+    faults = _faulty_lines(_table(spark, sf_dir, "customer"), FAULTY_USER)
+    return users(spark, sf_dir).union(faults)
 
 
 def faulty_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders")
-    return posts(spark, sf_dir).union(_broken_lines(orders, "o_orderkey", BROKEN_POSTS))
+    faults = _faulty_lines(_table(spark, sf_dir, "orders"), FAULTY_POST)
+    return posts(spark, sf_dir).union(faults)
 
 
 FAULTY_LINES = LINES | {USERS: faulty_users, POSTS: faulty_posts}

@@ -106,6 +106,14 @@ def test_line_sets_of_keys_and_counts(spark, tmp_path):
     assert found == {(2, 3): 1, (5, None): 1, (1, None): 2}
 
 
+def test_sources_can_be_several_files(spark, tmp_path):
+    paths = [str(tmp_path / f"{i}.xml") for i in range(2)]
+    for path in paths:
+        with open(path, "w") as file:
+            file.write('<badges>\n<row UserId="1" />\n</badges>\n')
+    assert jobs.badges_to_csv(spark, paths, str(tmp_path / "out"))["badges"] == 2
+
+
 def test_rejects_are_written_on_request(spark, tmp_path):
     source = tmp_path / "Badges.xml"
     source.write_text('<badges>\n  <row UserId="1" />\n<row\nbroken\n</badges>\n')
