@@ -136,7 +136,7 @@ DUMP_REJECTS = """
 SELECT 'posts' AS entity,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'no_post_type' WHEN '2-HIGH' THEN 'malformed'
     WHEN '3-MEDIUM' THEN 'not_a_row' WHEN '4-NOT SPECIFIED' THEN 'malformed'
-    ELSE CASE o_orderstatus WHEN 'F' THEN 'attribute_case' ELSE 'malformed' END END AS reject_reason,
+    ELSE 'malformed' END AS reject_reason,
   CASE o_orderpriority
     WHEN '1-URGENT' THEN '  <row Id="' || o_orderkey || '" Body="no type" />'
     WHEN '2-HIGH' THEN '  <row Id="' || o_orderkey || '" Score=3 />'
@@ -145,7 +145,7 @@ SELECT 'posts' AS entity,
     WHEN '4-NOT SPECIFIED' THEN
       '  <row Id="' || o_orderkey || '" PostTypeId="1" /><row Id="5" PostTypeId="2" />'
     ELSE CASE o_orderstatus
-      WHEN 'F' THEN '  <row Id="' || o_orderkey || '" id="5" PostTypeId="1" />'
+      WHEN 'F' THEN '  <row Id="' || o_orderkey || '" x:y="5" PostTypeId="1" />'
       WHEN 'O' THEN '  <row Id="' || o_orderkey || '" PostTypeId="1" Body="a&nbsp;b" />'
       ELSE '  <row Id="' || o_orderkey || '" Id="5" PostTypeId="1" />' END
     END AS line

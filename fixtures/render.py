@@ -232,7 +232,7 @@ FAULTY_POST = """case
     when o_orderpriority = '4-NOT SPECIFIED' then format_string(
         '  <row Id="%d" PostTypeId="1" /><row Id="5" PostTypeId="2" />', o_orderkey)
     when o_orderstatus = 'F' then format_string(
-        '  <row Id="%d" id="5" PostTypeId="1" />', o_orderkey)
+        '  <row Id="%d" x:y="5" PostTypeId="1" />', o_orderkey)
     when o_orderstatus = 'O' then format_string(
         '  <row Id="%d" PostTypeId="1" Body="a&nbsp;b" />', o_orderkey)
     else format_string('  <row Id="%d" Id="5" PostTypeId="1" />', o_orderkey)

@@ -43,8 +43,16 @@ def presence_flag(text: str) -> str:
 
 
 def instant(text: str) -> str:
-    """UTC timestamp of ISO text; null if absent or invalid. Independent of the session zone."""
-    return f"try_to_timestamp(concat(if({matches(text, TIMESTAMP_TEXT)}, {text}, null), 'Z'))"
+    """UTC timestamp of ISO text; null if absent or invalid. Independent of the session zone.
+
+    Leap seconds, 60 and 61, count as the seconds after 59.
+    """
+    valid = f"if({matches(text, TIMESTAMP_TEXT)}, {text}, null)"
+    leap = [
+        f"try_to_timestamp(concat(replace({valid}, ':{59 + n}.', ':59.'), 'Z')) + interval {n} second"
+        for n in (1, 2)
+    ]
+    return f"coalesce(try_to_timestamp(concat({valid}, 'Z')), {', '.join(leap)})"
 
 
 def epoch_or_zero(text: str) -> str:

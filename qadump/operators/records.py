@@ -11,43 +11,14 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from qadump.functions.values import instant, matches
+from qadump.operators.row_xml import row_attributes
 from qadump.schemas import POSTS, USERS, Entity
 
 PERMISSIVE = "permissive"
 FAILFAST = "failfast"
 
-_XML_OPTIONS = (
-    "map('ignoreSurroundingSpaces', 'false', 'attributePrefix', '@', "
-    "'columnNameOfCorruptRecord', '@error')"
-)
 _ROW_START = r"\A[ \t]*+<row[ \t/>]"
 
-# The XML parser behind `from_xml` gives up on attributes of more than 524288
-# characters, so longer lines are taken apart first (`_long_record`).
-LONG_LINE = 500_000
-PIECE = 400_000
-
-
-def _row_shape(attributes: tuple[str, ...], exact_case: bool) -> str:
-    r"""Pattern for a line that holds one `row` element and nothing else.
-
-    `from_xml` leaves three things to check here: it takes any element name, it
-    ignores what follows the first element, and it compares attribute names
-    without regard to case. The loop over attributes is possessive and no character
-    can both continue and end a part, so the time is linear and the stack flat on
-    lines of any length. `\x27` is the single quote.
-    """
-    name = r"(?!xmlns)(?:xml:)?[^ \t=<>\x22\x27/:]+"
-    if exact_case:
-        known = "|".join(attributes)
-        name = rf"(?:(?:{known})(?=[ \t]*=)|(?!(?i:{known})[ \t]*=){name})"
-    value = r"(?:\x22[^\x22<]*\x22|\x27[^\x27<]*\x27)"
-    content = r">(?!.*</row[ \t]*>.*</row).*</row[ \t]*>"
-    return (
-        rf"(?s)\A[ \t]*<row(?:[ \t]+{name}[ \t]*=[ \t]*{value})*+[ \t]*"
-        rf"(?:/>|{content})[ \t]*\z"
-    )
-
 
 def _entity_checks(entity: Entity) -> list[tuple[str, str]]:
     """Reasons to reject a well-formed record, each with the condition that holds if it is bad."""
@@ -64,54 +35,15 @@ def _entity_checks(entity: Entity) -> list[tuple[str, str]]:
 def _reject_reason(entity: Entity) -> str:
     """SQL text: null for a good record, else why it is none. Good ones pass the first branch."""
     checks = _entity_checks(entity)
-    exact = matches("line", _row_shape(entity.attributes, exact_case=True))
-    any_case = matches("line", _row_shape(entity.attributes, exact_case=False))
-    good = " and ".join([exact, "xml_error is null", *[f"not {bad}" for _, bad in checks]])
+    good = " and ".join(["xml_error is null", *[f"not {bad}" for _, bad in checks]])
     return f"""case
         when {good} then null
         when not {matches("line", _ROW_START)} then 'not_a_row'
-        when xml_error is not null or not {any_case} then 'malformed'
-        when not {exact} then 'attribute_case'
+        when xml_error is not null then 'malformed'
         {" ".join(f"when {bad} then '{name}'" for name, bad in checks)}
         end"""
 
 
-def _from_xml(xml: str, attributes: tuple[str, ...]) -> str:
-    fields = ", ".join(f"`@{name}` string" for name in attributes)
-    return f"from_xml({xml}, '{fields}', {_XML_OPTIONS})"
-
-
-def _long_record(attributes: tuple[str, ...]) -> str:
-    r"""SQL text: what `from_xml` gives for a line without content, whatever its length.
-
-    The line is cut into attributes, their values into pieces that end between
-    character references, and each piece is decoded as an attribute of its own. A
-    piece that cannot be decoded makes its whole value null, and the record an error.
-    """
-    attribute = (
-        r"(?:\A[ \t]*+<row|\G)[ \t]++([^ \t=<>\x22\x27/]++)"
-        r"[ \t]*+=[ \t]*+(\x22[^\x22]*+\x22|\x27[^\x27]*+\x27)"
-    )
-    names, quoted = (f"regexp_extract_all(line, r'{attribute}', {group})" for group in (1, 2))
-    pieces = (
-        f"regexp_extract_all(substr(q, 2, length(q) - 2), r'(?:[^&]|&[^;&]*+;?){{1,{PIECE}}}+', 0)"
-    )
-    decoded = _from_xml("concat('<v a=', left(q, 1), piece, left(q, 1), '/>')", ("a",))
-    value = (
-        f"reduce(transform({pieces}, piece -> {decoded}.`@a`), '', "
-        "(text, piece) -> concat(text, piece))"
-    )
-    # duplicate and invalid names show in an element of the names alone
-    names_only = "concat('<v ', array_join(transform(r.names, n -> concat(n, '=\"\"')), ' '), '/>')"
-    fields = [f"get(r.texts, int(array_position(r.names, '{n}')) - 1) as `@{n}`" for n in attributes]
-    error = (
-        f"coalesce({_from_xml(names_only, ('error',))}.`@error`, "
-        "if(exists(r.texts, text -> text is null), 'value', null)) as `@error`"
-    )
-    parts = f"struct({names} as names, transform({quoted}, q -> {value}) as texts)"
-    return f"transform(array({parts}), r -> struct({', '.join(fields)}, {error}))"
-
-
 def parse(lines: DataFrame, entity: Entity) -> DataFrame:
     """Attributes as text (null if absent), with `line` and `reject_reason` (null for good rows).
 
@@ -120,12 +52,12 @@ def parse(lines: DataFrame, entity: Entity) -> DataFrame:
     """
     names = entity.attributes
     envelope = ", ".join(f"'{line}'" for line in entity.envelope)
-    is_long = rf"octet_length(line) > {LONG_LINE} and {matches('line', r'/>[ \t]*+\z')}"
-    record = f"if({is_long}, {_long_record(names)}, array({_from_xml('line', (*names, 'error'))}))"
     return (
         lines.selectExpr("value as line")
         .where(f"trim(line) not in ({envelope})")
-        .selectExpr("line", f"inline({record}) as ({', '.join(names)}, xml_error)")
+        .selectExpr(
+            "line", f"inline({row_attributes('line', names)}) as ({', '.join(names)}, xml_error)"
+        )
         .selectExpr("line", *names, f"{_reject_reason(entity)} as reject_reason")
     )
 

@@ -79,6 +79,8 @@ def test_key_of_counts_absent_and_empty_are_null(lines_of):
         ("2021-03-14T02:30:00.000", 1615689000),
         ("1969-12-31T23:59:59.5", -1),
         ("2100-01-01T00:00:00.0", None),
+        ("2016-12-31T23:59:60.000", 1483228800),
+        ("2016-12-31T23:59:61.9", 1483228801),
     ],
 )
 def test_dates(lines_of, date, seconds):
@@ -87,7 +89,9 @@ def test_dates(lines_of, date, seconds):
 
 
 @pytest.mark.parametrize(
-    "date", ["", "2008", "2008-07-31", "2008-07-31T21:42:52", "2008-02-30T00:00:00.0", "x"]
+    "date",
+    ["", "2008", "2008-07-31", "2008-07-31T21:42:52", "2008-02-30T00:00:00.0", "x"]
+    + ["2008-07-31T24:00:00.0", "2008-07-31T21:60:00.0", "2008-07-31T21:42:62.0"]
 )
 def test_invalid_dates_are_rejects(lines_of, date):
     line = f'<row Id="1" LastAccessDate="{date}" />'
@@ -128,7 +132,7 @@ FAULTS = [
     ('<row Id="2" PostTypeId="1" xmlns="u" />', "malformed"),
     ('<row Id="2" />', "no_post_type"),
     ("<row/>", "no_post_type"),
-    ('<row id="2" PostTypeId="1" />', "attribute_case"),
+    ('<row id="2" PostTypeId="1">text</row>', "malformed"),
     ('<tag Id="2" PostTypeId="1" />', "not_a_row"),
     ('<rows Id="2" PostTypeId="1" />', "not_a_row"),
     ("<users>", "not_a_row"),
@@ -173,6 +177,20 @@ def test_element_with_content_is_read_by_its_attributes(lines_of):
     assert [tuple(row) for row in counts.badge_counts(lines).collect()] == [(1, 2)]
 
 
+def test_attribute_names_are_read_by_exact_case(lines_of):
+    lines = lines_of(
+        '<row userid="1" UserId="2" />', "<row UserId='2' USERID='1'/>", '<row userid="1" />'
+    )
+    found = {tuple(row) for row in counts.badge_counts(lines).collect()}
+    assert found == {(2, 2), (None, 1)}
+
+
+def test_many_attributes(lines_of):
+    many = " ".join(f'a{i}="="' for i in range(5_000))
+    lines = lines_of(f'<row {many} UserId="3" />', f'<row {many} a7="x" UserId="3" />')
+    assert [tuple(row) for row in counts.badge_counts(lines).collect()] == [(3, 1)]
+
+
 def test_byte_order_mark_and_crlf(spark, tmp_path):
     path = tmp_path / "Posts.xml"
     text = "﻿" + "\r\n".join(

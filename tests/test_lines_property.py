@@ -7,7 +7,7 @@ from unittest import mock
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from qadump.operators import records
+from qadump.operators import row_xml
 from qadump.operators.records import parse
 from qadump.schemas import POST_HISTORY
 
@@ -54,8 +54,10 @@ def expected(text):
     if element.tag != "row":
         return None
     known = set(POST_HISTORY.attributes)
-    if any(n.lower() in {k.lower() for k in known} - {n.lower() for n in known & {n}} for n in element.attrib):
-        return None  # names that differ from known ones by case only are not read
+    lower = {name.lower() for name in known}
+    if any(name.lower() in lower and name not in known for name in element.attrib):
+        if not text.rstrip(" \t").endswith("/>"):
+            return None  # with content, names that differ from known ones by case are not read
     return element.attrib.get("UserId"), element.attrib.get("PostId")
 
 
@@ -83,5 +85,5 @@ def test_lines_are_read_as_by_an_xml_parser(spark, lines):
 @anything
 @some_lines
 def test_so_are_lines_taken_apart(spark, lines):
-    with mock.patch.multiple(records, LONG_LINE=0, PIECE=2):
+    with mock.patch.multiple(row_xml, LONG_LINE=0, PIECE=2):
         check(spark, lines)
