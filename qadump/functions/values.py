@@ -45,19 +45,16 @@ def presence_flag(text: str) -> str:
 def instant(text: str) -> str:
     """UTC timestamp of ISO text; null if absent or invalid. Independent of the session zone.
 
-    Leap seconds, 60 and 61, count as the seconds after 59.
+    Leap seconds, 60 and 61, are taken as 59; `epoch_or_zero` counts them.
     """
     valid = f"if({matches(text, TIMESTAMP_TEXT)}, {text}, null)"
-    leap = [
-        f"try_to_timestamp(concat(replace({valid}, ':{59 + n}.', ':59.'), 'Z')) + interval {n} second"
-        for n in (1, 2)
-    ]
-    return f"coalesce(try_to_timestamp(concat({valid}, 'Z')), {', '.join(leap)})"
+    return f"try_to_timestamp(concat(replace(replace({valid}, ':60.', ':59.'), ':61.', ':59.'), 'Z'))"
 
 
 def epoch_or_zero(text: str) -> str:
     """Whole seconds since 1970, rounded down; 0 if absent, null if invalid or beyond int32."""
-    return f"if({text} is null, 0, try_cast(unix_seconds({instant(text)}) as int))"
+    leap = f"case when contains({text}, ':60.') then 1 when contains({text}, ':61.') then 2 else 0 end"
+    return f"if({text} is null, 0, try_cast(unix_seconds({instant(text)}) + {leap} as int))"
 
 
 def truth_flag(number: str) -> str:

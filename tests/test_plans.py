@@ -102,3 +102,11 @@ def test_one_big_file_is_split(spark, settings, tmp_path):
     lines = read_lines(spark, str(source))
     assert lines.rdd.getNumPartitions() >= 8
     assert sum(r.number_of_badges for r in counts.badge_counts(lines).collect()) == 40_000
+
+
+@pytest.mark.parametrize("name", ["users", "user_master"])
+def test_generated_methods_are_small_enough_to_be_compiled(spark, dump, settings, capsys, name):
+    settings(spark__sql__adaptive__enabled="false")
+    CASES[name][0](spark, dump).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000  # the JVM only interprets larger ones
