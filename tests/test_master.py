@@ -1,6 +1,7 @@
 """The user table on rows made to be awkward."""
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from compare import rows_of
@@ -124,3 +125,18 @@ def test_hot_owner_of_posts_moves_as_partial_sums(spark, lines_of):
     )
     rows = {r.id: (r.total_questions, r.total_answers) for r in found.collect()}
     assert rows == {0: (1500, 1500), 4: (1, None)}
+
+
+@pytest.mark.parametrize("faulty", range(4))
+def test_failfast_finds_a_fault_in_any_source(spark, lines_of, faulty):
+    good = [
+        '<row Id="1" />',
+        '<row Id="1" PostTypeId="1" OwnerUserId="1" />',
+        '<row UserId="1" />',
+        '<row UserId="1" />',
+    ]
+    sources = [lines_of(line, *(["<row broken />"] if i == faulty else [])) for i, line in enumerate(good)]
+    with pytest.raises(PySparkException, match="malformed"):
+        user_master_from_dump(*sources, mode="failfast").collect()
+    (row,) = user_master_from_dump(*sources).collect()
+    assert (row.id, row.total_questions, row.number_of_badges, row.number_of_comments) == (1, 1, 1, 1)
