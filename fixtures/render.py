@@ -261,7 +261,9 @@ def faulty_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 FAULTY_LINES = LINES | {USERS: faulty_users, POSTS: faulty_posts}
 
 
-def write_dump(spark: SparkSession, sf_dir: str, target: str, entities=tuple(LINES)) -> dict[Entity, str]:
+def write_dump(
+    spark: SparkSession, sf_dir: str, target: str, entities=tuple(LINES)
+) -> dict[Entity, str]:
     """Write rendered dump files (folders of text) below `target`; return their paths."""
     paths = {}
     for entity in entities:

@@ -112,6 +112,12 @@ def _ddl(columns, kind: str = "int") -> str:
     return ", ".join(f"{name} {kind}" for name in columns)
 
 
+def _master_type(name: str) -> str:
+    if name in USER_COLUMNS:
+        return "int"
+    return "double" if name.startswith("average") else "bigint"
+
+
 # Schemas of the text sets. Counts stay bigint: a count can outgrow an int.
 SET_SCHEMAS = {
     "users": _ddl(USER_COLUMNS),
@@ -121,8 +127,5 @@ SET_SCHEMAS = {
     "comments": "user_id int, number_of_comments bigint",
     "postlinks": "post_id int, number_of_links bigint",
     "posthistory": "user_id int, post_id int, number_of_edits bigint",
-    "master": ", ".join(
-        f"{name} {'int' if name in USER_COLUMNS else 'double' if name.startswith('average') else 'bigint'}"
-        for name in MASTER_COLUMNS
-    ),
+    "master": ", ".join(f"{name} {_master_type(name)}" for name in MASTER_COLUMNS),
 }
