@@ -7,10 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qadump.llm import mixing, packing, rules, sharding
+from qadump.llm import brown, language_id, mixing, packing, rules, sharding, simhash, toxicity
 from qadump.llm.common import importable, staged, table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"), folds=4, held=2)
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(table(spark, sf_dir, "documents"), shingle=3, distance=3)
+    return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
+def op4_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score_texts(table(spark, sf_dir, "documents"), folds=5, held=1)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score_texts(docs, labels, folds=5, held=0)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"), shards=24)
     return placed.select(
@@ -47,6 +65,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_simhash": op2_simhash,
+    "op4_brown": op4_brown,
+    "op8_toxicity": op8_toxicity,
     "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,
     "op9_mixing": op9_mixing,
