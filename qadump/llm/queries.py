@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qadump.llm import brown, language_id, mixing, packing, rules, sharding, simhash, toxicity
+import corpus_pipeline
+from qadump.llm import ann, brown, chat, language_id, mixing, packing, rules, sharding, simhash, toxicity
 from qadump.llm.common import importable, staged, table
 
 
@@ -20,10 +21,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
 
 
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), query_step=100, k=10)
+
+
 def op4_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.score_texts(table(spark, sf_dir, "documents"), folds=5, held=1)
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.score_texts(docs, labels, folds=5, held=0)
@@ -64,13 +73,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.verdicts(judged, learned).select("doc_id", *rules.COUNTS, "base_failed", "kept", "rule")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
+    "op3_ann": op3_ann,
     "op4_brown": op4_brown,
-    "op8_toxicity": op8_toxicity,
     "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,
+    "op7_chat_format": op7_chat_format,
+    "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -241,16 +241,21 @@ def _pruned(rows: DataFrame, rule: Rule, least_covered: int, least_precision: fl
 
 def verdicts(measured_docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """The columns of `measured`, with rule (the first that holds) and kept."""
+    kept = ~F.col("base_failed") & F.col("rule").isNull()
+    columns = ("row", "doc_id", *COUNTS, "base_failed", "features")
     return (
-        measured_docs.select("row", "doc_id", *COUNTS, "base_failed", "features", "features.*")
+        measured_docs.select(*columns, "features.*")
         .withColumn("rule", first_match(rules))
-        .select(
-            "row",
-            "doc_id",
-            *COUNTS,
-            "base_failed",
-            "features",
-            "rule",
-            (~F.col("base_failed") & F.col("rule").isNull()).alias("kept"),
-        )
+        .select(*columns, "rule", kept.alias("kept"))
     )
+
+
+def accepted(docs: DataFrame, rules: list[Rule], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs that are kept, with their own columns.
+
+    The row number in the condition, true for every row, keeps the optimizer from moving the
+    condition below the features, which would write their expressions out many times over.
+    """
+    judged = verdicts(measured(docs, doc_id, text), rules)
+    numbered = judged.select("row", "kept", F.monotonically_increasing_id().alias("nth"))
+    return numbered.where(F.col("kept") & (F.col("nth") >= 0)).select("row.*")
