@@ -28,7 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qadump.llm.common import staged
@@ -43,8 +43,15 @@ NAMES = {
     "assistant": ("assistant", "ai", "bot", "agent", "model", "answer", "a"),
 }
 _ROLE_OF = {name: ROLES.index(role) for role, names in NAMES.items() for name in names}
-MARKER = regex.compile(
-    r"[ \t]*(?:[#*>\[<|-]{1,4}[ \t]*)?(\p{L}{1,12})[ \t]*(?:[\])*|>]{1,3}[ \t]*)?(?::[ \t]?|(?<=[\])*|>])[ \t]*$)"
+_NAME = r"(?P<name>\p{L}{1,12})"
+#: "Name: text", with or without list and emphasis marks; "[Name] text"; a heading "### Name".
+MARKERS = tuple(
+    regex.compile(pattern)
+    for pattern in (
+        rf"[ \t]*(?:#{{1,6}}[ \t]*|\*{{1,2}}|[>-][ \t]*)?{_NAME}\*{{0,2}}[ \t]*:\*{{0,2}}[ \t]?",
+        rf"[ \t]*[\[<(]\|?{_NAME}\|?[\])>]:?[ \t]?",
+        rf"[ \t]*#{{1,6}}[ \t]*{_NAME}[ \t]*$",
+    )
 )
 #: Number of values of each feature: marker, length, last character, first character.
 SIZES = (len(ROLES) + 2, 12, 5, 5)
@@ -52,10 +59,10 @@ SIZES = (len(ROLES) + 2, 12, 5, 5)
 
 def marker(line: str) -> tuple[int, int]:
     """Role of the marker a line starts with (one more: another name; two more: none), and its end."""
-    found = MARKER.match(line)
+    found = next(filter(None, (m.match(line) for m in MARKERS)), None)
     if not found:
         return len(ROLES) + 1, 0
-    role = _ROLE_OF.get(found[1].lower())
+    role = _ROLE_OF.get(found["name"].lower())
     return (len(ROLES), 0) if role is None else (role, found.end())
 
 
@@ -144,14 +151,15 @@ def train(parts: DataFrame) -> Model:
         for batch in batches:
             for k in range(batch.num_rows):
                 lines, places = _lines(batch.column("chunks")[k].as_py())
-                before = None
+                before, opens = batch.column("previous")[k].as_py(), batch.column("opens")[k].as_py()
                 for line, (_, nth, role) in zip(lines, places, strict=True):
                     if role not in ROLES:
                         before = None
                         continue
                     state = 2 * ROLES.index(role) + (nth > 0)
-                    if before is None and batch.column("opens")[k].as_py():
+                    if before is None and opens:
                         counts["start", 0, state] += 1
+                        opens = False
                     elif before is not None:
                         counts["step", before, state] += 1
                     for feature, value in enumerate(observed(line)):
@@ -163,7 +171,7 @@ def train(parts: DataFrame) -> Model:
             [*arrays, pa.array(list(counts.values()), pa.int64())], names=["what", "a", "b", "n"]
         )
 
-    counted = parts.select("chunks", "opens").mapInArrow(run, "what string, a int, b int, n long")
+    counted = parts.select("chunks", "opens", "previous").mapInArrow(run, "what string, a int, b int, n long")
     start, step = np.ones((1, STATES)) * 0.1, np.ones((STATES, STATES)) * 0.1
     emit = [np.ones((STATES, size)) * 0.1 for size in SIZES]
     tables = {"start": start, "step": step} | {f"emit{k}": t for k, t in enumerate(emit)}
@@ -173,23 +181,27 @@ def train(parts: DataFrame) -> Model:
     return Model(start[0], step, tuple(emit))
 
 
-def with_opening(parts: DataFrame) -> DataFrame:
-    """opens: whether a block is its conversation's first; closes: whether it is the last."""
-    edges = parts.groupBy("conv").agg(F.min("block").alias("first"), F.max("block").alias("last"))
-    return parts.join(edges, "conv").select(
+def with_edges(parts: DataFrame) -> DataFrame:
+    """opens, closes: whether a block is its conversation's first, its last; previous: the known
+    state of the line before the block, if there is one."""
+    last = F.element_at("chunks", -1)
+    role = F.array_position(F.array(*map(F.lit, ROLES)), last["role"]) - 1  # -1 for other roles
+    state = F.when(role >= 0, 2 * role + last["text"].contains("\n").cast("int")).cast("int")
+    order = Window.partitionBy("conv").orderBy("block")  # one small row a block
+    edges = parts.select("conv", "block", state.alias("state")).select(
         "conv",
-        "conv_id",
         "block",
-        "chunks",
-        (F.col("block") == F.col("first")).alias("opens"),
-        (F.col("block") == F.col("last")).alias("closes"),
+        F.lag("block").over(order).isNull().alias("opens"),
+        F.lead("block").over(order).isNull().alias("closes"),
+        F.lag("state").over(order).alias("previous"),
     )
+    return parts.join(edges, ["conv", "block"])
 
 
 def parse(parts: DataFrame, model: Model) -> DataFrame:
     """conv_id, number, line, role, continues, text, rendered: the turns of all blocks.
 
-    parts: of `with_opening`. number and line: where the turn begins; continues: the turn began
+    parts: of `with_edges`. number and line: where the turn begins; continues: the turn began
     in the block before.
     """
     table = "conv string, block long, score array<double>"
@@ -260,7 +272,7 @@ def parse(parts: DataFrame, model: Model) -> DataFrame:
                     role = ROLES[states[start] // 2]
                     head = lines[start][marker(lines[start])[1] :] if states[start] % 2 == 0 else lines[start]
                     body = "\n".join([head, *lines[start + 1 : end]]).strip("\n")
-                    continues = start == 0 and states[0] % 2 == 1 and before is not None
+                    continues = start == 0 and before is not None and states[0] % 2 == 1 and states[0] // 2 == before // 2
                     number, nth, _ = places[start]
                     values = (conv_id, number, nth, role, continues, body, f"<|{role}|>\n{body}\n<|end|>\n")
                     for column, value in zip(rows, values, strict=True):
@@ -299,7 +311,7 @@ def format_conversations(
     `folds`), and to write the transcripts' markers.
     """
     transcripts = chats.select(conversation, number, role, written(role, text, F.col(conversation)).alias("text"))
-    parts = staged(with_opening(blocks(transcripts, conversation, number, "text", role, block)), "chat-blocks")
+    parts = staged(with_edges(blocks(transcripts, conversation, number, "text", role, block)), "chat-blocks")
     is_held = F.coalesce(F.crc32(F.col("conv_id").cast("string")) % folds == held, F.lit(False))
     model = train(parts.where(~is_held))
     return parse(parts, model).withColumn("held_out", is_held)

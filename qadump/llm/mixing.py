@@ -9,7 +9,8 @@ p: documents are ranked by the odds of a random number over the odds of p, and t
 are taken until the source's remaining words are used up. One more document that fits the
 last gap best closes it.
 
-All of it is DataFrame work. Random numbers are hashes of id and text, so reruns agree. The
+All of it is DataFrame work. The rows are staged once, with a number that tells repeated
+ones apart, so the words are counted once and every later step sees the same rows. Random numbers are hashes of id and text, so reruns agree. The
 ranking is never sorted whole: words are summed in `bins` of the rank, and only the bin that
 holds the cut is sorted, so a source with a third of all rows is no single task.
 
@@ -172,17 +173,21 @@ def mix(
     doc_id: str = "doc_id",
     text: str = "text",
     source: str = "source",
+    carried: list[str] | None = None,
 ) -> DataFrame:
-    """row (a struct of all columns of docs), size, source_size, target and copies (0 .. most)."""
-    size = word_count(text)
-    drawn = docs.select(
-        F.struct("*").alias("row"),
-        F.col(source).alias("source"),
-        size.alias("size"),
-        _uniform(F.col(doc_id), F.col(text)).alias("uniform"),
-        F.monotonically_increasing_id().alias("tie"),
-    ).withColumn("bits", F.length(F.bin("size")))
-    slim = staged(drawn.drop("row"), "mixing")
+    """row (a struct of all columns of docs, or of the carried ones), size, source_size, target
+    and copies (0 .. most)."""
+    drawn = staged(
+        docs.select(
+            F.struct(*(carried or ["*"])).alias("row"),
+            F.col(source).alias("source"),
+            word_count(text).alias("size"),
+            _uniform(F.col(doc_id), F.col(text)).alias("uniform"),
+            F.monotonically_increasing_id().alias("tie"),
+        ).withColumn("bits", F.length(F.bin("size"))),
+        "mixing",
+    )
+    slim = drawn.drop("row")
     levels = _small(
         staged(allocation(slim, weights, most), "mixing-levels").withColumnsRenamed(
             {"source": "level_source", "bits": "level_bits"}

@@ -56,7 +56,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), carried=["doc_id"])
     return mixed.select(
         F.col("row.doc_id").alias("doc_id"),
         "size",

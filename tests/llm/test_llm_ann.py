@@ -1,0 +1,92 @@
+"""Neighbours against brute force, retrieval within a radius, vectors that take no part."""
+
+import numpy as np
+import pytest
+
+from qadump.llm import ann
+
+KIND = "vec_id long, embedding array<float>, label int, uid long, score double, shard long"
+
+
+def table(spark, vectors, ids=None):
+    ids = range(len(vectors)) if ids is None else ids
+    data = [(i, None if v is None else [None if x is None else float(x) for x in v], 0, 1, 1.0, 2) for i, v in zip(ids, vectors, strict=True)]
+    return spark.createDataFrame(data, KIND)
+
+
+def search(df, **settings):
+    found = {}
+    for r in ann.search(df, **settings).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    return {q: sorted(rows) for q, rows in found.items()}
+
+
+def brute(vectors, ids, query, k):
+    data = np.array(vectors, dtype=np.float32).astype(float)
+    distance = np.sqrt(((data - data[query]) ** 2).sum(axis=1))
+    order = [i for i in np.lexsort((ids, distance)) if i != query][:k]
+    return [(n + 1, ids[i], distance[i]) for n, i in enumerate(order)]
+
+
+@pytest.mark.parametrize("dims", [2, 16, 64, 100])
+def test_recall_and_scores(spark, dims, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD_BYTES", 300 * 8 * dims)  # several shards
+    rng = np.random.default_rng(dims)
+    centres = rng.standard_normal((20, dims))
+    vectors = (centres[rng.integers(0, 20, 1000)] + 0.5 * rng.standard_normal((1000, dims))).tolist()
+    found = search(table(spark, vectors), query_step=50)
+    assert sorted(found) == list(range(0, 1000, 50))
+    hits = 0
+    for query, rows in found.items():
+        exact = brute(vectors, list(range(1000)), query, 10)
+        assert [r[0] for r in rows] == list(range(1, 11))
+        scores = {i: s for _, i, s in brute(vectors, list(range(1000)), query, 999)}
+        assert all(s == pytest.approx(scores[i], abs=1e-12) for _, i, s in rows)
+        assert [(s, i) for _, i, s in rows] == sorted((s, i) for _, i, s in rows)
+        hits += len({r[1] for r in rows} & {r[1] for r in exact})
+    assert hits >= 0.9 * 200
+
+
+def test_a_very_common_vector(spark):
+    rng = np.random.default_rng(1)
+    vectors = [[1.0, 2.0, 3.0]] * 400 + rng.standard_normal((200, 3)).tolist()
+    found = search(table(spark, vectors), query_step=100)
+    assert [i for _, i, _ in found[100]] == list(range(10))  # ties go to the smaller id
+    assert [i for _, i, _ in found[0]] == list(range(1, 11))
+    assert all(s == 0 for _, _, s in found[0])
+
+
+def test_vectors_that_take_no_part(spark):
+    vectors = [[1, 0], [0, 1], None, [0, 0], [None, 1], [float("nan"), 1], [float("inf"), 1], [], [1, 2, 3], [1, 1], [2, 2]]
+    ids = [0, 1, 2, 3, 4, 5, 6, 7, 100, 200, None]
+    found = search(table(spark, vectors, ids))
+    assert {q: [i for _, i, _ in rows] for q, rows in found.items()} == {0: [200, 1], 200: [0, 1]}
+
+
+def test_repeated_rows_are_candidates(spark):
+    found = search(table(spark, [[1, 0], [1, 0], [3, 0]], [0, 0, 5]))
+    # Two queries of one id, each with the other row as its nearest.
+    assert sorted(found[0]) == [(1, 0, 0.0), (1, 0, 0.0), (2, 5, 2.0), (2, 5, 2.0)]
+
+
+def test_empty_and_single(spark):
+    assert search(table(spark, [])) == {}
+    assert search(table(spark, [[1, 2]])) == {}
+
+
+def test_every_code_within_the_radius_is_retrieved():
+    rng = np.random.default_rng(8)
+    data = rng.standard_normal((500, 32))
+    for radius in (0, 3, 9, 20, 30):
+        learned = ann.learn(data, 10, 0.97)
+        codes = ann.Codes(learned.mean, learned.axes, radius)
+        shard = ann.Shard(codes, np.arange(500), np.arange(500), data)
+        for query in range(0, 500, 50):
+            exact = np.flatnonzero(np.bitwise_count(shard.code ^ shard.code[query]) <= radius)
+            assert shard.within(shard.code[query], radius).tolist() == exact.tolist()
+
+
+def test_near_data_gets_a_small_radius():
+    rng = np.random.default_rng(2)
+    data = np.repeat(rng.standard_normal((50, 64)), 20, axis=0) + 1e-3 * rng.standard_normal((1000, 64))
+    assert ann.learn(data, 10, 0.97).radius < 8

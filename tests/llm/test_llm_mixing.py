@@ -1,0 +1,105 @@
+"""Targets against water filling by hand, taken words, plans without Python."""
+
+import re
+from collections import defaultdict
+
+import pytest
+from conftest_helpers import prose, rows
+
+from qadump.llm import mixing
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def expected_targets(sizes, most=3.0):
+    """The excess over the caps is shared again by weight until none is above."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s])
+    names += [None] if None in sizes else []
+    weight = {s: k % 3 + 1 for k, s in enumerate(names)}
+    target, left, free = dict.fromkeys(sizes, 0.0), float(sum(sizes.values())), set(sizes)
+    while left > 1e-9 and free:
+        unit = left / sum(weight[s] for s in free)
+        full = {s for s in free if target[s] + unit * weight[s] > most * sizes[s]}
+        for s in free:
+            target[s] = min(most * sizes[s], target[s] + unit * weight[s])
+        left = sum(sizes.values()) - sum(target.values())
+        free -= full
+    return target
+
+
+def mixed(docs):
+    return mixing.mix(docs).select("row.doc_id", "row.source", "size", "source_size", "target", "copies").collect()
+
+
+def check(docs, tolerance):
+    found = mixed(docs)
+    texts = docs.collect()
+    assert sorted(r.size for r in found) == sorted(len(WORDS.findall(r.text or "")) for r in texts)
+    sizes, taken, longest = defaultdict(int), defaultdict(int), defaultdict(int)
+    for r in found:
+        sizes[r.source] += r.size
+        taken[r.source] += r.size * r.copies
+        longest[r.source] = max(longest[r.source], r.size)
+        assert 0 <= r.copies <= 3
+    target = expected_targets(sizes)
+    for r in found:
+        assert r.source_size == sizes[r.source]
+        assert r.target == pytest.approx(target[r.source], rel=1e-9, abs=1e-6)
+    for s, words in taken.items():
+        assert abs(words - target[s]) <= max(tolerance * target[s], 0.5 * longest[s] + 1)
+    return found
+
+
+def test_tricky(tricky):
+    assert len(check(tricky, 0.05)) == tricky.count()
+
+
+def test_sources_of_very_different_size(documents):
+    entries = []
+    for k, (source, count) in enumerate({"a": 300, "B": 3, "é": 40, "z": 60, None: 25, "": 10}.items()):
+        entries += rows([(1000 * k + i, prose(1000 * k + i, 1 + (i * 37) % 90)) for i in range(count)], source)
+    found = check(documents(entries), 0.02)
+    by_source = defaultdict(set)
+    for r in found:
+        by_source[r.source].add(r.copies)
+    assert by_source["B"] == {3}  # its target stops at three times its size
+
+
+def test_equal_sizes_and_repeated_rows(documents):
+    entries = rows([(i // 2, "one two three") for i in range(200)], "a") + rows([(1, "four five")] * 50, "b")
+    check(documents(entries), 0.05)
+
+
+def test_empty_and_wordless_tables(nothing, documents):
+    assert mixed(nothing) == []
+    found = mixed(documents(rows([(1, ""), (2, None)])))
+    assert {(r.target, r.copies) for r in found} == {(0.0, 0)}
+
+
+def test_reruns_agree_in_any_order(documents):
+    entries = [e for k in range(4) for e in rows([(100 * k + i, prose(100 * k + i, 5 + i)) for i in range(60)], f"s{k}")]
+    one = {r.doc_id: r.copies for r in mixed(documents(entries))}
+    other = {r.doc_id: r.copies for r in mixed(documents(entries[::-1]).repartition(5))}
+    assert one == other
+
+
+def test_longer_documents_are_likelier(documents):
+    entries = rows([(i, prose(i, 4 if i % 2 else 120)) for i in range(2000)], "a") + rows([(9000, prose(9, 2000))] * 60, "b")
+    found = [r for r in mixed(documents(entries)) if r.source == "a"]
+    mean = {size: sum(r.copies for r in found if r.size == size) / 1000 for size in (4, 120)}
+    assert mean[120] > 1.5 * mean[4]
+
+
+def test_repeated_gives_back_the_rows(documents):
+    docs = documents(rows([(i, prose(i, 9)) for i in range(50)], "a") + rows([(99, prose(1, 9))], "b"))
+    mixed_rows = mixing.mix(docs)
+    copies = {r.doc_id: r.copies for r in mixed_rows.select("row.doc_id", "copies").collect()}
+    back = mixing.repeated(mixed_rows)
+    assert back.columns == docs.columns
+    counts = {r.doc_id: r["count"] for r in back.groupBy("doc_id").count().collect()}
+    assert counts == {i: n for i, n in copies.items() if n}
+
+
+def test_no_python_in_the_plan(tricky):
+    plan = mixing.mix(tricky)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)

@@ -1,0 +1,98 @@
+"""Pieces against the tokenizer, and both readers of the vocabulary against each other."""
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from conftest_helpers import prose, rows
+from tokenizers import Tokenizer
+
+from qadump.llm import packing
+
+EXACT = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def ids(text):
+    return [*EXACT.encode(text or "", add_special_tokens=False).ids, 0]
+
+
+def test_pieces_equal_the_tokenizer_s_ids(tricky):
+    found = packing.pack(tricky).collect()
+    texts = defaultdict(list)
+    for r in tricky.collect():
+        texts[r.doc_id].append(r.text)
+    groups = defaultdict(list)
+    for r in found:
+        groups[r.doc_id, r.doc_tokens].append(r)
+    for doc_id, own in texts.items():
+        for text in own:
+            tokens = ids(text)
+            pieces = sorted(groups[doc_id, len(tokens)], key=lambda r: r.start)
+            copies = sum(len(ids(t)) == len(tokens) for t in own)
+            assert sum(r.length for r in pieces) == copies * len(tokens)
+            for r in pieces:
+                assert r.length & (r.length - 1) == 0 and r.length <= 1024 and r.offset == 0
+                part = np.array(tokens[r.start : r.start + r.length], dtype="<u4")
+                assert r.ids_crc32 == zlib.crc32(part.tobytes())
+                assert r.ids == part.tolist()
+    assert len({r.sequence_id for r in found}) == len(found)
+
+
+def test_empty_table(nothing):
+    assert packing.pack(nothing).collect() == []
+
+
+@pytest.mark.parametrize("tokens", [1, 2, 3, 1023, 1024, 1025, 5000])
+def test_lengths_are_the_binary_digits(tokens):
+    lengths = packing.piece_lengths(tokens, 1024)
+    assert sum(lengths) == tokens and lengths == sorted(lengths, reverse=True)
+    assert all(n & (n - 1) == 0 and n <= 1024 for n in lengths)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "a <|endoftext|> b",
+        "<|endoftext|>",
+        "don't  we'll\n\n  x's 'S",
+        "tabs\t\t and \r\n ends \x0b\x0c \x1c\x85 　 x",
+        "１２３ ४५ ½ ² Ⅷ",
+        "é é ﬁ ß ẞ ı İ",
+        "漢字かな 한국어 ไทย العربية עברית हिन्दी",
+        "\U0001f469‍\U0001f4bb ​﻿ x ",
+        "...!!!###$$$%%%",
+        "x" * 3000,
+        " " * 3000,
+    ],
+)
+def test_odd_texts(text):
+    assert packing.token_ids(text).tolist() == ids(text)[:-1]
+
+
+def test_plain_characters_are_read_alike():
+    """Every character that goes to the faster reader, in several surroundings."""
+    chars = [chr(c) for c in range(0x2030) if packing.PLAIN.match(chr(c))]
+    assert "é" in chars and "漢" not in chars and len(chars) > 500
+    for text in ("".join(chars), " ".join(chars), "".join(f"a{c}b{c}{c} {c}1" for c in chars)):
+        assert packing.PLAIN.match(text)
+        assert packing.token_ids(text).tolist() == ids(text)[:-1]
+
+
+def test_blocks_of_a_long_text_change_nothing(monkeypatch):
+    text = prose(5, 4000) + "\n\n  " + prose(6, 50) + "  end "
+    whole = packing.token_ids(text).tolist()
+    monkeypatch.setattr(packing, "BLOCK", 100)
+    assert len(list(packing._blocks(text))) > 100
+    assert packing.token_ids(text).tolist() == whole == ids(text)[:-1]
+
+
+def test_buckets_hold_one_length(spark, documents, tmp_path):
+    pieces = packing.pack(documents(rows([(i, prose(i, 40 + i)) for i in range(20)])))
+    packing.write_buckets(pieces, f"{tmp_path}/buckets")
+    back = spark.read.parquet(f"{tmp_path}/buckets")
+    assert back.count() == pieces.count()
+    assert back.where("bucket <> length").count() == 0
+    with pytest.raises(ValueError):
+        packing.pack(pieces, max_tokens=1000)

@@ -1,0 +1,83 @@
+"""The stages on small and odd tables, and that each decides what its operator decides."""
+
+import re
+
+import pytest
+from conftest_helpers import prose, rows
+
+import corpus_pipeline
+from qadump.llm import packing, queries
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def ran(spark, docs, tmp_path, labels):
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    seen, docs = {}, spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        seen[name] = docs
+    return seen
+
+
+@pytest.fixture(scope="module")
+def corpus(documents, spark):
+    entries, labels = [], []
+    for i in range(300):
+        text = prose(i, 60 + i % 30)
+        if i % 10 == 1:
+            text = text.replace(" ", " ### ")
+        if i % 10 == 2:
+            words = text.split()
+            words[5], words[9] = "scoundrel", "blackguards"
+            text = " ".join(words)
+        entries.append((i, text))
+        labels.append((i, 0 if i % 10 == 1 else 1, int(i % 10 == 2)))
+    entries += [(1000 + i, entries[10 * i][1]) for i in range(20)]
+    entries.append((2000, "too short"))
+    return documents(rows(entries)), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_every_stage_s_decisions_take_effect(spark, corpus, tmp_path):
+    docs, labels = corpus
+    seen = ran(spark, docs, tmp_path, labels)
+    ids = {name: [r.doc_id for r in df.select("doc_id").collect()] for name, df in seen.items()}
+    for name in list(seen)[:-1]:
+        assert seen[name].columns == docs.columns
+    assert sorted(ids["quality_rules"]) == sorted(
+        r.doc_id for r in docs.collect() if r.doc_id != 2000 and r.doc_id % 10 != 1 or 1000 <= r.doc_id < 2000
+    )
+    lost = set(ids["quality_rules"]) - set(ids["toxicity"])
+    toxic = {i for i in ids["quality_rules"] if i < 1000 and i % 10 == 2}
+    assert lost <= toxic and len(lost) >= 0.8 * len(toxic)
+    assert sorted(ids["simhash_near_dedup"]) == sorted(i for i in ids["toxicity"] if i < 1000)
+    assert set(ids["mixing"]) <= set(ids["simhash_near_dedup"])
+    words = {r.doc_id: len(re.findall(r"\S+", r.text)) for r in docs.collect()}
+    total, mixed = (sum(words[i] for i in ids[n]) for n in ("simhash_near_dedup", "mixing"))
+    assert abs(total - mixed) <= max(words[i] for i in ids["mixing"])
+    tokens = sum(len(packing.token_ids(r.text)) + 1 for r in seen["mixing"].collect())
+    assert seen["packing"].agg({"length": "sum"}).first()[0] == tokens
+
+
+def test_odd_tables(spark, tricky, nothing, tmp_path):
+    labels = spark.createDataFrame([(1, None, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
+    seen = ran(spark, tricky, tmp_path / "tricky", labels)
+    kept = {r.doc_id for r in seen["quality_rules"].collect()}
+    assert kept == {1, 2, 8, 12, None}
+    assert seen["simhash_near_dedup"].count() == 2
+    assert all(df.count() == 0 for df in ran(spark, nothing, tmp_path / "nothing", labels.limit(0)).values())
+
+
+def test_the_query_runs_all_stages(spark):
+    result = queries.queries()["pipeline"](spark, SF_DIR)
+    assert result.count() > 0
+    assert {"doc_id", "start", "length", "ids"} <= set(result.columns)
+
+
+def test_names_of_the_queries():
+    names = set(queries.queries())
+    assert {n.split("_")[0] for n in names} == {"pipeline", *(f"op{k}" for k in range(1, 11))}
+    assert len(names) == 11
+    assert set(queries.oracle_sql()) <= names
