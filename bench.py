@@ -10,16 +10,17 @@ from __future__ import annotations
 import json
 import os
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from fixtures import render
+from fixtures.shared import shared_folder
 from qadump.operators import counts, entities, records, summaries
 from qadump.plans import jobs, master
 from qadump.schemas import BADGES, COMMENTS, POST_HISTORY, POST_LINKS, POSTS, USERS
 from qadump.sources.dump import read_lines
 from qadump.sources.sets import read_set
-from qadump.sources.shared import shared_folder
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -56,9 +57,17 @@ def queries(spark: SparkSession, dump: dict) -> dict:
         jobs.combine_from_csv(spark, **sets, target=f"{root}/master")
         return read_set(spark, "master", f"{root}/master")
 
+    def set_of(name: str, job, entity):
+        target = shared_folder(spark, f"bench-{name}")
+        job(spark, dump[entity], target)
+        return read_set(spark, name, target)
+
     return {
         "dump_scan": lambda: records.records(lines(POSTS), POSTS),
         "dump_rejects": lambda: records.rejects(lines(POSTS), POSTS),
+        "ingest_counters": lambda: reduce(
+            DataFrame.union, [records.counters(lines(entity), entity) for entity in dump]
+        ),
         "users_profile": lambda: entities.users(lines(USERS)),
         "questions": lambda: entities.questions(lines(POSTS)),
         "answers": lambda: entities.answers(lines(POSTS)),
@@ -72,6 +81,10 @@ def queries(spark: SparkSession, dump: dict) -> dict:
             lines(USERS), lines(POSTS), lines(BADGES), lines(COMMENTS)
         ),
         "csv_roundtrip": roundtrip,
+        "questions_roundtrip": lambda: set_of("questions", jobs.questions_to_csv, POSTS),
+        "answers_roundtrip": lambda: set_of("answers", jobs.answers_to_csv, POSTS),
+        "links_roundtrip": lambda: set_of("postlinks", jobs.postlinks_to_csv, POST_LINKS),
+        "history_roundtrip": lambda: set_of("posthistory", jobs.posthistory_to_csv, POST_HISTORY),
     }
 
 

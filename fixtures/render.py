@@ -77,8 +77,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Fixed value: users whose key leaves 3 by 10, and the posts of orders 7 by 10, have ids
+# beyond 32 bits.
+FAR = 3_000_000_000
+USER_ID = f"case when key % 500 <> 499 then key + if(key % 10 = 3, {FAR}, 0) end"
+POST_ID = f"(o_orderkey * 4 + if(o_orderkey % 10 = 7, {FAR}, 0))"
+
 _SIGNUP = "timestamp_ntz'2008-07-31 21:42:52.667' + make_dt_interval(0, 0, 0, c_custkey)"
-_LAST_ACCESS = f"{_SIGNUP} + make_dt_interval(c_nationkey)"
+# every 20th user was last seen after 2038
+_LAST_ACCESS = f"{_SIGNUP} + make_dt_interval(c_nationkey + if(c_custkey % 20 = 4, 12000, 0))"
 
 
 def _iso(moment: str) -> str:
@@ -90,13 +97,13 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = _lines(
         _table(spark, sf_dir, "customer"),
         {
-            "Id": "case when c_custkey % 500 <> 499 then c_custkey end",
+            "Id": USER_ID.replace("key", "c_custkey"),
             "Reputation": "floor(c_acctbal)",
             "CreationDate": _iso(_SIGNUP),
             "LastAccessDate": f"case when c_custkey % 10 <> 9 then {_iso(_LAST_ACCESS)} end",
             "Views": "c_custkey * 3",
             "UpVotes": "c_custkey % 50",
-            "DownVotes": "case when c_custkey % 50 = 8 then '9999999999' "
+            "DownVotes": "case c_custkey % 50 when 8 then '9999999999' when 9 then 'x' "
             "else string(c_custkey % 7) end",
             "Age": "case c_custkey % 4 when 0 then null when 1 then '' "
             "else string(18 + c_custkey % 60) end",
@@ -117,14 +124,14 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _lines(
         _table(spark, sf_dir, "orders"),
         {
-            "Id": "o_orderkey * 4",
+            "Id": POST_ID,
             "PostTypeId": "case o_orderstatus when 'F' then 1 when 'O' then 2 else 4 end",
             "AcceptedAnswerId": "case when o_orderstatus = 'F' and o_orderkey % 3 = 0 "
             "then o_orderkey * 4 + 4 end",
             "Score": "floor(o_totalprice / 1000) - 100",
             "ViewCount": "case when o_orderstatus = 'F' then floor(o_totalprice) end",
             "OwnerUserId": "case o_orderkey % 20 when 0 then null when 1 then '' "
-            "else string(o_custkey) end",
+            f"else string(o_custkey + if(o_custkey % 10 = 3, {FAR}, 0)) end",
             "AnswerCount": "case when o_orderstatus = 'F' then o_orderkey % 5 end",
             "CommentCount": "o_orderkey % 4",
             "FavoriteCount": "case when o_orderkey % 6 = 0 then o_orderkey % 11 end",
@@ -174,7 +181,8 @@ def _event_lines(spark: SparkSession, sf_dir: str, badges: bool) -> DataFrame:
     is_comment = F.col("event_type").isin("click", "view")
     numbers = {
         "Id": "event_id",
-        "UserId": "case event_id % 25 when 0 then null when 1 then '' else string(user_id) end",
+        "UserId": "case event_id % 25 when 0 then null when 1 then '' "
+        f"else string(user_id + if(user_id % 10 = 3, {FAR}, 0)) end",
     }
     if badges:
         return _lines(events.where(~is_comment), numbers, {"Name": "event_type"})
@@ -192,7 +200,11 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def post_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = _lines(
         _table(spark, sf_dir, "lineitem"),
-        {"Id": "l_orderkey * 10 + l_linenumber", "PostId": "l_orderkey", "RelatedPostId": "l_partkey"},
+        {
+            "Id": "l_orderkey * 10 + l_linenumber",
+            "PostId": f"l_orderkey + if(l_orderkey % 10 = 7, {FAR}, 0)",
+            "RelatedPostId": "l_partkey",
+        },
         {},
     )
     return _with_envelope(POST_LINKS, links)
@@ -204,8 +216,8 @@ def post_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "Id": "l_orderkey * 10 + l_linenumber",
             "PostHistoryTypeId": "l_linenumber",
-            "PostId": "l_orderkey",
-            "UserId": "case when l_partkey % 30 <> 0 then l_suppkey end",
+            "PostId": f"l_orderkey + if(l_orderkey % 10 = 7, {FAR}, 0)",
+            "UserId": f"case when l_partkey % 30 <> 0 then l_suppkey + if(l_suppkey % 10 = 3, {FAR}, 0) end",
         },
         {"Comment": "concat(l_returnflag, ' & ', l_linestatus)"},
     )
@@ -228,6 +240,8 @@ FAULTY_POST = """case
     when o_orderpriority = '1-URGENT' then format_string('  <row Id="%d" Body="no type" />', o_orderkey)
     when o_orderpriority = '2-HIGH' then format_string('  <row Id="%d" Score=3 />', o_orderkey)
     when o_orderpriority = '3-MEDIUM' and o_orderstatus = 'P' then ''
+    when o_orderpriority = '3-MEDIUM' and o_orderstatus = 'O' then format_string(
+        '  <row Id="%d99999999999999999999" PostTypeId="1" />', o_orderkey)
     when o_orderpriority = '3-MEDIUM' then format_string('  <tag Id="%d" />', o_orderkey)
     when o_orderpriority = '4-NOT SPECIFIED' then format_string(
         '  <row Id="%d" PostTypeId="1" /><row Id="5" PostTypeId="2" />', o_orderkey)

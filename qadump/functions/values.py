@@ -7,7 +7,10 @@ attribute can be absent (null), empty or filled; the three are kept apart:
 | ----------------- | ------------- | ------------- |
 | absent            | 0             | null          |
 | empty             | null          | null          |
-| not an int32      | null          | null          |
+| not an integer    | null          | null          |
+
+Integers are 64-bit. Integer text beyond that is no null: `beyond_bigint` tells it, and
+the line becomes a reject.
 """
 
 from __future__ import annotations
@@ -26,16 +29,21 @@ def matches(text: str, pattern: str) -> str:
 
 def int_or_null(text: str) -> str:
     # try_cast alone would trim blanks and read " 5 " as 5
-    return f"try_cast(if({matches(text, INT_TEXT)}, {text}, null) as int)"
+    return f"try_cast(if({matches(text, INT_TEXT)}, {text}, null) as bigint)"
 
 
 def int_or_zero(text: str) -> str:
     return f"if({text} is null, 0, {int_or_null(text)})"
 
 
+def beyond_bigint(text: str) -> str:
+    """Holds for integer text that no 64-bit integer can take."""
+    return f"(length({text}) > 18 and {matches(text, INT_TEXT)} and {int_or_null(text)} is null)"
+
+
 def length_or_zero(text: str) -> str:
     """Characters of the decoded text, markup included."""
-    return f"coalesce(length({text}), 0)"
+    return f"coalesce(cast(length({text}) as bigint), 0)"
 
 
 def presence_flag(text: str) -> str:
@@ -52,9 +60,9 @@ def instant(text: str) -> str:
 
 
 def epoch_or_zero(text: str) -> str:
-    """Whole seconds since 1970, rounded down; 0 if absent, null if invalid or beyond int32."""
+    """Whole seconds since 1970, rounded down; 0 if absent, null if invalid."""
     leap = f"case when contains({text}, ':60.') then 1 when contains({text}, ':61.') then 2 else 0 end"
-    return f"if({text} is null, 0, try_cast(unix_seconds({instant(text)}) + {leap} as int))"
+    return f"if({text} is null, 0, unix_seconds({instant(text)}) + {leap})"
 
 
 def truth_flag(number: str) -> str:

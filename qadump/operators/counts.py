@@ -6,7 +6,7 @@ task before the shuffle, so a hot key costs one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qadump.functions.values import int_or_null
@@ -15,44 +15,41 @@ from qadump.schemas import BADGES, COMMENTS, POST_HISTORY, POST_LINKS, Entity
 
 # attribute -> key column
 _KEY_COLUMNS = {"UserId": "user_id", "PostId": "post_id"}
+# entity -> column of its counts
+COUNT_COLUMNS = {
+    BADGES: "number_of_badges",
+    COMMENTS: "number_of_comments",
+    POST_LINKS: "number_of_links",
+    POST_HISTORY: "number_of_edits",
+}
 
 
-def keys(
-    lines: DataFrame,
-    entity: Entity,
-    mode: str = PERMISSIVE,
-    counters: Observation | None = None,
-) -> DataFrame:
+def typed_keys(entity: Entity) -> list[str]:
+    return [f"{int_or_null(name)} as {_KEY_COLUMNS[name]}" for name in entity.attributes]
+
+
+def keys(lines: DataFrame, entity: Entity, mode: str = PERMISSIVE) -> DataFrame:
     """The typed key columns of each record."""
-    return records(lines, entity, mode, counters).selectExpr(
-        *[f"{int_or_null(name)} as {_KEY_COLUMNS[name]}" for name in entity.attributes]
-    )
+    return records(lines, entity, mode).selectExpr(*typed_keys(entity))
 
 
-def _count(lines, entity, result, mode, counters) -> DataFrame:
-    rows = keys(lines, entity, mode, counters)
-    return rows.groupBy(*rows.columns).agg(F.count("*").alias(result))
+def count_of(rows: DataFrame, entity: Entity) -> DataFrame:
+    """Rows of typed keys, counted per key."""
+    names = [_KEY_COLUMNS[name] for name in entity.attributes]
+    return rows.groupBy(*names).agg(F.count("*").alias(COUNT_COLUMNS[entity]))
 
 
-def badge_counts(
-    lines: DataFrame, mode: str = PERMISSIVE, counters: Observation | None = None
-) -> DataFrame:
-    return _count(lines, BADGES, "number_of_badges", mode, counters)
+def badge_counts(lines: DataFrame, mode: str = PERMISSIVE) -> DataFrame:
+    return count_of(keys(lines, BADGES, mode), BADGES)
 
 
-def comment_counts(
-    lines: DataFrame, mode: str = PERMISSIVE, counters: Observation | None = None
-) -> DataFrame:
-    return _count(lines, COMMENTS, "number_of_comments", mode, counters)
+def comment_counts(lines: DataFrame, mode: str = PERMISSIVE) -> DataFrame:
+    return count_of(keys(lines, COMMENTS, mode), COMMENTS)
 
 
-def link_counts(
-    lines: DataFrame, mode: str = PERMISSIVE, counters: Observation | None = None
-) -> DataFrame:
-    return _count(lines, POST_LINKS, "number_of_links", mode, counters)
+def link_counts(lines: DataFrame, mode: str = PERMISSIVE) -> DataFrame:
+    return count_of(keys(lines, POST_LINKS, mode), POST_LINKS)
 
 
-def history_counts(
-    lines: DataFrame, mode: str = PERMISSIVE, counters: Observation | None = None
-) -> DataFrame:
-    return _count(lines, POST_HISTORY, "number_of_edits", mode, counters)
+def history_counts(lines: DataFrame, mode: str = PERMISSIVE) -> DataFrame:
+    return count_of(keys(lines, POST_HISTORY, mode), POST_HISTORY)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qadump.functions.values import (
@@ -13,7 +13,7 @@ from qadump.functions.values import (
     length_or_zero,
     presence_flag,
 )
-from qadump.operators.records import PERMISSIVE, parse_counted, records
+from qadump.operators.records import PERMISSIVE, records
 from qadump.schemas import (
     ANSWER_COLUMNS,
     POSTS,
@@ -22,55 +22,50 @@ from qadump.schemas import (
     USERS,
 )
 
+# Answers have no use for what only questions have.
+ANSWER_POSTS = POSTS.narrowed(*POSTS.question_numbers)
 
-def users(
-    lines: DataFrame, mode: str = PERMISSIVE, counters: Observation | None = None
-) -> DataFrame:
-    """One row per user record. Ids are taken as they are, not made unique."""
-    return records(lines, USERS, mode, counters).selectExpr(
-        f"{int_or_zero('Id')} as id",
-        f"{int_or_zero('Reputation')} as reputation",
-        f"{epoch_or_zero('CreationDate')} as signup_date",
-        f"{epoch_or_zero('LastAccessDate')} as last_access_date",
-        f"{presence_flag('WebsiteUrl')} as has_website",
-        f"{presence_flag('Location')} as has_location",
-        f"{presence_flag('AboutMe')} as has_about_me",
-        f"{int_or_zero('Views')} as profile_views",
-        f"{int_or_zero('UpVotes')} as up_votes",
-        f"{int_or_zero('DownVotes')} as down_votes",
-        f"{int_or_zero('Age')} as age",
-    )
-
-
-_TYPED_POST = (
+TYPED_USER = (
+    f"{int_or_zero('Id')} as id",
+    f"{int_or_zero('Reputation')} as reputation",
+    f"{epoch_or_zero('CreationDate')} as signup_date",
+    f"{epoch_or_zero('LastAccessDate')} as last_access_date",
+    f"{presence_flag('WebsiteUrl')} as has_website",
+    f"{presence_flag('Location')} as has_location",
+    f"{presence_flag('AboutMe')} as has_about_me",
+    f"{int_or_zero('Views')} as profile_views",
+    f"{int_or_zero('UpVotes')} as up_votes",
+    f"{int_or_zero('DownVotes')} as down_votes",
+    f"{int_or_zero('Age')} as age",
+)
+TYPED_ANSWER = (
     "PostTypeId as post_type",
     f"{int_or_zero('Id')} as id",
-    f"{int_or_zero('AcceptedAnswerId')} as accepted_answer_id",
     f"{int_or_zero('Score')} as score",
     f"{int_or_zero('ViewCount')} as views",
     f"{int_or_zero('OwnerUserId')} as user_id",
-    f"{int_or_zero('AnswerCount')} as answer_count",
     f"{int_or_zero('CommentCount')} as comment_count",
     f"{int_or_zero('FavoriteCount')} as favourite_count",
     f"{length_or_zero('Body')} as body_length",
 )
+TYPED_POST = (
+    *TYPED_ANSWER,
+    f"{int_or_zero('AcceptedAnswerId')} as accepted_answer_id",
+    f"{int_or_zero('AnswerCount')} as answer_count",
+)
 
 
-def posts(
-    lines: DataFrame, mode: str = PERMISSIVE, counters: Observation | None = None
-) -> DataFrame:
+def users(lines: DataFrame, mode: str = PERMISSIVE) -> DataFrame:
+    """One row per user record. Ids are taken as they are, not made unique."""
+    return records(lines, USERS, mode).selectExpr(*TYPED_USER)
+
+
+def posts(lines: DataFrame, mode: str = PERMISSIVE) -> DataFrame:
     """Questions and answers of one pass over the posts, bodies reduced to their length.
 
     `post_type` tells them apart; every column is typed as in both tables.
     """
-    return records(lines, POSTS, mode, counters).selectExpr(*_TYPED_POST)
-
-
-def posts_and_rejects(lines: DataFrame, counters: Observation | None = None) -> DataFrame:
-    """As `posts`, with rejects: `reject_reason` is null for posts, and `line` is kept for rejects."""
-    return parse_counted(lines, POSTS, counters).selectExpr(
-        *_TYPED_POST, "reject_reason", "if(reject_reason is null, null, line) as line"
-    )
+    return records(lines, POSTS, mode).selectExpr(*TYPED_POST)
 
 
 def questions_of(typed_posts: DataFrame) -> DataFrame:
@@ -86,16 +81,11 @@ def answers_of(typed_posts: DataFrame, post_types: Collection[str] | None = None
     return typed_posts.where(wanted).select(*ANSWER_COLUMNS)
 
 
-def questions(
-    lines: DataFrame, mode: str = PERMISSIVE, counters: Observation | None = None
-) -> DataFrame:
-    return questions_of(posts(lines, mode, counters))
+def questions(lines: DataFrame, mode: str = PERMISSIVE) -> DataFrame:
+    return questions_of(posts(lines, mode))
 
 
 def answers(
-    lines: DataFrame,
-    mode: str = PERMISSIVE,
-    counters: Observation | None = None,
-    post_types: Collection[str] | None = None,
+    lines: DataFrame, mode: str = PERMISSIVE, post_types: Collection[str] | None = None
 ) -> DataFrame:
-    return answers_of(posts(lines, mode, counters), post_types)
+    return answers_of(records(lines, ANSWER_POSTS, mode).selectExpr(*TYPED_ANSWER), post_types)

@@ -7,12 +7,12 @@ in silence.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qadump.functions.values import instant, matches
+from qadump.functions.values import beyond_bigint, instant, matches
 from qadump.operators.row_xml import row_attributes
-from qadump.schemas import POSTS, USERS, Entity
+from qadump.schemas import POSTS, QUESTION_POST_TYPE, USERS, Entity
 
 PERMISSIVE = "permissive"
 FAILFAST = "failfast"
@@ -22,14 +22,23 @@ _ROW_START = r"\A[ \t]*+<row[ \t/>]"
 
 def _entity_checks(entity: Entity) -> list[tuple[str, str]]:
     """Reasons to reject a well-formed record, each with the condition that holds if it is bad."""
-    if entity == POSTS:
-        return [("no_post_type", "PostTypeId is null")]
-    if entity == USERS:
-        return [
+    checks = []
+    if entity.name == POSTS.name:
+        checks.append(("no_post_type", "PostTypeId is null"))
+    if entity.name == USERS.name:
+        checks += [
             ("bad_date", f"({name} is not null and {instant(name)} is null)")
             for name in ("CreationDate", "LastAccessDate")
         ]
-    return []
+    # Few texts are long enough to be looked at: one test for all keeps the generated code small.
+    own = [
+        f"if(PostTypeId = '{QUESTION_POST_TYPE}', {name}, null)" if name in entity.question_numbers else name
+        for name in entity.numbers
+    ]
+    longest = f"length(concat_ws('', {', '.join(entity.numbers)}))"
+    beyond = f"exists(array({', '.join(own)}), n -> coalesce({beyond_bigint('n')}, false))"
+    checks.append(("bad_number", f"({longest} > 18 and {beyond})"))
+    return checks
 
 
 def _reject_reason(entity: Entity) -> str:
@@ -38,7 +47,7 @@ def _reject_reason(entity: Entity) -> str:
     good = " and ".join(["xml_error is null", *[f"not {bad}" for _, bad in checks]])
     return f"""case
         when {good} then null
-        when not {matches("line", _ROW_START)} then 'not_a_row'
+        when line is null or not {matches("line", _ROW_START)} then 'not_a_row'
         when xml_error is not null then 'malformed'
         {" ".join(f"when {bad} then '{name}'" for name, bad in checks)}
         end"""
@@ -54,7 +63,7 @@ def parse(lines: DataFrame, entity: Entity) -> DataFrame:
     envelope = ", ".join(f"'{line}'" for line in entity.envelope)
     return (
         lines.selectExpr("value as line")
-        .where(f"trim(line) not in ({envelope})")
+        .where(f"line is null or trim(line) not in ({envelope})")
         .selectExpr(
             "line", f"inline({row_attributes('line', names)}) as ({', '.join(names)}, xml_error)"
         )
@@ -69,36 +78,25 @@ COUNTERS = (
 )
 
 
-def parse_counted(
-    lines: DataFrame, entity: Entity, counters: Observation | None
-) -> DataFrame:
-    """As `parse`; `counters` receives the named counts `rows` and `rejects` when an action has run."""
-    parsed = parse(lines, entity)
-    if counters is None:
-        return parsed
-    return parsed.observe(counters, *map(F.expr, COUNTERS))
-
-
-def records(
-    lines: DataFrame,
-    entity: Entity,
-    mode: str = PERMISSIVE,
-    counters: Observation | None = None,
-) -> DataFrame:
+def records(lines: DataFrame, entity: Entity, mode: str = PERMISSIVE) -> DataFrame:
     """Good records of a dump file, attributes as text.
 
     `permissive` leaves rejects out (see `rejects`), `failfast` fails the query at
-    the first one. For `counters` see `parse_counted`.
+    the first one.
     """
-    parsed = parse_counted(lines, entity, counters)
-    names = ", ".join(entity.attributes)
+    return checked(parse(lines, entity), entity, mode).select(*entity.attributes)
+
+
+def checked(parsed: DataFrame, entity: Entity, mode: str) -> DataFrame:
+    """Good records of `parse`; in `failfast` mode a reject is an error."""
     if mode == PERMISSIVE:
-        return parsed.where("reject_reason is null").select(*entity.attributes)
+        return parsed.where("reject_reason is null")
     if mode == FAILFAST:
         # a generator, so that no later filter can drop a faulty line before it is seen
-        message = f"concat('{entity.file}: ', reject_reason, ': ', line)"
-        record = f"if(reject_reason is null, array(struct({names})), raise_error({message}))"
-        return parsed.selectExpr(f"inline({record}) as ({names})")
+        columns = ", ".join(parsed.columns)
+        message = f"concat('{entity.file}: ', reject_reason, ': ', coalesce(line, 'null'))"
+        record = f"if(reject_reason is null, array(struct({columns})), raise_error({message}))"
+        return parsed.selectExpr(f"inline({record}) as ({columns})")
     raise ValueError(f"mode must be {PERMISSIVE!r} or {FAILFAST!r}, not {mode!r}")
 
 

@@ -10,8 +10,11 @@ Common lines go through `from_xml`. It has its limits, which are met as follows:
 | gives up on more than 1000 attributes                   | such lines are taken apart   |
 
 To take a line apart means to cut it into attributes by pattern and to decode the
-values in pieces. It gives the same result as `from_xml`, but takes longer. It is
-made for elements without content; lines with content stay under the limits.
+values in pieces. It gives the same result as `from_xml`, but takes longer.
+
+Content between the tags of an element (dumps have none) is no part of a record. It is cut
+off before either way is chosen, so a line is read by its start tag whatever its size; the
+content is parsed by itself, and a fault there makes the line malformed.
 """
 
 from __future__ import annotations
@@ -38,16 +41,21 @@ def _shape(known: tuple[str, ...] = ()) -> str:
     a part, so the time is linear and the stack flat on lines of any length. `\x27`
     is the single quote.
     """
+    return rf"{_start_tag(known)}/>[ \t]*\z"
+
+
+def _start_tag(known: tuple[str, ...] = ()) -> str:
     name = r"(?!xmlns)(?:xml:)?[^ \t=<>\x22\x27/:]+"
     if known:
         names = "|".join(known)
         name = rf"(?:(?:{names})(?=[ \t]*=)|(?!(?i:{names})[ \t]*=){name})"
     value = r"(?:\x22[^\x22<]*\x22|\x27[^\x27<]*\x27)"
-    content = r">(?!.*</row[ \t]*>.*</row).*</row[ \t]*>"
-    return (
-        rf"(?s)\A[ \t]*<row(?:[ \t]+{name}[ \t]*=[ \t]*{value})*+[ \t]*"
-        rf"(?:/>|{content})[ \t]*\z"
-    )
+    return rf"(?s)\A[ \t]*<row(?:[ \t]+{name}[ \t]*=[ \t]*{value})*+[ \t]*"
+
+
+# Content that ends with the element's only end tag, and what comes before that tag.
+_CONTENT = r"(?s)\A>(?:(?!</row).)*+</row[ \t]*+>[ \t]*+\z"
+_END_TAG = r"</row[ \t]*+>[ \t]*+\z"
 
 
 def _from_xml(xml: str, attributes: tuple[str, ...]) -> str:
@@ -89,17 +97,31 @@ def _taken_apart(line: str, attributes: tuple[str, ...]) -> str:
 
 def row_attributes(line: str, attributes: tuple[str, ...]) -> str:
     """An array of one struct: the attributes (null if absent), and the error (null if none)."""
+    nothing = ", ".join(f"string(null) as `@{name}`" for name in attributes)
+    malformed = f"array(struct({nothing}, 'malformed' as `@error`))"
+    no_content = matches(line, r"/>[ \t]*+\z")
+    # Lines without content go on as they are; of others the start tag, if the content is good.
+    tag = f"regexp_extract({line}, r'{_start_tag()}', 0)"
+    rest = f"substr({line}, length({tag}) + 1)"
+    inner = f"regexp_replace(substr({rest}, 2), r'{_END_TAG}', '')"
+    fault = _from_xml(f"concat('<row>', {inner}, '</row>')", ("error",))
+    cut = f"case when {matches(rest, _CONTENT)} and {fault}.`@error` is null then concat({tag}, '/>') end"
+    parsed = _of_start_tag("t", attributes, malformed)
+    return (
+        f"if({no_content}, {_of_start_tag(line, attributes, malformed)}, "
+        f"transform(array({cut}), t -> get({parsed}, 0)))"
+    )
+
+
+def _of_start_tag(line: str, attributes: tuple[str, ...], malformed: str) -> str:
     common = f"array({_from_xml(line, (*attributes, 'error'))})"
     big = (
         f"(octet_length({line}) > {LONG_LINE} or (octet_length({line}) > {MANY_ATTRIBUTES_LINE}"
         f" and octet_length({line}) - octet_length(replace({line}, '=', '')) > {MANY_ATTRIBUTES}))"
     )
     has_shape = matches(line, _shape())
-    no_content = matches(line, r"/>[ \t]*+\z")
     in_known_case = matches(line, _shape(attributes))
-    nothing = ", ".join(f"string(null) as `@{name}`" for name in attributes)
     return f"""case
         when {in_known_case} and not {big} then {common}
-        when {no_content} and {has_shape} then {_taken_apart(line, attributes)}
-        when {in_known_case} then {common}
-        else array(struct({nothing}, 'malformed' as `@error`)) end"""
+        when {has_shape} then {_taken_apart(line, attributes)}
+        else {malformed} end"""

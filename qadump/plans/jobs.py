@@ -2,18 +2,24 @@
 
 A source is a path, a list of paths, or a DataFrame of lines. Each extraction job
 returns the counts of its pass by name, for instance `{"users": 120, "users_rejects": 1}`.
-With `rejects_target`, rejected lines are written there as well; but for `posts_to_csv`
-that takes a second pass.
+
+A job parses its dump once. What its sets need of each record, without bodies, and the
+reason of each reject are staged as Parquet beside the target; sets, counts and, with
+`rejects_target`, the rejected lines are made from that, and it is deleted at the end. So the
+counts are those of the rows that were written, whatever tasks had to run twice, and a source
+without any good record is counted like any other.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from qadump.operators import counts, entities
-from qadump.operators.records import PERMISSIVE, rejects, rejects_of
+from qadump.operators.records import COUNTERS, PERMISSIVE, checked, parse, rejects_of
 from qadump.plans.master import user_master_from_sets
 from qadump.schemas import (
     BADGES,
@@ -26,22 +32,42 @@ from qadump.schemas import (
 )
 from qadump.sources.dump import read_lines
 from qadump.sources.sets import read_set, write_result, write_set
-from qadump.sources.shared import shared_folder
-
+from qadump.sources.staging import staging_beside
 
 Source = str | list[str] | DataFrame
 
 
-def _named_counts(entity: Entity, observed: Observation) -> dict[str, int]:
-    return {entity.name: observed.get["rows"], f"{entity.name}_rejects": observed.get["rejects"]}
-
-
-def _write_rejects(lines: DataFrame, entity: Entity, target: str | None) -> None:
-    if target is not None:
-        rejects(lines, entity).write.mode("errorifexists").parquet(target)
-
-
-def _extraction(entity: Entity, table: Callable[..., DataFrame]):
+@contextmanager
+def _one_pass(
+    spark: SparkSession,
+    source: Source,
+    entity: Entity,
+    columns: tuple[str, ...] | list[str],
+    target: str,
+    mode: str,
+    rejects_target: str | None,
+) -> Iterator[tuple[DataFrame, dict[str, int]]]:
+    """The typed columns of all good records, staged, and the counts of the pass."""
+    parsed = parse(read_lines(spark, source), entity)
+    if mode != PERMISSIVE:
+        parsed = checked(parsed, entity, mode)
+    line = "if(reject_reason is null, null, line)" if rejects_target else "cast(null as string)"
+    with staging_beside(spark, target) as path:
+        staged = parsed.selectExpr(*columns, "reject_reason", f"{line} as line")
+        staged.write.parquet(path)
+        staged = spark.read.schema(staged.schema).parquet(path)
+        found = staged.agg(*map(F.expr, COUNTERS)).first()
+        yield (
+            staged.where("reject_reason is null").drop("reject_reason", "line"),
+            {entity.name: found["rows"], f"{entity.name}_rejects": found["rejects"]},
+        )
+        if rejects_target:
+            rejects_of(staged, entity).write.mode("errorifexists").parquet(rejects_target)
+
+
+def _extraction(
+    entity: Entity, columns: tuple[str, ...] | list[str], table: Callable[[DataFrame], DataFrame]
+):
     def job(
         spark: SparkSession,
         source: Source,
@@ -49,22 +75,24 @@ def _extraction(entity: Entity, table: Callable[..., DataFrame]):
         mode: str = PERMISSIVE,
         rejects_target: str | None = None,
     ) -> dict[str, int]:
-        lines = read_lines(spark, source)
-        observed = Observation(f"{entity.name} rows")
-        write_set(table(lines, mode, observed), target)
-        _write_rejects(lines, entity, rejects_target)
-        return _named_counts(entity, observed)
+        with _one_pass(spark, source, entity, columns, target, mode, rejects_target) as (rows, found):
+            write_set(table(rows), target)
+        return found
 
     return job
 
 
-users_to_csv = _extraction(USERS, entities.users)
-questions_to_csv = _extraction(POSTS, entities.questions)
-answers_to_csv = _extraction(POSTS, entities.answers)
-badges_to_csv = _extraction(BADGES, counts.badge_counts)
-comments_to_csv = _extraction(COMMENTS, counts.comment_counts)
-postlinks_to_csv = _extraction(POST_LINKS, counts.link_counts)
-posthistory_to_csv = _extraction(POST_HISTORY, counts.history_counts)
+def _counts(entity: Entity):
+    return _extraction(entity, counts.typed_keys(entity), lambda rows: counts.count_of(rows, entity))
+
+
+users_to_csv = _extraction(USERS, entities.TYPED_USER, lambda rows: rows)
+questions_to_csv = _extraction(POSTS, entities.TYPED_POST, entities.questions_of)
+answers_to_csv = _extraction(entities.ANSWER_POSTS, entities.TYPED_ANSWER, entities.answers_of)
+badges_to_csv = _counts(BADGES)
+comments_to_csv = _counts(COMMENTS)
+postlinks_to_csv = _counts(POST_LINKS)
+posthistory_to_csv = _counts(POST_HISTORY)
 
 
 def posts_to_csv(
@@ -75,27 +103,13 @@ def posts_to_csv(
     mode: str = PERMISSIVE,
     rejects_target: str | None = None,
 ) -> dict[str, int]:
-    """Questions, answers and, if wanted, rejects from one pass over the posts.
-
-    What the tables need of the posts, without bodies, is staged as Parquet in the
-    shared folder, so the dump is not parsed once per target.
-    """
-    lines = read_lines(spark, source)
-    observed = Observation("posts rows")
-    staged = shared_folder(spark, "posts")
-    if mode == PERMISSIVE:
-        entities.posts_and_rejects(lines, observed).write.parquet(staged)
-        parsed = spark.read.parquet(staged)
-        typed = parsed.where("reject_reason is null")
-    else:
-        entities.posts(lines, mode, observed).write.parquet(staged)
-        parsed = None  # there are no rejects
-        typed = spark.read.parquet(staged)
-    write_set(entities.questions_of(typed), questions_target)
-    write_set(entities.answers_of(typed), answers_target)
-    if rejects_target is not None and parsed is not None:
-        rejects_of(parsed, POSTS).write.mode("errorifexists").parquet(rejects_target)
-    return _named_counts(POSTS, observed)
+    """Questions, answers and, if wanted, rejects from one pass over the posts."""
+    with _one_pass(
+        spark, source, POSTS, entities.TYPED_POST, questions_target, mode, rejects_target
+    ) as (posts, found):
+        write_set(entities.questions_of(posts), questions_target)
+        write_set(entities.answers_of(posts), answers_target)
+    return found
 
 
 def combine_from_csv(

@@ -29,9 +29,9 @@ from qadump.operators.summaries import (
 )
 from qadump.schemas import BADGES, COMMENTS, MASTER_COLUMNS, QUESTION_POST_TYPE, USER_COLUMNS
 
-# Every user record without an Id has id 0, so that id can hold a large share of
-# all users; they are spread over this many join keys.
-ZERO_ID_SALTS = 64
+# Every user record without an Id has id 0, and every one with an empty Id a null id, so these
+# two can hold a large share of all users; they are spread over this many join keys.
+SALTS = 64
 
 
 def _part(rows: DataFrame, measures: dict[str, str]) -> DataFrame:
@@ -52,18 +52,18 @@ def activity(*parts: DataFrame) -> DataFrame:
     return with_question_averages(with_answer_averages(totals))
 
 
-def attach(users: DataFrame, user_activity: DataFrame) -> DataFrame:
+def attach(users: DataFrame, user_activity: DataFrame, salts: int = SALTS) -> DataFrame:
     """Left join of users (any number per id) to their activity (one row per id).
 
-    The salt spreads id 0 by the users' other columns; its one activity row is
-    repeated per salt. Other hot ids, and copies of one record, are left to the
+    The salt spreads id 0 and null ids by the users' other columns; the one activity row
+    of id 0 is repeated per salt, null ids match none. Other hot ids, and copies of one record, are left to the
     adaptive skew join, which can split the users' side: with the salt in the key,
     both sides come straight from a shuffle of the join.
     """
-    spread = f"int(pmod(xxhash64({', '.join(USER_COLUMNS)}), {ZERO_ID_SALTS}))"
-    salted = users.selectExpr(*USER_COLUMNS, f"if(id = 0, {spread}, 0) as salt")
-    salts = f"if(user_id = 0, sequence(0, {ZERO_ID_SALTS - 1}), array(0))"
-    repeated = user_activity.selectExpr("*", f"explode({salts}) as salt")
+    spread = f"int(pmod(xxhash64({', '.join(USER_COLUMNS)}), {salts}))"
+    salted = users.selectExpr(*USER_COLUMNS, f"if(coalesce(id, 0) = 0, {spread}, 0) as salt")
+    copies = f"if(user_id = 0, sequence(0, {salts - 1}), array(0))"
+    repeated = user_activity.selectExpr("*", f"explode({copies}) as salt")
     same_user = (salted.id == repeated.user_id) & (salted.salt == repeated.salt)
     return salted.join(repeated, same_user, "left_outer").select(*MASTER_COLUMNS)
 
@@ -74,6 +74,7 @@ def user_master_from_dump(
     badge_lines: DataFrame,
     comment_lines: DataFrame,
     mode: str = PERMISSIVE,
+    salts: int = SALTS,
 ) -> DataFrame:
     """The user table straight from the dump; each file is read and parsed once."""
     is_question = f"post_type = '{QUESTION_POST_TYPE}'"
@@ -87,6 +88,7 @@ def user_master_from_dump(
             _part(keys(comment_lines, COMMENTS, mode), {"number_of_comments": "1"}),
             _part(entities.posts(post_lines, mode), post_measures),
         ),
+        salts,
     )
 
 
@@ -96,6 +98,7 @@ def user_master_from_sets(
     comments: DataFrame,
     answers: DataFrame,
     questions: DataFrame,
+    salts: int = SALTS,
 ) -> DataFrame:
     """The user table from extracted sets; badges and comments hold counts per user."""
     return attach(
@@ -106,4 +109,5 @@ def user_master_from_sets(
             _part(answers, ANSWER_MEASURES),
             _part(questions, QUESTION_MEASURES),
         ),
+        salts,
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -12,6 +12,18 @@ class Entity:
     name: str
     file: str
     attributes: tuple[str, ...]
+    #: attributes that hold integers
+    numbers: tuple[str, ...]
+    #: those of `numbers` that only questions have
+    question_numbers: tuple[str, ...] = ()
+
+    def narrowed(self, *left_out: str) -> Entity:
+        """The same file, read without some attributes."""
+        kept, numbers, own = (
+            tuple(a for a in names if a not in left_out)
+            for names in (self.attributes, self.numbers, self.question_numbers)
+        )
+        return replace(self, attributes=kept, numbers=numbers, question_numbers=own)
 
     @property
     def envelope(self) -> tuple[str, ...]:
@@ -29,6 +41,7 @@ USERS = Entity(
         "Id", "Reputation", "CreationDate", "LastAccessDate", "WebsiteUrl", "Location",
         "AboutMe", "Views", "UpVotes", "DownVotes", "Age",
     ),
+    ("Id", "Reputation", "Views", "UpVotes", "DownVotes", "Age"),
 )
 POSTS = Entity(
     "posts",
@@ -37,11 +50,16 @@ POSTS = Entity(
         "Id", "PostTypeId", "AcceptedAnswerId", "Score", "ViewCount", "OwnerUserId",
         "AnswerCount", "CommentCount", "FavoriteCount", "Body",
     ),
+    (
+        "Id", "AcceptedAnswerId", "Score", "ViewCount", "OwnerUserId", "AnswerCount",
+        "CommentCount", "FavoriteCount",
+    ),
+    ("AcceptedAnswerId", "AnswerCount"),
 )
-BADGES = Entity("badges", "Badges.xml", ("UserId",))
-COMMENTS = Entity("comments", "Comments.xml", ("UserId",))
-POST_LINKS = Entity("postlinks", "PostLinks.xml", ("PostId",))
-POST_HISTORY = Entity("posthistory", "PostHistory.xml", ("UserId", "PostId"))
+BADGES = Entity("badges", "Badges.xml", ("UserId",), ("UserId",))
+COMMENTS = Entity("comments", "Comments.xml", ("UserId",), ("UserId",))
+POST_LINKS = Entity("postlinks", "PostLinks.xml", ("PostId",), ("PostId",))
+POST_HISTORY = Entity("posthistory", "PostHistory.xml", ("UserId", "PostId"), ("UserId", "PostId"))
 
 ENTITIES = (USERS, POSTS, BADGES, COMMENTS, POST_LINKS, POST_HISTORY)
 
@@ -108,24 +126,27 @@ MASTER_COLUMNS = (
 )
 
 
-def _ddl(columns, kind: str = "int") -> str:
-    return ", ".join(f"{name} {kind}" for name in columns)
+FLAGS = ("has_website", "has_location", "has_about_me")
 
 
-def _master_type(name: str) -> str:
-    if name in USER_COLUMNS:
+def _type(name: str) -> str:
+    if name in FLAGS:
         return "int"
     return "double" if name.startswith("average") else "bigint"
 
 
-# Schemas of the text sets. Counts stay bigint: a count can outgrow an int.
+def _ddl(columns) -> str:
+    return ", ".join(f"{name} {_type(name)}" for name in columns)
+
+
+# Schemas of the text sets.
 SET_SCHEMAS = {
     "users": _ddl(USER_COLUMNS),
     "questions": _ddl(QUESTION_COLUMNS),
     "answers": _ddl(ANSWER_COLUMNS),
-    "badges": "user_id int, number_of_badges bigint",
-    "comments": "user_id int, number_of_comments bigint",
-    "postlinks": "post_id int, number_of_links bigint",
-    "posthistory": "user_id int, post_id int, number_of_edits bigint",
-    "master": ", ".join(f"{name} {_master_type(name)}" for name in MASTER_COLUMNS),
+    "badges": _ddl(("user_id", "number_of_badges")),
+    "comments": _ddl(("user_id", "number_of_comments")),
+    "postlinks": _ddl(("post_id", "number_of_links")),
+    "posthistory": _ddl(("user_id", "post_id", "number_of_edits")),
+    "master": _ddl(MASTER_COLUMNS),
 }

@@ -3,17 +3,49 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from qadump.schemas import SET_SCHEMAS
 
+BAD_ROW = "bad_row"
+
+
+def _parsed(spark: SparkSession, name: str, path: str, header: bool) -> DataFrame:
+    """The rows of a set, with the text of those that do not convert in `bad_row`."""
+    return (
+        spark.read.schema(f"{SET_SCHEMAS[name]}, {BAD_ROW} string")
+        .option("header", header)
+        .option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", BAD_ROW)
+        .option("columnPruning", False)
+        .csv(path)
+    )
+
 
 def read_set(spark: SparkSession, name: str, path: str, header: bool = True) -> DataFrame:
-    """One CSV set with its fixed schema; text that is not of the column's type reads as null.
+    """One CSV set with its fixed schema.
 
-    `header` must say how the set was written: sets of this package have one,
-    plain line sets (`key,count`) have none.
+    `header` must say how the set was written: sets of this package have one, plain line
+    sets (`key,count`) have none. A wrong flag is an error when rows are read: without the
+    header that is expected Spark finds other column names, and a header that is not expected
+    is found among the rows. Rows that do not convert are left out; `bad_rows` has them.
     """
-    return spark.read.schema(SET_SCHEMAS[name]).option("header", header).csv(path)
+    rows = _parsed(spark, name, path, header)
+    columns = [column for column in rows.columns if column != BAD_ROW]
+    titles = ",".join(columns)
+    message = F.lit(f"{path}: the set has a header, but is read without one")
+    good = F.when(F.col(BAD_ROW).isNull(), True).when(
+        F.col(BAD_ROW) == titles, F.raise_error(message).cast("boolean")
+    )
+    return rows.where(F.coalesce(good, F.lit(False))).select(*columns)
+
+
+def bad_rows(spark: SparkSession, name: str, path: str, header: bool = True) -> DataFrame:
+    """The rows of a set that do not convert to its columns, as text."""
+    rows = _parsed(spark, name, path, header)
+    # Spark refuses a query of the faulty text alone; this condition holds for every row.
+    any_value = F.coalesce(F.col(rows.columns[0]).cast("string"), F.lit("")) != "none"
+    return rows.where(F.col(BAD_ROW).isNotNull() & any_value).select(BAD_ROW)
 
 
 def write_set(df: DataFrame, path: str, header: bool = True) -> None:

@@ -1,9 +1,8 @@
 """The whole chain from dump lines, computed a second time in plain Python."""
 
-import calendar
-import time
 import xml.etree.ElementTree as ET
 from collections import Counter, defaultdict
+from datetime import UTC, datetime, timedelta
 
 import pytest
 
@@ -47,7 +46,7 @@ def whole(text):
         number = int(text) if text == text.strip() else None
     except ValueError:
         return None
-    return number if number is not None and -(2**31) <= number < 2**31 else None
+    return number
 
 
 def number(attributes, name):
@@ -57,7 +56,8 @@ def number(attributes, name):
 def seconds(attributes, name):
     if name not in attributes:
         return 0
-    return calendar.timegm(time.strptime(attributes[name], "%Y-%m-%dT%H:%M:%S.%f"))
+    moment = datetime.fromisoformat(attributes[name]).replace(tzinfo=UTC)
+    return (moment - datetime(1970, 1, 1, tzinfo=UTC)) // timedelta(seconds=1)
 
 
 def user_row(a):

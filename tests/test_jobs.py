@@ -4,6 +4,7 @@ import glob
 from types import SimpleNamespace
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 
 from compare import rows_of
@@ -21,8 +22,8 @@ from qadump.schemas import (
     USERS,
 )
 from qadump.sources.dump import read_lines
-from qadump.sources.sets import read_set, write_result, write_set
-from qadump.sources.shared import shared_folder
+from qadump.sources.sets import bad_rows, read_set, write_result, write_set
+from fixtures.shared import shared_folder
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -101,9 +102,78 @@ def test_line_sets_of_keys_and_counts(spark, tmp_path):
     # as a plain text job leaves them: no header, empty key for absent users
     path = tmp_path / "badges"
     path.mkdir()
-    (path / "part-00000").write_text("3,2\n,5\nx,1\n9999999999,1\n")
+    (path / "part-00000").write_text("3,2\n,5\nx,1\n9999999999,1\n4\n")
     found = rows_of(read_set(spark, "badges", str(path), header=False))
-    assert found == {(2, 3): 1, (5, None): 1, (1, None): 2}
+    assert found == {(2, 3): 1, (5, None): 1, (1, 9999999999): 1}
+    assert {r.bad_row for r in bad_rows(spark, "badges", str(path), header=False).collect()} == {"x,1", "4"}
+
+
+@pytest.mark.parametrize("header", [True, False])
+def test_a_wrong_header_flag_is_an_error(spark, dump, tmp_path, header):
+    sets = {}
+    for name in ("users", "questions", "answers", "badges", "comments"):
+        _, entity, table = JOBS[name]
+        sets[name] = str(tmp_path / name)
+        write_set(table(read_lines(spark, dump[entity])), sets[name], header)
+    with pytest.raises((PySparkException, Py4JJavaError), match="header|FAILED_READ_FILE"):
+        jobs.combine_from_csv(spark, **sets, target=str(tmp_path / "master"), header=not header)
+
+
+EMPTY_SOURCES = {
+    "envelope": (["<badges>", "</badges>"], 0),
+    "empty file": ([], 0),
+    "all faulty": (["<badges>", "x", "<row", "</badges>"], 2),
+}
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("source", [*EMPTY_SOURCES, "empty folder"])
+@pytest.mark.parametrize("name", [*JOBS, "posts"])
+def test_sources_without_a_good_record(spark, settings, tmp_path, adaptive, source, name):
+    settings(spark__sql__adaptive__enabled=adaptive)
+    entity = POSTS if name == "posts" else JOBS[name][1]
+    path = tmp_path / "dump"
+    path.mkdir()
+    lines, rejected = EMPTY_SOURCES.get(source, ([], 0))
+    if source != "empty folder":
+        text = "\n".join(line.replace("badges", entity.name) for line in lines)
+        (path / "part.xml").write_text(text)
+    out = tmp_path / "out"
+    rejects_target = str(out / "rejects")
+    if name == "posts":
+        found = jobs.posts_to_csv(
+            spark, str(path), str(out / "q"), str(out / "a"), rejects_target=rejects_target
+        )
+    else:
+        found = JOBS[name][0](spark, str(path), str(out / "set"), rejects_target=rejects_target)
+    assert found == {entity.name: 0, f"{entity.name}_rejects": rejected}
+    assert spark.read.parquet(rejects_target).count() == rejected
+    assert not [p for p in out.iterdir() if p.name.startswith("_staging")]
+
+
+def test_nothing_staged_is_left_behind(spark, dump, tmp_path):
+    jobs.badges_to_csv(spark, dump[BADGES], str(tmp_path / "one" / "badges"))
+    with pytest.raises(AnalysisException):
+        jobs.badges_to_csv(spark, dump[BADGES], str(tmp_path / "one" / "badges"))
+    with pytest.raises(PySparkException):
+        jobs.badges_to_csv(spark, spark.range(1).selectExpr("'x' as value"), str(tmp_path / "one" / "b"), "failfast")
+    assert [p.name for p in (tmp_path / "one").iterdir()] == ["badges"]
+
+
+def test_a_job_with_rejects_parses_its_dump_once(spark, lines_of, tmp_path):
+    """Counted by an accumulator in the source: each line is read once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    source = lines_of('<row UserId="1" />', "broken", '<row UserId="2" />').coalesce(1)
+    jobs.badges_to_csv(
+        spark, source.mapInArrow(count, "value string"), str(tmp_path / "b"), rejects_target=str(tmp_path / "r")
+    )
+    assert seen.value == 3
 
 
 def test_sources_can_be_several_files(spark, tmp_path):

@@ -1,11 +1,12 @@
 """How single dump lines are read."""
 
+import time
+
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import Observation
 
 from qadump.operators import counts, entities
-from qadump.operators.records import parse, records, rejects
+from qadump.operators.records import counters, parse, records, rejects
 from qadump.schemas import BADGES, POSTS, USERS, XML_DECLARATION
 from qadump.sources.dump import read_lines
 
@@ -50,7 +51,8 @@ def test_absent_body_has_length_0(lines_of):
         ('Score="1.5"', None),
         ('Score=" 5 "', None),
         ('Score="5&#xA;"', None),
-        ('Score="9999999999"', None),
+        ('Score="9999999999"', 9999999999),
+        ('Score="-9223372036854775808"', -(2**63)),
         ("Score='5'", 5),
         ('Score = "5"', 5),
         ('Score="&#53;"', 5),
@@ -78,7 +80,7 @@ def test_key_of_counts_absent_and_empty_are_null(lines_of):
         ("2008-7-31T21:42:52.6", 1217540572),
         ("2021-03-14T02:30:00.000", 1615689000),
         ("1969-12-31T23:59:59.5", -1),
-        ("2100-01-01T00:00:00.0", None),
+        ("2100-01-01T00:00:00.0", 4102444800),
         ("2016-12-31T23:59:60.000", 1483228800),
         ("2016-12-31T23:59:61.9", 1483228801),
     ],
@@ -131,8 +133,11 @@ FAULTS = [
     ('<row Id="2" PostTypeId="1" x:y="1" />', "malformed"),
     ('<row Id="2" PostTypeId="1" xmlns="u" />', "malformed"),
     ('<row Id="2" />', "no_post_type"),
+    ('<row Id="9223372036854775808" PostTypeId="1" />', "bad_number"),
+    ('<row Id="2" PostTypeId="2" Score="-99999999999999999999" />', "bad_number"),
+    ('<row Id="2" PostTypeId="1" AcceptedAnswerId="99999999999999999999" />', "bad_number"),
+    (None, "not_a_row"),
     ("<row/>", "no_post_type"),
-    ('<row id="2" PostTypeId="1">text</row>', "malformed"),
     ('<tag Id="2" PostTypeId="1" />', "not_a_row"),
     ('<rows Id="2" PostTypeId="1" />', "not_a_row"),
     ("<users>", "not_a_row"),
@@ -233,11 +238,50 @@ def test_faults_in_long_lines_are_found(lines_of, fault):
     ids=["open quote", "bare names", "blanks", "end tags"],
 )
 def test_long_faulty_lines_take_linear_time(lines_of, line):
+    def seconds(text):
+        start = time.perf_counter()
+        assert [row.reject_reason for row in rejects(lines_of(text), POSTS).collect()] == ["malformed"]
+        return time.perf_counter() - start
+
+    seconds(line[: len(line) // 10])  # compiles the plan
+    # a quadratic pattern would take hours
+    assert seconds(line) < 20
+
+
+HEAD = '<row Id="5" PostTypeId="1" Score="4"'
+
+
+@pytest.mark.parametrize("size", [100, 530_000, 3_000_000])
+@pytest.mark.parametrize(
+    "more", ["", 'score="9" ID="8"', " ".join(f'a{i}="="' for i in range(1_200))], ids=["plain", "case", "many"]
+)
+def test_content_changes_nothing_whatever_the_size(lines_of, size, more):
+    start = f'{HEAD} {more} Body="{"a" * size}"'
+    lines = lines_of(*[start + end for end in ("/>", ">x</row>", "></row >", "><a b='>'>&amp;</a> </row>")])
+    rows = {tuple(row) for row in entities.questions(lines).collect()}
+    assert rows == {(5, 0, 4, 0, 0, 0, 0, 0, size)}
+    assert entities.questions(lines).count() == 4
+
+
+@pytest.mark.parametrize(
+    "content", ["<a>", "</row>x", "&nbsp;", "<row/></row><row>", "x</row", "<a></b>", "a < b", "</row></row>"]
+)
+def test_faults_in_content_are_found(lines_of, content):
+    line = f"{HEAD}>{content}</row>"
     assert [row.reject_reason for row in rejects(lines_of(line), POSTS).collect()] == ["malformed"]
 
 
+def test_ids_beyond_32_bits_stay_apart(lines_of):
+    lines = lines_of('<row PostId="3000000000"/>', '<row PostId="3000000001"/>', '<row PostId=""/>')
+    found = {tuple(row) for row in counts.link_counts(lines).collect()}
+    assert found == {(3000000000, 1), (3000000001, 1), (None, 1)}
+
+
+def test_an_answer_is_not_judged_by_what_questions_have(lines_of):
+    lines = lines_of('<row Id="2" PostTypeId="2" AnswerCount="99999999999999999999" />')
+    assert entities.answers(lines).count() == entities.posts(lines).count() == 1
+
+
 def test_counters_of_a_pass(lines_of):
-    seen = Observation("posts")
-    lines = lines_of(post(""), post(""), "<row/>", "<posts>")
-    entities.questions(lines, counters=seen).write.format("noop").mode("overwrite").save()
-    assert seen.get == {"rows": 2, "rejects": 1}
+    lines = lines_of(post(""), post(""), "<row/>", "<posts>", None)
+    assert [tuple(row) for row in counters(lines, POSTS).collect()] == [("posts", 2, 2)]

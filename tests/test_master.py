@@ -5,6 +5,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from compare import rows_of
+from fixtures import render
+from qadump.operators import entities
 from qadump.operators.summaries import answer_summary, question_summary
 from qadump.plans.master import user_master_from_dump, user_master_from_sets
 from qadump.schemas import MASTER_COLUMNS, SET_SCHEMAS, USER_COLUMNS
@@ -106,14 +108,38 @@ def test_hot_user_id(spark, settings, hot_id, copies):
     plan = found._jdf.queryExecution().executedPlan().toString()
     if hot_id == 7 or (hot_id == 0 and copies):
         assert "skew=true" in plan
-    if hot_id == 0 and not copies:
-        salts = users.where("id = 0").selectExpr(
+    if hot_id in (0, None) and not copies:
+        salts = users.where("coalesce(id, 0) = 0").selectExpr(
             f"pmod(xxhash64({', '.join(users.columns)}), 64) as salt"
         ).groupBy("salt").count()
         assert salts.count() == 64
         assert salts.agg(F.max("count")).first()[0] < rows / 3 / 20
 
 
+@pytest.mark.parametrize("salts", [1, 5])
+def test_the_number_of_salts_changes_nothing(spark, salts):
+    found = user_master_from_sets(*awkward(spark), salts=salts)
+    assert rows_of(found) == rows_of(by_four_joins(*awkward(spark)))
+
+
+def test_rows_beyond_32_bits(spark, lines_of):
+    far = 3_000_000_000
+    found = user_master_from_dump(
+        lines_of(f'<row Id="{far}" />'),
+        lines_of(*[f'<row Id="{far + i}" PostTypeId="1" OwnerUserId="{far}" Score="2" />' for i in range(3)]),
+        lines_of(f'<row UserId="{far}" />'),
+        lines_of(),
+    )
+    (row,) = found.collect()
+    assert (row.id, row.total_questions, row.total_question_score) == (far, 3, 6)
+    assert (row.average_question_score, row.number_of_badges, row.number_of_comments) == (2.0, 1, None)
+
+
+def test_ids_of_rendered_users_are_unique(spark):
+    users = entities.users(render.users(spark, "/root/testdata/sf0.01")).where("id <> 0")
+    assert users.count() == users.select("id").distinct().count() > 1000
+
+
 def test_hot_owner_of_posts_moves_as_partial_sums(spark, lines_of):
     """A third of all posts belong to one owner; each task sends one row for them."""
     posts = spark.range(9_000).selectExpr(
