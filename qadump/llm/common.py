@@ -51,6 +51,12 @@ def bucket_of(doc_id: str | Column, buckets: int) -> Column:
     return F.coalesce(F.crc32(column.cast("string")) % buckets, F.lit(-1))
 
 
+def draw(doc_id: str, purpose: str) -> Column:
+    """A number from 0 to 1 (excluded) for sampling: a hash of the id, of the row where that is null."""
+    row = F.when(F.col(doc_id).isNull(), F.monotonically_increasing_id())
+    return F.pmod(F.xxhash64(F.lit(purpose), F.col(doc_id), row), F.lit(1 << 30)) / (1 << 30)
+
+
 def word_count(text: str | Column) -> Column:
     """Number of words; 0 for null."""
     column = F.col(text) if isinstance(text, str) else text

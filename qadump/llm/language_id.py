@@ -32,13 +32,15 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qadump.llm.common import bucket_of, small_batches
+from qadump.llm.common import bucket_of, draw, small_batches
 
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 START = "▁"  # what the vocabulary writes for the blank before a word
 UNDETERMINED = "und"
 #: Longest piece that is looked up; longer ones of the vocabulary are not words' parts.
 LONGEST = 16
+#: Only so many languages, the most frequent ones, are learned.
+MOST_LANGUAGES = 1_000
 #: Words kept with their likelihoods by a task.
 MEMORY = 150_000
 #: Longer words are rescaled while they are scored, so that no probability underflows.
@@ -202,7 +204,7 @@ def fit(pieces: list[str], languages: list[str], items: list[str], times: np.nda
 def training_words(rows: DataFrame, sample_rows: int) -> DataFrame:
     """lang, word, n over about `sample_rows` rows of each language (all, if there are fewer)."""
     sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"))
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / (1 << 20)
+    sizes = sizes.orderBy(F.desc("rows"), "lang").limit(MOST_LANGUAGES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -214,8 +216,8 @@ def training_words(rows: DataFrame, sample_rows: int) -> DataFrame:
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=["lang", "word", "n"])
 
-    # One row per language of the labels.
-    chosen = rows.join(F.broadcast(sizes), "lang").where(draw * F.col("rows") < sample_rows)
+    drawn = rows.withColumn("at", draw("doc_id", "language")).join(F.broadcast(sizes), "lang")
+    chosen = drawn.where(F.col("at") * F.col("rows") < sample_rows)
     counted = chosen.select("lang", "text").mapInArrow(run, "lang string, word string, n long")
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 

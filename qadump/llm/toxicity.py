@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qadump.llm.common import bucket_of, small_batches, staged
+from qadump.llm.common import bucket_of, draw, small_batches, staged
 
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
@@ -150,18 +150,18 @@ def sampled(docs: DataFrame, labels: DataFrame, usable: Column, sample_rows: int
         .agg(F.max("toxic").alias("toxic"))
     )
     counts = known.agg(F.count("*").alias("all"), F.count(F.when(F.col("toxic") == 1, 1)).alias("toxic")).first()
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 30)) / (1 << 30)
     # About sample_rows ids, whatever the size of the labels.
-    chosen = known.where((F.col("toxic") == 1) & (draw * counts["toxic"] < sample_rows))
+    toxic = known.where("toxic = 1").withColumn("at", draw("doc_id", "toxic"))
+    chosen = toxic.where(F.col("at") * counts["toxic"] < sample_rows)
     chosen = F.broadcast(chosen.select("doc_id", F.lit(True).alias("confirmed")))
-    row_draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / (1 << 30)
     rows = (
         docs.where(usable)
+        .withColumn("at", draw("doc_id", "unlabelled"))
         .join(chosen, "doc_id", "left")
         .select(
             "text",
             F.col("confirmed").isNotNull().alias("confirmed"),
-            (row_draw * docs.count() < sample_rows).alias("drawn"),
+            (F.col("at") * docs.count() < sample_rows).alias("drawn"),
         )
         .where("confirmed or drawn")
     )
