@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qadump.llm.common import bucket_of, small_batches, staged
+from qadump.llm.common import blocks, bucket_of, small_batches, staged
 
 #: The end of a text, and what stands before its first word. No word holds a blank.
 END = b" "
@@ -42,7 +42,14 @@ NEVER = " never"
 
 def tokens(text: str | None) -> list[bytes]:
     """Lower-cased words and one end, as UTF-8: of bytes only A-Z and ASCII white space count."""
-    return [*(text or "").encode("utf-8").lower().split(), END]
+    return list(chain.from_iterable(token_runs(text)))
+
+
+def token_runs(text: str | None) -> Iterator[list[bytes]]:
+    """The tokens of a text in runs of bounded size."""
+    for block in blocks(text or ""):
+        yield block.encode("utf-8").lower().split()
+    yield [END]
 
 
 @dataclass(frozen=True)
@@ -78,7 +85,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in small_batches(batches, most_bytes=16_000_000):
             train, every = Counter(), Counter()
             for text, is_train in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                (train if is_train else every).update(tokens(text))
+                for run_of in token_runs(text):
+                    (train if is_train else every).update(run_of)
             every.update(train)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -104,8 +112,8 @@ def bigram_counts(train: DataFrame, ids: dict[bytes, int], size: int) -> np.ndar
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: Counter = Counter()
         for batch in small_batches(batches):
-            texts = [tokens(t) for t in batch.column(0).to_pylist()]
-            flat = np.fromiter((ids.get(w, other) for w in chain.from_iterable(texts)), dtype=np.int64)
+            words = chain.from_iterable(chain.from_iterable(map(token_runs, batch.column(0).to_pylist())))
+            flat = np.fromiter((ids.get(w, other) for w in words), dtype=np.int64)
             before = np.r_[ids[END], flat[:-1]]  # a text's first word follows the end of the one before
             pair, count = np.unique(before * size + flat, return_counts=True)
             sums.update(dict(zip(pair.tolist(), count.tolist(), strict=True)))
@@ -251,14 +259,17 @@ def scores(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
             keys: list = [[], [], [], [], [], [], [], []]
             columns = (batch.column(k).to_pylist() for k in range(3))
             for uid, doc_id, text in zip(*columns, strict=True):
-                words = tokens(text)
-                at = np.fromiter((index.get(w, len(index)) for w in words), dtype=np.int64, count=len(words))
-                group = groups[at]
-                sums = fields[at, 1:].sum(axis=0)
-                steps = transition[np.r_[end, group[:-1]], group].sum()
-                missing = Counter(words[i] for i in np.flatnonzero(at == len(index)).tolist())
+                count, sums, steps, before = 0, np.zeros(3), 0.0, end
+                missing: Counter = Counter()
+                for words in token_runs(text):
+                    at = np.fromiter((index.get(w, len(index)) for w in words), dtype=np.int64, count=len(words))
+                    group = np.r_[before, groups[at]]
+                    steps += transition[group[:-1], group[1:]].sum()
+                    sums += fields[at, 1:].sum(axis=0)
+                    missing.update(words[i] for i in np.flatnonzero(at == len(index)).tolist())
+                    count, before = count + len(words), group[-1]
                 # The document's own row meets no word of the table and no other row.
-                row = (uid, f"{NEVER}{uid}", 0, doc_id, len(words), int(sums[2]), sums[1], sums[0] + steps)
+                row = (uid, f"{NEVER}{uid}", 0, doc_id, count, int(sums[2]), sums[1], sums[0] + steps)
                 for column, value in zip(keys, row, strict=True):
                     column.append(value)
                 keys[0] += [uid] * len(missing)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 #: A word: a run of anything but ASCII white space. The same text for Java's and Python's patterns.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
+_BLANK = re.compile(SPACE)
+#: Characters of a very long text that are taken apart at a time.
+BLOCK = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +96,18 @@ def small_batches(
         yield batch.slice(start)
 
 
+def blocks(text: str, most: int | None = None) -> Iterator[str]:
+    """The text in runs of about `most` characters, each but the first starting with a blank.
+
+    No word crosses two runs, so work on the words of a very long text needs memory for one run's.
+    """
+    most, start = most or BLOCK, 0
+    while len(text) - start > most and (seam := _BLANK.search(text, start + most)):
+        yield text[start : seam.start()]
+        start = seam.start()
+    yield text[start:]
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver did.
 

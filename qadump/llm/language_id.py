@@ -32,7 +32,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qadump.llm.common import bucket_of, draw, small_batches
+from qadump.llm.common import blocks, bucket_of, draw, small_batches
 
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 START = "▁"  # what the vocabulary writes for the blank before a word
@@ -52,6 +52,13 @@ def words(text: str | None) -> list[str]:
     return LETTERS.findall(text.lower()) if text else []
 
 
+def counted_words(text: str | None) -> Counter:
+    counts: Counter = Counter()
+    for block in blocks(text or ""):
+        counts.update(words(block))
+    return counts
+
+
 def vocabulary(name: str = "piece_bpe_32k.model") -> list[str]:
     """The pieces that lower-cased letters can be cut into: no byte, control or capital pieces."""
     reader = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(name))
@@ -210,7 +217,8 @@ def training_words(rows: DataFrame, sample_rows: int) -> DataFrame:
         for batch in small_batches(batches):
             counts: Counter = Counter()
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts.update((lang, w) for w in words(text))
+                for word, n in counted_words(text).items():
+                    counts[lang, word] += n
             columns = [[k[0] for k in counts], [k[1] for k in counts], list(counts.values())]
             types = (pa.string(), pa.string(), pa.int64())
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
@@ -248,7 +256,7 @@ def predict(
         known: dict[str, int] = {}
         logs = np.zeros((0, len(own.languages) if own else 0))
         for batch in small_batches(batches, most_bytes=2_000_000):
-            texts = [words(t) if own else [] for t in batch.column(1).to_pylist()]
+            texts = [counted_words(t) if own else {} for t in batch.column(1).to_pylist()]
             if len(known) > MEMORY:
                 known, logs = {}, logs[:0]
             new = list({w for found in texts for w in found if w not in known})
@@ -261,7 +269,9 @@ def predict(
                     best.append(UNDETERMINED)
                     shares.append(0.0)
                     continue
-                total = logs[np.fromiter((known[w] for w in found), dtype=np.int64, count=len(found))].sum(axis=0)
+                rows = np.fromiter((known[w] for w in found), dtype=np.int64, count=len(found))
+                times = np.fromiter(found.values(), dtype=np.float64, count=len(found))
+                total = times @ logs[rows]
                 winner = int(np.argmax(total))
                 best.append(own.languages[winner])
                 shares.append(float(1 / np.exp(total - total[winner]).sum()))

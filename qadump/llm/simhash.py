@@ -25,7 +25,7 @@ empty table gives an empty result. Only the id and text columns are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,30 +34,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qadump.llm import components
-from qadump.llm.common import staged
+from qadump.llm.common import blocks, staged
 
 SEED = 42
-#: Shingles hashed and counted at a time.
-STRETCH = 200_000
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
-    words = (text or "").encode("utf-8", "replace").lower().split()  # bytes: A-Z and ASCII blanks only
-    if not words:
-        return 0
+    digest, ones, total, words = xxhash.xxh64_intdigest, np.zeros(64, dtype=np.int64), 0, []
+    for block in blocks(text or ""):
+        # Bytes: of them only A-Z and ASCII white space count. Shingles go on over the seam.
+        words = words[len(words) - shingle + 1 :] if len(words) >= shingle else words
+        words += block.encode("utf-8").lower().split()
+        if len(words) < shingle:
+            continue
+        hashes = _hashes(words, shingle, digest)
+        ones += _ones(hashes)
+        total += len(hashes)
+    if not total and words:  # fewer words than a shingle has
+        ones, total = _ones(np.array([digest(b" ".join(words), SEED)], dtype=np.uint64)), 1
+    return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "big")
+
+
+def _hashes(words: list[bytes], shingle: int, digest: Callable[[bytes, int], int]) -> np.ndarray:
     joined = b" ".join(words)
     sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     ends = np.cumsum(sizes + 1) - 1
-    starts = ends - sizes
-    width = min(shingle, len(words))
-    starts, ends = starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist()
-    digest, ones = xxhash.xxh64_intdigest, np.zeros(64, dtype=np.int64)
-    for at in range(0, len(starts), STRETCH):
-        part = zip(starts[at : at + STRETCH], ends[at : at + STRETCH], strict=True)
-        hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in part), dtype=np.uint64)
-        bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(starts)).tobytes(), "big")
+    spans = zip((ends - sizes)[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in spans), dtype=np.uint64)
+
+
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit, the highest first."""
+    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    return bits.sum(axis=0, dtype=np.int64)
 
 
 def fingerprints(

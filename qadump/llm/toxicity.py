@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qadump.llm.common import bucket_of, draw, small_batches, staged
+from qadump.llm.common import blocks, bucket_of, draw, small_batches, staged
 
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
@@ -53,8 +53,11 @@ def features(text: str | None, known: set[str] | None = None) -> set[str]:
 
     known: stems to look for; others are passed over.
     """
+    words: Counter = Counter()
+    for block in blocks(text or ""):
+        words.update(LETTERS.findall(block.lower()))
     counts: Counter = Counter()
-    for word, times in Counter(LETTERS.findall(text.lower()) if text else ()).items():
+    for word, times in words.items():
         if known is not None and (word[:SHORTEST] if len(word) >= SHORTEST else word + "$") not in known:
             continue
         for stem in stems(word):

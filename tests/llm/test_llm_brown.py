@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from conftest_helpers import rows
 
-from qadump.llm import brown
+from qadump.llm import brown, common
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 SMALL = {"classes": 4, "exchanged": 12, "looked_up": 20}
@@ -59,6 +59,17 @@ def test_base_scores_and_counts(documents, tricky):
         assert r.score <= 1e-9 and math.isfinite(r.score)
 
 
+def test_blocks_of_a_long_text_change_nothing(documents, monkeypatch):
+    docs = documents(rows(sentences(12)))
+    whole = sorted(map(tuple, brown.score_texts(docs, **SMALL).collect()))
+    texts = [text for _, text in sentences(12)]
+    expected = [brown.tokens(t) for t in texts]
+    monkeypatch.setattr(common, "BLOCK", 9)
+    assert [brown.tokens(t) for t in texts] == expected
+    assert len(list(brown.token_runs(max(texts, key=len)))) > 5
+    assert len(whole) == 12
+
+
 def trained(docs, **settings):
     base = docs.selectExpr("doc_id", "text", "true as train", "monotonically_increasing_id() as uid")
     counts = brown.word_counts(base).cache()

@@ -10,7 +10,7 @@ import xxhash
 from conftest_helpers import prose, rows
 from pyspark.sql import functions as F
 
-from qadump.llm import components, simhash
+from qadump.llm import common, components, simhash
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -86,10 +86,12 @@ def test_near_copies(documents):
     assert len({g[2] for g in groups(docs)}) < 120
 
 
-def test_stretches_change_nothing(monkeypatch):
-    text = prose(3, 500)
-    monkeypatch.setattr(simhash, "STRETCH", 7)
-    assert simhash.fingerprint(text) == fingerprint(text)
+@pytest.mark.parametrize("size", [1, 7, 100])
+def test_blocks_of_a_long_text_change_nothing(monkeypatch, size):
+    monkeypatch.setattr(common, "BLOCK", size)
+    for text in (prose(3, 500), "a b", "a", "  a \n\n b  c d", "x" * 50 + " y", ""):
+        assert simhash.fingerprint(text) == fingerprint(text)
+        assert "".join(common.blocks(text)) == text
 
 
 def test_a_linked_pair_meets_at_a_home():
