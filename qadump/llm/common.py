@@ -96,6 +96,11 @@ def small_batches(
         yield batch.slice(start)
 
 
+def small(df: DataFrame, most: int = 20_000) -> DataFrame:
+    """Sent to all executors if it has `most` rows or fewer; else left to a shuffle join."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def blocks(text: str, most: int | None = None) -> Iterator[str]:
     """The text in runs of about `most` characters, each but the first starting with a blank.
 

@@ -25,10 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qadump.llm.common import staged, word_count
+from qadump.llm.common import small, staged, word_count
 
-#: Sources times size levels that are sent to every executor; more are joined by shuffle.
-BROADCAST_ROWS = 20_000
 EPSILON = 1e-9
 
 
@@ -160,11 +158,6 @@ def _within() -> Column:
     return (F.col("place") < F.col("cut_place")) | at_cut
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Sent to all executors if it has few rows; else left to a shuffle join."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def mix(
     docs: DataFrame,
     weights: int = 3,
@@ -188,7 +181,7 @@ def mix(
         "mixing",
     )
     slim = drawn.drop("row")
-    levels = _small(
+    levels = small(
         staged(allocation(slim, weights, most), "mixing-levels").withColumnsRenamed(
             {"source": "level_source", "bits": "level_bits"}
         )
@@ -198,7 +191,7 @@ def mix(
         same = F.col("source").eqNullSafe(F.col("level_source")) & (F.col("bits") == F.col("level_bits"))
         return rows.join(levels, same).withColumn("place", _place(F.col("chance"), F.col("uniform")))
 
-    cuts = _small(staged(_cuts(ranked(slim), bins), "mixing-cuts"))
+    cuts = small(staged(_cuts(ranked(slim), bins), "mixing-cuts"))
     closes = (F.col("place") == F.col("close_place")) & (F.col("tie") == F.col("close_tie"))
     chosen = F.coalesce(_within(), F.lit(False)) | F.coalesce(closes, F.lit(False))
     return (

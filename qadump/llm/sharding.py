@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from qadump.llm.common import staged
+from qadump.llm.common import small, staged
 
 #: Ring positions are cut into 2^16 slices, to rank the rows of an arc in parallel.
 SLICE_BITS = 48
@@ -110,7 +110,7 @@ def assign(
         "arc", "slice", F.ceil(F.col("n") / cell_rows).alias("parts")
     )
     split = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("uid")))
-    rows = rows.join(crowded, ["arc", "slice"], "left").withColumn(
+    rows = rows.join(small(crowded), ["arc", "slice"], "left").withColumn(
         "part", F.coalesce(F.pmod(split, F.col("parts")), F.lit(0))
     )
     cell = ["arc", "slice", "part"]
