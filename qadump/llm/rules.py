@@ -44,6 +44,7 @@ FEATURES = {
     "capitals_a_letter": "n_capitals / word_chars",
     "dup_lines_a_line": "n_dup_lines / n_lines",
     "repeated_a_word": "n_repeat_words / n_words",
+    "stutters_a_word": "n_stutters / n_words",
     "words_a_line": "n_words / n_lines",
 }
 
@@ -86,6 +87,7 @@ def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     the words that each adds to the one before it.
     """
     body = F.coalesce(F.col(text), F.lit(""))
+    stutters = F.filter("_hashes", lambda h, i: h == F.get("_hashes", i - 1))  # words said twice on end
     lines = F.filter(F.split("_body", "\n"), lambda line: line.rlike(WORD))
     starts = F.sequence(F.lit(0), F.size("_hashes") - WINDOW)
     windows = F.transform(starts, lambda i: F.xxhash64(*[F.get("_hashes", i + k) for k in range(WINDOW)]))
@@ -118,6 +120,7 @@ def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
             F.regexp_count("_body", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
             (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
             F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
+            F.size(stutters).cast("long").alias("n_stutters"),
             F.size("_lines").cast("long").alias("n_lines"),
             F.regexp_count("_body", F.lit("!")).cast("long").alias("n_bangs"),
             F.regexp_count("_body", F.lit(r"\p{Lu}")).cast("long").alias("n_capitals"),

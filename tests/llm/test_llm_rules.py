@@ -69,6 +69,7 @@ def judge(docs, labels, **settings):
         (lambda t, i: t.upper(), "capitals_a_letter"),
         (lambda t, i: t.replace(" ", "!! "), "bangs_a_word"),
         (lambda t, i: t.replace(" ", "\n"), "words_a_line"),
+        (lambda t, i: " ".join(f"{w} {w} {w}" for w in t.split()[::3]), "stutters_a_word"),
     ],
 )
 def test_planted_rule_is_found(documents, spark, bad, feature):
