@@ -277,12 +277,16 @@ def scores(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
                 keys[2] += missing.values()
                 for column in keys[3:]:
                     column += [None] * len(missing)
-            types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+            whole, real = pa.int64(), pa.float64()
+            types = (whole, pa.string(), whole, whole, whole, whole, real, real)
             names = ("uid", "word", "times", "doc_id", "n_tokens", "n_known", "base_score", "score")
             arrays = [pa.array(c, t) for c, t in zip(keys, types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=list(names))
 
-    kind = "uid long, word string, times long, doc_id long, n_tokens long, n_known long, base_score double, score double"
+    kind = (
+        "uid long, word string, times long, doc_id long, n_tokens long, n_known long, "
+        "base_score double, score double"
+    )
     parts = docs.select("uid", "doc_id", "text").mapInArrow(run, kind)
     c = F.coalesce("c", F.lit(0))
 

@@ -123,11 +123,14 @@ def blocks(
         F.monotonically_increasing_id().alias("uid"),
     )
     # A null conversation is one of its own.
-    conv = F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.concat(F.lit("r"), F.col("uid").cast("string")))
+    of_its_own = F.concat(F.lit("r"), F.col("uid").cast("string"))
+    conv = F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), of_its_own)
+    before_all = F.lit(-(1 << 62))
+    place = F.coalesce(F.floor(F.col("number") / block), before_all).cast("long").alias("block")
     piece = F.sort_array(F.collect_list(F.struct(F.col("number"), F.col("text"), F.col("role"))))
     grouped = (
         rows.withColumn("conv", conv)
-        .groupBy("conv", "conv_id", F.coalesce(F.floor(F.col("number") / block), F.lit(-(1 << 62))).cast("long").alias("block"))
+        .groupBy("conv", "conv_id", place)
         .agg(piece.alias("chunks"))
     )
     return staged(grouped, "chat")
@@ -267,19 +270,25 @@ def parse(parts: DataFrame, model: Model) -> DataFrame:
             for conv_id, chunks, before, after in zip(*columns, strict=True):
                 lines, places = _lines(chunks)
                 states = model.decode(lines, before, after)
-                starts = [k for k, state in enumerate(states) if k == 0 or state % 2 == 0 or state // 2 != states[k - 1] // 2]
+                starts = [
+                    k
+                    for k, state in enumerate(states)
+                    if k == 0 or state % 2 == 0 or state // 2 != states[k - 1] // 2
+                ]
                 for start, end in zip(starts, [*starts[1:], len(lines)], strict=True):
                     role = ROLES[states[start] // 2]
                     head = lines[start][marker(lines[start])[1] :] if states[start] % 2 == 0 else lines[start]
                     body = "\n".join([head, *lines[start + 1 : end]]).strip("\n")
-                    continues = start == 0 and before is not None and states[0] % 2 == 1 and states[0] // 2 == before // 2
+                    goes_on = before is not None and states[0] % 2 == 1 and states[0] // 2 == before // 2
+                    continues = start == 0 and goes_on
                     number, nth, _ = places[start]
                     values = (conv_id, number, nth, role, continues, body, f"<|{role}|>\n{body}\n<|end|>\n")
                     for column, value in zip(rows, values, strict=True):
                         column.append(value)
             types = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.bool_(), pa.string(), pa.string())
             names = [field.split()[0] for field in kind.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names=names)
+            arrays = [pa.array(c, t) for c, t in zip(rows, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     decoded = parts.join(staged(edges, "chat-edges"), ["conv", "block"], "left")
     return decoded.select("conv_id", "chunks", "before", "after").mapInArrow(turns, kind)

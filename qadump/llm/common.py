@@ -14,6 +14,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qadump.sources.staging import delete_folder
+
 #: A word: a run of anything but ASCII white space. The same text for Java's and Python's patterns.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
@@ -42,13 +44,21 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """The same rows, written as a table in the shared folder and read back.
 
-    Cuts the lineage: what follows survives lost executors without recomputing `df`.
+    Cuts the lineage: what follows survives lost executors without recomputing `df`. The
+    folder stays, as results are lazy; `used_up` deletes it where nothing later reads it.
     """
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def used_up(table: DataFrame) -> None:
+    """Delete the folder of a staged table that no later plan reads."""
+    files = table.inputFiles()
+    if files:
+        delete_folder(table.sparkSession, files[0].rpartition("/")[0])
+
+
 def bucket_of(doc_id: str | Column, buckets: int) -> Column:
     """crc32 of the id as text, modulo `buckets`; -1 for a null id, which is never held out."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

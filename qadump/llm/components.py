@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qadump.llm.common import staged
+from qadump.llm.common import staged, used_up
 
 MOST_ROUNDS = 60
 
@@ -41,5 +41,6 @@ def roots(edges: DataFrame) -> DataFrame:
         if state[0] == 0 or state == before:
             return graph.select(F.col("u").alias("vertex"), F.col("v").alias("root"))
         before = state
-        graph = staged(_stars(graph), "stars")
+        last, graph = graph, staged(_stars(graph), "stars")
+        used_up(last)
     raise RuntimeError("components did not settle")

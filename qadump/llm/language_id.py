@@ -13,8 +13,8 @@ language in expectation, chosen by a hash of the row (the bound is a parameter,
 are a fixed vocabulary); their words are counted by Spark. Scoring covers every row and the
 whole text.
 
-Words are letters and the letters and marks that follow, lower-cased; characters outside the vocabulary cost the
-vocabulary's byte pieces. Texts that are null or have no letter are `und` with score 0. Null
+Words are letters and the letters and marks that follow, lower-cased; characters outside the
+vocabulary cost as much as byte pieces. Texts that are null or have no letter are `und` with score 0. Null
 ids are never held out and repeated rows are scored each for itself; without labelled rows all
 texts are `und`. Only the id, text and lang columns are read; lang for training alone.
 """
@@ -63,7 +63,11 @@ def vocabulary(name: str = "piece_bpe_32k.model") -> list[str]:
     """The pieces that lower-cased letters can be cut into: no byte, control or capital pieces."""
     reader = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(name))
     pieces = (reader.id_to_piece(i) for i in range(reader.get_piece_size()) if not reader.is_control(i))
-    own = {p for p in pieces if len(p) <= LONGEST and LETTERS.fullmatch(p.removeprefix(START) or "a") and p == p.lower()}
+    own = {
+        p
+        for p in pieces
+        if len(p) <= LONGEST and p == p.lower() and LETTERS.fullmatch(p.removeprefix(START) or "a")
+    }
     return sorted(own | {START})
 
 

@@ -10,9 +10,11 @@ are taken until the source's remaining words are used up. One more document that
 last gap best closes it.
 
 All of it is DataFrame work. The rows are staged once, with a number that tells repeated
-ones apart, so the words are counted once and every later step sees the same rows. Random numbers are hashes of id and text, so reruns agree. The
-ranking is never sorted whole: words are summed in `bins` of the rank, and only the bin that
-holds the cut is sorted, so a source with a third of all rows is no single task.
+ones apart, so the words are counted once and every later step sees the same rows. Random
+numbers are hashes of id and text, so reruns agree. The ranking is never sorted whole: words
+are summed in `bins` of the rank, and only the bin that holds the cut is sorted, so a source
+with a third of all rows is no single task. Sources are numbered and their targets found over
+a table of one row a source, which does pass one task.
 
 A null text or one without words has size 0: it can be copied, but takes no words. Null is a
 source of its own, after all others. Rows with null or repeated ids are drawn each for
@@ -129,7 +131,12 @@ def _cuts(rows: DataFrame, bins: int) -> DataFrame:
         inside.withColumn("upto", upto)
         .withColumn("at", F.when(F.col("upto") <= F.col("rest"), F.struct("place", "tie", "upto")))
         .groupBy("source")
-        .agg(F.max("at").alias("at"), F.first("edge_bin").alias("bin"), F.first("before").alias("before"), F.first("rest").alias("rest"))
+        .agg(
+            F.max("at").alias("at"),
+            F.first("edge_bin").alias("bin"),
+            F.first("before").alias("before"),
+            F.first("rest").alias("rest"),
+        )
     )
     # If the bin's first row is too long already, the cut is the bin's lower edge.
     cuts = cut.select(
@@ -146,7 +153,11 @@ def _cuts(rows: DataFrame, bins: int) -> DataFrame:
         .where(~_within() & (miss < F.col("gap")))
         .groupBy("source")
         .agg(F.min(F.struct(miss.alias("miss"), "place", "tie")).alias("row"))
-        .select(F.col("source").alias("close_source"), F.col("row.place").alias("close_place"), F.col("row.tie").alias("close_tie"))
+        .select(
+            F.col("source").alias("close_source"),
+            F.col("row.place").alias("close_place"),
+            F.col("row.tie").alias("close_tie"),
+        )
     )
     return cuts.join(closing, F.col("cut_source").eqNullSafe(F.col("close_source")), "left").select(
         "cut_source", "cut_place", "cut_tie", "close_place", "close_tie"

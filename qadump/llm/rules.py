@@ -26,7 +26,7 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qadump.llm.common import SPACE, WORD, staged
+from qadump.llm.common import SPACE, WORD, staged, used_up
 
 WINDOW = 8
 SYMBOLS = r"[#*$%&|<>]"
@@ -179,10 +179,12 @@ def learn(
     rules: list[Rule] = []
     while len(rules) < most_rules:
         open_rows = sample.where(first_match(rules).isNull())
-        rule = _pruned(open_rows, _grown(open_rows.where("grow"), thresholds, most_conditions), least_covered, least_precision)
+        grown = _grown(open_rows.where("grow"), thresholds, most_conditions)
+        rule = _pruned(open_rows, grown, least_covered, least_precision)
         if not rule:
             break
         rules.append(rule)
+    used_up(sample)
     return rules
 
 

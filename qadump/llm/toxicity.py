@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qadump.llm.common import blocks, bucket_of, draw, small_batches, staged
+from qadump.llm.common import blocks, bucket_of, draw, small_batches, staged, used_up
 
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
@@ -209,8 +209,9 @@ def train(
     rows = sample.select("text", "confirmed", "drawn").mapInArrow(
         run, "confirmed boolean, drawn boolean, found array<int>"
     )
-    # Sorted, as rows come back from Spark in any order.
-    texts = sorted(((r.found, r.confirmed, r.drawn) for r in rows.toLocalIterator()), key=lambda t: (t[0], t[1], t[2]))
+    # A sample of fixed size, sorted, as rows come back from Spark in any order.
+    texts = sorted((r.found, r.confirmed, r.drawn) for r in rows.collect())
+    used_up(sample)
     positive = [np.array(t, dtype=np.int64) for t, confirmed, _ in texts if confirmed]
     unlabelled = [np.array(t, dtype=np.int64) for t, _, drawn in texts if drawn]
     if not positive or not unlabelled or not index:
