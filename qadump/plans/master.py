@@ -56,9 +56,9 @@ def attach(users: DataFrame, user_activity: DataFrame, salts: int = SALTS) -> Da
     """Left join of users (any number per id) to their activity (one row per id).
 
     The salt spreads id 0 and null ids by the users' other columns; the one activity row
-    of id 0 is repeated per salt, null ids match none. Other hot ids, and copies of one record, are left to the
-    adaptive skew join, which can split the users' side: with the salt in the key,
-    both sides come straight from a shuffle of the join.
+    of id 0 is repeated per salt, null ids match none. Other hot ids, and copies of one
+    record, are left to the adaptive skew join, which can split the users' side: with the
+    salt in the key, both sides come straight from a shuffle of the join.
     """
     spread = f"int(pmod(xxhash64({', '.join(USER_COLUMNS)}), {salts}))"
     salted = users.selectExpr(*USER_COLUMNS, f"if(coalesce(id, 0) = 0, {spread}, 0) as salt")

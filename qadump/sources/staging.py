@@ -15,11 +15,16 @@ def staging_beside(spark: SparkSession, target: str) -> Iterator[str]:
 
     The name starts with an underscore, so reading the parent folder passes it over.
     """
-    parent, _, name = target.rstrip("/").rpartition("/")
-    path = f"{parent}/_staging-{name}-{uuid.uuid4().hex}" if parent else f"_staging-{name}-{uuid.uuid4().hex}"
+    parent, slash, name = target.rstrip("/").rpartition("/")
+    path = f"{parent}{slash}_staging-{name}-{uuid.uuid4().hex}"
     try:
         yield path
     finally:
-        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-        files.delete(hadoop_path, True)
+        delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any file system that Spark writes to; a missing one is no error."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(hadoop_path, True)
