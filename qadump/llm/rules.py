@@ -32,6 +32,8 @@ WINDOW = 8
 SYMBOLS = r"[#*$%&|<>]"
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent
+#: Labelled rows of a file of the learning sample.
+FILE_ROWS = 200_000
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -152,6 +154,8 @@ def learn(
     judged: doc_id, base_failed and features of `measured`, best staged, as it is read twice.
     """
     marks = labels.where(F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).alias("mark"))
+    # Learning reads its sample some thirty times: few files, each for one task.
+    files = -(-marks.count() // FILE_ROWS) or 1
     known = judged.where(~F.col("base_failed")).join(marks, "doc_id").select("doc_id", "features.*", "mark")
     steps = F.array(*[F.lit((k + 0.5) / quantiles) for k in range(quantiles)])
     by_mark = known.groupBy((F.col("mark") == 0).alias("low")).agg(
@@ -173,7 +177,7 @@ def learn(
             F.array(
                 *[F.struct(F.lit(n).alias("feature"), bin_of(n).alias("bin")) for n in FEATURES]
             ).alias("bins"),
-        ),
+        ).repartition(files),
         "rules",
     )
     rules: list[Rule] = []
