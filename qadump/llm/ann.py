@@ -35,7 +35,9 @@ from pyspark.sql import functions as F
 from qadump.llm.common import staged
 
 BITS = 64
-SHARD_BYTES = 8_000_000
+#: Vectors of a shard: small ones while there are few, so that all cores have some; with
+#: many vectors large ones, as every query is sent to every shard.
+SHARD_BYTES, FEW_SHARDS, LARGEST_SHARD_BYTES = 8_000_000, 512, 200_000_000
 RESULT = "query_uid long, query_id long, vec_id long, uid long, score double"
 
 
@@ -176,7 +178,8 @@ def search(
     data = _matrix(sample.column("vec"))
     codes = spark.sparkContext.broadcast(learn(data, k, goal))  # 64 axes
 
-    shards = max(1, -(-total // max(1, SHARD_BYTES // (8 * data.shape[1]))))
+    size = 8 * data.shape[1] * total
+    shards = max(1, min(-(-size // SHARD_BYTES), FEW_SHARDS), -(-size // LARGEST_SHARD_BYTES))
     is_query = F.pmod("vec_id", F.lit(query_step)) == 0
     own = rows.withColumn("shard", F.pmod(F.xxhash64("uid"), F.lit(shards))).withColumn("asks", F.lit(False))
     asked = (
