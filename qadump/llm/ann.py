@@ -48,7 +48,8 @@ class Codes:
     radius: int
 
     def of(self, vectors: np.ndarray) -> np.ndarray:
-        bits = (vectors - self.mean) @ self.axes > 0
+        runs = (vectors[k : k + 65_536] for k in range(0, max(1, len(vectors)), 65_536))
+        bits = np.concatenate([(run - self.mean) @ self.axes > 0 for run in runs])
         return np.packbits(bits, axis=1).view(">u8").astype(np.uint64).ravel()
 
     @property
