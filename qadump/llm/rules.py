@@ -4,12 +4,15 @@ A rule is a conjunction of thresholds on features of a text, such as "more than
 a word and fewer than 6 letters a word", and marks low quality. Rules are learned from
 labelled documents one after the other: a rule grows by the threshold with the largest gain
 of information on two thirds of the documents that no earlier rule covers, then loses its
-last conditions while that makes it more precise on the other third. Covering stops when no
-rule is precise and frequent enough. The list is emitted as an ordered CASE expression.
+last conditions while that makes it more precise on the other third. Each condition chooses among
+thresholds of the rows that are still open and that the rule covers so far, so a kind of low
+quality is found however rare it is. A rule that is not precise enough, or whose rows chance
+could make as low, gives way to one that starts from another feature or side; covering stops
+when none is left. The list is emitted as an ordered CASE expression.
 
 All features and statistics are DataFrame expressions and aggregates over all labelled
-documents. The driver sees counts of features x thresholds only. Learning costs about one
-small job for each condition.
+documents. The driver sees counts of features x thresholds only. Learning costs two
+small jobs for each condition and one for each rule.
 
 Null and empty texts have no words and fail the base check; labels that are null or whose
 document is absent are ignored; of repeated labels of an id the lower quality counts;
@@ -21,7 +24,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from math import log2
+from itertools import pairwise
+from math import log, log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -144,93 +148,122 @@ def learn(
     labels: DataFrame,
     label: str = "quality",
     quantiles: int = 32,
-    most_rules: int = 8,
     most_conditions: int = 3,
-    least_covered: int = 10,
     least_precision: float = 0.95,
+    most_chance: float = 0.01,
 ) -> list[Rule]:
     """A decision list for label 0 among the documents that pass the base check.
 
-    judged: doc_id, base_failed and features of `measured`, best staged, as it is read twice.
+    judged: doc_id, base_failed and features of `measured`, best staged. most_chance: how likely
+    the rows of a rule may be as low by chance, whatever condition was searched for.
     """
     marks = labels.where(F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).alias("mark"))
-    # Learning reads its sample some thirty times: few files, each for one task.
+    # Learning reads its sample many times: few files, each for one task.
     files = -(-marks.count() // FILE_ROWS) or 1
     known = judged.where(~F.col("base_failed")).join(marks, "doc_id").select("doc_id", "features.*", "mark")
-    steps = F.array(*[F.lit((k + 0.5) / quantiles) for k in range(quantiles)])
-    by_mark = known.groupBy((F.col("mark") == 0).alias("low")).agg(
-        *[F.percentile_approx(name, steps).alias(name) for name in FEATURES]
-    )
-    cuts = by_mark.collect()  # two rows
-    thresholds = {name: sorted({t for row in cuts for t in row[name] or []}) for name in FEATURES}
-
-    def bin_of(name: str) -> Column:
-        """How many thresholds of the feature lie below its value."""
-        values = F.array(*[F.lit(float(t)) for t in thresholds[name]]).cast("array<double>")
-        return F.size(F.filter(values, lambda t: t < F.col(name)))
-
     sample = staged(
         known.select(
             *FEATURES,
             (F.col("mark") == 0).cast("long").alias("low"),
             (F.pmod(F.xxhash64("doc_id", F.lit("grow")), F.lit(3)) > 0).alias("grow"),
-            F.array(
-                *[F.struct(F.lit(n).alias("feature"), bin_of(n).alias("bin")) for n in FEATURES]
-            ).alias("bins"),
         ).repartition(files),
         "rules",
     )
     rules: list[Rule] = []
-    while len(rules) < most_rules:
-        open_rows = sample.where(first_match(rules).isNull())
-        grown = _grown(open_rows.where("grow"), thresholds, most_conditions)
-        rule = _pruned(open_rows, grown, least_covered, least_precision)
-        if not rule:
-            break
+    while rule := _next_rule(
+        sample.where(first_match(rules).isNull()), quantiles, most_conditions, least_precision, most_chance
+    ):
         rules.append(rule)
     used_up(sample)
     return rules
 
 
-def _grown(rows: DataFrame, thresholds: dict[str, list[float]], most_conditions: int) -> Rule:
-    """Add the condition of the largest gain of information until only low rows are covered."""
-    rule: Rule = ()
-    while len(rule) < most_conditions:
-        counts: dict[str, dict[int, tuple[int, int]]] = {name: {} for name in FEATURES}
-        per_bin = (
-            rows.where(matches(rule))
-            .select("low", F.explode("bins").alias("entry"))
-            .groupBy("entry.feature", "entry.bin")
-            .agg(F.sum("low").alias("low"), F.sum(1 - F.col("low")).alias("good"))
-        )
-        for row in per_bin.collect():  # features x thresholds
-            counts[row.feature][row.bin] = (row.low, row.good)
-        low = sum(c[0] for c in counts["words"].values())
-        good = sum(c[1] for c in counts["words"].values())
-        if not low or not good:
-            break
-        now, best = log2(low / (low + good)), (1e-9, None)
-        for name, bins in counts.items():
-            low_below = good_below = 0
-            for k, threshold in enumerate(thresholds[name]):
-                low_below += bins.get(k, (0, 0))[0]
-                good_below += bins.get(k, (0, 0))[1]
-                for above, p, n in ((True, low - low_below, good - good_below), (False, low_below, good_below)):
-                    gain = p * (log2(p / (p + n)) - now) if p else 0.0
-                    # Of equal gains the narrower condition: the higher threshold to be above.
-                    if gain > best[0] or above and best[1] and gain == best[0]:
-                        best = (gain, Condition(name, above, threshold))
-        if not best[1]:
-            break
-        rule = (*rule, best[1])
-    return rule
-
-
-def _pruned(rows: DataFrame, rule: Rule, least_covered: int, least_precision: float) -> Rule:
-    """The beginning of the rule that is best on the rows kept from growing; () if none is good."""
-    if not rule:
-        return ()
-    kept, sums = F.lit(1) - F.col("grow").cast("int"), []
+def _next_rule(
+    rows: DataFrame, quantiles: int, most_conditions: int, least_precision: float, most_chance: float
+) -> Rule:
+    """The first good rule of those grown from each feature's best conditions; () if none is good."""
+    growing = rows.where("grow")
+    starts, tries = _conditions(growing, quantiles)
+    for start in starts:
+        rule: Rule = (start,)
+        while len(rule) < most_conditions:
+            further, _ = _conditions(growing.where(matches(rule)), quantiles)
+            if not further:
+                break
+            rule = (*rule, further[0])
+        if rule := _pruned(rows, rule, least_precision, most_chance / tries):
+            return rule
+    return ()
+
+
+def _thresholds(rows: DataFrame, quantiles: int) -> dict[str, list[float]]:
+    """Half way between neighbours of the values at both classes' ends and quantiles."""
+    steps = F.array(*[F.lit((k + 0.5) / quantiles) for k in range(quantiles)])
+    ends = {name: F.array(F.min(name), F.max(name)) for name in FEATURES}
+    by_mark = rows.groupBy("low").agg(
+        *[F.concat(F.percentile_approx(name, steps), ends[name]).alias(name) for name in FEATURES]
+    )
+    found = by_mark.collect()  # two rows
+    if len(found) < 2:
+        return {}
+    grid = {name: sorted({v for row in found for v in row[name] or []}) for name in FEATURES}
+    return {name: [(a + b) / 2 for a, b in pairwise(values)] for name, values in grid.items()}
+
+
+def _conditions(rows: DataFrame, quantiles: int) -> tuple[list[Condition], int]:
+    """The condition of the largest gain of information of each feature and side, the best one first,
+    and how many were tried. Thresholds are those of the given rows."""
+    thresholds = _thresholds(rows, quantiles)
+    tries = 2 * sum(map(len, thresholds.values()))
+    if not tries:
+        return [], 0
+
+    def bin_of(name: str) -> Column:
+        """How many thresholds of the feature lie below its value."""
+        values = F.array(*[F.lit(float(t)) for t in thresholds[name]]).cast("array<double>")
+        return F.size(F.filter(values, lambda t: t < F.col(name)))
+
+    bins_of = F.array(*[F.struct(F.lit(n).alias("feature"), bin_of(n).alias("bin")) for n in FEATURES])
+    per_bin = (
+        rows.select("low", F.explode(bins_of).alias("entry"))
+        .groupBy("entry.feature", "entry.bin")
+        .agg(F.sum("low").alias("low"), F.sum(1 - F.col("low")).alias("good"))
+    )
+    counts: dict[str, dict[int, tuple[int, int]]] = {name: {} for name in FEATURES}
+    for row in per_bin.collect():  # features x thresholds
+        counts[row.feature][row.bin] = (row.low, row.good)
+    low = sum(c[0] for c in counts["words"].values())
+    good = sum(c[1] for c in counts["words"].values())
+    now, best = log2(low / (low + good)), {}
+    for name, bins in counts.items():
+        low_below = good_below = 0
+        for k, threshold in enumerate(thresholds[name]):
+            low_below += bins.get(k, (0, 0))[0]
+            good_below += bins.get(k, (0, 0))[1]
+            for above, p, n in ((True, low - low_below, good - good_below), (False, low_below, good_below)):
+                gain = p * (log2(p / (p + n)) - now) if p else 0.0
+                # Of equal gains the narrower condition: the higher threshold to be above.
+                if gain > max(1e-9, best.get((name, above), (0.0,))[0]) or above and gain == best.get((name, True), (-1.0,))[0]:
+                    best[name, above] = (gain, Condition(name, above, threshold))
+    ranked = sorted(reversed(best.values()), key=lambda e: (-e[0], not e[1].above))
+    return [condition for _, condition in ranked], tries
+
+
+def _log_chance(low: int, covered: int, base: float) -> float:
+    """Log of a bound (Chernoff's) of the chance that so many of the rows covered are low."""
+    share = low / covered
+    if share <= base:
+        return 0.0
+    rest = (1 - share) * log((1 - share) / (1 - base)) if share < 1 else 0.0
+    return -covered * (share * log(share / base) + rest)
+
+
+def _pruned(rows: DataFrame, rule: Rule, least_precision: float, most_chance: float) -> Rule:
+    """The beginning of the rule that is best on the rows kept from growing; () if none is good.
+
+    most_chance: for one condition; each further one was searched for as widely as the first.
+    """
+    kept, sums = F.lit(1) - F.col("grow").cast("int"), [F.avg("low").alias("base")]
     for length in range(1, len(rule) + 1):
         covers = matches(rule[:length]).cast("int")
         for name, rows_of in (("kept", kept), ("all", F.lit(1))):
@@ -240,7 +273,9 @@ def _pruned(rows: DataFrame, rule: Rule, least_covered: int, least_precision: fl
     for length in range(1, len(rule) + 1):
         held, low_held = found[f"kept_{length}"] or 0, found[f"low_kept_{length}"] or 0
         covered, low = found[f"all_{length}"] or 0, found[f"low_all_{length}"] or 0
-        if covered < least_covered or low < least_precision * covered or low_held < least_precision * held:
+        if not covered or low < least_precision * covered or low_held < least_precision * held:
+            continue
+        if _log_chance(low, covered, found["base"]) > length * log(most_chance):
             continue
         worth = (2 * low_held - held) / held if held else 0.0
         if worth > best[0] + 1e-9:

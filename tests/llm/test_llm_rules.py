@@ -88,6 +88,42 @@ def test_two_kinds_need_two_rules(documents, spark):
     assert judged.join(labels, "doc_id").where(F.col("kept") != (F.col("quality") == 1)).count() == 0
 
 
+def stuttered(text):
+    return " ".join(f"{w} {w}" for w in text.split())
+
+
+def test_a_kind_of_a_few_per_cent_gets_its_rule(documents, spark):
+    """Eight stutters among 300 low rows: past the last point of a grid over all low rows."""
+    bad = {i: stuttered if i % 190 == 0 else lambda t: t.replace(" ", " ### ") for i in range(0, 1500, 5)}
+    assert sum(f is stuttered for f in bad.values()) == 8
+    docs, labels = labelled(documents, spark, lambda t, i: bad[i](t), n=1500)
+    learned, judged = judge(docs, labels)
+    assert any(c.feature == "stutters_a_word" for rule in learned for c in rule)
+    assert judged.join(labels, "doc_id").where(F.col("kept") != (F.col("quality") == 1)).count() == 0
+
+
+def test_as_many_rules_as_there_are_kinds(documents, spark):
+    """Ten kinds, each a band of symbols a word between bands of good rows."""
+
+    def text_of(i):
+        words = prose(i, 60).split()
+        return " ".join(f"{w}#" if k < 3 * (i % 20) else w for k, w in enumerate(words))
+
+    entries = [(i, text_of(i)) for i in range(1000)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i, _ in entries], "doc_id long, quality int, toxic int")
+    learned, judged = judge(documents(rows(entries)), labels)
+    assert len(learned) >= 10
+    assert judged.join(labels, "doc_id").where(F.col("kept") != (F.col("quality") == 1)).count() == 0
+
+
+@pytest.mark.parametrize("feature", ["symbols_a_word", "stutters_a_word"])
+def test_planted_kind_is_covered_to_the_last(documents, spark, feature):
+    bad = {"symbols_a_word": lambda t, i: t.replace(" ", " ### "), "stutters_a_word": lambda t, i: stuttered(t)}
+    docs, labels = labelled(documents, spark, bad[feature])
+    _, judged = judge(docs, labels)
+    assert judged.join(labels, "doc_id").where(F.col("kept") != (F.col("quality") == 1)).count() == 0
+
+
 def test_noise_teaches_nothing(documents, spark):
     docs, labels = labelled(documents, spark, lambda t, i: t)
     learned, judged = judge(docs, labels)
