@@ -1,20 +1,23 @@
 """LM scoring: Brown class-based bigrams, P(w | w') = P(class(w) | class(w')) P(w | class(w)).
 
-Words get classes by the exchange algorithm: the most frequent words start in classes of
-their own rank, all others in one class of rare words, and each frequent word in turn
-moves to the class that raises the likelihood of the training text's class bigrams most, until
-few words move. Counts of words are taken over all training text and grow with it; only the
-`exchanged` most frequent words move (a documented bound of the method, which makes the table of their
-bigrams a bounded one; those bigrams too are counted over all training text).
+Words get classes by the exchange algorithm: the `exchanged` most frequent words of the training
+text start in classes of their own rank, all others in one class of rare words, and each frequent word
+in turn moves to the class that raises the likelihood of the training text's class bigrams most, until
+few words move. Every other word that training saw twice or more then gets the class that makes
+the training text likeliest next to the exchanged words' classes, all of them in one parallel round, and
+the class bigrams are counted again over the classes of all words. Words seen once stay in
+the rare class, as they stand for words that were never seen.
 
 Smoothing: class transitions are interpolated with the class unigram; words of the rare
 class have absolute discounting, and the discounted mass is the probability of a word that
 training never saw. The probabilities of the V known words and the unknown one sum to 1.
 
-Plan: one pass counts words, one counts bigrams of frequent words, one scores. While
-scoring, frequent words are looked up in a broadcast table of fixed size, which also keeps any
-hot word out of the shuffle; rare words are joined with their counts, and the sums return
-to their documents in one aggregation.
+Plan: one pass counts words, one counts bigrams of exchanged words (a table of bounded size), one
+counts the classes around all other words, by word, and one finds the classes of all
+tokens: frequent words are looked up in a broadcast table of fixed size, which also keeps any
+hot word out of the shuffle; other words are joined with their classes, and return to their
+places in their documents in one aggregation. Transitions and scores come from these
+sequences, a byte a token, staged.
 
 A null or empty text is its end token alone. Null ids are never held out; repeated rows
 count and score as rows of their own. Without training text N = V = 0, the base score is 0 and
@@ -25,11 +28,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -193,13 +197,26 @@ def exchange(counts: np.ndarray, classes: int, fixed: int, rounds: int = 12) ->
     return of
 
 
+def _transition(bigrams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log10 P(class | class before), and the tokens of each class."""
+    class_tokens = bigrams.sum(axis=0)  # every token follows something
+    share = (class_tokens + 0.5) / (class_tokens.sum() + 0.5 * len(bigrams))
+    context = bigrams.sum(axis=1, keepdims=True)
+    strength = 20.0
+    return np.log10((bigrams + strength * share) / (context + strength)), class_tokens
+
+
 def train(
     docs: DataFrame, counts: DataFrame, classes: int = 32, exchanged: int = 1_500, looked_up: int = 30_000
 ) -> Model:
-    """docs: rows of text and train; counts: of `word_counts`, staged."""
+    """Classes of the words that the exchange moves; all others are in the rare class as yet.
+
+    docs: rows of text and train; counts: of `word_counts`, staged.
+    """
     is_end = F.col("word") == END.decode()
-    top = counts.where(~is_end).orderBy(F.desc("n"), "word").limit(looked_up)
-    frequent = [(r.word.encode(), r.c) for r in top.select("word", "c").collect()]
+    words = counts.where(~is_end)
+    top = words.orderBy(F.desc("n"), "word").limit(looked_up)
+    frequent = {r.word.encode(): r.c for r in top.select("word", "c").collect()}
     totals = counts.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("total"),
         F.count(F.when(F.col("c") > 0, 1)).alias("distinct"),
@@ -207,69 +224,158 @@ def train(
         F.count(F.when(F.col("c") == 2, 1)).alias("twice"),
         F.coalesce(F.sum(F.when(is_end, F.col("c"))), F.lit(0)).alias("ends"),
     ).first()
-    movers = sorted(((w, c) for w, c in frequent if c > 0), key=lambda e: (-e[1], e[0]))[:exchanged]
+    trained = words.where("c > 0").orderBy(F.desc("c"), "word").limit(exchanged)
+    movers = [(r.word.encode(), r.c) for r in trained.select("word", "c").collect()]
     ids = {word: k for k, (word, _) in enumerate(movers)} | {END: len(movers)}
     table = bigram_counts(docs.where("train"), ids, len(movers) + 2)
     of = exchange(table, classes, fixed=2)
     k = classes + 2
     member = np.zeros((len(of), k))
     member[np.arange(len(of)), of] = 1
-    bigrams = member.T @ table @ member
-    class_tokens = bigrams.sum(axis=0)  # every token follows something
-    share = (class_tokens + 0.5) / (class_tokens.sum() + 0.5 * k)
-    context = bigrams.sum(axis=1, keepdims=True)
-    strength = 20.0
-    transition = (bigrams + strength * share) / (context + strength)
+    transition, class_tokens = _transition(member.T @ table @ member)
     rare_types = totals.distinct - len(movers) - (totals.ends > 0)
     discount = min(0.9, totals.once / (totals.once + 2 * totals.twice)) if totals.once else 0.5
     known = {word: (count, int(of[i])) for i, (word, count) in enumerate(movers)}
-    known |= {word: (count, k - 1) for word, count in frequent if word not in known}
+    known |= {word: (count, k - 1) for word, count in frequent.items() if word not in known}
     known[END] = (totals.ends, classes)
-    return Model(known, np.log10(transition), class_tokens, totals.total, totals.distinct, discount, rare_types)
+    return Model(known, transition, class_tokens, totals.total, totals.distinct, discount, rare_types)
 
 
-def _emissions(model: Model) -> dict[bytes, tuple[int, float, float, int]]:
-    """word: class, log10 P(word | class), base score, known."""
-    mass, unseen = model.rare_emission()
+def assigned(docs: DataFrame, model: Model) -> DataFrame:
+    """word, c and group: the class of every training word that the exchange left in the rare class.
+
+    docs: rows of text and train; model: of `train`. A word gets the class under which
+    the training text is likeliest, given the classes of the exchanged words next to it, all words at once.
+    Those seen once stay in the rare class: they stand for the words that were never seen.
+    """
+    k, rare = len(model.class_tokens), model.rare
+    moved = {word: group for word, (_, group) in model.frequent.items() if group < rare}
+    shared = docs.sparkSession.sparkContext.broadcast(moved)  # `exchanged` words
+    share = (model.class_tokens + 0.5) / (model.class_tokens.sum() + 0.5 * k)
+    # class before x class after, by class of the word: the likelihood of one occurrence.
+    into = model.transition - np.log10(share)
+    worth = (into[:, None, : rare - 1] + model.transition.T[None, :, : rare - 1]).reshape(k * k, rare - 1)
+
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups = shared.value
+        for batch in small_batches(batches, most_bytes=8_000_000):
+            words = list(chain.from_iterable(chain.from_iterable(map(token_runs, batch.column(0).to_pylist()))))
+            flat = np.fromiter((groups.get(w, rare) for w in words), dtype=np.int64, count=len(words))
+            at = np.flatnonzero(flat == rare)  # never the last token, which is an end
+            code = np.r_[groups[END], flat[:-1]][at] * k + flat[np.minimum(at + 1, len(flat) - 1)]
+            coded = pa.array([words[i] for i in at.tolist()], pa.binary()).dictionary_encode()
+            key, n = np.unique(coded.indices.to_numpy() * np.int64(k * k) + code, return_counts=True)
+            word = coded.dictionary.cast(pa.string()).take(pa.array(key // (k * k)))
+            yield pa.RecordBatch.from_arrays(
+                [word, pa.array((key % (k * k)).astype(np.int32)), pa.array(n)], names=["word", "code", "n"]
+            )
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 500):
+                batch = whole.slice(start, 500)
+                seen = batch.column("seen")
+                entries, sizes = seen.flatten(), pa.compute.list_value_length(seen).to_numpy()
+                gains = worth[entries.field("code").to_numpy()] * entries.field("n").to_numpy()[:, None]
+                total = np.add.reduceat(gains, np.r_[0, np.cumsum(sizes)[:-1]])
+                group = np.where(batch.column("c").to_numpy() > 1, total.argmax(axis=1), rare)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("word"), batch.column("c"), pa.array(group.astype(np.int32))],
+                    names=["word", "c", "group"],
+                )
+
+    # One shuffle, by word; a word has at most classes x classes codes.
+    seen = docs.where("train").select("text").mapInArrow(around, "word string, code int, n long").repartition("word")
+    by_word = (
+        seen.groupBy("word", "code").agg(F.sum("n").alias("n"))
+        .groupBy("word").agg(F.sum("n").alias("c"), F.collect_list(F.struct("code", "n")).alias("seen"))
+    )
+    return staged(by_word.mapInArrow(choose, "word string, c long, group int"), "classes")
+
+
+def with_classes(model: Model, words: DataFrame) -> Model:
+    """The model with the classes of `assigned` for the words of its table."""
+    kind = "word string"
+    open_words = [(w.decode(),) for w, (c, group) in model.frequent.items() if c and group == model.rare]
+    asked = words.sparkSession.createDataFrame(open_words, kind)
+    found = words.join(F.broadcast(asked), "word").select("word", "c", "group").collect()
+    return replace(model, frequent=model.frequent | {r.word.encode(): (r.c, r.group) for r in found})
+
+
+def refitted(model: Model, found: DataFrame, words: DataFrame) -> Model:
+    """The model with transitions counted over the classes of all training words.
+
+    found: of `sequences`, staged; words: of `assigned`.
+    """
+    k, end = len(model.class_tokens), model.rare - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(k * k, dtype=np.int64)
+        for batch in batches:
+            flat = np.frombuffer(b"".join(batch.column(0).to_pylist()), _kind(k)).astype(np.int64)
+            sums += np.bincount(np.r_[end, flat[:-1]] * k + flat, minlength=k * k)
+        pair = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(sums[pair])], names=["pair", "n"])
+
+    rows = found.where("train").select("classes").mapInArrow(run, "pair long, n long")
+    bigrams = np.zeros(k * k)
+    for row in rows.groupBy("pair").agg(F.sum("n").alias("n")).collect():  # classes x classes
+        bigrams[row.pair] = row.n
+    transition, class_tokens = _transition(bigrams.reshape(k, k))
+    return replace(
+        model,
+        transition=transition,
+        class_tokens=class_tokens,
+        rare_types=words.where(F.col("group") == model.rare).count(),
+    )
+
+
+def _kind(k: int) -> type:
+    """What a token's class is written as: 0 to k - 1, and k for words that training never saw."""
+    return np.uint8 if k < 256 else np.uint16
+
+
+def _looked_up(model: Model) -> dict[bytes, tuple[int, float, float, int]]:
+    """word: class, log10 of its count (in the rare class less the discount), base score, known."""
     found = {}
     for word, (count, group) in model.frequent.items():
-        if group < model.rare:
-            emission = np.log10(count / model.class_tokens[group]) if count else unseen
-        else:
-            emission = np.log10((count - model.discount) / mass) if count else unseen
-        found[word] = (group, float(emission), model.base(count), int(count > 0))
+        own = count - model.discount * (group == model.rare)
+        # An end without training keeps its class.
+        group = group if count or word == END else model.rare + 1
+        found[word] = (group, float(np.log10(own)) if count else 0.0, model.base(count), int(count > 0))
     return found
 
 
-def scores(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
-    """uid, doc_id, n_tokens, n_known, base_score and score of every row (uid, doc_id, text)."""
-    # Of fixed size: `looked_up` words and a table of classes.
-    shared = docs.sparkSession.sparkContext.broadcast((_emissions(model), model.transition))
-    rare = model.rare
-    mass, unseen = model.rare_emission()
+def sequences(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+    """uid, doc_id, train, classes (of all tokens, as bytes), n_tokens, n_known, base_score and
+    log_counts of every row (uid, doc_id, text and, if there, train).
+
+    counts: word, c and, if there, group; without it all words not in the model's table are rare.
+    """
+    # Of fixed size: `looked_up` and `exchanged` words.
+    shared = docs.sparkSession.sparkContext.broadcast(_looked_up(model))
+    rare, k = model.rare, len(model.class_tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup, transition = shared.value
-        end = lookup[END][0]
-        unknown = (rare, 0.0, 0.0, 0)
-        fields = np.array([*lookup.values(), unknown])
+        lookup = shared.value
+        fields = np.array([*lookup.values(), (k, 0.0, 0.0, 0)])
         index = {word: i for i, word in enumerate(lookup)}
-        groups = fields[:, 0].astype(np.int64)
+        groups = fields[:, 0].astype(_kind(k))
         for batch in small_batches(batches):
-            keys: list = [[], [], [], [], [], [], [], []]
-            columns = (batch.column(k).to_pylist() for k in range(3))
-            for uid, doc_id, text in zip(*columns, strict=True):
-                count, sums, steps, before = 0, np.zeros(3), 0.0, end
-                missing: Counter = Counter()
+            keys: list = [[], [], [], [], [], [], [], [], [], []]
+            columns = (batch.column(k).to_pylist() for k in range(4))
+            for uid, doc_id, text, is_train in zip(*columns, strict=True):
+                count, sums, pieces = 0, np.zeros(3), []
+                missing: dict[bytes, list[int]] = {}
                 for words in token_runs(text):
                     at = np.fromiter((index.get(w, len(index)) for w in words), dtype=np.int64, count=len(words))
-                    group = np.r_[before, groups[at]]
-                    steps += transition[group[:-1], group[1:]].sum()
+                    pieces.append(groups[at].tobytes())
                     sums += fields[at, 1:].sum(axis=0)
-                    missing.update(words[i] for i in np.flatnonzero(at == len(index)).tolist())
-                    count, before = count + len(words), group[-1]
+                    for i in np.flatnonzero(at == len(index)).tolist():
+                        missing.setdefault(words[i], []).append(count + i)
+                    count += len(words)
                 # The document's own row meets no word of the table and no other row.
-                row = (uid, f"{NEVER}{uid}", 0, doc_id, count, int(sums[2]), sums[1], sums[0] + steps)
+                row = (uid, f"{NEVER}{uid}", None, doc_id, is_train, b"".join(pieces), count, int(sums[2]), sums[1], sums[0])
                 for column, value in zip(keys, row, strict=True):
                     column.append(value)
                 keys[0] += [uid] * len(missing)
@@ -278,36 +384,94 @@ def scores(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
                 for column in keys[3:]:
                     column += [None] * len(missing)
             whole, real = pa.int64(), pa.float64()
-            types = (whole, pa.string(), whole, whole, whole, whole, real, real)
-            names = ("uid", "word", "times", "doc_id", "n_tokens", "n_known", "base_score", "score")
+            types = (whole, pa.string(), pa.list_(pa.int32()), whole, pa.bool_(), pa.binary(), whole, whole, real, real)
             arrays = [pa.array(c, t) for c, t in zip(keys, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=list(names))
+            yield pa.RecordBatch.from_arrays(arrays, names=[field.split()[0] for field in kind.split(", ")])
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Write the classes of joined words to their places."""
+        for whole in batches:
+            for batch in small_batches([whole], "classes"):
+                texts = batch.column("classes").to_pylist()
+                ends = np.cumsum([len(t) // _kind(k)().itemsize for t in texts])
+                flat = np.frombuffer(b"".join(texts), _kind(k)).copy()
+                places = batch.column("places")
+                entries, sizes = places.flatten(), pa.compute.list_value_length(places).to_numpy()
+                at = entries.field("at")
+                each = pa.compute.list_value_length(at).to_numpy()
+                starts = np.repeat(np.r_[0, ends[:-1]], sizes)
+                flat[at.flatten().to_numpy() + np.repeat(starts, each)] = np.repeat(entries.field("group").to_numpy(), each)
+                filled = [part.tobytes() for part in np.split(flat, ends[:-1])]
+                names = [name for name in batch.schema.names if name != "places"]
+                arrays = [pa.array(filled, pa.binary()) if n == "classes" else batch.column(n) for n in names]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     kind = (
-        "uid long, word string, times long, doc_id long, n_tokens long, n_known long, "
-        "base_score double, score double"
+        "uid long, word string, at array<int>, doc_id long, train boolean, classes binary, n_tokens long, "
+        "n_known long, base_score double, log_counts double"
     )
-    parts = docs.select("uid", "doc_id", "text").mapInArrow(run, kind)
-    c = F.coalesce("c", F.lit(0))
+    is_train = F.col("train") if "train" in docs.columns else F.lit(False)
+    parts = docs.select("uid", "doc_id", "text", is_train.alias("train")).mapInArrow(run, kind)
+    group = F.col("group") if "group" in counts.columns else F.lit(rare)
+    known = counts.where("c > 0").select("word", "c", group.alias("group"))
+    c, times = F.coalesce("c", F.lit(0)), F.coalesce(F.size("at"), F.lit(0))
 
     def plus(own: str, each: Column) -> Column:
-        return F.sum(F.coalesce(F.col(own), F.lit(0)) + F.col("times") * each).alias(own)
+        added = F.when(F.col("at").isNotNull(), times * each).otherwise(F.lit(0))
+        return F.sum(F.coalesce(F.col(own), F.lit(0)) + added).alias(own)
 
     base = F.log10((c + 0.5) / F.lit(model.total + 0.5 * (model.distinct + 1)))
-    emission = F.when(c > 0, F.log10((c - model.discount) / mass)).otherwise(F.lit(unseen))
+    logs = F.when(c > 0, F.log10(c - F.when(F.col("group") == rare, model.discount).otherwise(0.0))).otherwise(0.0)
+    place = F.struct("at", F.coalesce("group", F.lit(k)).alias("group"))
+    filled = "uid long, doc_id long, train boolean, classes binary, n_tokens long, n_known long, base_score double, log_counts double"
     return (
-        parts.join(counts.where("c > 0").select("word", "c"), "word", "left")
+        parts.join(known, "word", "left")
         .groupBy("uid")
         .agg(
             F.max("doc_id").alias("doc_id"),
+            F.max("train").alias("train"),
+            F.first("classes", ignorenulls=True).alias("classes"),
             F.max("n_tokens").alias("n_tokens"),
             plus("n_known", (c > 0).cast("int")),
             plus("base_score", base),
-            plus("score", emission),
+            plus("log_counts", logs),
+            F.collect_list(F.when(F.col("at").isNotNull(), place)).alias("places"),
         )
+        .mapInArrow(fill, filled)
     )
 
 
+def scored(found: DataFrame, model: Model) -> DataFrame:
+    """uid, doc_id, train, n_tokens, n_known, base_score and score of every row of `sequences`."""
+    k, rare = len(model.class_tokens), model.rare
+    mass, unseen = model.rare_emission()
+    # What a token's class costs: its log count is in log_counts.
+    sizes = np.maximum(1, np.r_[model.class_tokens[:rare], mass])
+    own = np.r_[-np.log10(sizes), unseen]
+    step = model.transition[:, [*range(k), rare]]
+    step = step[[*range(k), rare]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in small_batches([whole], "classes"):
+                texts = batch.column("classes").to_pylist()
+                ends = np.cumsum([len(t) // _kind(k)().itemsize for t in texts])
+                flat = np.frombuffer(b"".join(texts), _kind(k)).astype(np.int64)
+                before = np.r_[rare - 1, flat[:-1]]  # every text ends with the end
+                sums = np.add.reduceat(step[before, flat] + own[flat], np.r_[0, ends[:-1]])
+                names = ["uid", "doc_id", "train", "n_tokens", "n_known", "base_score"]
+                score = pa.array(sums + batch.column("log_counts").to_numpy())
+                yield pa.RecordBatch.from_arrays([*map(batch.column, names), score], names=[*names, "score"])
+
+    kind = "uid long, doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double"
+    return found.mapInArrow(run, kind)
+
+
+def scores(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+    """uid, doc_id, n_tokens, n_known, base_score and score of every row (uid, doc_id, text)."""
+    return scored(sequences(docs, model, counts), model).drop("train")
+
+
 def score_texts(
     docs: DataFrame, folds: int = 5, held: int = 1, doc_id: str = "doc_id", text: str = "text", **settings
 ) -> DataFrame:
@@ -319,7 +483,11 @@ def score_texts(
     ).withColumn("train", bucket_of("doc_id", folds) != held)
     counts = staged(word_counts(rows), "words")
     model = train(rows, counts, **settings)
-    return scores(rows, model, counts).select(
+    words = assigned(rows, model)
+    model = with_classes(model, words)
+    found = staged(sequences(rows, model, words), "class-sequences")
+    model = refitted(model, found, words)
+    return scored(found, model).select(
         "doc_id",
         (bucket_of("doc_id", folds) == held).alias("held_out"),
         F.col("n_tokens").cast("long").alias("n_tokens"),

@@ -114,6 +114,65 @@ def test_probabilities_sum_to_one(documents):
             assert mass[group] == pytest.approx(1)
 
 
+def fully_trained(docs):
+    base, counts, model = trained(docs)
+    words = brown.assigned(base, model)
+    model = brown.with_classes(model, words)
+    found = brown.sequences(base, model, words).cache()
+    return base, counts, words, found, brown.refitted(model, found, words)
+
+
+def test_every_word_seen_twice_has_a_class(documents):
+    _, counts, words, found, model = fully_trained(documents(rows(sentences(120))))
+    c = {r.word.encode(): r.c for r in counts.collect()}
+    group = {r.word.encode(): r.group for r in words.collect()}
+    group |= {w: g for w, (count, g) in model.frequent.items() if count}
+    assert group.keys() == c.keys() and any(n > 1 for w, n in c.items() if w not in model.frequent)
+    assert all((group[w] < model.rare) == (n > 1) for w, n in c.items())
+    # Tokens of classes and transitions follow from those classes.
+    tokens_of = Counter()
+    for w, n in c.items():
+        tokens_of[group[w]] += n
+    assert [tokens_of[k] for k in range(model.rare + 1)] == model.class_tokens.tolist()
+    total = Counter()
+    for w, n in c.items():
+        total[group[w]] += (n - model.discount * (group[w] == model.rare)) / tokens_of[group[w]]
+    total[model.rare] += 10 ** model.rare_emission()[1]
+    assert all(p == pytest.approx(1) for p in total.values())
+    assert np.allclose((10**model.transition).sum(axis=1), 1)
+    # And scores from both.
+    for r in brown.scored(found, model).join(documents(rows(sentences(120))).select("doc_id", "text"), "doc_id").collect():
+        expected, before = 0.0, group[brown.END]
+        for w in brown.tokens(r.text):
+            own = c[w] - model.discount * (group[w] == model.rare)
+            expected += model.transition[before, group[w]] + math.log10(own / tokens_of[group[w]])
+            before = group[w]
+        assert r.score == pytest.approx(expected)
+
+
+def test_words_outside_the_exchange_join_their_like(documents):
+    """Rare adjectives and adverbs, each between words that tell which it is."""
+    rng = np.random.default_rng(9)
+    texts = []
+    for i in range(400):
+        one, two = rng.integers(60, size=2)
+        texts.append((i, " ".join(["the", f"adj{one}", "house", "sleeps", f"adv{two}", "now"] * 2)))
+    _, _, words, _, model = fully_trained(documents(rows(texts)))
+    found = {r.word: r.group for r in words.collect()}
+    kinds = [{g for w, g in found.items() if w.startswith(k)} for k in ("adj", "adv")]
+    assert all(kinds) and not kinds[0] & kinds[1]
+
+
+def test_movers_are_ranked_by_training_counts(documents):
+    held = [i for i in range(300) if is_held(i)][:30]
+    learned = [i for i in range(300) if not is_held(i)][:30]
+    docs = documents(rows([(i, " ".join(f"only{k}" for k in range(25)) * 2) for i in held] + [(i, "dog cat") for i in learned]))
+    base = docs.selectExpr("doc_id", "text", "false as train", "monotonically_increasing_id() as uid")
+    base = base.withColumn("train", base.doc_id.isin(learned))
+    model = brown.train(base, brown.word_counts(base).cache(), **SMALL)
+    assert all(model.frequent[w][1] < model.rare for w in (b"dog", b"cat"))
+
+
 def likelihood(counts, of):
     member = np.eye(of.max() + 1)[of]
     table = member.T @ counts @ member
