@@ -8,9 +8,9 @@ overfitting), its slope is not followed. Loss: logistic. Model: weights of featu
 in numpy by Adam.
 
 Features: a text has so many words that begin with a given stem (1, 2 or 4 and more). Stems
-are a word's first 4 to 10 letters, or a shorter word as a whole. The `most_features` ones whose
-share among positives exceeds that among unlabelled texts most, by `least_errors` standard
-errors or more, are kept.
+are a word's first 4 to 10 letters, or a shorter word as a whole. All features whose share among
+positives exceeds that among unlabelled texts by `least_errors` standard errors or more are
+kept; the sample bounds how many there can be.
 
 Training uses a sample of both sets, `sample_rows` each in expectation, drawn by a hash of
 the row (a documented bound of the fit: it keeps the training set of fixed size). The class
@@ -190,7 +190,6 @@ def train(
     labels: DataFrame,
     usable: Column,
     sample_rows: int = 3_000,
-    most_features: int = 300,
     least_errors: float = 4.0,
     **settings,
 ) -> Model:
@@ -220,8 +219,7 @@ def train(
     share_u = np.bincount(np.concatenate(unlabelled), minlength=len(index)) / len(unlabelled)
     error = np.sqrt(np.maximum(share_u, 1 / len(unlabelled)) * (1 / len(positive) + 1 / len(unlabelled)))
     excess = (share_p - share_u) / error
-    kept = np.argsort(-excess, kind="stable")[:most_features]
-    kept = kept[excess[kept] >= least_errors]
+    kept = np.flatnonzero(excess >= least_errors)
     place = np.full(len(index), -1)
     place[kept] = np.arange(len(kept))
 
@@ -235,7 +233,7 @@ def train(
 
 def score_column(spark: SparkSession, model: Model, text: str) -> Column:
     """The probability of toxicity of a text column, 0 to 1."""
-    shared = spark.sparkContext.broadcast(model)  # at most `most_features` weights
+    shared = spark.sparkContext.broadcast(model)  # weights of the features that the sample supports
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:

@@ -38,6 +38,20 @@ def test_held_out_documents(documents, spark):
     assert len(wrong) <= 7
 
 
+def test_every_toxic_word_has_features(documents, spark):
+    """Twenty words of ten letters make 21 features each, 420 together."""
+    bad = [chr(97 + k) * 2 + "qxyzuvwj" for k in range(20)]
+    entries, labels = [], []
+    for i in range(1500):
+        words = prose(i, 40).split()
+        if i % 10 == 0:
+            words[3:25:3] = [bad[i // 10 % 20]] * len(words[3:25:3])
+        entries.append((i, " ".join(words)))
+        labels.append((i, 1, int(i % 10 == 0)))
+    found = scored(documents, spark, rows(entries), labels)
+    assert [i for i, r in found.items() if r.predicted != (i % 10 == 0)] == []
+
+
 def test_labels_of_held_out_rows_are_not_read(documents, spark):
     entries, labels = planted(300)
     found = scored(documents, spark, rows(entries), labels)
