@@ -7,7 +7,7 @@ are independent, so its log likelihoods add up; the language with the largest wi
 is its share of the likelihoods (the posterior under equal priors).
 
 Training: expectation maximisation. A backward pass beside the forward one gives the expected
-count of each piece in all segmentations of the training words; add-one smoothed counts are
+count of each piece in all segmentations of the training words, whatever their length; add-one smoothed counts are
 the next probabilities. It runs on the words of a sample of labelled rows: `sample_rows` a
 language in expectation, chosen by a hash of the row (the bound is a parameter, as the pieces
 are a fixed vocabulary); their words are counted by Spark. Scoring covers every row and the
@@ -43,8 +43,10 @@ LONGEST = 16
 MOST_LANGUAGES = 1_000
 #: Words kept with their likelihoods by a task.
 MEMORY = 150_000
-#: Longer words are rescaled while they are scored, so that no probability underflows.
+#: Longer words are rescaled while they are scored or learned from, so that no probability underflows.
 SHORT = 24
+#: Characters x languages of longer words that are learned from at a time.
+LONG_CELLS = 2_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -93,16 +95,22 @@ class Lattice:
 
         codes: words of one length, one a row, as code points.
         """
+        return {
+            (start, end): piece
+            for start in range(codes.shape[1])
+            for end, piece in self.starting(codes, start).items()
+        }
+
+    def starting(self, codes: np.ndarray, start: int) -> dict[int, np.ndarray]:
+        """end to the piece of each word from start to there, as in `find`."""
         found = {}
-        length = codes.shape[1]
-        for start in range(length):
-            value = np.zeros(len(codes), dtype=np.uint64)
-            for end in range(start + 1, min(length, start + self.longest) + 1):
-                value = value * _BASE + codes[:, end - 1].astype(np.uint64) + np.uint64(1)
-                at = np.minimum(np.searchsorted(self.hashes, value), len(self.hashes) - 1)
-                hit = self.hashes[at] == value
-                if hit.any() or end == start + 1:
-                    found[start, end] = np.where(hit, self.rows[at], self.none)
+        value = np.zeros(len(codes), dtype=np.uint64)
+        for end in range(start + 1, min(codes.shape[1], start + self.longest) + 1):
+            value = value * _BASE + codes[:, end - 1].astype(np.uint64) + np.uint64(1)
+            at = np.minimum(np.searchsorted(self.hashes, value), len(self.hashes) - 1)
+            hit = self.hashes[at] == value
+            if hit.any() or end == start + 1:
+                found[end] = np.where(hit, self.rows[at], self.none)
         return found
 
 
@@ -133,14 +141,17 @@ class Model:
 
     def _edges(self, codes: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
         """(start, end) to words x languages: the probability of the piece there."""
-        edges = {}
-        for (start, end), piece in self.lattice.find(codes).items():
-            chance = self.table[piece]
-            if end == start + 1:
-                missing = piece == self.lattice.none
-                chance = np.where(missing[:, None], self.byte ** byte_cost(codes[:, start])[:, None] * 1e-2, chance)
-            edges[start, end] = chance
-        return edges
+        return {
+            (start, end): self._chance(codes, start, end, piece)
+            for (start, end), piece in self.lattice.find(codes).items()
+        }
+
+    def _chance(self, codes: np.ndarray, start: int, end: int, piece: np.ndarray) -> np.ndarray:
+        chance = self.table[piece]
+        if end == start + 1:
+            missing = piece == self.lattice.none
+            chance = np.where(missing[:, None], self.byte ** byte_cost(codes[:, start])[:, None] * 1e-2, chance)
+        return chance
 
     def log_likelihoods(self, items: list[str]) -> np.ndarray:
         """words x languages: the log of the sum over all segmentations of each word."""
@@ -179,13 +190,16 @@ class Model:
     def expected(self, items: list[str], times: np.ndarray) -> np.ndarray:
         """pieces x languages: expected counts in all segmentations of the words.
 
-        times: words x languages, how often each word occurs. Words longer than SHORT are left
-        to scoring: their products could underflow.
+        times: words x languages, how often each word occurs.
         """
         total = np.zeros_like(self.table)
         for rows, codes in by_length(items):
             length = codes.shape[1]
             if length > SHORT:
+                step = max(1, LONG_CELLS // (length * len(self.languages)))
+                for start in range(0, len(rows), step):
+                    some = slice(start, start + step)
+                    self._add_expected_long(total, codes[some], times[rows[some]])
                 continue
             found = self.lattice.find(codes)
             edges = self._edges(codes)
@@ -195,11 +209,46 @@ class Model:
                 back[start] += edges[start, end] * back[end]
             weight = times[rows] / np.maximum(forward[length], 1e-300)
             for (start, end), chance in edges.items():
-                share = forward[start] * chance * back[end] * weight
-                for language in range(share.shape[1]):
-                    total[:, language] += np.bincount(found[start, end], share[:, language], len(total))
+                self._add(total, found[start, end], forward[start] * chance * back[end] * weight)
         return total[:-1]
 
+    @staticmethod
+    def _add(total: np.ndarray, piece: np.ndarray, share: np.ndarray) -> None:
+        for language in range(share.shape[1]):
+            total[:, language] += np.bincount(piece, share[:, language], len(total))
+
+    def _add_expected_long(self, total: np.ndarray, codes: np.ndarray, times: np.ndarray) -> None:
+        """Add the expected counts of words of one length, whatever it is.
+
+        Both passes keep the logs of their states, so nothing underflows.
+        """
+        length, reach = codes.shape[1], self.lattice.longest
+        shape = (len(codes), len(self.languages))
+
+        def starting(at: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+            """End, piece and chance of the edges that start there."""
+            found = self.lattice.starting(codes, at)
+            return [(end, piece, self._chance(codes, at, end, piece)) for end, piece in found.items()]
+
+        def log_sum(parts: list[np.ndarray], chances: list[np.ndarray]) -> np.ndarray:
+            top = np.max(parts, axis=0)
+            return top + np.log(sum(np.exp(p - top) * c for p, c in zip(parts, chances, strict=True)))
+
+        forward = [np.zeros(shape)]
+        coming: dict[int, tuple[list, list]] = {end: ([], []) for end in range(1, length + 1)}
+        for start in range(length):
+            for end, _, chance in starting(start):
+                coming[end][0].append(forward[start])
+                coming[end][1].append(chance)
+            forward.append(log_sum(*coming.pop(start + 1)))
+        back, whole = {length: np.zeros(shape)}, forward[length]
+        for start in range(length - 1, -1, -1):
+            edges = starting(start)
+            back[start] = log_sum([back[end] for end, _, _ in edges], [chance for _, _, chance in edges])
+            for end, piece, chance in edges:
+                self._add(total, piece, np.exp(forward[start] + back[end] - whole) * chance * times)
+            back.pop(start + reach, None)
+
 
 def fit(pieces: list[str], languages: list[str], items: list[str], times: np.ndarray, rounds: int = 4) -> Model:
     """Expectation maximisation from piece probabilities that fall with the piece's length."""

@@ -65,6 +65,26 @@ def test_expected_counts_equal_all_segmentations():
     assert np.allclose(own.expected(items, times), counts)
 
 
+def test_long_words_are_learned_from_alike(monkeypatch):
+    own, items = model(), ["abcab" * 4, "abc" * 6 + "é漢", "cab"]
+    times = np.array([[1.0, 2.0], [3.0, 0.0], [0.5, 1.0]])
+    short = own.expected(items, times)
+    monkeypatch.setattr(language_id, "SHORT", 3)
+    assert np.allclose(own.expected(items, times), short)
+
+
+@pytest.mark.parametrize("size", [30, 200])
+def test_runs_without_blanks_teach_their_language(size):
+    """Two languages that write no blanks: every run is long."""
+    runs = [("abc" * size)[:size], ("cab" * size)[1 : size + 1], ("b" * size), ("bbc" * size)[:size]]
+    times = np.array([[5.0, 0.0], [5.0, 0.0], [0.0, 5.0], [0.0, 5.0]])
+    own = language_id.fit(PIECES, ["x", "y"], runs, times)
+    asked = own.log_likelihoods([("bca" * size)[: size - 5], ("bcb" * size)[: size - 5]])
+    assert asked.argmax(axis=1).tolist() == [0, 1]
+    long = own.expected(["\U0001f600" * 300 + "ab" * 1000], np.array([[1.0, 1.0]]))
+    assert np.isfinite(long).all() and (long.sum(axis=0) > 500).all()
+
+
 def likelihood(own, items, times):
     return (own.log_likelihoods(items) * times).sum()
 
