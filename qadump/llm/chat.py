@@ -7,7 +7,7 @@ emissions of each feature are counted over conversations whose roles are known.
 finds the likeliest states; lines become turns, markers are taken off, and each turn is rendered
 as <|role|>, its text, and <|end|>.
 
-Long conversations are cut into blocks of `block` chunks, and Viterbi runs over blocks in
+Long conversations are cut into blocks of `block` chunks at most, repeated and null numbers included, and Viterbi runs over blocks in
 parallel: each block gives the best score from every state before it to every state at its end, a
 table of states x states; one pass over these small tables finds the states at the edges
 of all blocks; each block is then decoded between its own edges. The result is that of
@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qadump.llm.common import staged
+from qadump.llm.common import small, staged
 
 ROLES = ("system", "user", "assistant")
 #: State 2 * role: a line that begins a turn; 2 * role + 1: a line that goes on.
@@ -113,7 +113,11 @@ class Model:
 def blocks(
     chunks: DataFrame, conversation: str, number: str, text: str, role: str | None = None, block: int = 32
 ) -> DataFrame:
-    """conv, conv_id, block and chunks (number, text, role; in order) for every block, staged."""
+    """conv, conv_id, block, part and chunks (number, text, role; in order) for every block, staged.
+
+    A block is the chunks of `block` numbers. Where repeated or null numbers give it more than
+    `block` chunks, they are sorted across tasks and cut into parts of `block` chunks at most.
+    """
     known = F.col(role).cast("string") if role else F.lit(None).cast("string")
     rows = chunks.select(
         F.col(conversation).cast("long").alias("conv_id"),
@@ -126,13 +130,23 @@ def blocks(
     of_its_own = F.concat(F.lit("r"), F.col("uid").cast("string"))
     conv = F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), of_its_own)
     before_all = F.lit(-(1 << 62))
-    place = F.coalesce(F.floor(F.col("number") / block), before_all).cast("long").alias("block")
+    place = F.coalesce(F.floor(F.col("number") / block), before_all).cast("long")
     piece = F.sort_array(F.collect_list(F.struct(F.col("number"), F.col("text"), F.col("role"))))
-    grouped = (
-        rows.withColumn("conv", conv)
-        .groupBy("conv", "conv_id", place)
-        .agg(piece.alias("chunks"))
-    )
+    cell = ["conv", "block"]
+    rows = rows.withColumn("conv", conv).withColumn("block", place)
+    sizes = rows.where("conv_id is not null").groupBy(*cell).agg(F.count("*").alias("size"))
+    crowded = staged(sizes.where(F.col("size") > block).select(*cell), "chat-crowded")
+    parted = rows.withColumn("part", F.lit(0).cast("long"))
+    if not crowded.isEmpty():
+        some = small(crowded)
+        # Staged, so that uid, which tells exact copies apart, stays what it is.
+        many = staged(rows.join(some, cell), "chat-many")
+        order = [*cell, "number", "text", "role", "uid"]
+        placed = many.repartitionByRange(*order).sortWithinPartitions(*order)
+        # Ids grow along the sort, and jump from one task to the next.
+        part = F.floor(F.monotonically_increasing_id() / block).cast("long")
+        parted = parted.join(some, cell, "left_anti").unionByName(placed.withColumn("part", part))
+    grouped = parted.groupBy("conv", "conv_id", "block", "part").agg(piece.alias("chunks"))
     return staged(grouped, "chat")
 
 
@@ -190,15 +204,16 @@ def with_edges(parts: DataFrame) -> DataFrame:
     last = F.element_at("chunks", -1)
     role = F.array_position(F.array(*map(F.lit, ROLES)), last["role"]) - 1  # -1 for other roles
     state = F.when(role >= 0, 2 * role + last["text"].contains("\n").cast("int")).cast("int")
-    order = Window.partitionBy("conv").orderBy("block")  # one small row a block
-    edges = parts.select("conv", "block", state.alias("state")).select(
+    order = Window.partitionBy("conv").orderBy("block", "part")  # one small row a block
+    edges = parts.select("conv", "block", "part", state.alias("state")).select(
         "conv",
         "block",
+        "part",
         F.lag("block").over(order).isNull().alias("opens"),
         F.lead("block").over(order).isNull().alias("closes"),
         F.lag("state").over(order).alias("previous"),
     )
-    return parts.join(edges, ["conv", "block"])
+    return parts.join(edges, ["conv", "block", "part"])
 
 
 def parse(parts: DataFrame, model: Model) -> DataFrame:
@@ -207,7 +222,7 @@ def parse(parts: DataFrame, model: Model) -> DataFrame:
     parts: of `with_edges`. number and line: where the turn begins; continues: the turn began
     in the block before.
     """
-    table = "conv string, block long, score array<double>"
+    table = "conv string, block long, part long, score array<double>"
 
     def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,8 +231,8 @@ def parse(parts: DataFrame, model: Model) -> DataFrame:
                 for chunks, opens in zip(batch.column("chunks"), batch.column("opens"), strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("conv"), batch.column("block"), pa.array(scores, pa.list_(pa.float64()))],
-                names=["conv", "block", "score"],
+                [*map(batch.column, ("conv", "block", "part")), pa.array(scores, pa.list_(pa.float64()))],
+                names=["conv", "block", "part", "score"],
             )
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,11 +246,12 @@ def parse(parts: DataFrame, model: Model) -> DataFrame:
             states.reverse()  # the state at the end of each block
             arrays = [
                 pa.array([conv] * len(numbers), pa.string()),
-                pa.array(numbers, pa.int64()),
+                pa.array([block for block, _ in numbers], pa.int64()),
+                pa.array([part for _, part in numbers], pa.int64()),
                 pa.array([None, *states[:-1]], pa.int32()),
                 pa.array(states, pa.int32()),
             ]
-            return pa.RecordBatch.from_arrays(arrays, names=["conv", "block", "before", "after"])
+            return pa.RecordBatch.from_arrays(arrays, names=["conv", "block", "part", "before", "after"])
 
         for batch in batches:
             for k in range(batch.num_rows):
@@ -249,17 +265,17 @@ def parse(parts: DataFrame, model: Model) -> DataFrame:
                     ways = best[:, None] + score
                     back.append(ways.argmax(axis=0).astype(np.int8))
                     best = ways.max(axis=0)
-                numbers.append(batch.column("block")[k].as_py())
+                numbers.append((batch.column("block")[k].as_py(), batch.column("part")[k].as_py()))
         if conv is not None:
             yield finished()
 
     several = parts.where("not (opens and closes)")
     edges = (
-        several.select("conv", "block", "chunks", "opens")
+        several.select("conv", "block", "part", "chunks", "opens")
         .mapInArrow(tables, table)
         .repartition("conv")
-        .sortWithinPartitions("conv", "block")
-        .mapInArrow(chain, "conv string, block long, before int, after int")
+        .sortWithinPartitions("conv", "block", "part")
+        .mapInArrow(chain, "conv string, block long, part long, before int, after int")
     )
     kind = "conv_id long, number long, line int, role string, continues boolean, text string, rendered string"
 
@@ -290,7 +306,7 @@ def parse(parts: DataFrame, model: Model) -> DataFrame:
             arrays = [pa.array(c, t) for c, t in zip(rows, types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    decoded = parts.join(staged(edges, "chat-edges"), ["conv", "block"], "left")
+    decoded = parts.join(staged(edges, "chat-edges"), ["conv", "block", "part"], "left")
     return decoded.select("conv_id", "chunks", "before", "after").mapInArrow(turns, kind)
 
 

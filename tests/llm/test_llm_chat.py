@@ -88,6 +88,25 @@ def test_blocks_equal_one_pass(spark):
         ]
 
 
+def test_blocks_hold_repeated_and_null_numbers_in_parts(spark):
+    data = conversations(6, 9)
+    data += [(2, 3, "user", "the same again?", 1, 1, 1)] * 150
+    data += [(2, None, "assistant", prose(k, 20) + "\n" + prose(k, 30), 1, 1, 1) for k in range(70)]
+    frame = spark.createDataFrame(data, KIND).repartition(5)
+    parts = chat.blocks(frame, "conv_id", "turn", "text", "role", block=4)
+    cut = [r for r in parts.where("conv_id = 2").orderBy("block", "part").collect()]
+    assert max(len(r.chunks) for r in cut) <= 4
+    # In order they are the whole conversation.
+    chunks = [tuple(c) for r in cut for c in r.chunks]
+    key = lambda c: (c[0] is not None, c[0] or 0, c[1], c[2])
+    assert chunks == sorted(((t, text, role) for c, t, role, text, *_ in data if c == 2), key=key)
+
+    def turns(block):
+        return sorted((r["conv_id"], str(r["number"]), r["line"], r["role"]) for r in found(spark, data, block=block) if not r["continues"])
+
+    assert turns(4) == turns(1000)
+
+
 def test_odd_rows(spark):
     data = conversations(8, 4) + [
         (None, 0, "user", "alone?", 1, 1, 1),
