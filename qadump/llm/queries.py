@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from qadump.llm import ann, brown, chat, language_id, mixing, packing, rules, sharding, simhash, toxicity
+from qadump.llm import ann, brown, chat, language_id, mixing, packing, rules, sharding, simhash, toxicity, url_filter
 from qadump.llm.common import importable, staged, table
+from qadump.llm.oracle import ORACLE
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +74,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.verdicts(judged, learned).select("doc_id", *rules.COUNTS, "base_failed", "kept", "rule")
 
 
+#: host, path and verdict, as the contract of the query gives them.
+URL_RULES = (
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+)
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = url_filter.rule_table(spark, URL_RULES)
+    found = url_filter.judged(table(spark, sf_dir, "pages"), rules, carried=["page_id"])
+    return found.select("row.page_id", "host", "path", "rule", "verdict")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -89,6 +105,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_url_filter": op11_url_filter,
 }
 
 
@@ -104,4 +121,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)

@@ -1,0 +1,140 @@
+"""The sweep against a plain loop over all rules, nested rules, hot hosts, odd rows."""
+
+import random
+import re
+from string import ascii_lowercase, ascii_uppercase
+
+import pytest
+from pyspark.sql import functions as F
+
+from qadump.llm import queries, url_filter
+from qadump.llm.scan import latest, ordered, running
+
+KIND = "page_id long, url string, host string, rule string, uid long"
+LOWER = str.maketrans(ascii_uppercase, ascii_lowercase)
+
+
+def plain(url, rules, otherwise="allow"):
+    """host, path, rule, verdict"""
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host, path = re.match(r"([^/?#]*)([^?#]*)", rest).groups()
+    host = host.translate(LOWER)
+    fits = [
+        (len(h) + len(p), len(h), h, p, v)
+        for h, p, v in rules
+        if h and (host == h or host.endswith("." + h)) and path.startswith(p)
+    ]
+    if not fits:
+        return host, path, None, otherwise
+    best = max(fits)[:4]
+    blocks = any(f[:4] == best and f[4] == "block" for f in fits)
+    return host, path, best[2] + best[3], "block" if blocks else max(fits)[4]
+
+
+def judged(spark, urls, rules, **settings):
+    pages = spark.createDataFrame([(i, url, "own", "own", 5) for i, url in enumerate(urls)], KIND)
+    found = url_filter.judged(pages, url_filter.rule_table(spark, rules), **settings).collect()
+    assert sorted(r.row.page_id for r in found) == list(range(len(urls)))
+    assert all(r.row.host == "own" for r in found)
+    return {r.row.page_id: (r.host, r.path, r.rule, r.verdict) for r in found}
+
+
+def test_random_rules_equal_a_loop(spark):
+    rng = random.Random(3)
+    labels = ["a", "b", "ab", "a-b", "c", "", "é"]
+    paths = ["", "/", "/a", "/ab", "/a/", "/a/b", "/a/b/c", "/é", "x", "/a b"]
+
+    def host(n):
+        return ".".join(rng.choices(labels, k=n))
+
+    rules = [(host(rng.randint(1, 3)), rng.choice(paths), rng.choice(["allow", "block"])) for _ in range(150)]
+    # One verdict a rule: of equal rules the blocking one counts, which has its own test.
+    rules = list({(h, p): (h, p, v) for h, p, v in rules}.values())
+    urls = [f"http://{host(rng.randint(1, 5))}{rng.choice(paths)}{rng.choice(['', 'z', '?q=/', '#f'])}" for _ in range(600)]
+    found = judged(spark, urls, rules)
+    for k, url in enumerate(urls):
+        assert found[k] == plain(url, rules), url
+
+
+def test_the_stack_is_deep_and_wide(spark):
+    rules = [("x.y", "/" + "a" * k, "block" if k % 2 else "allow") for k in range(60)]
+    rules += [(".".join(["s"] * k), "/", "block") for k in range(1, 40)]
+    urls = [f"http://x.y/{'a' * k}b" for k in range(70)] + [f"http://{'.'.join(['s'] * k)}/" for k in range(1, 50)]
+    found = judged(spark, urls, rules)
+    for k, url in enumerate(urls):
+        assert found[k] == plain(url, rules), url
+
+
+RULES = queries.URL_RULES
+URLS = [
+    "http://EXAMPLE.net/en/x", "http://a.example.net/EN/x", "https://net/", "https://net", "https://notnet/",
+    "http://example.net.org/fr/", "http://x.org/fr", "http://x.org/fr/y?z://q", "http://my-example.com/de/",
+    "http://b.example.com/de/?/de/", "example.com/de/", "x://://net/", "http://ÀB.net/é", "", None, "://", ":///p",
+    "http://net./", "http://net:80/", "http://u@net/", "http://a.net#/en/", "http://a.net?/en/", "http://.net/",
+    "http://" + "s." * 3_000 + "net/" + "p" * 200_000, "http://net/a\nb",
+]
+
+
+def test_odd_urls(spark):
+    found = judged(spark, URLS, RULES)
+    for k, url in enumerate(URLS):
+        assert found[k] == plain(url, RULES), url
+
+
+def test_of_equal_rules_the_blocking_one_counts_and_odd_rules_are_left_out(spark):
+    rules = [("a", "/", "allow"), ("A", "/", "block"), ("a", "/", "allow"), (None, "/", "block"), ("", "/", "block")]
+    rules += [("b", None, "block"), ("b", "/", None)]
+    found = judged(spark, ["http://a/", "http://b/", "http:///"], rules, otherwise="none")
+    assert [found[k][2:] for k in range(3)] == [("a/", "block"), (None, "none"), (None, "none")]
+
+
+def test_no_rules_no_pages(spark):
+    assert judged(spark, ["http://a/"], []) == {0: ("a", "/", None, "allow")}
+    assert judged(spark, [], RULES) == {}
+
+
+def test_a_hot_url_spreads_over_the_parts(spark, settings):
+    settings(spark__sql__shuffle__partitions="8")
+    urls = ["http://hot.example.net/en/1"] * 3_000 + [f"http://h{k}.org/fr/{k}" for k in range(3_000)]
+    found = judged(spark, urls, RULES)
+    assert all(found[k][2] == ("example.net/en/" if k < 3_000 else "org/fr/") for k in range(6_000))
+    rows = spark.createDataFrame([(u,) for u in urls], "url string")
+    parts = ordered(rows, ["url"], "hot")
+    sizes = sorted(r["count"] for r in parts.groupBy("part").count().collect())
+    assert len(sizes) == 8 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+
+
+def test_scans_cross_the_parts(spark):
+    rng = random.Random(9)
+    data = [(k, rng.choice("ab"), rng.randint(-3, 3), rng.choice([None, None, None, str(k)])) for k in range(500)]
+    frame = spark.createDataFrame(data, "k long, g string, v int, s string").repartition(7)
+    parts = ordered(frame, ["k"], "scan")
+    assert parts.select("part").distinct().count() > 4
+    for by in ([], ["g"]):
+        summed = running(parts, F.col("v"), "total", by)
+        last = {r.k: (r.total, r.held) for r in latest(summed, F.col("s"), "held", by).collect()}
+        total, held = {}, {}
+        for k, g, v, s in data:
+            group = g if by else ""
+            total[group] = total.get(group, 0) + v
+            held[group] = s or held.get(group)
+            assert last[k] == (total[group], held[group])
+
+
+def test_the_plan_has_no_python(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/", "", "", 1)], KIND)
+    plan = url_filter.judged(pages, url_filter.rule_table(spark, RULES))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", plan)
+
+
+@pytest.mark.parametrize("name", ["op11_url_filter"])
+def test_query_equals_its_sql(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    folder = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{folder}/pages.parquet'")
+    frame = queries.queries()[name](spark, folder)
+    expected = con.execute(queries.oracle_sql()[name])
+    names = [c[0] for c in expected.description]
+    assert sorted(names) == sorted(frame.columns)
+    assert sorted(map(repr, expected.fetchall())) == sorted(repr(tuple(r)) for r in frame.select(*names).collect())
