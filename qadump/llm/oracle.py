@@ -29,4 +29,72 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
 from parsed left join (select * from fits where nth = 1) using (uid)
 """
 
-ORACLE = {"op11_url_filter": URL_FILTER}
+# CRC-32 of each distinct feature, byte by byte, over the usual table of 256 states.
+IMPORTANCE = r"""
+with crc as (
+    select list_transform(range(256), lambda n:
+        list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, n)) as states
+),
+texts as (
+    select 'd' as kind, row_number() over () as uid, doc_id, text from documents
+    union all
+    select 'b', row_number() over (), null, text from benchmark
+),
+split as (
+    select kind, uid, doc_id,
+        regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+    from texts
+),
+features as (
+    select kind, uid, unnest(list_concat(words,
+        list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) as feature
+    from split
+),
+counted as (select kind, uid, feature, count(*) as n from features group by all),
+hashes as (
+    select feature, upper(hex(encode(feature))) as digits from (select distinct feature from counted)
+),
+bucketed as (
+    select feature,
+        xor(list_reduce(
+            range(0, len(digits) // 2),
+            lambda c, i: xor(states[(xor(c, ('0x' || substr(digits, 2 * i + 1, 2))::bigint) & 255) + 1], c >> 8),
+            4294967295), 4294967295) % 10000 as bucket
+    from hashes, crc
+),
+cells as (select kind, uid, bucket, sum(n) as n from counted join bucketed using (feature) group by all),
+sums as (
+    select bucket, sum(n) filter (kind = 'd') as s, sum(n) filter (kind = 'b') as t from cells group by bucket
+),
+everything as (select coalesce(sum(s), 0)::double as s_all, coalesce(sum(t), 0)::double as t_all from sums),
+gained as (
+    select bucket, floor(1000 * ln((coalesce(t, 0) + 1)::double * (s_all + 10000)
+        / ((coalesce(s, 0) + 1)::double * (t_all + 10000))))::bigint as gain
+    from sums, everything
+),
+summed as (
+    select uid, sum(n)::bigint as n, sum(n * gain)::bigint as gain
+    from cells join gained using (bucket) where kind = 'd' group by uid
+),
+weighed as (
+    select doc_id, len(words) >= 20 as fit, coalesce(n, 0) as n_features,
+        coalesce((gain - (gain % n + n) % n) // n, 0) as weight,
+        ('0x' || sha256('7:' || coalesce(doc_id::varchar, ''))[:8])::bigint as h
+    from split left join summed using (uid) where kind = 'd'
+),
+scored as (
+    select *, weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296)))::bigint as score from weighed
+),
+ranked as (
+    select *, row_number() over (partition by fit order by score desc, doc_id) as nth,
+        count(*) over (partition by fit) as fitting
+    from scored
+)
+select doc_id, n_features::bigint as n_features, weight::bigint as weight, score::bigint as score,
+    case when fit and nth <= 25 * fitting // 100 then nth end as rank
+from ranked
+"""
+
+ORACLE = {"op11_url_filter": URL_FILTER, "op12_importance": IMPORTANCE}

@@ -8,7 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from qadump.llm import ann, brown, chat, language_id, mixing, packing, rules, sharding, simhash, toxicity, url_filter
+from qadump.llm import (
+    ann,
+    brown,
+    chat,
+    importance,
+    language_id,
+    mixing,
+    packing,
+    rules,
+    sharding,
+    simhash,
+    toxicity,
+    url_filter,
+)
 from qadump.llm.common import importable, staged, table
 from qadump.llm.oracle import ORACLE
 
@@ -89,6 +102,10 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.page_id", "host", "path", "rule", "verdict")
 
 
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -106,6 +123,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
     "op11_url_filter": op11_url_filter,
+    "op12_importance": op12_importance,
 }
 
 
