@@ -249,7 +249,7 @@ def resampled(
     order = [fit.desc(), F.desc("score"), F.col("row.doc_id").asc_nulls_last()]
     parts = ordered(weighed, order, "importance")
     drawn = parts.where(fit).count() * share // 100
-    placed = running(parts, fit.cast("long"), "nth")
+    placed = running(parts, {"nth": fit.cast("long")})
     return placed.select(
         "row.doc_id",
         "n_features",

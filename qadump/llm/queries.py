@@ -20,6 +20,7 @@ from qadump.llm import (
     sharding,
     simhash,
     toxicity,
+    trie,
     url_filter,
 )
 from qadump.llm.common import importable, staged, table
@@ -106,6 +107,11 @@ def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, convs = trie.regrouped(trie.numbered(table(spark, sf_dir, "conversations")), group=5, most=8)
+    return trie.prefix_trie(turns, convs)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -124,6 +130,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_url_filter": op11_url_filter,
     "op12_importance": op12_importance,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 

@@ -19,8 +19,11 @@ from qadump.llm.common import fresh, staged
 PLACE_BITS = 33
 
 
-def ordered(df: DataFrame, order: Sequence[Column | str], purpose: str) -> DataFrame:
-    """df with part and place along `order`, staged; ties by a hidden number, so they spread too."""
+def ordered(df: DataFrame, order: Sequence[Column | str], purpose: str, without: Sequence[str] = ()) -> DataFrame:
+    """df with part and place along `order`, staged; ties by a hidden number, so they spread too.
+
+    without: columns that are only there to sort by.
+    """
     tie = fresh("tie", df.columns)
     keys = [*order, tie]
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -29,7 +32,7 @@ def ordered(df: DataFrame, order: Sequence[Column | str], purpose: str) -> DataF
     numbered = (
         rows.repartitionByRange(ranges, *keys)
         .sortWithinPartitions(*keys)
-        .drop(tie)
+        .drop(tie, *without)
         .withColumn("place", F.monotonically_increasing_id())
         .withColumn("part", F.shiftright("place", PLACE_BITS).cast("int"))
     )
@@ -41,14 +44,17 @@ def _attached(parts: DataFrame, before: DataFrame, by: Sequence[str]) -> DataFra
     return parts.join(before if by else F.broadcast(before), ["part", *by], "left")
 
 
-def running(parts: DataFrame, value: Column, name: str, by: Sequence[str] = ()) -> DataFrame:
-    """parts with the sum of `value` up to and including each row, per group of `by`."""
+def running(parts: DataFrame, values: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
+    """parts with the sums of `values` up to and including each row, per group of `by`."""
     so_far = Window.partitionBy("part", *by).orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = parts.groupBy("part", *by).agg(F.sum(value).alias("_sum"))
-    before = sums.select("part", *by, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
-    inside = parts.withColumn(name, F.sum(value).over(so_far))
-    return _attached(inside, before, by).withColumn(name, F.col(name) + F.col("_before")).drop("_before")
+    sums = parts.groupBy("part", *by).agg(*[F.sum(value).alias(name) for name, value in values.items()])
+    before = sums.select(
+        "part", *by, *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_before_{name}") for name in values]
+    )
+    inside = parts.withColumns({name: F.sum(value).over(so_far) for name, value in values.items()})
+    both = {name: F.col(name) + F.col(f"_before_{name}") for name in values}
+    return _attached(inside, before, by).withColumns(both).drop(*[f"_before_{name}" for name in values])
 
 
 def latest(parts: DataFrame, value: Column, name: str, by: Sequence[str] = ()) -> DataFrame:

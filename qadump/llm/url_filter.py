@@ -77,7 +77,7 @@ def _swept(points: DataFrame, intervals: DataFrame, purpose: str) -> DataFrame:
     ends = events(intervals, F.concat(first, F.lit(LAST)), END, -1, nothing, no_uid)
     met = events(points, first, POINT, 0, nothing, F.col("uid"))
     parts = ordered(starts.unionByName(ends).unionByName(met), ["at", "kind"], purpose)
-    return running(parts, F.col("step"), "height").where((F.col("kind") != END) & (F.col("height") > 0))
+    return running(parts, {"height": F.col("step")}).where((F.col("kind") != END) & (F.col("height") > 0))
 
 
 def _slots(swept: DataFrame, levels: Column) -> DataFrame:

@@ -1,0 +1,156 @@
+"""Every node against a plain trie, in bands and with spills; hot conversations, odd rows."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from hypothesis import given
+from hypothesis import settings as limits
+from hypothesis import strategies as st
+
+from qadump.llm import trie
+
+#: Besides its own columns, some that the operator uses as names.
+KIND = "conv_id long, turn long, role string, text string, depth long, node string, part long, uid long"
+COLUMNS = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def rebuilt(data, group=5, most=8):
+    own = defaultdict(list)
+    for conv_id, turn, role, text in data:
+        if conv_id is not None:
+            own[conv_id].append((turn is not None, turn or 0, role or "", text or ""))
+    turns = {c: [(role, text) for _, _, role, text in sorted(rows)] for c, rows in own.items()}
+
+    def start(c):
+        h = zlib.crc32(str(c).encode()) % (most + 1)
+        return turns.get(c - c % group, [])[:h] + turns[c][h:]
+
+    return {c: start(c) for c in turns}
+
+
+def plain(convs):
+    """The rows of all nodes, from a dictionary of prefixes."""
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+        ends[tuple(turns)].append(c)
+    children, leaves, saved = defaultdict(int), defaultdict(int), defaultdict(int)
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    for node, own in members.items():
+        bytes_ = (len(own) - 1) * (len(node[-1][1].encode()) if node else 0)
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += not children[node]
+            saved[node[:d]] += bytes_
+    for node, own in members.items():
+        digest = hashlib.sha256(",".join(map(str, sorted(ends[node]))).encode()).hexdigest()
+        parent = min(members[node[:-1]]) if node else None
+        yield (min(own), len(node), parent, len(own), children[node], leaves[node], saved[node], digest)
+
+
+def frame(spark, data):
+    return spark.createDataFrame([(*row, -1, "n", 3, 4) for row in data], KIND)
+
+
+def found(spark, data, most=200_000, group=5):
+    turns, convs = trie.regrouped(trie.numbered(frame(spark, data)), group)
+    result = trie.prefix_trie(turns, convs, most)
+    assert tuple(result.columns) == COLUMNS
+    return sorted(map(repr, (tuple(r) for r in result.collect())))
+
+
+def expected(data, group=5):
+    return sorted(map(repr, plain(rebuilt(data, group))))
+
+
+def random_chats(seed, n=60, longest=12, choices=2):
+    rng = random.Random(seed)
+    return [
+        (c, t, rng.choice(["user", "assistant"]), rng.choice(["é", "", "long text"][:choices]))
+        for c in rng.sample(range(10 * n), n)
+        for t in range(rng.randint(1, longest))
+    ]
+
+
+@pytest.mark.parametrize(("seed", "group", "most"), [(1, 5, 200_000), (2, 50, 3), (3, 600, 1)])
+def test_nodes_equal_a_plain_trie(spark, seed, group, most):
+    data = random_chats(seed)
+    assert found(spark, data, most, group) == expected(data, group)
+
+
+@pytest.mark.parametrize("band", [1, 2, 5])
+def test_bands_change_nothing(spark, monkeypatch, band):
+    monkeypatch.setattr(trie, "BAND", band)
+    data = random_chats(4, 40, 14, 1) + [(c, t, "user", f"copy {t}") for c in (1001, 1002, 1006) for t in range(17)]
+    assert found(spark, data, 4) == expected(data)
+
+
+def test_a_conversation_with_a_third_of_all_turns_and_its_copy(spark, monkeypatch):
+    monkeypatch.setattr(trie, "BAND", 64)
+    data = random_chats(5, 200, 6)
+    data += [(c, t, "user", f"turn {t % 7}") for c in (7000, 7100) for t in range(600)]
+    assert found(spark, data) == expected(data)
+    rows = trie.paths(*trie.regrouped(trie.numbered(frame(spark, data))))
+    sizes = rows.groupBy("conv_id", (rows.depth / 64).cast("int")).count().agg({"count": "max"}).first()[0]
+    assert sizes <= 64
+
+
+def test_many_conversations_end_at_one_node(spark, monkeypatch):
+    monkeypatch.setattr(trie, "ENDS", 16)
+    data = [(c, 0, "user", "same") for c in range(0, 3_000, 5)] + [(c, 0, "user", f"other {c}") for c in range(1, 300, 5)]
+    assert found(spark, data) == expected(data)
+
+
+def test_odd_rows(spark):
+    data = [
+        (0, None, None, None),
+        (0, None, None, None),
+        (0, 1, "user", "x" * 300_000),
+        (0, 1, "user", "x" * 300_000),
+        (0, 1, "", "tie"),
+        (1, 5, "user", ""),
+        (2, 0, None, "user"),
+        (3, 0, "user", None),
+        (4, 0, "us", "er"),
+        (-3, 0, "user", "negative"),
+        (-5, 0, "user", "negative"),
+        (None, 0, "user", "of no conversation"),
+        (None, None, None, None),
+        (12, 0, "user", "base is absent"),
+        (1 << 60, 0, "user", "large id"),
+    ]
+    data += [(15, t, "user", f"{t}") for t in range(12)] + [(c, t, "user", "own") for c in range(16, 20) for t in range(3)]
+    assert found(spark, data) == expected(data)
+
+
+def test_equal_prefixes_of_role_and_text_are_different_nodes(spark):
+    data = [(0, 0, "ab", "c"), (5, 0, "a", "bc"), (10, 0, "1:a", ""), (15, 0, "", "1:a")]
+    assert found(spark, data) == expected(data)
+
+
+def test_empty_tables(spark):
+    assert found(spark, []) == []
+    assert found(spark, [(None, 1, "user", "x")]) == []
+
+
+@given(
+    st.lists(st.tuples(st.integers(-6, 0), st.sampled_from([b"a", b"b"]), st.integers(0, 9), st.integers(0, 9)), max_size=60),
+    st.integers(1, 9),
+    st.integers(1, 4),
+)
+@limits(max_examples=80, deadline=None)
+def test_the_queue_gives_all_sums_in_order_whatever_it_holds(entries, most, chunk):
+    queue, sums = trie.SpillingQueue(most, chunk), defaultdict(lambda: [0, 0])
+    for entry in entries:
+        queue.push(entry)
+        sums[entry[:2]][0] += entry[2]
+        sums[entry[:2]][1] += entry[3]
+        assert len(queue.heap) < most
+    for key in sorted({(level, node) for level in range(-6, 1) for node in (b"a", b"b")}):
+        assert list(queue.take(key)) == sums[key]
+    assert (queue.spilled > 0) == (len(entries) >= most)

@@ -111,7 +111,7 @@ def test_scans_cross_the_parts(spark):
     parts = ordered(frame, ["k"], "scan")
     assert parts.select("part").distinct().count() > 4
     for by in ([], ["g"]):
-        summed = running(parts, F.col("v"), "total", by)
+        summed = running(parts, {"total": F.col("v")}, by)
         last = {r.k: (r.total, r.held) for r in latest(summed, F.col("s"), "held", by).collect()}
         total, held = {}, {}
         for k, g, v, s in data:
