@@ -12,7 +12,7 @@ import os
 import time
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from fixtures import render
 from fixtures.shared import shared_folder
@@ -62,12 +62,22 @@ def queries(spark: SparkSession, dump: dict) -> dict:
         job(spark, dump[entity], target)
         return read_set(spark, name, target)
 
+    def observed():
+        found = []
+        for entity in dump:
+            counted = Observation()
+            rows = records.records(lines(entity), entity, counted=counted)
+            rows.write.format("noop").mode("overwrite").save()
+            found.append((entity.name, counted.get["rows"], counted.get["rejects"]))
+        return spark.createDataFrame(found, "entity string, rows bigint, rejects bigint")
+
     return {
         "dump_scan": lambda: records.records(lines(POSTS), POSTS),
         "dump_rejects": lambda: records.rejects(lines(POSTS), POSTS),
         "ingest_counters": lambda: reduce(
             DataFrame.union, [records.counters(lines(entity), entity) for entity in dump]
         ),
+        "observed_counters": observed,
         "users_profile": lambda: entities.users(lines(USERS)),
         "questions": lambda: entities.questions(lines(POSTS)),
         "answers": lambda: entities.answers(lines(POSTS)),

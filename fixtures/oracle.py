@@ -184,6 +184,7 @@ ORACLE = {
     "dump_scan": DUMP_SCAN,
     "dump_rejects": DUMP_REJECTS,
     "ingest_counters": INGEST_COUNTERS,
+    "observed_counters": INGEST_COUNTERS,
     "users_profile": USERS,
     "questions": QUESTIONS,
     "answers": ANSWERS,

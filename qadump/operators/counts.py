@@ -6,7 +6,7 @@ task before the shuffle, so a hot key costs one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from qadump.functions.values import int_or_null
@@ -28,9 +28,11 @@ def typed_keys(entity: Entity) -> list[str]:
     return [f"{int_or_null(name)} as {_KEY_COLUMNS[name]}" for name in entity.attributes]
 
 
-def keys(lines: DataFrame, entity: Entity, mode: str = PERMISSIVE) -> DataFrame:
-    """The typed key columns of each record."""
-    return records(lines, entity, mode).selectExpr(*typed_keys(entity))
+def keys(
+    lines: DataFrame, entity: Entity, mode: str = PERMISSIVE, counted: Observation | None = None
+) -> DataFrame:
+    """The typed key columns of each record. counted: takes the counters of the pass, as in `records`."""
+    return records(lines, entity, mode, counted).selectExpr(*typed_keys(entity))
 
 
 def count_of(rows: DataFrame, entity: Entity) -> DataFrame:

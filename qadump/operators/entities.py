@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from qadump.functions.values import (
@@ -55,17 +55,21 @@ TYPED_POST = (
 )
 
 
-def users(lines: DataFrame, mode: str = PERMISSIVE) -> DataFrame:
-    """One row per user record. Ids are taken as they are, not made unique."""
-    return records(lines, USERS, mode).selectExpr(*TYPED_USER)
+def users(lines: DataFrame, mode: str = PERMISSIVE, counted: Observation | None = None) -> DataFrame:
+    """One row per user record. Ids are taken as they are, not made unique.
+
+    counted: takes the counters of the pass, as in `records`.
+    """
+    return records(lines, USERS, mode, counted).selectExpr(*TYPED_USER)
 
 
-def posts(lines: DataFrame, mode: str = PERMISSIVE) -> DataFrame:
+def posts(lines: DataFrame, mode: str = PERMISSIVE, counted: Observation | None = None) -> DataFrame:
     """Questions and answers of one pass over the posts, bodies reduced to their length.
 
-    `post_type` tells them apart; every column is typed as in both tables.
+    `post_type` tells them apart; every column is typed as in both tables. counted: takes the
+    counters of the pass, as in `records`.
     """
-    return records(lines, POSTS, mode).selectExpr(*TYPED_POST)
+    return records(lines, POSTS, mode, counted).selectExpr(*TYPED_POST)
 
 
 def questions_of(typed_posts: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ in silence.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from qadump.functions.values import beyond_bigint, instant, matches
@@ -78,13 +78,25 @@ COUNTERS = (
 )
 
 
-def records(lines: DataFrame, entity: Entity, mode: str = PERMISSIVE) -> DataFrame:
+def records(
+    lines: DataFrame, entity: Entity, mode: str = PERMISSIVE, counted: Observation | None = None
+) -> DataFrame:
     """Good records of a dump file, attributes as text.
 
     `permissive` leaves rejects out (see `rejects`), `failfast` fails the query at
     the first one.
+
+    `counted` takes the counters `rows` and `rejects` from the pass that reads the records, without
+    a second parse: `counted.get` has them after the first action over the result. They are
+    those of the lines that this action read, so they are lower than those of `counters` where it stops
+    early (a limit above, `first`, `isEmpty`), higher where it reads the lines more than once (two branches of a union,
+    a stage that ran again after an executor was lost). The jobs count what they staged instead.
     """
-    return checked(parse(lines, entity), entity, mode).select(*entity.attributes)
+    parsed = parse(lines, entity)
+    if counted is not None:
+        # What the filter below leaves out has been counted: it can't be pushed under the counters.
+        parsed = parsed.observe(counted, *map(F.expr, COUNTERS))
+    return checked(parsed, entity, mode).select(*entity.attributes)
 
 
 def checked(parsed: DataFrame, entity: Entity, mode: str) -> DataFrame:

@@ -8,6 +8,9 @@ reason of each reject are staged as Parquet beside the target; sets, counts and,
 `rejects_target`, the rejected lines are made from that, and it is deleted at the end. So the
 counts are those of the rows that were written, whatever tasks had to run twice, and a source
 without any good record is counted like any other.
+
+The targets of a job are checked before it reads its source, and written together: an existing
+target stops the job at once, and a failure at any set, or at the rejects, leaves none of them.
 """
 
 from __future__ import annotations
@@ -31,8 +34,8 @@ from qadump.schemas import (
     Entity,
 )
 from qadump.sources.dump import read_lines
-from qadump.sources.sets import read_set, write_result, write_set
-from qadump.sources.staging import staging_beside
+from qadump.sources.sets import read_set, write_files, write_result
+from qadump.sources.staging import committed, staging_beside
 
 Source = str | list[str] | DataFrame
 
@@ -43,16 +46,17 @@ def _one_pass(
     source: Source,
     entity: Entity,
     columns: tuple[str, ...] | list[str],
-    target: str,
+    targets: list[str],
     mode: str,
     rejects_target: str | None,
-) -> Iterator[tuple[DataFrame, dict[str, int]]]:
-    """The typed columns of all good records, staged, and the counts of the pass."""
-    parsed = parse(read_lines(spark, source), entity)
-    if mode != PERMISSIVE:
-        parsed = checked(parsed, entity, mode)
-    line = "if(reject_reason is null, null, line)" if rejects_target else "cast(null as string)"
-    with staging_beside(spark, target) as path:
+) -> Iterator[tuple[DataFrame, dict[str, int], list[str]]]:
+    """The typed columns of all good records, staged, the counts of the pass, and where to write the sets."""
+    wanted = [*targets, rejects_target] if rejects_target else targets
+    with committed(spark, wanted) as places, staging_beside(spark, targets[0]) as path:
+        parsed = parse(read_lines(spark, source), entity)
+        if mode != PERMISSIVE:
+            parsed = checked(parsed, entity, mode)
+        line = "if(reject_reason is null, null, line)" if rejects_target else "cast(null as string)"
         staged = parsed.selectExpr(*columns, "reject_reason", f"{line} as line")
         staged.write.parquet(path)
         staged = spark.read.schema(staged.schema).parquet(path)
@@ -60,9 +64,10 @@ def _one_pass(
         yield (
             staged.where("reject_reason is null").drop("reject_reason", "line"),
             {entity.name: found["rows"], f"{entity.name}_rejects": found["rejects"]},
+            places,
         )
         if rejects_target:
-            rejects_of(staged, entity).write.mode("errorifexists").parquet(rejects_target)
+            rejects_of(staged, entity).write.mode("errorifexists").parquet(places[-1])
 
 
 def _extraction(
@@ -75,8 +80,8 @@ def _extraction(
         mode: str = PERMISSIVE,
         rejects_target: str | None = None,
     ) -> dict[str, int]:
-        with _one_pass(spark, source, entity, columns, target, mode, rejects_target) as (rows, found):
-            write_set(table(rows), target)
+        with _one_pass(spark, source, entity, columns, [target], mode, rejects_target) as (rows, found, places):
+            write_files(table(rows), places[0])
         return found
 
     return job
@@ -104,11 +109,14 @@ def posts_to_csv(
     rejects_target: str | None = None,
 ) -> dict[str, int]:
     """Questions, answers and, if wanted, rejects from one pass over the posts."""
-    with _one_pass(
-        spark, source, POSTS, entities.TYPED_POST, questions_target, mode, rejects_target
-    ) as (posts, found):
-        write_set(entities.questions_of(posts), questions_target)
-        write_set(entities.answers_of(posts), answers_target)
+    targets = [questions_target, answers_target]
+    with _one_pass(spark, source, POSTS, entities.TYPED_POST, targets, mode, rejects_target) as (
+        posts,
+        found,
+        places,
+    ):
+        write_files(entities.questions_of(posts), places[0])
+        write_files(entities.answers_of(posts), places[1])
     return found
 
 

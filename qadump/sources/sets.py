@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qadump.schemas import SET_SCHEMAS
+from qadump.sources.staging import committed
 
 BAD_ROW = "bad_row"
 
@@ -48,13 +49,19 @@ def bad_rows(spark: SparkSession, name: str, path: str, header: bool = True) ->
     return rows.where(F.col(BAD_ROW).isNotNull() & any_value).select(BAD_ROW)
 
 
-def write_set(df: DataFrame, path: str, header: bool = True) -> None:
-    """Write one CSV set; an existing path is an error, not overwritten."""
+def write_files(df: DataFrame, path: str, header: bool = True) -> None:
+    """The CSV files of a set in a new folder, which has some of them if the write fails."""
     df.write.mode("errorifexists").option("header", header).csv(path)
 
 
+def write_set(df: DataFrame, path: str, header: bool = True) -> None:
+    """Write one CSV set, all of it or nothing; an existing path is an error before any work."""
+    with committed(df.sparkSession, [path]) as [place]:
+        write_files(df, place, header)
+
+
 def write_result(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Write a result as CSV with header, replacing an earlier one.
+    """Write a result as CSV with header, replacing an earlier one once the new one is complete.
 
     `single_file` is for results known to be small, as one task writes the file.
     It repartitions instead of coalescing, so that only the write, not the work
@@ -62,4 +69,5 @@ def write_result(df: DataFrame, path: str, single_file: bool = False) -> None:
     """
     if single_file:
         df = df.repartition(1)
-    df.write.mode("overwrite").option("header", True).csv(path)
+    with committed(df.sparkSession, [path], replace=True) as [place]:
+        write_files(df, place)

@@ -1,0 +1,67 @@
+"""Counters that the pass over the records takes itself."""
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import Observation
+
+from fixtures import render
+from qadump.operators import counts, entities, records
+from qadump.schemas import BADGES, POSTS, USERS
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("entity", render.FAULTY_LINES, ids=lambda e: e.name)
+def test_the_pass_counts_what_the_counters_count(spark, entity):
+    lines = render.FAULTY_LINES[entity](spark, SF_DIR)
+    counted = Observation()
+    read = records.records(lines, entity, counted=counted).collect()
+    expected = records.counters(lines, entity).first()
+    assert counted.get == {"rows": expected.rows, "rejects": expected.rejects}
+    assert len(read) == expected.rows and expected.rejects > 0 or entity not in (POSTS, USERS)
+
+
+def test_filters_and_aggregates_above_do_not_change_the_counts(spark, lines_of):
+    lines = lines_of('<row UserId="1" />', '<row UserId="2" />', "broken", None, "<badges>")
+    for query in (
+        lambda df: df.where("UserId = '1'"),
+        lambda df: df.where("false or UserId = 'none'"),
+        lambda df: df.groupBy("UserId").count(),
+        lambda df: df.select("UserId").distinct(),
+    ):
+        counted = Observation()
+        query(records.records(lines, BADGES, counted=counted)).collect()
+        assert counted.get == {"rows": 2, "rejects": 2}
+
+
+def test_each_line_is_read_once(spark, lines_of):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    lines = lines_of('<row UserId="1" />', "broken", '<row UserId="2" />').coalesce(1).mapInArrow(count, "value string")
+    counted = Observation()
+    assert counts.count_of(counts.keys(lines, BADGES, counted=counted), BADGES).count() == 2
+    assert counted.get == {"rows": 2, "rejects": 1} and seen.value == 3
+
+
+def test_typed_tables_take_the_counters_too(spark, lines_of):
+    users, posts = Observation(), Observation()
+    assert entities.users(lines_of('<row Id="1" />', "x"), counted=users).count() == 1
+    assert entities.posts(lines_of('<row Id="1" PostTypeId="1" />', "<row/>"), counted=posts).count() == 1
+    assert users.get == posts.get == {"rows": 1, "rejects": 1}
+
+
+def test_no_lines(spark):
+    counted = Observation()
+    records.records(spark.createDataFrame([], "value string"), USERS, counted=counted).collect()
+    assert counted.get == {"rows": 0, "rejects": 0}
+
+
+def test_failfast_still_fails(spark, lines_of):
+    counted = Observation()
+    with pytest.raises(PySparkException, match="not_a_row"):
+        records.records(lines_of("x"), BADGES, "failfast", counted).collect()

@@ -3,10 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import Observation
 
 import __spark_entry__ as contract
 from fixtures import render
-from qadump.operators import counts, entities
+from qadump.operators import counts, entities, records
 from qadump.operators.summaries import answer_summary, question_summary
 from qadump.plans.master import user_master_from_dump
 from qadump.schemas import BADGES, COMMENTS, POST_HISTORY, POST_LINKS, POSTS, USERS
@@ -117,3 +118,12 @@ def test_generated_methods_are_small_enough_to_be_compiled(spark, dump, settings
     CASES[name][0](spark, dump).explain("codegen")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
     assert sizes and max(sizes) < 8000  # the JVM only interprets larger ones
+
+
+@pytest.mark.parametrize("entity", [USERS, POSTS, BADGES])
+def test_counted_records_are_parsed_once(spark, dump, physical_plan, entity):
+    counted = Observation()
+    df = records.records(read_lines(spark, dump[entity]), entity, counted=counted)
+    plan = physical_plan(df)
+    assert plan.count("FileScan text") == 1 and parses(plan) == 1
+    assert plan.count("CollectMetrics") == 1 and "Exchange" not in plan
