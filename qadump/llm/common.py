@@ -65,10 +65,13 @@ def bucket_of(doc_id: str | Column, buckets: int) -> Column:
     return F.coalesce(F.crc32(column.cast("string")) % buckets, F.lit(-1))
 
 
-def draw(doc_id: str, purpose: str) -> Column:
-    """A number from 0 to 1 (excluded) for sampling: a hash of the id, of the row where that is null."""
-    row = F.when(F.col(doc_id).isNull(), F.monotonically_increasing_id())
-    return F.pmod(F.xxhash64(F.lit(purpose), F.col(doc_id), row), F.lit(1 << 30)) / (1 << 30)
+def draw(purpose: str) -> Column:
+    """A number from 0 to 1 (excluded) for sampling, one for each row.
+
+    Of the row's place in the table, not of its columns: however many rows share an id or text, a
+    sample holds the share it should. Stage the sample, as another plan may number rows otherwise.
+    """
+    return F.pmod(F.xxhash64(F.lit(purpose), F.monotonically_increasing_id()), F.lit(1 << 30)) / (1 << 30)
 
 
 def word_count(text: str | Column) -> Column:

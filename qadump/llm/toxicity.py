@@ -7,19 +7,24 @@ estimates the risk on clean text, which can't be negative; where the estimate is
 overfitting), its slope is not followed. Loss: logistic. Model: weights of features, trained
 in numpy by Adam.
 
-Features: a text has so many words that begin with a given stem (1, 2 or 4 and more). Stems
-are a word's first 4 to 10 letters, or a shorter word as a whole. All features whose share among
+Features: a text has so many words that hold a given part (1, 2 or 4 and more). Parts of a word, a
+run of letters, are its first 4 to 10 letters, or a shorter word as a whole; those of a longer run
+are also all pairs of neighbouring letters and all runs of 4 letters in it, to its last letter. So scripts
+without blanks, where a sentence is one run, are read whole. All features whose share among
 positives exceeds that among unlabelled texts by `least_errors` standard errors or more are
-kept; the sample bounds how many there can be.
+kept; the sample bounds how many there can be. Features of fewer than 3 confirmed texts, or than 0.2 % of
+them, are not tried: with so few, chance alone gives such shares.
 
-Training uses a sample of both sets, `sample_rows` each in expectation, drawn by a hash of
-the row (a documented bound of the fit: it keeps the training set of fixed size). The class
-prior is the share of toxic ones among the labelled rows that may be used. Scoring reads
-every row and the whole text.
+Training uses a sample of both sets, `sample_rows` each in expectation (a documented bound of the
+fit: it keeps the training set of fixed size). Unlabelled rows are drawn row by row, confirmed
+ones id by id, one row each: that of the smallest text hash where an id repeats. So no id or text with
+many copies makes the sample larger. The class prior is the share of toxic ones among the labelled
+ids that may be used. Scoring reads every row and the whole text, very long ones in blocks.
 
 Null and empty texts have no words and score what the bias alone gives. Null ids are never held
-out and match no label; a repeated id is toxic if any of its labels is; without positives
-nothing can be learned and all scores are 0. Only id and text are read of the documents.
+out and match no label; a repeated id is toxic if any of its labels is; rows that repeat are scored each for itself.
+Without positives, or without documents, nothing can be learned and all scores are 0 (an empty table has none). A
+score of exactly 0.5 counts as toxic. Only id and text are read of the documents, so other columns can't clash.
 """
 
 from __future__ import annotations
@@ -40,43 +45,65 @@ LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 LEVELS = (1, 2, 4)
 SHORTEST, LONGEST = 4, 10
+#: Lengths of the runs of letters that longer words are taken apart into, all positions.
+INNER = (2, 4)
+#: Words kept with their parts by a scoring task.
+MEMORY = 200_000
 
 
-def stems(word: str) -> list[str]:
+def parts(word: str) -> list[str]:
+    """What features of a word are made of; a repeated run of letters counts as often."""
     if len(word) < SHORTEST:
         return [word + "$"]
-    return [word[:k] for k in range(SHORTEST, min(len(word), LONGEST) + 1)]
+    found = [word[:k] for k in range(SHORTEST, min(len(word), LONGEST) + 1)]
+    if len(word) > LONGEST:
+        found += ["*" + word[k : k + n] for n in INNER for k in range(len(word) - n + 1)]
+    return found
 
 
-def features(text: str | None, known: set[str] | None = None) -> set[str]:
-    """Features of a text, such as "stem2" for two words or more with that stem.
-
-    known: stems to look for; others are passed over.
-    """
+def words_of(text: str | None) -> Counter:
     words: Counter = Counter()
     for block in blocks(text or ""):
         words.update(LETTERS.findall(block.lower()))
+    return words
+
+
+def _levels(counts: Counter) -> set[str]:
+    return {f"{part}{level}" for part, times in counts.items() for level in LEVELS if times >= level}
+
+
+def features(text: str | None) -> set[str]:
+    """Features of a text, such as "part2" for a part that occurs twice or more."""
     counts: Counter = Counter()
-    for word, times in words.items():
-        if known is not None and (word[:SHORTEST] if len(word) >= SHORTEST else word + "$") not in known:
-            continue
-        for stem in stems(word):
-            counts[stem] += times
-    return {f"{stem}{level}" for stem, times in counts.items() for level in LEVELS if times >= level}
+    for word, times in words_of(text).items():
+        for part in parts(word):
+            counts[part] += times
+    return _levels(counts)
 
 
 class Model:
     def __init__(self, weights: dict[str, float], bias: float):
         self.weights, self.bias = weights, bias
-        #: What a word must begin with to have any known stem.
-        self.heads = {f[:-1] if f[-2] == "$" else f[:SHORTEST] for f in weights}
+        self.known = {f[:-1] for f in weights}
+        #: Known parts of words that were seen; most words have none.
+        self.seen: dict[str, tuple[str, ...]] = {}
 
     def margin(self, text: str | None) -> float:
-        found = features(text, self.heads) if self.heads else ()
-        return self.bias + sum(self.weights.get(f, 0.0) for f in sorted(found))
-
-
-def _rows(sets: list[np.ndarray], words: int) -> tuple[np.ndarray, np.ndarray]:
+        if not self.weights:
+            return self.bias
+        counts: Counter = Counter()
+        for word, times in words_of(text).items():
+            found = self.seen.get(word)
+            if found is None:
+                if len(self.seen) >= MEMORY:
+                    self.seen.clear()
+                found = self.seen[word] = tuple(p for p in parts(word) if p in self.known)
+            for part in found:
+                counts[part] += times
+        return self.bias + sum(self.weights.get(f, 0.0) for f in sorted(_levels(counts)))
+
+
+def _rows(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Feature indices of all texts behind each other, and the text of each."""
     sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
     flat = np.concatenate([*sets, np.empty(0, dtype=np.int64)]).astype(np.int64)
@@ -87,6 +114,35 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
 
+Texts = tuple[np.ndarray, np.ndarray, int]
+
+
+def risks(theta: np.ndarray, positive: Texts, unlabelled: Texts, prior: float) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """The risk on toxic text, the estimated risk on clean text (can be negative), and the slopes of both.
+
+    theta: weights of the features, then the bias. Texts: feature indices behind each other, the text
+    of each, the number of texts.
+    """
+
+    def margins(flat: np.ndarray, text: np.ndarray, count: int) -> np.ndarray:
+        return theta[-1] + np.bincount(text, theta[flat], count)
+
+    def slope(texts: Texts, each: np.ndarray) -> np.ndarray:
+        grad = np.bincount(texts[0], each[texts[1]], len(theta))
+        grad[-1] = each.sum()
+        return grad
+
+    p_margin, u_margin = margins(*positive), margins(*unlabelled)
+    # Logistic losses: log(1 + exp(-m)) for the label +1, log(1 + exp(m)) for -1.
+    toxic = prior * np.logaddexp(0, -p_margin).mean()
+    clean = np.logaddexp(0, u_margin).mean() - prior * np.logaddexp(0, p_margin).mean()
+    up = prior * slope(positive, (_sigmoid(p_margin) - 1) / positive[2])
+    down = slope(unlabelled, _sigmoid(u_margin) / unlabelled[2]) - prior * slope(
+        positive, _sigmoid(p_margin) / positive[2]
+    )
+    return float(toxic), float(clean), up, down
+
+
 def fit(
     positive: list[np.ndarray],
     unlabelled: list[np.ndarray],
@@ -108,30 +164,15 @@ def fit(
     theta = np.zeros(words + 1)
     theta[words] = np.log(prior / (1 - prior))
     first, second, step = np.zeros(words + 1), np.zeros(words + 1), 0
-
-    def margins(flat: np.ndarray, text: np.ndarray, count: int) -> np.ndarray:
-        return theta[words] + np.bincount(text, theta[flat], count)
-
-    def slope(flat: np.ndarray, text: np.ndarray, each: np.ndarray) -> np.ndarray:
-        grad = np.bincount(flat, each[text], words + 1)
-        grad[words] = each.sum()
-        return grad
-
     for _ in range(rounds):
         p_parts = np.array_split(rng.permutation(len(positive)), batches)
         u_parts = np.array_split(rng.permutation(len(unlabelled)), batches)
         for p_part, u_part in zip(p_parts, u_parts, strict=True):
             if not len(p_part) or not len(u_part):
                 continue
-            p = _rows([positive[i] for i in p_part], words)
-            u = _rows([unlabelled[i] for i in u_part], words)
-            p_margin, u_margin = margins(*p, len(p_part)), margins(*u, len(u_part))
-            # Logistic losses: log(1 + exp(-m)) for the label +1, log(1 + exp(m)) for -1.
-            clean = np.logaddexp(0, u_margin).mean() - prior * np.logaddexp(0, p_margin).mean()
-            up = prior * slope(*p, (_sigmoid(p_margin) - 1) / len(p_part))
-            down = slope(*u, _sigmoid(u_margin) / len(u_part)) - prior * slope(
-                *p, _sigmoid(p_margin) / len(p_part)
-            )
+            p = (*_rows([positive[i] for i in p_part]), len(p_part))
+            u = (*_rows([unlabelled[i] for i in u_part]), len(u_part))
+            _, clean, up, down = risks(theta, p, u, prior)
             grad = up + down if clean >= -slack else up
             grad[:words] += decay * theta[:words]
             step += 1
@@ -143,7 +184,7 @@ def fit(
 
 
 def sampled(docs: DataFrame, labels: DataFrame, usable: Column, sample_rows: int) -> tuple[DataFrame, float]:
-    """text, confirmed (a sample of toxic rows) and drawn (one of all rows); the class prior.
+    """text, confirmed (of a sample of toxic ids) and drawn (of a sample of all rows); the class prior.
 
     docs: doc_id and text; labels: doc_id and toxic; usable: which ids labels are read of.
     """
@@ -153,22 +194,19 @@ def sampled(docs: DataFrame, labels: DataFrame, usable: Column, sample_rows: int
         .agg(F.max("toxic").alias("toxic"))
     )
     counts = known.agg(F.count("*").alias("all"), F.count(F.when(F.col("toxic") == 1, 1)).alias("toxic")).first()
-    # About sample_rows ids, whatever the size of the labels.
-    toxic = known.where("toxic = 1").withColumn("at", draw("doc_id", "toxic"))
-    chosen = toxic.where(F.col("at") * counts["toxic"] < sample_rows)
-    chosen = F.broadcast(chosen.select("doc_id", F.lit(True).alias("confirmed")))
-    rows = (
-        docs.where(usable)
-        .withColumn("at", draw("doc_id", "unlabelled"))
-        .join(chosen, "doc_id", "left")
-        .select(
-            "text",
-            F.col("confirmed").isNotNull().alias("confirmed"),
-            (F.col("at") * docs.count() < sample_rows).alias("drawn"),
-        )
-        .where("confirmed or drawn")
+    # About sample_rows ids, whatever the size of the labels: these are unique.
+    at = F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1 << 30)) / (1 << 30)
+    chosen = known.where((F.col("toxic") == 1) & (at * counts["toxic"] < sample_rows)).select("doc_id")
+    own = docs.where(usable)
+    # One row an id, found in the map tasks: an id with a third of all rows sends one row a task.
+    confirmed = (
+        own.join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id")
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+        .select("text", F.lit(True).alias("confirmed"))
     )
-    return staged(rows, "toxicity"), counts["toxic"] / max(1, counts["all"])
+    drawn = own.where(draw("unlabelled") * docs.count() < sample_rows).select("text", F.lit(False).alias("confirmed"))
+    return staged(confirmed.unionByName(drawn), "toxicity"), counts["toxic"] / max(1, counts["all"])
 
 
 def _candidates(positive: DataFrame, least_texts: int) -> list[str]:
@@ -201,18 +239,15 @@ def train(
         for batch in small_batches(batches):
             found = [sorted(index[f] for f in features(t) if f in index) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), pa.array(found, pa.list_(pa.int32()))],
-                names=["confirmed", "drawn", "found"],
+                [batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["confirmed", "found"]
             )
 
-    rows = sample.select("text", "confirmed", "drawn").mapInArrow(
-        run, "confirmed boolean, drawn boolean, found array<int>"
-    )
+    rows = sample.select("text", "confirmed").mapInArrow(run, "confirmed boolean, found array<int>")
     # A sample of fixed size, sorted, as rows come back from Spark in any order.
-    texts = sorted((r.found, r.confirmed, r.drawn) for r in rows.collect())
+    texts = sorted((r.found, r.confirmed) for r in rows.collect())
     used_up(sample)
-    positive = [np.array(t, dtype=np.int64) for t, confirmed, _ in texts if confirmed]
-    unlabelled = [np.array(t, dtype=np.int64) for t, _, drawn in texts if drawn]
+    positive = [np.array(t, dtype=np.int64) for t, confirmed in texts if confirmed]
+    unlabelled = [np.array(t, dtype=np.int64) for t, confirmed in texts if not confirmed]
     if not positive or not unlabelled or not index:
         return Model({}, -60.0)
     share_p = np.bincount(np.concatenate(positive), minlength=len(index)) / len(positive)

@@ -1,7 +1,12 @@
-"""The risk's slope against differences, held-out accuracy on planted words, odd rows."""
+"""Risk and slopes against plain loops and differences, held-out accuracy on planted words, odd rows."""
+
+import random
+from math import exp, log
 
 import numpy as np
+import pytest
 from conftest_helpers import crc, prose, rows
+from pyspark.sql import functions as F
 
 from qadump.llm import toxicity
 
@@ -84,11 +89,99 @@ def test_tricky_rows_and_labels(documents, spark, tricky, nothing):
 def test_features_count_words_by_stem():
     assert toxicity.features("Abcde abcdx ab") == {"abcd1", "abcd2", "abcde1", "abcdx1", "ab$1"}
     assert toxicity.features(None) == toxicity.features("1 2") == set()
+    long = toxicity.features("abcdefghijklm")
+    assert {"*lm1", "*jklm1", "*ab1", "abcdefghij1"} <= long and "abcdefghijk1" not in long
+    assert toxicity.features("aaaaaaaaaaaa") >= {"*aa4", "*aaaa4"}
     known = toxicity.Model({"abcd2": 1.5, "ab$1": 0.25}, -1.0)
     assert known.margin("Abcde abcdx, AB! other") == 0.75
     assert known.margin("") == -1.0
 
 
+def texts(rng, n, words):
+    return [rng.choice(words, rng.integers(0, 4), replace=False) for _ in range(n)]
+
+
+def plain_risks(theta, positive, unlabelled, prior):
+    def loss(text, label):
+        margin = theta[-1] + sum(theta[f] for f in text)
+        return log(1 + exp(-label * margin))
+
+    toxic = prior * sum(loss(t, 1) for t in positive) / len(positive)
+    clean = sum(loss(t, -1) for t in unlabelled) / len(unlabelled)
+    return toxic, clean - prior * sum(loss(t, -1) for t in positive) / len(positive)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_risks_equal_a_loop_and_slopes_equal_differences(seed):
+    rng = np.random.default_rng(seed)
+    words, prior = 6, 0.3
+    theta = rng.normal(size=words + 1) * 2
+    positive, unlabelled = texts(rng, 7, words), texts(rng, 12, words)
+    arrays = [(*toxicity._rows(sets), len(sets)) for sets in (positive, unlabelled)]
+    toxic, clean, up, down = toxicity.risks(theta, *arrays, prior)
+    assert (toxic, clean) == pytest.approx(plain_risks(theta, positive, unlabelled, prior))
+    for k in range(words + 1):
+        ahead, behind = theta.copy(), theta.copy()
+        ahead[k] += 1e-5
+        behind[k] -= 1e-5
+        sides = [plain_risks(t, positive, unlabelled, prior) for t in (ahead, behind)]
+        assert up[k] == pytest.approx((sides[0][0] - sides[1][0]) / 2e-5, abs=1e-6)
+        assert down[k] == pytest.approx((sides[0][1] - sides[1][1]) / 2e-5, abs=1e-6)
+
+
+def test_the_fit_lowers_the_non_negative_risk_and_keeps_the_clean_part_up():
+    rng = np.random.default_rng(5)
+    positive = [np.array([0, 1 + int(k)]) for k in rng.integers(0, 5, 40)]
+    unlabelled = [np.array([1 + int(k)] + [0] * (n % 4 == 0)) for n, k in enumerate(rng.integers(0, 5, 200))]
+
+    def risk(theta):
+        toxic, clean = plain_risks(theta, positive, unlabelled, 0.25)
+        return toxic + max(0.0, clean), clean
+
+    start = np.zeros(7)
+    start[6] = log(0.25 / 0.75)
+    weights, bias = toxicity.fit(positive, unlabelled, 6, 0.25)
+    total, clean = risk(np.append(weights, bias))
+    assert total < 0.5 * risk(start)[0]
+    assert clean > -0.05
+
+
+def test_every_letter_of_unbroken_runs_is_read(documents, spark):
+    """Each text is two runs of 50 letters; toxic ones hold a piece that begins at letter 11 or later."""
+    entries, labels = [], []
+    for i in range(900):
+        rng = random.Random(i)
+        runs = ["".join(rng.choices("abcdeilnorst", k=50)) for _ in range(2)]
+        if i % 6 == 0:
+            at = 10 + i % 36
+            runs[i % 2] = runs[i % 2][:at] + "zzqx" + runs[i % 2][at + 4 :]
+        entries.append((i, "\n".join(runs)))
+        labels.append((i, 1, int(i % 6 == 0)))
+    found = scored(documents, spark, rows(entries), labels)
+    assert [i for i, r in found.items() if r.predicted != (i % 6 == 0)] == []
+
+
+def test_runs_that_differ_late_have_other_features():
+    base = "abcdefghij" * 5
+    for at in range(10, 50):
+        assert toxicity.features(base) != toxicity.features(base[:at] + "X" + base[at + 1 :])
+
+
+def test_one_id_on_a_third_of_the_rows_leaves_the_sample_small(documents, spark):
+    entries = [(k, prose(k, 12)) for k in range(6_000)] + [(7, "scoundrel " + prose(1, 5))] * 3_000
+    labels = [(k, 1, int(k % 10 == 7)) for k in range(6_000)]
+    docs = documents(rows(entries)).repartition(8).select("doc_id", "text")
+    marks = spark.createDataFrame(labels, KIND)
+    for usable in (F.lit(True), F.col("doc_id") >= 0):
+        sample, prior = toxicity.sampled(docs, marks, usable, 100)
+        sizes = {r.confirmed: r["count"] for r in sample.groupBy("confirmed").count().collect()}
+        assert prior == 0.1 and 50 <= sizes[True] <= 160 and 50 <= sizes[False] <= 160
+        hot = sample.where("confirmed and text like 'scoundrel%'").count()
+        assert hot <= 1
+        share = sample.where("not confirmed and text like 'scoundrel%'").count() / sizes[False]
+        assert 0.15 < share < 0.55  # a third of the rows, a third of the sample
+
+
 def test_the_risk_is_not_negative_and_falls():
     rng = np.random.default_rng(0)
     positive = [np.array([0, 1 + int(k)]) for k in rng.integers(0, 5, 60)]
