@@ -1,6 +1,9 @@
 """The forward algorithm against all segmentations written out; predictions on clear languages."""
 
 import math
+import random
+import time
+from itertools import product
 
 import numpy as np
 import pytest
@@ -143,7 +146,80 @@ def test_no_labels_and_no_rows(documents, nothing):
     assert found(unlabelled)[1].lang_pred == "und"
 
 
-def test_only_the_most_frequent_languages_are_learned(documents, monkeypatch):
-    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 2)
-    entries = corpus() + [(1000 + i, "el gato y el perro", "es", "s", 0, *([7] * 8)) for i in range(3)]
-    assert {r.lang_pred for r in found(documents(entries)).values()} <= {"de", "en", "fr"}
+def made_up(languages, rows_each=12):
+    """Languages that share letters; each writes its own three syllables."""
+    rng = random.Random(4)
+    syllables = ["".join(p) for p in product("bdfgklmnprst", "aeiou")]
+    entries = []
+    for k in range(languages):
+        own = rng.sample(syllables, 3)
+        for i in range(rows_each):
+            words = ["".join(rng.choices(own, k=4)) for _ in range(25)]
+            entries.append((1000 * k + i, " ".join(words), f"l{k:03}", "s", 0, *([7] * 8)))
+    return entries
+
+
+def test_every_language_is_learned_in_blocks_as_in_one(documents):
+    entries = made_up(40)
+    docs = documents(entries + [(-k, text, None, "s", 0, *([7] * 8)) for k, text in enumerate(["", None, "123", "漢字"], 1)])
+    one, several = found(docs), found(docs, block=3)
+    right = [one[i].lang_pred == lang for i, _, lang, *_ in entries if one[i].held_out]
+    assert len(right) > 50 and sum(right) >= 0.95 * len(right)
+    assert {one[i].lang_pred for i, *_ in entries} == {f"l{k:03}" for k in range(40)}
+    for i, r in one.items():
+        assert several[i].lang_pred == r.lang_pred and several[i].score == pytest.approx(r.score)
+    assert [one[i].lang_pred for i in (-1, -2, -3)] == ["und"] * 3 and one[-4].lang_pred != "und"
+
+
+def test_ties_go_to_the_first_language(documents):
+    entries = [(k, "same words here", lang, "s", 0, *([7] * 8)) for k, lang in enumerate(["b", "a", "c"] * 8)]
+    for block in (256, 1):
+        assert {(r.lang_pred, round(r.score, 6)) for r in found(documents(entries), block=block, held=9).values()} == {("a", 0.333333)}
+
+
+def test_tables_are_those_of_one_fit(documents, spark):
+    """Each language by itself, in a task, as all languages in one fit."""
+    entries = made_up(3)
+    learned = language_id.train(documents(entries).select("text", "lang"), sample_rows=10**6)
+    words = sorted({w for _, text, *_ in entries for w in text.split()})
+    times = np.zeros((len(words), 3))
+    for _, text, lang, *_ in entries:
+        for word in text.split():
+            times[words.index(word), int(lang[1:])] += 1
+    pieces = language_id.vocabulary()
+    whole = language_id.fit(pieces, ["l000", "l001", "l002"], words, times)
+    own = language_id.loaded(learned, ["l000", "l001", "l002"], language_id.Lattice(pieces))
+    assert np.allclose(own.table, whole.table)
+
+
+def test_one_id_on_a_third_of_the_rows_leaves_the_sample_small(documents):
+    entries = corpus()
+    hot = [(5, "hot words of one id", "en", "s", 0, *([7] * 8))] * 3_000
+    words = language_id.training_words(documents(entries * 50 + hot).repartition(6).select("text", "lang"), 100)
+    total = {r.lang: r.n for r in words.groupBy("lang").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n").collect()}
+    assert all(50 * 5 <= n <= 160 * 5 for n in total.values())
+
+
+def test_words_of_many_lengths_are_scored_together():
+    own = model()
+    items = [("abcab" * 60)[: 24 + k] + "é" * (k % 3) for k in range(120)] + ["b" * 1_000, "c"]
+    alone = np.vstack([own.log_likelihoods([item]) for item in items])
+    assert np.allclose(own.log_likelihoods(items), alone) and np.isfinite(alone).all()
+
+
+def test_long_runs_cost_about_what_short_words_do():
+    pieces = language_id.vocabulary()
+    rng = random.Random(2)
+    table = np.random.default_rng(0).random((len(pieces), 4))
+    own = language_id.Model(pieces, list("abcd"), table / table.sum(axis=0))
+
+    def cost(length):
+        items = ["".join(rng.choices("abcdefghilmnoprstu", k=length)) for _ in range(200_000 // length)]
+        best = math.inf
+        for _ in range(2):
+            start = time.process_time()
+            own.log_likelihoods(items)
+            best = min(best, time.process_time() - start)
+        return best / 200_000
+
+    assert cost(200) <= 3 * cost(9)
