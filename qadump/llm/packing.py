@@ -2,8 +2,9 @@
 
 A document's tokens are cut into pieces whose lengths are powers of two, the longest
 first: as many of `max_tokens` as fit, then the binary digits of the rest. Every piece is
-a sequence of its own, so no sequence crosses documents and none is padded; pieces of one
-length form a bucket, and a batch is drawn from one bucket (`write_buckets`).
+a sequence of its own, so no sequence crosses documents and none is padded. Pieces of one
+length form a bucket, named by that length in `bucket`, and a batch is drawn from one bucket;
+`write_buckets` lays pieces out that way, one folder a bucket.
 
 Cutting is local to a document: there is no shuffle, and no document or bucket is gathered.
 
@@ -95,7 +96,7 @@ def pack(
     text: str = "text",
     with_ids: bool = True,
 ) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids."""
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, bucket, ids."""
     if max_tokens < 1 or max_tokens & (max_tokens - 1):
         raise ValueError("max_tokens must be a power of two")
 
@@ -127,10 +128,11 @@ def pack(
         "doc_tokens",
         F.monotonically_increasing_id().alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
+        F.col("length").cast("int").alias("bucket"),
         *(["ids"] if with_ids else []),
     )
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:
-    """One folder per length, so that a batch of equal lengths comes from one folder."""
-    pieces.withColumn("bucket", F.col("length")).write.partitionBy("bucket").parquet(path)
+    """The result of `pack` as Parquet, one folder per bucket, each read without the others."""
+    pieces.write.partitionBy("bucket").parquet(path)

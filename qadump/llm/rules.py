@@ -294,6 +294,11 @@ def verdicts(measured_docs: DataFrame, rules: list[Rule]) -> DataFrame:
     )
 
 
+def kept_rows(measured_docs: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The rows that are kept, with their own columns, of a result of `measured` that was staged."""
+    return verdicts(measured_docs, rules).where("kept").select("row.*")
+
+
 def accepted(docs: DataFrame, rules: list[Rule], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that are kept, with their own columns.
 

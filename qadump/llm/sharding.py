@@ -14,8 +14,10 @@ with very many copies) is split by the hash of the id, so no key or group of cop
 one task.
 
 Null texts count as empty ones of size 8, null ids are ordinary ids, repeated rows are
-rows of their own (they take different slots), an empty table gives an empty result. Only
-the id and text columns are read, so other columns can't clash.
+rows of their own (they take different slots), an empty table gives an empty result. Rows at one ring
+position (equal texts) take slots in the order of their ids, then of size and checksum. A very long text is
+hashed and measured where it is; only numbers are moved. Only the id and text columns are read, so
+other columns can't clash.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qadump.llm.common import small, staged
@@ -71,6 +73,32 @@ def walk(loads: list[int], owners: list[int], room: list[int]) -> dict[int, list
     return runs
 
 
+#: What rows are ranked in: a slice of an arc, a part of a crowded slice, a piece of a crowded part.
+CELL = ("arc", "slice", "part", "piece")
+
+
+def celled(rows: DataFrame, slices: DataFrame, cell_rows: int) -> DataFrame:
+    """rows with part and piece. slices: arc, slice and their n rows."""
+
+    def split(rows: DataFrame, counted: DataFrame, key: list[str], name: str, by: Column) -> DataFrame:
+        crowded = counted.select(*key, F.ceil(F.col("n") / cell_rows).alias("into"))
+        return rows.join(small(crowded), key, "left").withColumn(
+            name, F.coalesce(F.pmod(by, F.col("into")), F.lit(0))
+        ).drop("into")
+
+    by_id = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("uid")))
+    crowded = slices.where(F.col("n") > cell_rows)
+    parted = split(rows, crowded, ["arc", "slice"], "part", by_id)
+    # Only crowded slices can have crowded parts.
+    again = (
+        parted.join(small(crowded.drop("n")), ["arc", "slice"], "left_semi")
+        .groupBy("arc", "slice", "part")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") > 2 * cell_rows)
+    )
+    return split(parted, staged(again, "crowded-parts"), ["arc", "slice", "part"], "piece", F.xxhash64("uid"))
+
+
 def assign(
     docs: DataFrame,
     shards: int = 24,
@@ -105,16 +133,9 @@ def assign(
     loads = [counts.get(arc, 0) for arc in range(len(points))]
     runs = walk(loads, owners, capacities(sum(loads), shards, slack))
 
-    # Cells: slices of an arc, crowded ones split by the id (by the row where the id is null).
-    crowded = slices.where(F.col("n") > cell_rows).select(
-        "arc", "slice", F.ceil(F.col("n") / cell_rows).alias("parts")
-    )
-    split = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("uid")))
-    rows = rows.join(small(crowded), ["arc", "slice"], "left").withColumn(
-        "part", F.coalesce(F.pmod(split, F.col("parts")), F.lit(0))
-    )
-    cell = ["arc", "slice", "part"]
-    along_arc = Window.partitionBy("arc").orderBy("slice", "part")
+    rows = celled(rows, slices, cell_rows)
+    cell = list(CELL)
+    along_arc = Window.partitionBy("arc").orderBy("slice", "part", "piece")
     cells = (
         rows.groupBy(cell)
         .agg(F.count("*").alias("n"))

@@ -78,6 +78,6 @@ def test_the_query_runs_all_stages(spark):
 
 def test_names_of_the_queries():
     names = set(queries.queries())
-    assert {n.split("_")[0] for n in names} == {"pipeline", *(f"op{k}" for k in range(1, 11))}
+    assert {n.split("_")[0] for n in names} == {"pipeline", *(f"op{k}" for k in range(1, 14))}
     assert len(names) == 11
     assert set(queries.oracle_sql()) <= names

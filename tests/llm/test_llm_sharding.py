@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from conftest_helpers import prose, rows
+from pyspark.sql import functions as F
 
 from qadump.llm import sharding
 
@@ -48,6 +49,22 @@ def test_a_third_of_all_rows_are_copies(documents, cell_rows):
     assert copies.most_common(1)[0][1] > 2 * 200 / 7
 
 
+def test_copies_of_one_row_are_ranked_in_pieces(documents, spark):
+    """A third of all rows are one id and text: no cell holds more than a few times the others."""
+    texts = [(7, "the same text")] * 3_000 + [(k, prose(k, 4)) for k in range(6_000)]
+    docs = documents(rows(texts)).repartition(6)
+    found = placed(sharding.assign(docs, shards=5, virtual_nodes=4, cell_rows=300))
+    assert len(found) == 9_000
+    check_law(found, 5)
+    arcs = docs.select(
+        "doc_id", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("uid")
+    ).select("doc_id", "uid", F.lit(0).alias("arc"), F.pmod("h", F.lit(20)).alias("slice"))
+    slices = arcs.groupBy("arc", "slice").agg(F.count("*").alias("n"))
+    cells = sharding.celled(arcs, slices, 300).groupBy(*sharding.CELL).count()
+    sizes = sorted(r["count"] for r in cells.collect())
+    assert sum(sizes) == 9_000 and sizes[-1] <= 600 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+
+
 def test_walk_equals_row_by_row_overflow():
     rng = np.random.default_rng(3)
     owners = list(rng.permutation(np.repeat(np.arange(4), 5)))
