@@ -18,8 +18,9 @@ from qadump.llm.common import bucket_of, importable, shared_folder, staged, tabl
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base check and that no rule learned from the labels rejects."""
-    judged = staged(rules.measured(docs).drop("row"), "quality")
-    return rules.accepted(docs, rules.learn(judged, table(spark, sf_dir, "labels")))
+    # Measured once: staged with the rows, so that the rules learned from it choose among it.
+    measured = staged(rules.measured(docs), "quality")
+    return rules.kept_rows(measured, rules.learn(measured.drop("row"), table(spark, sf_dir, "labels")))
 
 
 def toxic_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +43,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def token_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 1024 tokens, each with its ids."""
+    """Pieces of at most 1024 tokens, each with its ids and the bucket of its length."""
     return packing.pack(docs, max_tokens=1024)
 
 
@@ -59,11 +60,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir, each written as Parquet and read again."""
+    """All stages over the documents of sf_dir, each written as Parquet and read again.
+
+    The packed pieces lie in one folder per bucket, so that a batch of equal lengths comes from one.
+    """
     importable(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = shared_folder(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        kept = stage(spark, docs, sf_dir)
+        if name == "packing":
+            packing.write_buckets(kept, path)
+        else:
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
     return docs
