@@ -5,7 +5,8 @@ possible (iterative quantisation: principal axes, then alternating between signs
 best rotation), learned on a sample of `sample_rows` (a documented bound). 64 bits;
 vectors of fewer dimensions get several rotations, those of more their 64 main axes.
 
-Index: every row is in one of many shards of bounded size. In a shard the code is split into
+Index: every row is in one of many shards of bounded size: runs of rows as they lie in the staged
+table, read in place. In a shard the code is split into
 substrings, each with an inverted list. By the pigeonhole principle a code within Hamming radius
 r differs in at most r // m bits in one of the m substrings, so probing the lists of all values
 that near retrieves every code within r. These are reranked by exact distance on the
@@ -14,8 +15,10 @@ distance that covers `goal` of the true neighbours there; the number of substrin
 with the fewest expected candidates. Where a shard has fewer than k codes within r, r grows
 until it has, so every query gets k neighbours if there are k.
 
-Queries are a stated part of the rows; each visits every shard, and only the k best of a
-shard leave it. Vectors that are null, zero, of another length than most, or hold null or
+Queries are a stated part of the rows. They go out in batches of `BATCH_BYTES` at most, each a
+broadcast whose size is known from the number of queries, and visit every shard; a task keeps the
+k best of each query over its shards, and only those leave it. So no vector is shuffled, and tasks hold a
+shard and a batch. Vectors that are null, zero, of another length than most, or hold null or
 non-finite components take no part, nor do rows without id. A repeated id is a row of its
 own: only the query's own row is no candidate. Equal distances go to the smaller id.
 Fewer than two vectors give no rows. Only the id and vector columns are read.
@@ -25,19 +28,22 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from math import comb
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from qadump.llm.common import staged
 
 BITS = 64
-#: Vectors of a shard: small ones while there are few, so that all cores have some; with
-#: many vectors large ones, as every query is sent to every shard.
-SHARD_BYTES, FEW_SHARDS, LARGEST_SHARD_BYTES = 8_000_000, 512, 200_000_000
+#: Vectors of a shard.
+SHARD_BYTES = 64_000_000
+#: Vectors of the queries that are broadcast together.
+BATCH_BYTES = 64_000_000
 RESULT = "query_uid long, query_id long, vec_id long, uid long, score double"
 
 
@@ -163,6 +169,8 @@ def search(
     k: int = 10,
     sample_rows: int = 10_000,
     goal: float = 0.97,
+    shard_bytes: int = SHARD_BYTES,
+    batch_bytes: int = BATCH_BYTES,
     vec_id: str = "vec_id",
     vector: str = "embedding",
 ) -> DataFrame:
@@ -179,64 +187,68 @@ def search(
     data = _matrix(sample.column("vec"))
     codes = spark.sparkContext.broadcast(learn(data, k, goal))  # 64 axes
 
-    size = 8 * data.shape[1] * total
-    shards = max(1, min(-(-size // SHARD_BYTES), FEW_SHARDS), -(-size // LARGEST_SHARD_BYTES))
+    row_bytes = 8 * data.shape[1] + 16
     is_query = F.pmod("vec_id", F.lit(query_step)) == 0
-    own = rows.withColumn("shard", F.pmod(F.xxhash64("uid"), F.lit(shards))).withColumn("asks", F.lit(False))
-    asked = (
-        rows.where(is_query)
-        .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-        .withColumn("asks", F.lit(True))
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, shard, held, at = codes.value, None, [], None
-        for batch in batches:
-            place, asks = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
-            uid, ids, vecs = batch.column(2).to_numpy(), batch.column(3).to_numpy(), _matrix(batch.column(4))
-            # Runs of one shard's rows or one shard's queries.
-            edges = np.flatnonzero((place[1:] != place[:-1]) | (asks[1:] != asks[:-1])) + 1
-            for start, end in zip(np.r_[0, edges], np.r_[edges, len(place)], strict=True):
-                if start == end:
-                    continue
-                if place[start] != at:
-                    shard, held, at = None, [], place[start]
-                part = slice(start, end)
-                if not asks[start]:
-                    held.append((uid[part], ids[part], vecs[part]))
-                    continue
-                if shard is None:
-                    if not held:
-                        continue
-                    shard, held = Shard(model, *(np.concatenate(c) for c in zip(*held, strict=True))), []
-                code = model.of(vecs[part])
-                out: list[list[np.ndarray]] = [[], [], [], [], []]
-                for row in range(end - start):
-                    mine = start + row
-                    found, score = shard.nearest(uid[mine], vecs[mine], code[row], k)
-                    values = (
-                        np.full(len(found), uid[mine]),
-                        np.full(len(found), ids[mine]),
-                        shard.vec_id[found],
-                        shard.uid[found],
-                        score,
-                    )
-                    for column, value in zip(out, values, strict=True):
-                        column.append(value)
-                names = ["query_uid", "query_id", "vec_id", "uid", "score"]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names)
-
-    columns = ["shard", "asks", "uid", "vec_id", "vec"]
-    best = (
-        own.select(columns)
-        .unionByName(asked.select(columns))
-        .repartition(shards, "shard")
-        .sortWithinPartitions("shard", "asks")
-        .mapInArrow(run, RESULT)
-    )
+    asked = rows.where(is_query).select("uid", "vec_id", "vec")
+    batches = max(1, -(-asked.count() * row_bytes // batch_bytes))
+    found = [
+        nearest_in_place(rows, asked.where(F.pmod(F.xxhash64("uid"), F.lit(batches)) == b), codes, k, shard_bytes // row_bytes)
+        for b in range(batches)
+    ]
+    if batches > 1:  # one batch is let go before the next goes out
+        found = [staged(best, "nearest") for best in found]
     order = Window.partitionBy("query_uid").orderBy("score", "vec_id", "uid")
     return (
-        best.withColumn("rank", F.row_number().over(order))
+        reduce(DataFrame.unionByName, found)
+        .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
+
+
+def nearest_in_place(rows: DataFrame, asked: DataFrame, codes: Broadcast, k: int, shard_rows: int) -> DataFrame:
+    """RESULT: for every task over rows, the k nearest of each query among its rows.
+
+    asked: uid, vec_id and vec of one batch of queries, which is collected and broadcast.
+    """
+    batch = asked.orderBy("vec_id", "uid").toArrow()
+    if not batch.num_rows:
+        return rows.sparkSession.createDataFrame([], RESULT)
+    uids, ids = (batch.column(name).to_numpy() for name in ("uid", "vec_id"))
+    shared = rows.sparkSession.sparkContext.broadcast((uids, ids, _matrix(batch.column("vec"))))
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, (query_uid, query_id, vectors) = codes.value, shared.value
+        asked_codes = model.of(vectors)
+        best: list[tuple] = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))] * len(query_uid)
+
+        def ask(held: list[tuple]) -> None:
+            shard = Shard(model, *(np.concatenate(column) for column in zip(*held, strict=True)))
+            for q in range(len(query_uid)):
+                near, score = shard.nearest(query_uid[q], vectors[q], asked_codes[q], k)
+                known = best[q]
+                ids, uids = np.r_[known[0], shard.vec_id[near]], np.r_[known[1], shard.uid[near]]
+                score = np.r_[known[2], score]
+                first = np.lexsort((uids, ids, score))[:k]
+                best[q] = (ids[first], uids[first], score[first])
+
+        held: list[tuple] = []
+        count = 0
+        for part in parts:
+            for start in range(0, part.num_rows, shard_rows):
+                some = part.slice(start, shard_rows)
+                if held and count + some.num_rows > shard_rows:
+                    ask(held)
+                    held, count = [], 0
+                held.append((some.column(0).to_numpy(), some.column(1).to_numpy(), _matrix(some.column(2))))
+                count += some.num_rows
+        if held:
+            ask(held)
+        sizes = [len(b[0]) for b in best]
+        columns = [np.repeat(query_uid, sizes), np.repeat(query_id, sizes)]
+        columns += [np.concatenate([b[c] for b in best]) for c in (0, 1, 2)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(column) for column in columns], names=["query_uid", "query_id", "vec_id", "uid", "score"]
+        )
+
+    return rows.select("uid", "vec_id", "vec").mapInArrow(run, RESULT)

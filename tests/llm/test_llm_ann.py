@@ -29,12 +29,13 @@ def brute(vectors, ids, query, k):
 
 
 @pytest.mark.parametrize("dims", [2, 16, 64, 100])
-def test_recall_and_scores(spark, dims, monkeypatch):
-    monkeypatch.setattr(ann, "SHARD_BYTES", 300 * 8 * dims)  # several shards
+def test_recall_and_scores(spark, dims):
+    # Several shards in a task, several batches of queries.
+    bounds = {"shard_bytes": 60 * 8 * dims, "batch_bytes": 8 * 8 * dims}
     rng = np.random.default_rng(dims)
     centres = rng.standard_normal((20, dims))
     vectors = (centres[rng.integers(0, 20, 1000)] + 0.5 * rng.standard_normal((1000, dims))).tolist()
-    found = search(table(spark, vectors), query_step=50)
+    found = search(table(spark, vectors), query_step=50, **bounds)
     assert sorted(found) == list(range(0, 1000, 50))
     hits = 0
     for query, rows in found.items():
@@ -47,6 +48,26 @@ def test_recall_and_scores(spark, dims, monkeypatch):
     assert hits >= 0.9 * 200
 
 
+@pytest.mark.parametrize("batch_bytes", [64_000_000, 40 * 8 * 64])
+def test_recall_of_nearly_random_vectors(spark, batch_bytes):
+    rng = np.random.default_rng(77)
+    vectors = rng.standard_normal((4_000, 64))
+    vectors = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).tolist()
+    frame = table(spark, vectors).repartition(5)
+    found = search(frame, query_step=40, shard_bytes=500 * 8 * 64, batch_bytes=batch_bytes)
+    hits = sum(
+        len({r[1] for r in found[q]} & {r[1] for r in brute(vectors, list(range(4_000)), q, 10)}) for q in range(0, 4_000, 40)
+    )
+    assert hits >= 0.9 * 1_000
+
+
+def test_no_vector_is_shuffled(spark):
+    rows = table(spark, np.random.default_rng(1).standard_normal((300, 8)).tolist())
+    plan = ann.search(rows, query_step=10)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanges and "vec#" not in "".join(exchanges) and "Join" not in plan
+
+
 def test_a_very_common_vector(spark):
     rng = np.random.default_rng(1)
     vectors = [[1.0, 2.0, 3.0]] * 400 + rng.standard_normal((200, 3)).tolist()

@@ -74,10 +74,14 @@ def test_the_query_runs_all_stages(spark):
     result = queries.queries()["pipeline"](spark, SF_DIR)
     assert result.count() > 0
     assert {"doc_id", "start", "length", "ids"} <= set(result.columns)
+    assert result.where("bucket <> length").count() == 0
+    # One folder per bucket.
+    folders = {int(re.search(r"/bucket=(\d+)/", f)[1]) for f in result.inputFiles()}
+    assert folders == {r.bucket for r in result.select("bucket").distinct().collect()}
 
 
 def test_names_of_the_queries():
     names = set(queries.queries())
     assert {n.split("_")[0] for n in names} == {"pipeline", *(f"op{k}" for k in range(1, 14))}
-    assert len(names) == 11
+    assert len(names) == 14
     assert set(queries.oracle_sql()) <= names
