@@ -12,13 +12,15 @@ last gap best closes it.
 All of it is DataFrame work. The rows are staged once, with a number that tells repeated
 ones apart, so the words are counted once and every later step sees the same rows. Random
 numbers are hashes of id and text, so reruns agree. The ranking is never sorted whole: words
-are summed in `bins` of the rank, and only the bin that holds the cut is sorted, so a source
-with a third of all rows is no single task. Sources are numbered and their targets found over
-a table of one row a source, which does pass one task.
+are summed in `bins` of the rank, and only the bins that hold a cut are sorted, in ranges that
+tasks share (`scan`): neither a source nor copies of one row with a third of all rows are a
+single task. Sources, one row each, are numbered and their targets found in the same way, so there may be
+as many of them as there are hosts.
 
-A null text or one without words has size 0: it can be copied, but takes no words. Null is a
+A null text or one without words has size 0: it can be copied, but takes no words; a very long one is
+counted where it is. Null is a
 source of its own, after all others. Rows with null or repeated ids are drawn each for
-itself. An empty table gives an empty result; if there are no words, all targets are 0 and
+itself; rows of equal rank (copies of one id and text) are taken in the order of the table. An empty table gives an empty result; if there are no words, all targets are 0 and
 nothing is taken. All columns travel inside one struct, so their names can't clash.
 """
 
@@ -28,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qadump.llm.common import small, staged, word_count
+from qadump.llm.scan import ordered, running
 
 EPSILON = 1e-9
 
@@ -41,32 +44,24 @@ def _uniform(*columns: Column) -> Column:
 def targets(sizes: DataFrame, weights: int = 3, most: float = 3.0) -> DataFrame:
     """source, source_size, target, from rows of source and size (one row per source at most)."""
     by_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    everything = Window.partitionBy()
-    weighed = by_source.select(
-        "source",
-        "source_size",
-        ((F.row_number().over(by_name) - 1) % weights + 1).alias("weight"),
-        F.sum("source_size").over(everything).alias("total"),
-    )
+    named = running(ordered(by_source, [F.col("source").asc_nulls_last()], "sources"), {"nth": F.lit(1)})
+    weighed = named.select("source", "source_size", ((F.col("nth") - 1) % weights + 1).alias("weight"))
+    ratio = F.col("source_size") / F.col("weight")
     # Sources fill up in the order of cap per weight: `level` is the share of one unit of
     # weight if all before have stopped at their caps and this one has not.
-    ratio = F.col("source_size") / F.col("weight")
-    order = Window.orderBy(ratio, F.col("source").asc_nulls_last())
-    up_to = order.rowsBetween(Window.unboundedPreceding, -1)
-    onward = order.rowsBetween(0, Window.unboundedFollowing)
-    capped = F.coalesce(F.sum("source_size").over(up_to), F.lit(0)) * most
-    level = (F.col("total") - capped) / F.sum("weight").over(onward)
+    order = [F.col("ratio"), F.col("source").asc_nulls_last()]
+    parts = ordered(weighed.withColumn("ratio", ratio), order, "sources-by-ratio")
+    total, all_weights = parts.agg(F.sum("source_size"), F.sum("weight")).first()
+    filled = running(parts, {"sizes": F.col("source_size"), "used": F.col("weight")})
+    capped = (F.col("sizes") - F.col("source_size")) * most
+    level = (F.lit(total) - capped) / (F.lit(all_weights) - F.col("used") + F.col("weight"))
     free = F.col("source_size") * most >= F.col("level") * F.col("weight")
-    return (
-        weighed.withColumn("level", level)
-        .withColumn("first", F.min(F.when(free, F.struct(ratio, "level"))).over(everything))
-        .withColumn("level", F.coalesce(F.col("first.level"), F.lit(0.0)))
-        .select(
-            "source",
-            F.col("source_size").cast("long").alias("source_size"),
-            F.least(F.col("source_size") * F.lit(float(most)), F.col("level") * F.col("weight")).alias("target"),
-        )
+    order_key = F.struct("ratio", F.col("source").isNull().alias("last"), "source")
+    first = filled.withColumn("level", level).where(free).agg(F.min_by("level", order_key)).first()[0] or 0.0
+    return parts.select(
+        "source",
+        F.col("source_size").cast("long").alias("source_size"),
+        F.least(F.col("source_size") * F.lit(float(most)), F.lit(first) * F.col("weight")).alias("target"),
     )
 
 
@@ -121,15 +116,21 @@ def _cuts(rows: DataFrame, bins: int) -> DataFrame:
         .agg(F.max_by(F.struct("bin", "before", "rest"), "bin").alias("edge"))
         .select(F.col("source").alias("edge_source"), "edge.bin", "edge.before", "edge.rest")
     )
-    inside = chancy.drop("rest").join(
+    inside = chancy.select("source", "bin", "place", "tie", "size").join(
         edge.withColumnRenamed("bin", "edge_bin"),
         F.col("source").eqNullSafe(F.col("edge_source")) & (F.col("bin") == F.col("edge_bin")),
     )
-    ranked = Window.partitionBy("source").orderBy("place", "tie")
-    upto = F.col("before") + F.sum("size").over(ranked)
+    # A group name that is never null, as groups of a scan must be.
+    name = F.concat(F.when(F.col("source").isNull(), "n").otherwise("s"), F.coalesce("source", F.lit("")))
+    near = inside.select(
+        name.alias("group"), "source", "edge_bin", "before", "rest", F.col("place").alias("rank"), "tie", "size"
+    )
+    parts = ordered(near, ["group", "rank", "tie"], "mixing-cut")
+    upto = running(parts, {"words": F.col("size")}, ["group"]).withColumn("upto", F.col("before") + F.col("words"))
     cut = (
-        inside.withColumn("upto", upto)
-        .withColumn("at", F.when(F.col("upto") <= F.col("rest"), F.struct("place", "tie", "upto")))
+        upto.withColumn(
+            "at", F.when(F.col("upto") <= F.col("rest"), F.struct(F.col("rank").alias("place"), "tie", "upto"))
+        )
         .groupBy("source")
         .agg(
             F.max("at").alias("at"),

@@ -7,6 +7,7 @@ import pytest
 from conftest_helpers import prose, rows
 
 from qadump.llm import mixing
+from qadump.llm.common import word_count
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -90,6 +91,56 @@ def test_longer_documents_are_likelier(documents):
     assert mean[120] > 1.5 * mean[4]
 
 
+def plain_order_sample(docs, most=3.0):
+    """copies by doc_id (ids are unique): rank all rows of a source, take until its words are used up."""
+    rows_of = docs.select(
+        "doc_id", "source", word_count("text").alias("size"), mixing._uniform(docs.doc_id, docs.text).alias("u")
+    ).collect()
+    sizes = docs.select("source", word_count("text").alias("size"))
+    levels = {(r.source, r.bits): r for r in mixing.allocation(sizes, 3, most).collect()}
+    copies, ranked = {}, defaultdict(list)
+    for r in rows_of:
+        level = levels[r.source, len(f"{r.size:b}")]
+        copies[r.doc_id] = int(level.whole)
+        if level.chance > mixing.EPSILON and r.size > 0:
+            odds = (r.u / (1 - r.u)) / (level.chance / (1 - level.chance))
+            ranked[r.source].append((odds, r.doc_id, r.size, level.rest))
+    for entries in ranked.values():
+        entries.sort()
+        used, rest, k = 0, entries[0][3], 0
+        while k < len(entries) and used + entries[k][2] <= rest:
+            used += entries[k][2]
+            copies[entries[k][1]] += 1
+            k += 1
+        gap = rest - used
+        closing = min(((abs(size - gap), odds, i) for odds, i, size, _ in entries[k:]), default=None)
+        if closing and closing[0] < gap:
+            copies[closing[2]] += 1
+    return copies
+
+
+@pytest.mark.parametrize("bins", [1, 5, 4096])
+def test_rows_taken_are_those_of_a_plain_order_sample(documents, bins):
+    entries = []
+    for k, (source, count) in enumerate({"a": 150, "b": 90, None: 40, "c": 12, "": 70}.items()):
+        entries += rows([(1000 * k + i, prose(1000 * k + i, 1 + (i * 29) % 70)) for i in range(count)], source)
+    docs = documents(entries)
+    found = {r.doc_id: r.copies for r in mixing.mix(docs, bins=bins).select("row.doc_id", "copies").collect()}
+    assert found == plain_order_sample(docs)
+
+
+def test_a_third_of_all_rows_are_copies_of_one_row(documents, settings):
+    settings(spark__sql__shuffle__partitions="6")
+    entries = rows([(5, "one two three four")] * 2_000, "a") + rows([(k, prose(k, 3 + k % 9)) for k in range(2_000)], "a")
+    entries += rows([(9_000 + k, prose(k, 7)) for k in range(2_000)], "b")
+    check(documents(entries).repartition(6), 0.02)
+
+
+def test_many_sources(documents):
+    entries = [e for k in range(300) for e in rows([(10 * k + i, prose(10 * k + i, 2 + k % 40)) for i in range(3)], f"host{k}")]
+    check(documents(entries), 0.05)
+
+
 def test_repeated_gives_back_the_rows(documents):
     docs = documents(rows([(i, prose(i, 9)) for i in range(50)], "a") + rows([(99, prose(1, 9))], "b"))
     mixed_rows = mixing.mix(docs)
