@@ -3,7 +3,9 @@
 Words get classes by the exchange algorithm: the `exchanged` most frequent words of the training
 text start in classes of their own rank, all others in one class of rare words, and each frequent word
 in turn moves to the class that raises the likelihood of the training text's class bigrams most, until
-few words move. Every other word that training saw twice or more then gets the class that makes
+few words move. Both numbers follow the vocabulary of V words (`sizes_for`): the words that move grow with
+its sixth root, so their table of bigrams with its cube root, and the classes with the square root of the
+words that move. Every other word that training saw twice or more then gets the class that makes
 the training text likeliest next to the exchanged words' classes, all of them in one parallel round, and
 the class bigrams are counted again over the classes of all words. Words seen once stay in
 the rare class, as they stand for words that were never seen.
@@ -19,8 +21,9 @@ hot word out of the shuffle; other words are joined with their classes, and retu
 places in their documents in one aggregation. Transitions and scores come from these
 sequences, a byte a token, staged.
 
-A null or empty text is its end token alone. Null ids are never held out; repeated rows
-count and score as rows of their own. Without training text N = V = 0, the base score is 0 and
+A null or empty text is its end token alone; a very long one is read in blocks. Words of equal count rank in code point
+order, and of equally good classes a word takes the first. Null ids are never held out; repeated rows
+count and score as rows of their own; an empty table gives an empty result. Without training text N = V = 0, the base score is 0 and
 classes are equally likely. Only the id and text columns are read.
 """
 
@@ -206,12 +209,22 @@ def _transition(bigrams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.log10((bigrams + strength * share) / (context + strength)), class_tokens
 
 
+def sizes_for(distinct: int) -> tuple[int, int]:
+    """Words that move and classes, for a vocabulary: 1,500 and 32 up to 360,000 words, 5,600 and 62 at a billion."""
+    exchanged = max(1_500, round(178 * distinct ** (1 / 6)))
+    return exchanged, round(32 * (exchanged / 1_500) ** 0.5)
+
+
 def train(
-    docs: DataFrame, counts: DataFrame, classes: int = 32, exchanged: int = 1_500, looked_up: int = 30_000
+    docs: DataFrame,
+    counts: DataFrame,
+    classes: int | None = None,
+    exchanged: int | None = None,
+    looked_up: int = 30_000,
 ) -> Model:
     """Classes of the words that the exchange moves; all others are in the rare class as yet.
 
-    docs: rows of text and train; counts: of `word_counts`, staged.
+    docs: rows of text and train; counts: of `word_counts`, staged; classes, exchanged: of `sizes_for` if None.
     """
     is_end = F.col("word") == END.decode()
     words = counts.where(~is_end)
@@ -224,6 +237,8 @@ def train(
         F.count(F.when(F.col("c") == 2, 1)).alias("twice"),
         F.coalesce(F.sum(F.when(is_end, F.col("c"))), F.lit(0)).alias("ends"),
     ).first()
+    by_rule = sizes_for(totals.distinct)
+    exchanged, classes = exchanged or by_rule[0], classes or by_rule[1]
     trained = words.where("c > 0").orderBy(F.desc("c"), "word").limit(exchanged)
     movers = [(r.word.encode(), r.c) for r in trained.select("word", "c").collect()]
     ids = {word: k for k, (word, _) in enumerate(movers)} | {END: len(movers)}
@@ -258,38 +273,66 @@ def assigned(docs: DataFrame, model: Model) -> DataFrame:
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups = shared.value
-        for batch in small_batches(batches, most_bytes=8_000_000):
+        for batch in small_batches(batches, most_bytes=16_000_000):
             words = list(chain.from_iterable(chain.from_iterable(map(token_runs, batch.column(0).to_pylist()))))
             flat = np.fromiter((groups.get(w, rare) for w in words), dtype=np.int64, count=len(words))
             at = np.flatnonzero(flat == rare)  # never the last token, which is an end
             code = np.r_[groups[END], flat[:-1]][at] * k + flat[np.minimum(at + 1, len(flat) - 1)]
             coded = pa.array([words[i] for i in at.tolist()], pa.binary()).dictionary_encode()
             key, n = np.unique(coded.indices.to_numpy() * np.int64(k * k) + code, return_counts=True)
-            word = coded.dictionary.cast(pa.string()).take(pa.array(key // (k * k)))
-            yield pa.RecordBatch.from_arrays(
-                [word, pa.array((key % (k * k)).astype(np.int32)), pa.array(n)], names=["word", "code", "n"]
+            # One row a word: all its codes of the batch, each with its number.
+            word = key // (k * k)
+            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else word
+            packed = np.stack([key % (k * k), n], axis=1).astype("<i4")
+            ends = (8 * np.r_[first, len(word)]).astype(np.int32)
+            cells = pa.Array.from_buffers(
+                pa.binary(), len(first), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(packed.tobytes())]
             )
+            names = coded.dictionary.cast(pa.string()).take(pa.array(word[first]))
+            yield pa.RecordBatch.from_arrays([names, cells], names=["word", "cells"])
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 500):
-                batch = whole.slice(start, 500)
-                seen = batch.column("seen")
-                entries, sizes = seen.flatten(), pa.compute.list_value_length(seen).to_numpy()
-                gains = worth[entries.field("code").to_numpy()] * entries.field("n").to_numpy()[:, None]
-                total = np.add.reduceat(gains, np.r_[0, np.cumsum(sizes)[:-1]])
-                group = np.where(batch.column("c").to_numpy() > 1, total.argmax(axis=1), rare)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("word"), batch.column("c"), pa.array(group.astype(np.int32))],
-                    names=["word", "c", "group"],
-                )
-
-    # One shuffle, by word; a word has at most classes x classes codes.
-    seen = docs.where("train").select("text").mapInArrow(around, "word string, code int, n long").repartition("word")
-    by_word = (
-        seen.groupBy("word", "code").agg(F.sum("n").alias("n"))
-        .groupBy("word").agg(F.sum("n").alias("c"), F.collect_list(F.struct("code", "n")).alias("seen"))
-    )
+        """The class of each word; rows come in the order of words."""
+
+        def chosen(words: pa.Array, cells: pa.Array) -> pa.RecordBatch:
+            coded = words.dictionary_encode()
+            packed = np.frombuffer(b"".join(cells.to_pylist()), "<i4").astype(np.int64).reshape(-1, 2)
+            each = pa.compute.binary_length(cells).to_numpy() // 8
+            row = np.repeat(coded.indices.to_numpy(), each)
+            count = np.bincount(row, packed[:, 1], len(coded.dictionary)).astype(np.int64)
+            total = np.zeros((len(coded.dictionary), worth.shape[1]))
+            # Rows of a word are neighbours, so sums run over runs of them.
+            starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+            for a in range(0, len(starts), 500):
+                b = min(a + 500, len(starts))
+                some = slice(starts[a], starts[b] if b < len(starts) else len(row))
+                gains = worth[packed[some, 0]] * packed[some, 1][:, None]
+                total[row[starts[a:b]]] = np.add.reduceat(gains, starts[a:b] - starts[a])
+            group = np.where(count > 1, total.argmax(axis=1), rare)
+            return pa.RecordBatch.from_arrays(
+                [coded.dictionary, pa.array(count), pa.array(group.astype(np.int32))], names=["word", "c", "group"]
+            )
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            whole = pa.Table.from_batches(held).combine_chunks()
+            words = whole.column("word").combine_chunks()
+            # The last word may go on in the next batch.
+            same = pa.compute.equal(words, words[-1]).to_numpy(zero_copy_only=False)
+            cut = len(words) - int(same.sum())
+            if cut:
+                done = whole.slice(0, cut)
+                yield chosen(done.column("word").combine_chunks(), done.column("cells").combine_chunks())
+            held = whole.slice(cut).combine_chunks().to_batches()
+        for rest in held:
+            yield chosen(rest.column("word"), rest.column("cells"))
+
+    # One shuffle, by word; a word has one row for every batch of texts that it is in.
+    seen = docs.where("train").select("text").mapInArrow(around, "word string, cells binary")
+    by_word = seen.repartition("word").sortWithinPartitions("word")
     return staged(by_word.mapInArrow(choose, "word string, c long, group int"), "classes")
 
 

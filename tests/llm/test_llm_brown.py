@@ -150,6 +150,42 @@ def test_every_word_seen_twice_has_a_class(documents):
         assert r.score == pytest.approx(expected)
 
 
+@pytest.mark.parametrize("rows_a_batch", ["10000", "3"])
+def test_assigned_classes_equal_a_loop_over_occurrences(documents, settings, rows_a_batch):
+    settings(spark__sql__execution__arrow__maxRecordsPerBatch=rows_a_batch)
+    docs = documents(rows(sentences(150))).repartition(5)
+    base, _, model = trained(docs)
+    rare, k = model.rare, len(model.class_tokens)
+    moved = {w: g for w, (_, g) in model.frequent.items() if g < rare}
+    share = (model.class_tokens + 0.5) / (model.class_tokens.sum() + 0.5 * k)
+    value, count = {}, Counter()
+    for r in base.where("train").collect():
+        run = [brown.END, *brown.tokens(r.text)]
+        for before, word, after in zip(run[:-1], run[1:], [*run[2:], None], strict=True):
+            if word in moved:
+                continue
+            a, b = moved.get(before, rare), moved.get(after, rare)
+            own = value.setdefault(word, np.zeros(rare - 1))
+            own += [model.transition[a, g] - math.log10(share[g]) + model.transition[g, b] for g in range(rare - 1)]
+            count[word] += 1
+    found = {r.word.encode(): (r.c, r.group) for r in brown.assigned(base, model).collect()}
+    assert found.keys() == value.keys() and len(found) > 100
+    for word, (c, group) in found.items():
+        assert c == count[word]
+        if c > 1:
+            assert value[word][group] == pytest.approx(value[word].max())
+        else:
+            assert group == rare
+
+
+def test_sizes_follow_the_vocabulary():
+    sizes = [brown.sizes_for(v) for v in (0, 10, 360_000, 4_000_000, 10**9)]
+    assert sizes[0] == sizes[1] == (1_500, 32) and sizes == sorted(sizes)
+    assert sizes[3][0] > 2_000 and sizes[4][0] > 5_000 and sizes[4][1] > 55
+    # The table of the words that move stays within what a driver holds.
+    assert 8 * sizes[4][0] ** 2 < 300_000_000
+
+
 def test_words_outside_the_exchange_join_their_like(documents):
     """Rare adjectives and adverbs, each between words that tell which it is."""
     rng = np.random.default_rng(9)
