@@ -220,7 +220,7 @@ def train(
     counts: DataFrame,
     classes: int | None = None,
     exchanged: int | None = None,
-    looked_up: int = 30_000,
+    looked_up: int = 100_000,
 ) -> Model:
     """Classes of the words that the exchange moves; all others are in the rare class as yet.
 
@@ -378,15 +378,42 @@ def _kind(k: int) -> type:
     return np.uint8 if k < 256 else np.uint16
 
 
-def _looked_up(model: Model) -> dict[bytes, tuple[int, float, float, int]]:
-    """word: class, log10 of its count (in the rare class less the discount), base score, known."""
-    found = {}
-    for word, (count, group) in model.frequent.items():
+def _looked_up(model: Model) -> tuple[list[bytes], np.ndarray]:
+    """Words, and for each, then for any other, its class, log10 of its count (in the rare class less the
+    discount), base score and whether it is known."""
+    words, rows = list(model.frequent), []
+    for word in words:
+        count, group = model.frequent[word]
         own = count - model.discount * (group == model.rare)
         # An end without training keeps its class.
         group = group if count or word == END else model.rare + 1
-        found[word] = (group, float(np.log10(own)) if count else 0.0, model.base(count), int(count > 0))
-    return found
+        rows.append((group, np.log10(own) if count else 0.0, model.base(count), count > 0))
+    return words, np.array([*rows, (len(model.class_tokens), 0.0, 0.0, 0)], dtype=np.float64)
+
+
+#: Tokens of texts whose words outside the table are gathered together.
+GATHERED = 500_000
+
+
+def _gathered(
+    uids: list[int], runs: list[tuple[int, int, np.ndarray, list[bytes]]]
+) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """uid, word and its places for all words that runs of texts miss.
+
+    runs: the text, its tokens before the run, the places in the run, the words there.
+    """
+    flat = pa.array(list(chain.from_iterable(words for _, _, _, words in runs)), pa.binary()).dictionary_encode()
+    sizes = [len(words) for _, _, _, words in runs]
+    text = np.repeat([text for text, _, _, _ in runs], sizes)
+    place = np.concatenate([start + at for _, start, at, _ in runs])
+    key = text * np.int64(max(1, len(flat.dictionary))) + flat.indices.to_numpy()
+    order = np.argsort(key, kind="stable")
+    first = np.flatnonzero(np.r_[True, np.diff(key[order]) > 0])
+    at = pa.ListArray.from_arrays(
+        pa.array(np.r_[first, len(order)].astype(np.int32)), pa.array(place[order].astype(np.int32))
+    )
+    words = flat.dictionary.cast(pa.string()).take(flat.indices.take(pa.array(order[first])))
+    return pa.array(np.array(uids, dtype=np.int64)[text[order[first]]]), words, at
 
 
 def sequences(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
@@ -395,41 +422,48 @@ def sequences(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
 
     counts: word, c and, if there, group; without it all words not in the model's table are rare.
     """
-    # Of fixed size: `looked_up` and `exchanged` words.
+    # Of bounded size: `looked_up` and `exchanged` words.
     shared = docs.sparkSession.sparkContext.broadcast(_looked_up(model))
     rare, k = model.rare, len(model.class_tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = shared.value
-        fields = np.array([*lookup.values(), (k, 0.0, 0.0, 0)])
-        index = {word: i for i, word in enumerate(lookup)}
+        table, fields = shared.value
+        index = {word: i for i, word in enumerate(table)}
+        get, missing = index.get, len(index)
         groups = fields[:, 0].astype(_kind(k))
+        names = [field.split()[0] for field in kind.split(", ")]
+        whole, real = pa.int64(), pa.float64()
+        types = (whole, pa.string(), pa.list_(pa.int32()), whole, pa.bool_(), pa.binary(), whole, whole, real, real)
+
+        def of_words(uids: list[int], runs: list[tuple]) -> pa.RecordBatch:
+            found = _gathered(uids, runs)
+            nothing = [pa.nulls(len(found[0]), kind_of) for kind_of in types[3:]]
+            return pa.RecordBatch.from_arrays([*found, *nothing], names=names)
+
         for batch in small_batches(batches):
-            keys: list = [[], [], [], [], [], [], [], [], [], []]
-            columns = (batch.column(k).to_pylist() for k in range(4))
-            for uid, doc_id, text, is_train in zip(*columns, strict=True):
+            uids, ids, texts, trains = (batch.column(column).to_pylist() for column in range(4))
+            rows: list[tuple] = []
+            runs, held = [], 0
+            for nth, text in enumerate(texts):
                 count, sums, pieces = 0, np.zeros(3), []
-                missing: dict[bytes, list[int]] = {}
                 for words in token_runs(text):
-                    at = np.fromiter((index.get(w, len(index)) for w in words), dtype=np.int64, count=len(words))
+                    at = np.fromiter((get(w, missing) for w in words), dtype=np.int64, count=len(words))
                     pieces.append(groups[at].tobytes())
                     sums += fields[at, 1:].sum(axis=0)
-                    for i in np.flatnonzero(at == len(index)).tolist():
-                        missing.setdefault(words[i], []).append(count + i)
+                    missed = np.flatnonzero(at == missing)
+                    if len(missed):
+                        runs.append((nth, count, missed, [words[i] for i in missed.tolist()]))
+                        held += len(missed)
                     count += len(words)
-                # The document's own row meets no word of the table and no other row.
-                row = (uid, f"{NEVER}{uid}", None, doc_id, is_train, b"".join(pieces), count, int(sums[2]), sums[1], sums[0])
-                for column, value in zip(keys, row, strict=True):
-                    column.append(value)
-                keys[0] += [uid] * len(missing)
-                keys[1] += missing
-                keys[2] += missing.values()
-                for column in keys[3:]:
-                    column += [None] * len(missing)
-            whole, real = pa.int64(), pa.float64()
-            types = (whole, pa.string(), pa.list_(pa.int32()), whole, pa.bool_(), pa.binary(), whole, whole, real, real)
-            arrays = [pa.array(c, t) for c, t in zip(keys, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[field.split()[0] for field in kind.split(", ")])
+                    if held >= GATHERED:
+                        yield of_words(uids, runs)
+                        runs, held = [], 0
+                rows.append((b"".join(pieces), count, int(sums[2]), sums[1], sums[0]))
+            if runs:
+                yield of_words(uids, runs)
+            # A text's own row meets no word of the table and no other row.
+            own = [uids, [f"{NEVER}{uid}" for uid in uids], [None] * len(uids), ids, trains, *zip(*rows, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(own, types, strict=True)], names=names)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Write the classes of joined words to their places."""
