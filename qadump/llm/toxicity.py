@@ -209,17 +209,32 @@ def sampled(docs: DataFrame, labels: DataFrame, usable: Column, sample_rows: int
     return staged(confirmed.unionByName(drawn), "toxicity"), counts["toxic"] / max(1, counts["all"])
 
 
-def _candidates(positive: DataFrame, least_texts: int) -> list[str]:
-    """Features of several positives; as many as a sample of fixed size has."""
+def _telling(sample: DataFrame, n_positive: int, n_unlabelled: int, least_errors: float) -> list[str]:
+    """Features whose share among positives exceeds that among unlabelled texts by enough standard errors.
+
+    Counted in Spark; only these features reach the driver, which a sample of fixed size bounds.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, most_bytes=500_000):
-            counts = Counter(f for t in batch.column(0).to_pylist() for f in features(t))
-            columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["feature", "n"])
-
-    counted = positive.select("text").mapInArrow(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-    found = counted.where(F.col("n") >= least_texts).select("feature").toArrow()
+            positive, unlabelled = Counter(), Counter()
+            for text, confirmed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                (positive if confirmed else unlabelled).update(features(text))
+            found = list(positive | unlabelled)
+            counts = [pa.array([c[f] for f in found], pa.int64()) for c in (positive, unlabelled)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), *counts], names=["feature", "p", "u"])
+
+    counted = (
+        sample.select("text", "confirmed")
+        .mapInArrow(run, "feature string, p long, u long")
+        .groupBy("feature")
+        .agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    )
+    share = F.greatest(F.col("u") / n_unlabelled, F.lit(1 / n_unlabelled))
+    error = F.sqrt(share * (1 / n_positive + 1 / n_unlabelled))
+    excess = (F.col("p") / n_positive - F.col("u") / n_unlabelled) / error
+    least_texts = max(3, n_positive // 500)
+    found = counted.where((F.col("p") >= least_texts) & (excess >= least_errors)).select("feature").toArrow()
     return sorted(found.column(0).to_pylist())
 
 
@@ -232,8 +247,13 @@ def train(
     **settings,
 ) -> Model:
     sample, prior = sampled(docs, labels, usable, sample_rows)
-    least_texts = max(3, sample.where("confirmed").count() // 500)
-    index = {f: i for i, f in enumerate(_candidates(sample.where("confirmed"), least_texts))}
+    sizes = {r.confirmed: r["count"] for r in sample.groupBy("confirmed").count().collect()}
+    if len(sizes) < 2:
+        return Model({}, -60.0)
+    names = _telling(sample, sizes[True], sizes[False], least_errors)
+    if not names:
+        return Model({}, -60.0)
+    index = {f: i for i, f in enumerate(names)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -242,28 +262,14 @@ def train(
                 [batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["confirmed", "found"]
             )
 
-    rows = sample.select("text", "confirmed").mapInArrow(run, "confirmed boolean, found array<int>")
+    rows = sample.select("text", "confirmed").mapInArrow(run, "confirmed boolean, found array<int>").toArrow()
     # A sample of fixed size, sorted, as rows come back from Spark in any order.
-    texts = sorted((r.found, r.confirmed) for r in rows.collect())
+    texts = sorted(zip(rows.column("found").to_pylist(), rows.column("confirmed").to_pylist(), strict=True))
     used_up(sample)
     positive = [np.array(t, dtype=np.int64) for t, confirmed in texts if confirmed]
     unlabelled = [np.array(t, dtype=np.int64) for t, confirmed in texts if not confirmed]
-    if not positive or not unlabelled or not index:
-        return Model({}, -60.0)
-    share_p = np.bincount(np.concatenate(positive), minlength=len(index)) / len(positive)
-    share_u = np.bincount(np.concatenate(unlabelled), minlength=len(index)) / len(unlabelled)
-    error = np.sqrt(np.maximum(share_u, 1 / len(unlabelled)) * (1 / len(positive) + 1 / len(unlabelled)))
-    excess = (share_p - share_u) / error
-    kept = np.flatnonzero(excess >= least_errors)
-    place = np.full(len(index), -1)
-    place[kept] = np.arange(len(kept))
-
-    def chosen(sets: list[np.ndarray]) -> list[np.ndarray]:
-        return [place[s][place[s] >= 0] for s in sets]
-
-    weights, bias = fit(chosen(positive), chosen(unlabelled), len(kept), min(max(prior, 1e-3), 0.9), **settings)
-    names = list(index)
-    return Model({names[i]: float(w) for i, w in zip(kept, weights, strict=True)}, bias)
+    weights, bias = fit(positive, unlabelled, len(names), min(max(prior, 1e-3), 0.9), **settings)
+    return Model({f: float(w) for f, w in zip(names, weights, strict=True)}, bias)
 
 
 def score_column(spark: SparkSession, model: Model, text: str) -> Column:
