@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept. Rows
 with nulls in any column pass through every stage: a null text has no words, so the quality
 rules reject it. Extra columns of docs travel along, whatever their names. An empty table
-gives an empty result. A repeated row is judged as a row of its own until near-dedup,
+gives an empty result. Very long texts are read whole, in blocks where an operator needs more than
+counts. Ties are broken as each operator's module says. A repeated row is judged as a row of its own until near-dedup,
 which keeps one of each group.
 """
 
