@@ -14,7 +14,10 @@ All features and statistics are DataFrame expressions and aggregates over all la
 documents. The driver sees counts of features x thresholds only. Learning costs two
 small jobs for each condition and one for each rule.
 
-Null and empty texts have no words and fail the base check; labels that are null or whose
+Null and empty texts have no words and fail the base check; a very long text is measured where it is, as
+arrays of its words' hashes; of conditions that gain the same, those above a threshold come first, then
+the later in the order of `FEATURES`; an empty table gives an empty result;
+a rule has `most_conditions` conditions at most (a parameter), so low quality that only more of them tell from good is not found; labels that are null or whose
 document is absent are ignored; of repeated labels of an id the lower quality counts;
 without labels the list is empty and the base check alone decides. Repeated rows are judged
 each for itself. `verdicts` keeps all columns in one struct, so names can't clash.

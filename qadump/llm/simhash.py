@@ -18,9 +18,14 @@ compared by XOR and bit count in numpy, and only a spanning forest of the links
 Anchors with more than `block` fingerprints are dealt out as pairs of blocks, so that no
 task holds more than two blocks of one anchor; no pair is left out.
 
+Rows meet their group's name by a join on the fingerprint, and links their roots by joins on it; a
+fingerprint with a third of all rows (empty texts, a page with many copies) is left to Spark's adaptive
+skew join there, which splits the side that has its rows.
+
 Null and empty texts, and those of white space, have fingerprint 0 and are linked as any
-other; null ids get a fingerprint but never name a group; repeated rows share a group; an
-empty table gives an empty result. Only the id and text columns are read.
+other; a bit set in exactly half of the hashes counts as not set; very long texts are read in blocks, with
+shingles over the seams; null ids get a fingerprint but never name a group; repeated rows share a group; an
+empty table gives an empty result. Only the id and text columns are read, so other columns can't clash.
 """
 
 from __future__ import annotations
