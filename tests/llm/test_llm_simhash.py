@@ -156,3 +156,21 @@ def test_zero_fingerprints_link_like_others(documents):
     docs = documents(rows([(5, None), (4, " "), (9, "")]))
     assert groups(docs) == [(4, "0" * 16, 4), (5, "0" * 16, 4), (9, "0" * 16, 4)]
     assert simhash.deduplicated(docs).select(F.max("doc_id")).first()[0] == 4
+
+
+def test_a_fingerprint_with_a_third_of_all_rows_is_a_skewed_join(spark, documents, settings):
+    """The adaptive join splits its rows, whose group has the right name in every part."""
+    settings(
+        spark__sql__shuffle__partitions="8",
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="4k",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="4k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+    )
+    entries = [(k, "" if k % 3 == 0 else prose(k, 12)) for k in range(3_000)]
+    found = simhash.groups(documents(rows(entries)).repartition(6))
+    names = {r.doc_id: r.component_id for r in found.collect()}
+    assert all(names[k] == (0 if k % 3 == 0 else k) for k, _ in entries)
+    assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
