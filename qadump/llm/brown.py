@@ -209,6 +209,22 @@ def _transition(bigrams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.log10((bigrams + strength * share) / (context + strength)), class_tokens
 
 
+def most_frequent(words: DataFrame, count: str, most: int) -> DataFrame:
+    """The `most` words of the largest counts (of equal ones the first in code point order), in that order.
+
+    Counts fall into narrow levels, whose sizes tell which levels can hold such words; only words
+    of these are sorted, so that not every task sends `most` words.
+    """
+    level = F.floor(64 * F.log2(count))
+    sizes = words.where(F.col(count) > 0).groupBy(level.alias("level")).count().collect()  # 64 levels a power of two
+    seen, last = 0, 0
+    for row in sorted(sizes, key=lambda r: -r.level):
+        seen, last = seen + row["count"], row.level
+        if seen >= most:
+            break
+    return words.where((F.col(count) > 0) & (level >= last)).orderBy(F.desc(count), "word").limit(most)
+
+
 def sizes_for(distinct: int) -> tuple[int, int]:
     """Words that move and classes, for a vocabulary: 1,500 and 32 up to 360,000 words, 5,600 and 62 at a billion."""
     exchanged = max(1_500, round(178 * distinct ** (1 / 6)))
@@ -228,7 +244,7 @@ def train(
     """
     is_end = F.col("word") == END.decode()
     words = counts.where(~is_end)
-    top = words.orderBy(F.desc("n"), "word").limit(looked_up)
+    top = most_frequent(words, "n", looked_up)
     frequent = {r.word.encode(): r.c for r in top.select("word", "c").collect()}
     totals = counts.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("total"),
@@ -239,7 +255,7 @@ def train(
     ).first()
     by_rule = sizes_for(totals.distinct)
     exchanged, classes = exchanged or by_rule[0], classes or by_rule[1]
-    trained = words.where("c > 0").orderBy(F.desc("c"), "word").limit(exchanged)
+    trained = most_frequent(words, "c", exchanged)
     movers = [(r.word.encode(), r.c) for r in trained.select("word", "c").collect()]
     ids = {word: k for k, (word, _) in enumerate(movers)} | {END: len(movers)}
     table = bigram_counts(docs.where("train"), ids, len(movers) + 2)

@@ -178,6 +178,15 @@ def test_assigned_classes_equal_a_loop_over_occurrences(documents, settings, row
             assert group == rare
 
 
+@pytest.mark.parametrize("most", [1, 7, 40, 500])
+def test_the_most_frequent_words_are_those_of_a_sort(spark, most):
+    rng = np.random.default_rng(3)
+    counts = [(f"w{k}", int(c)) for k, c in enumerate(np.r_[rng.integers(0, 6, 150), rng.integers(0, 10**6, 40)])]
+    found = brown.most_frequent(spark.createDataFrame(counts, "word string, c long").repartition(6), "c", most)
+    expected = sorted(((w, c) for w, c in counts if c), key=lambda e: (-e[1], e[0]))[:most]
+    assert [tuple(r) for r in found.collect()] == expected
+
+
 def test_sizes_follow_the_vocabulary():
     sizes = [brown.sizes_for(v) for v in (0, 10, 360_000, 4_000_000, 10**9)]
     assert sizes[0] == sizes[1] == (1_500, 32) and sizes == sorted(sizes)
