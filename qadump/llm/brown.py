@@ -409,6 +409,8 @@ def _looked_up(model: Model) -> tuple[list[bytes], np.ndarray]:
 
 #: Tokens of texts whose words outside the table are gathered together.
 GATHERED = 500_000
+#: Bits of a class next to its token's place; `_kind` has as many at most.
+GROUP_BITS = 16
 
 
 def _gathered(
@@ -489,11 +491,10 @@ def sequences(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
                 ends = np.cumsum([len(t) // _kind(k)().itemsize for t in texts])
                 flat = np.frombuffer(b"".join(texts), _kind(k)).copy()
                 places = batch.column("places")
-                entries, sizes = places.flatten(), pa.compute.list_value_length(places).to_numpy()
-                at = entries.field("at")
-                each = pa.compute.list_value_length(at).to_numpy()
-                starts = np.repeat(np.r_[0, ends[:-1]], sizes)
-                flat[at.flatten().to_numpy() + np.repeat(starts, each)] = np.repeat(entries.field("group").to_numpy(), each)
+                tokens = pa.compute.list_value_length(places).to_numpy()
+                packed = places.flatten().to_numpy()
+                at = np.repeat(np.r_[0, ends[:-1]], tokens) + (packed >> GROUP_BITS)
+                flat[at] = packed & ((1 << GROUP_BITS) - 1)
                 filled = [part.tobytes() for part in np.split(flat, ends[:-1])]
                 names = [name for name in batch.schema.names if name != "places"]
                 arrays = [pa.array(filled, pa.binary()) if n == "classes" else batch.column(n) for n in names]
@@ -507,18 +508,20 @@ def sequences(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     parts = docs.select("uid", "doc_id", "text", is_train.alias("train")).mapInArrow(run, kind)
     group = F.col("group") if "group" in counts.columns else F.lit(rare)
     known = counts.where("c > 0").select("word", "c", group.alias("group"))
-    c, times = F.coalesce("c", F.lit(0)), F.coalesce(F.size("at"), F.lit(0))
+    c = F.coalesce("c", F.lit(0))
 
     def plus(own: str, each: Column) -> Column:
-        added = F.when(F.col("at").isNotNull(), times * each).otherwise(F.lit(0))
+        added = F.when(F.col("place").isNotNull(), each).otherwise(F.lit(0))
         return F.sum(F.coalesce(F.col(own), F.lit(0)) + added).alias(own)
 
     base = F.log10((c + 0.5) / F.lit(model.total + 0.5 * (model.distinct + 1)))
     logs = F.when(c > 0, F.log10(c - F.when(F.col("group") == rare, model.discount).otherwise(0.0))).otherwise(0.0)
-    place = F.struct("at", F.coalesce("group", F.lit(k)).alias("group"))
+    # Place and class of a token in one number: a list of them shuffles as 8 bytes a token.
+    packed = F.shiftleft(F.col("place").cast("long"), GROUP_BITS).bitwiseOR(F.coalesce("group", F.lit(k)).cast("long"))
     filled = "uid long, doc_id long, train boolean, classes binary, n_tokens long, n_known long, base_score double, log_counts double"
     return (
         parts.join(known, "word", "left")
+        .withColumn("place", F.explode_outer("at"))
         .groupBy("uid")
         .agg(
             F.max("doc_id").alias("doc_id"),
@@ -528,7 +531,7 @@ def sequences(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
             plus("n_known", (c > 0).cast("int")),
             plus("base_score", base),
             plus("log_counts", logs),
-            F.collect_list(F.when(F.col("at").isNotNull(), place)).alias("places"),
+            F.collect_list(packed).alias("places"),
         )
         .mapInArrow(fill, filled)
     )
