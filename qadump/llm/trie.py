@@ -10,8 +10,8 @@ member, the only conversation that brings the node's own values. Bands of conver
 to shards. Within a shard Spark sorts the path nodes of its bands in reverse level order, deepest
 first. A task reads them once: a node takes the messages that wait for it in a priority queue, adds its own
 values, and sends the sum to its parent, whose turn comes later. The queue writes sorted
-runs to a scratch file when it holds `most` messages, so memory is bounded whatever the
-shard holds. What goes out of a band's top is known beforehand, as the sum of all values further
+runs to scratch files when it holds `most` messages and merges runs of like size, so memory and open files
+stay bounded whatever the shard holds. What goes out of a band's top is known beforehand, as the sum of all values further
 down that conversation, and enters the band above at its lowest node. Nodes that several shards
 hold, the root above all, are shard roots: their partial totals are added up across shards.
 
@@ -30,7 +30,8 @@ import hashlib
 import heapq
 import pickle
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -48,32 +49,39 @@ TIE = 64
 
 
 class SpillingQueue:
-    """A priority queue of (level, node) with two sums; beyond `most` entries sorted runs go to a file.
+    """A priority queue of (level, node) with two sums; beyond `most` entries sorted runs go to files.
 
-    What is pushed must come after what was last popped, as messages to parents do.
+    What is pushed must come after what was last popped, as messages to parents do. `fan` runs of one size are
+    merged into one of the next, so open files and the chunks in memory grow with the logarithm of what
+    was pushed, and an entry is rewritten as often.
     """
 
-    def __init__(self, most: int = 200_000, chunk: int = 1_000):
-        self.most, self.chunk = most, chunk
+    def __init__(self, most: int = 200_000, chunk: int = 1_000, fan: int = 16):
+        self.most, self.chunk, self.fan = most, chunk, fan
         self.heap: list[tuple] = []
-        #: First entry of each run that was spilled, with the run's number and the rest of it.
+        #: First entry of each run that was spilled, with the run's number, its merges and the rest of it.
         self.runs: list[tuple] = []
         self.spilled = 0
 
     def push(self, entry: tuple) -> None:
         heapq.heappush(self.heap, entry)
         if len(self.heap) >= self.most:
-            self._spill()
+            entries, self.heap = sorted(self.heap), []
+            self._spill(entries, 0)
 
-    def _spill(self) -> None:
+    def _spill(self, entries: Iterable[tuple], merges: int) -> None:
         file = tempfile.TemporaryFile()  # the task's own scratch, gone with it
-        entries = sorted(self.heap)
-        for start in range(0, len(entries), self.chunk):
-            pickle.dump(entries[start : start + self.chunk], file)
+        rest = iter(entries)
+        while some := list(islice(rest, self.chunk)):
+            pickle.dump(some, file)
         file.seek(0)
-        self.heap = []
         self.spilled += 1
-        self._advance(self.spilled, self._read(file))
+        self._advance(self.spilled, merges, self._read(file))
+        alike = [run for run in self.runs if run[2] == merges]
+        if len(alike) >= self.fan:
+            self.runs = [run for run in self.runs if run[2] != merges]
+            heapq.heapify(self.runs)
+            self._spill(heapq.merge(*(chain([first], run) for first, _, _, run in alike)), merges + 1)
 
     def _read(self, file) -> Iterator[tuple]:
         with file:
@@ -83,10 +91,10 @@ class SpillingQueue:
                 except EOFError:
                     return
 
-    def _advance(self, number: int, run: Iterator[tuple]) -> None:
+    def _advance(self, number: int, merges: int, run: Iterator[tuple]) -> None:
         first = next(run, None)
         if first is not None:
-            heapq.heappush(self.runs, (first, number, run))
+            heapq.heappush(self.runs, (first, number, merges, run))
 
     def take(self, key: tuple) -> tuple[int, int]:
         """Remove all entries of a key (level, node); their two sums."""
@@ -95,9 +103,9 @@ class SpillingQueue:
             entry = heapq.heappop(self.heap)
             one, two = one + entry[2], two + entry[3]
         while self.runs and self.runs[0][0][:2] == key:
-            entry, number, run = heapq.heappop(self.runs)
+            entry, number, merges, run = heapq.heappop(self.runs)
             one, two = one + entry[2], two + entry[3]
-            self._advance(number, run)
+            self._advance(number, merges, run)
         return one, two
 
 

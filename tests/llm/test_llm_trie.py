@@ -154,3 +154,29 @@ def test_the_queue_gives_all_sums_in_order_whatever_it_holds(entries, most, chun
     for key in sorted({(level, node) for level in range(-6, 1) for node in (b"a", b"b")}):
         assert list(queue.take(key)) == sums[key]
     assert (queue.spilled > 0) == (len(entries) >= most)
+
+
+def test_runs_are_merged_so_that_few_are_open():
+    rng, queue, sums = random.Random(8), trie.SpillingQueue(most=2, chunk=3, fan=4), defaultdict(lambda: [0, 0])
+    for _ in range(4_000):
+        entry = (rng.randrange(-40, 0), rng.choice([b"a", b"b", b"c"]), rng.randrange(9), 1)
+        queue.push(entry)
+        sums[entry[:2]][0] += entry[2]
+        sums[entry[:2]][1] += 1
+        assert len(queue.runs) <= 3 * 6  # fewer than `fan` of each size, of log(2,000) to the base 4 sizes
+    assert queue.spilled > 2_000
+    for key in sorted(sums):
+        assert list(queue.take(key)) == sums[key]
+    assert not queue.runs and not queue.heap
+
+
+def test_runs_merge_while_entries_are_taken():
+    queue, waiting, passed = trie.SpillingQueue(most=3, chunk=2, fan=2), 500, 0
+    for level in range(-20, 0):
+        one, two = queue.take((level, b"n")) if level > -20 else (0, 0)
+        assert (one, two) == ((passed, waiting) if level > -20 else (0, 0))
+        passed = 0
+        for k in range(waiting):
+            queue.push((level + 1, b"n", k, 1))
+            passed += k
+    assert queue.take((0, b"n")) == (passed, waiting)
