@@ -236,7 +236,7 @@ def train(
     counts: DataFrame,
     classes: int | None = None,
     exchanged: int | None = None,
-    looked_up: int = 100_000,
+    looked_up: int = 150_000,
 ) -> Model:
     """Classes of the words that the exchange moves; all others are in the rare class as yet.
 
@@ -245,7 +245,8 @@ def train(
     is_end = F.col("word") == END.decode()
     words = counts.where(~is_end)
     top = most_frequent(words, "n", looked_up)
-    frequent = {r.word.encode(): r.c for r in top.select("word", "c").collect()}
+    found = top.select(F.col("word").cast("binary"), "c").toArrow()
+    frequent = dict(zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True))
     totals = counts.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("total"),
         F.count(F.when(F.col("c") > 0, 1)).alias("distinct"),
@@ -354,11 +355,11 @@ def assigned(docs: DataFrame, model: Model) -> DataFrame:
 
 def with_classes(model: Model, words: DataFrame) -> Model:
     """The model with the classes of `assigned` for the words of its table."""
-    kind = "word string"
-    open_words = [(w.decode(),) for w, (c, group) in model.frequent.items() if c and group == model.rare]
-    asked = words.sparkSession.createDataFrame(open_words, kind)
-    found = words.join(F.broadcast(asked), "word").select("word", "c", "group").collect()
-    return replace(model, frequent=model.frequent | {r.word.encode(): (r.c, r.group) for r in found})
+    open_words = [w.decode() for w, (c, group) in model.frequent.items() if c and group == model.rare]
+    asked = words.sparkSession.createDataFrame(pa.table({"word": pa.array(open_words, pa.string())}))
+    found = words.join(F.broadcast(asked), "word").select(F.col("word").cast("binary"), "c", "group").toArrow()
+    rows = zip(*(column.to_pylist() for column in found.columns), strict=True)
+    return replace(model, frequent=model.frequent | {word: (c, group) for word, c, group in rows})
 
 
 def refitted(model: Model, found: DataFrame, words: DataFrame) -> Model:
