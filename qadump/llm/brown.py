@@ -291,11 +291,16 @@ def assigned(docs: DataFrame, model: Model) -> DataFrame:
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups = shared.value
         for batch in small_batches(batches, most_bytes=16_000_000):
-            words = list(chain.from_iterable(chain.from_iterable(map(token_runs, batch.column(0).to_pylist()))))
-            flat = np.fromiter((groups.get(w, rare) for w in words), dtype=np.int64, count=len(words))
+            kinds, others = [np.empty(0, dtype=np.int64)], [pa.array([], pa.binary())]
+            for words in chain.from_iterable(map(token_runs, batch.column(0).to_pylist())):
+                own = np.fromiter((groups.get(w, rare) for w in words), dtype=np.int64, count=len(words))
+                kinds.append(own)
+                # As Arrow at once: a list of the batch's words would hold many times its text.
+                others.append(pa.array([words[i] for i in np.flatnonzero(own == rare).tolist()], pa.binary()))
+            flat = np.concatenate(kinds)
             at = np.flatnonzero(flat == rare)  # never the last token, which is an end
             code = np.r_[groups[END], flat[:-1]][at] * k + flat[np.minimum(at + 1, len(flat) - 1)]
-            coded = pa.array([words[i] for i in at.tolist()], pa.binary()).dictionary_encode()
+            coded = pa.concat_arrays(others).dictionary_encode()
             key, n = np.unique(coded.indices.to_numpy() * np.int64(k * k) + code, return_counts=True)
             # One row a word: all its codes of the batch, each with its number.
             word = key // (k * k)
