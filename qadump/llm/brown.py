@@ -289,19 +289,27 @@ def assigned(docs: DataFrame, model: Model) -> DataFrame:
     worth = (into[:, None, : rare - 1] + model.transition.T[None, :, : rare - 1]).reshape(k * k, rare - 1)
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = shared.value
+        get, kind = shared.value.get, _kind(k)
         for batch in small_batches(batches, most_bytes=16_000_000):
-            kinds, others = [np.empty(0, dtype=np.int64)], [pa.array([], pa.binary())]
-            for words in chain.from_iterable(map(token_runs, batch.column(0).to_pylist())):
-                own = np.fromiter((groups.get(w, rare) for w in words), dtype=np.int64, count=len(words))
+            kinds, others = [np.empty(0, dtype=kind)], [pa.array([], pa.binary())]
+            for words in chain.from_iterable(token_runs(text.as_py()) for text in batch.column(0)):
+                own = np.fromiter((get(w, rare) for w in words), dtype=kind, count=len(words))
                 kinds.append(own)
                 # As Arrow at once: a list of the batch's words would hold many times its text.
                 others.append(pa.array([words[i] for i in np.flatnonzero(own == rare).tolist()], pa.binary()))
             flat = np.concatenate(kinds)
-            at = np.flatnonzero(flat == rare)  # never the last token, which is an end
-            code = np.r_[groups[END], flat[:-1]][at] * k + flat[np.minimum(at + 1, len(flat) - 1)]
+            at = np.flatnonzero(flat == rare)
+            # The last token is an end: it stands before the first one too, and no word follows it.
+            code = flat[at - 1].astype(np.int64) * k + flat[at + 1]
             coded = pa.concat_arrays(others).dictionary_encode()
-            key, n = np.unique(coded.indices.to_numpy() * np.int64(k * k) + code, return_counts=True)
+            # Sorted in place, and nothing kept that is not needed: a task's memory is that of one batch.
+            key = coded.indices.to_numpy().astype(np.int64)
+            del kinds, others, flat, at
+            key *= k * k
+            key += code
+            key.sort()
+            alike = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else key
+            n, key = np.diff(np.r_[alike, len(key)]), key[alike]
             # One row a word: all its codes of the batch, each with its number.
             word = key // (k * k)
             first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else word
