@@ -21,6 +21,11 @@ hot word out of the shuffle; other words are joined with their classes, and retu
 places in their documents in one aggregation. Transitions and scores come from these
 sequences, a byte a token, staged.
 
+Words that the whole table has once need no shuffle: their class and count follow from
+the row they are in. A broadcast bitmap (`Repeated`) has a bit for every word that occurs twice or
+more, so a word without its bit occurs once; where words share bits, one more is joined. The
+bitmap decides what is shuffled, never a result.
+
 A null or empty text is its end token alone; a very long one is read in blocks. Words of equal count rank in code point
 order, and of equally good classes a word takes the first. Null ids are never held out; repeated rows
 count and score as rows of their own; an empty table gives an empty result. Without training text N = V = 0, the base score is 0 and
@@ -33,6 +38,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -108,6 +114,45 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
 
+#: Bits of the bitmap at most: 16 MB. With more words than bits most bits are set, and most words are joined.
+MOST_BITS = 1 << 27
+#: Bits of one part that Spark's bitmap functions make.
+PART_BITS = 32_768
+
+
+@dataclass(frozen=True)
+class Repeated:
+    """Words that may occur twice or more; one that is not among them occurs once at most."""
+
+    bits: np.ndarray  # bytes, the lowest bit of each first
+
+    def among(self, words: list[bytes]) -> np.ndarray:
+        mask = 8 * len(self.bits) - 1  # a power of two of bits
+        at = np.fromiter((crc32(w) & mask for w in words), dtype=np.int64, count=len(words))
+        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def repeated(counts: DataFrame, most_bits: int = MOST_BITS) -> Repeated:
+    """The bitmap of words that all rows have twice or more; counts: of `word_counts`, staged."""
+    often = counts.where("n > 1")
+    size, wanted = PART_BITS, min(most_bits, 8 * often.count())
+    while size < wanted:
+        size *= 2
+    at = F.crc32(F.col("word").cast("binary")).bitwiseAND(F.lit(size - 1)) + 1  # the functions count from 1
+    # By parts before they are made, so that not every task sends a whole bitmap.
+    parts = (
+        often.select(F.bitmap_bucket_number(at).alias("part"), F.bitmap_bit_position(at).alias("bit"))
+        .repartition("part")
+        .groupBy("part")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+    )
+    bits = np.zeros(size // 8, dtype=np.uint8)
+    for row in parts.collect():  # `most_bits` at most
+        start = (row.part - 1) * PART_BITS // 8
+        bits[start : start + PART_BITS // 8] = np.frombuffer(row.bits, np.uint8)
+    return Repeated(bits)
+
+
 def bigram_counts(train: DataFrame, ids: dict[bytes, int], size: int) -> np.ndarray:
     """How often one frequent word follows another, over all rows of text: a size x size table.
 
@@ -273,23 +318,26 @@ def train(
     return Model(known, transition, class_tokens, totals.total, totals.distinct, discount, rare_types)
 
 
-def assigned(docs: DataFrame, model: Model) -> DataFrame:
+def assigned(docs: DataFrame, model: Model, often: Repeated | None = None) -> DataFrame:
     """word, c and group: the class of every training word that the exchange left in the rare class.
 
-    docs: rows of text and train; model: of `train`. A word gets the class under which
+    docs: rows of text and train; model: of `train`; often: of `repeated`, if words that occur once, all of
+    the rare class, are to be left out. A word gets the class under which
     the training text is likeliest, given the classes of the exchanged words next to it, all words at once.
     Those seen once stay in the rare class: they stand for the words that were never seen.
     """
     k, rare = len(model.class_tokens), model.rare
     moved = {word: group for word, (_, group) in model.frequent.items() if group < rare}
-    shared = docs.sparkSession.sparkContext.broadcast(moved)  # `exchanged` words
+    # `exchanged` words, and a bitmap of `MOST_BITS` at most.
+    shared = docs.sparkSession.sparkContext.broadcast((moved, often))
     share = (model.class_tokens + 0.5) / (model.class_tokens.sum() + 0.5 * k)
     # class before x class after, by class of the word: the likelihood of one occurrence.
     into = model.transition - np.log10(share)
     worth = (into[:, None, : rare - 1] + model.transition.T[None, :, : rare - 1]).reshape(k * k, rare - 1)
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get, kind = shared.value.get, _kind(k)
+        groups, twice = shared.value
+        get, kind = groups.get, _kind(k)
         for batch in small_batches(batches, most_bytes=16_000_000):
             kinds, others = [np.empty(0, dtype=kind)], [pa.array([], pa.binary())]
             for words in chain.from_iterable(token_runs(text.as_py()) for text in batch.column(0)):
@@ -305,6 +353,11 @@ def assigned(docs: DataFrame, model: Model) -> DataFrame:
             # Sorted in place, and nothing kept that is not needed: a task's memory is that of one batch.
             key = coded.indices.to_numpy().astype(np.int64)
             del kinds, others, flat, at
+            if twice is not None:
+                names, step = coded.dictionary, 50_000
+                some = [twice.among(names.slice(a, step).to_pylist()) for a in range(0, max(1, len(names)), step)]
+                kept = np.concatenate(some)[key]
+                key, code = key[kept], code[kept]
             key *= k * k
             key += code
             key.sort()
@@ -375,10 +428,10 @@ def with_classes(model: Model, words: DataFrame) -> Model:
     return replace(model, frequent=model.frequent | {word: (c, group) for word, c, group in rows})
 
 
-def refitted(model: Model, found: DataFrame, words: DataFrame) -> Model:
+def refitted(model: Model, found: DataFrame, counts: DataFrame) -> Model:
     """The model with transitions counted over the classes of all training words.
 
-    found: of `sequences`, staged; words: of `assigned`.
+    found: of `sequences`, staged; counts: of `word_counts`, staged.
     """
     k, end = len(model.class_tokens), model.rare - 1
 
@@ -399,7 +452,9 @@ def refitted(model: Model, found: DataFrame, words: DataFrame) -> Model:
         model,
         transition=transition,
         class_tokens=class_tokens,
-        rare_types=words.where(F.col("group") == model.rare).count(),
+        # Words seen once, but for those that the exchange moved, and the end.
+        rare_types=counts.where("c = 1").count()
+        - sum(c == 1 and group < model.rare for c, group in model.frequent.values()),
     )
 
 
@@ -448,18 +503,21 @@ def _gathered(
     return pa.array(np.array(uids, dtype=np.int64)[text[order[first]]]), words, at
 
 
-def sequences(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+def sequences(docs: DataFrame, model: Model, counts: DataFrame, often: Repeated | None = None) -> DataFrame:
     """uid, doc_id, train, classes (of all tokens, as bytes), n_tokens, n_known, base_score and
     log_counts of every row (uid, doc_id, text and, if there, train).
 
     counts: word, c and, if there, group; without it all words not in the model's table are rare.
+    often: of `repeated` over the counts of these very rows, if there; other rows can't do with it.
     """
-    # Of bounded size: `looked_up` and `exchanged` words.
-    shared = docs.sparkSession.sparkContext.broadcast(_looked_up(model))
+    # Of bounded size: `looked_up` and `exchanged` words, and a bitmap of `MOST_BITS` at most.
+    shared = docs.sparkSession.sparkContext.broadcast((*_looked_up(model), often))
     rare, k = model.rare, len(model.class_tokens)
+    # What a word that occurs once adds to its text, outside and inside training: log10 of its count, base score, known.
+    single = np.array([[0.0, model.base(0), 0.0], [np.log10(1 - model.discount), model.base(1), 1.0]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, fields = shared.value
+        table, fields, twice = shared.value
         index = {word: i for i, word in enumerate(table)}
         get, missing = index.get, len(index)
         groups = fields[:, 0].astype(_kind(k))
@@ -480,9 +538,16 @@ def sequences(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
                 count, sums, pieces = 0, np.zeros(3), []
                 for words in token_runs(text):
                     at = np.fromiter((get(w, missing) for w in words), dtype=np.int64, count=len(words))
-                    pieces.append(groups[at].tobytes())
+                    own = groups[at]
                     sums += fields[at, 1:].sum(axis=0)
                     missed = np.flatnonzero(at == missing)
+                    if twice is not None and len(missed):
+                        again = twice.among([words[i] for i in missed.tolist()])
+                        sums += single[int(trains[nth])] * (len(missed) - again.sum())
+                        if trains[nth]:
+                            own[missed[~again]] = rare
+                        missed = missed[again]
+                    pieces.append(own.tobytes())
                     if len(missed):
                         runs.append((nth, count, missed, [words[i] for i in missed.tolist()]))
                         held += len(missed)
@@ -592,11 +657,11 @@ def score_texts(
         F.monotonically_increasing_id().alias("uid"),
     ).withColumn("train", bucket_of("doc_id", folds) != held)
     counts = staged(word_counts(rows), "words")
-    model = train(rows, counts, **settings)
-    words = assigned(rows, model)
+    model, often = train(rows, counts, **settings), repeated(counts)
+    words = assigned(rows, model, often)
     model = with_classes(model, words)
-    found = staged(sequences(rows, model, words), "class-sequences")
-    model = refitted(model, found, words)
+    found = staged(sequences(rows, model, words, often), "class-sequences")
+    model = refitted(model, found, counts)
     return scored(found, model).select(
         "doc_id",
         (bucket_of("doc_id", folds) == held).alias("held_out"),

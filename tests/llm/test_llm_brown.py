@@ -114,19 +114,29 @@ def test_probabilities_sum_to_one(documents):
             assert mass[group] == pytest.approx(1)
 
 
-def fully_trained(docs):
+def fully_trained(docs, often=lambda counts: None):
     base, counts, model = trained(docs)
-    words = brown.assigned(base, model)
+    often = often(counts)
+    words = brown.assigned(base, model, often)
     model = brown.with_classes(model, words)
-    found = brown.sequences(base, model, words).cache()
-    return base, counts, words, found, brown.refitted(model, found, words)
+    found = brown.sequences(base, model, words, often).cache()
+    return base, counts, words, found, brown.refitted(model, found, counts)
 
 
-def test_every_word_seen_twice_has_a_class(documents):
-    _, counts, words, found, model = fully_trained(documents(rows(sentences(120))))
+def full(counts):
+    return brown.Repeated(np.full(8, 255, np.uint8))
+
+
+@pytest.mark.parametrize("often", [lambda counts: None, brown.repeated, full], ids=["none", "bitmap", "full"])
+def test_every_word_seen_twice_has_a_class(documents, often):
+    _, counts, words, found, model = fully_trained(documents(rows(sentences(120))), often)
     c = {r.word.encode(): r.c for r in counts.collect()}
     group = {r.word.encode(): r.group for r in words.collect()}
     group |= {w: g for w, (count, g) in model.frequent.items() if count}
+    if often is brown.repeated:
+        left_out = c.keys() - group.keys()
+        assert left_out and all(c[w] == 1 for w in left_out)
+        group |= dict.fromkeys(left_out, model.rare)
     assert group.keys() == c.keys() and any(n > 1 for w, n in c.items() if w not in model.frequent)
     assert all((group[w] < model.rare) == (n > 1) for w, n in c.items())
     # Tokens of classes and transitions follow from those classes.
@@ -178,6 +188,26 @@ def test_assigned_classes_equal_a_loop_over_occurrences(documents, settings, row
             assert group == rare
 
 
+def test_the_bitmap_has_every_word_that_occurs_twice(spark):
+    counts = [(f"w\u00e9{k}", 1 + k % 3 % 2) for k in range(9_000)] + [(" ", 5)]
+    table = spark.createDataFrame([(w, 0, n) for w, n in counts], "word string, c long, n long").repartition(4)
+    found = brown.repeated(table)
+    again = dict(zip(counts, found.among([w.encode() for w, _ in counts]), strict=True))
+    assert all(there for (_, n), there in again.items() if n > 1)
+    # Of the others only those that share a bit: an eighth at most, as there are eight bits a word.
+    assert sum(there for (_, n), there in again.items() if n == 1) < 6_000 / 6
+    assert len(found.bits) * 8 == 32_768
+    assert not brown.repeated(table.where("n = 1")).among([b"a", b"b"]).any() and len(found.among([])) == 0
+
+
+def test_the_bitmap_s_size_is_bounded_and_changes_nothing(documents, monkeypatch):
+    docs = documents(rows(sentences(60)))
+    whole = sorted(brown.score_texts(docs, **SMALL).collect())
+    monkeypatch.setattr(brown, "repeated", full)
+    for one, two in zip(whole, sorted(brown.score_texts(docs, **SMALL).collect()), strict=True):
+        assert tuple(one) == pytest.approx(tuple(two))
+
+
 @pytest.mark.parametrize("most", [1, 7, 40, 500])
 def test_the_most_frequent_words_are_those_of_a_sort(spark, most):
     rng = np.random.default_rng(3)
