@@ -37,7 +37,8 @@ def committed(spark: SparkSession, targets: Sequence[str], replace: bool = False
     Without `replace` an existing target is an error at once, before the block; with it the former
     result stays readable until the new one is complete. A job killed between the two renames of a swap
     leaves the former result beside its target, and the next commit to that target puts it back
-    first. Jobs that write to one target at the same time are not kept apart. Renames
+    first. One killed between the renames of several targets leaves those it came to, complete, and the others,
+    complete too, in their `_staging-` folders. Jobs that write to one target at the same time are not kept apart. Renames
     move no data on HDFS and local disks; object stores may copy.
     """
     names = sorted(_qualified(spark, target).rstrip("/") + "/" for target in targets)
