@@ -15,7 +15,7 @@ positives exceeds that among unlabelled texts by `least_errors` standard errors
 kept; the sample bounds how many there can be. Features of fewer than 3 confirmed texts, or than 0.2 % of
 them, are not tried: with so few, chance alone gives such shares.
 
-Training uses a sample of both sets, `sample_rows` each in expectation (a documented bound of the
+Training uses a sample of both sets, `sample_rows` each at most in expectation (a documented bound of the
 fit: it keeps the training set of fixed size). Unlabelled rows are drawn row by row, confirmed
 ones id by id, one row each: that of the smallest text hash where an id repeats. So no id or text with
 many copies makes the sample larger. The class prior is the share of toxic ones among the labelled
