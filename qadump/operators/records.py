@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from qadump.functions.values import beyond_bigint, instant, matches
-from qadump.operators.row_xml import row_attributes
+from qadump.operators.row_xml import plain_attributes, plain_parts, row_attributes
 from qadump.schemas import POSTS, QUESTION_POST_TYPE, USERS, Entity
 
 PERMISSIVE = "permissive"
@@ -35,9 +35,10 @@ def _entity_checks(entity: Entity) -> list[tuple[str, str]]:
         f"if(PostTypeId = '{QUESTION_POST_TYPE}', {name}, null)" if name in entity.question_numbers else name
         for name in entity.numbers
     ]
-    longest = f"length(concat_ws('', {', '.join(entity.numbers)}))"
+    lengths = [f"length({name})" for name in entity.numbers]
+    longest = f"greatest({', '.join(lengths)})" if len(lengths) > 1 else lengths[0]
     beyond = f"exists(array({', '.join(own)}), n -> coalesce({beyond_bigint('n')}, false))"
-    checks.append(("bad_number", f"({longest} > 18 and {beyond})"))
+    checks.append(("bad_number", f"(coalesce({longest} > 18, false) and {beyond})"))
     return checks
 
 
@@ -56,7 +57,7 @@ def _reject_reason(entity: Entity) -> str:
 def parse(lines: DataFrame, entity: Entity) -> DataFrame:
     """Attributes as text (null if absent), with `line` and `reject_reason` (null for good rows).
 
-    The parse runs in a generator: filters on its output stay above it, so
+    The parse runs in generators: filters on their output stay above them, so
     each line is parsed once. Only the entity's own attributes are extracted.
     """
     names = entity.attributes
@@ -64,8 +65,11 @@ def parse(lines: DataFrame, entity: Entity) -> DataFrame:
     return (
         lines.selectExpr("value as line")
         .where(f"line is null or trim(line) not in ({envelope})")
+        .selectExpr("line", f"explode(array({plain_parts('line')})) as parts")
+        .selectExpr("line", f"explode(array({plain_attributes('line', 'parts', names, entity.numbers)})) as plain")
         .selectExpr(
-            "line", f"inline({row_attributes('line', names)}) as ({', '.join(names)}, xml_error)"
+            "line",
+            f"inline({row_attributes('line', names, 'plain')}) as ({', '.join(names)}, xml_error)",
         )
         .selectExpr("line", *names, f"{_reject_reason(entity)} as reject_reason")
     )

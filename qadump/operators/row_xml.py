@@ -15,6 +15,10 @@ values in pieces. It gives the same result as `from_xml`, but takes longer.
 Content between the tags of an element (dumps have none) is no part of a record. It is cut
 off before either way is chosen, so a line is read by its start tag whatever its size; the
 content is parsed by itself, and a fault there makes the line malformed.
+
+Most lines of a dump need no XML parser, which is the dearest step of a pass: in a plain line one
+pattern shows all there is, ASCII text between double quotes with none but the usual references. Such a
+line is split at its quotes (`plain_parts`); any other goes on to `from_xml`.
 """
 
 from __future__ import annotations
@@ -27,6 +31,25 @@ MANY_ATTRIBUTES = 1_000
 MANY_ATTRIBUTES_LINE = 5_000
 PIECE = 400_000
 
+# What a plain line's values may refer to, in the order of decoding: `&amp;` last, as it makes new `&`s.
+_REFERENCES = (
+    ("&lt;", "<"),
+    ("&gt;", ">"),
+    ("&quot;", '"'),
+    ("&#xA;", "\n"),
+    ("&#xD;", "\r"),
+    ("&#x9;", "\t"),
+    ("&amp;", "&"),
+)
+# Printable ASCII without `"`, `&` and `<`, each by itself: the JVM looks them up in a table, but tries ranges in turn.
+_PLAIN_CHARACTERS = "".join(rf"\x{code:02x}" for code in range(32, 127) if chr(code) not in '"&<')
+_PLAIN_TEXT = f"[{_PLAIN_CHARACTERS}]*+"
+# `xml` starts names with a meaning, `error` is `from_xml`'s own, and no value may look like a name between two.
+_PLAIN = (
+    r"\A[ \t]*+<row(?: (?!(?i:xml|error=))[A-Za-z]++=\x22(?! [A-Za-z]++=\x22)"
+    rf"{_PLAIN_TEXT}(?:&(?:lt|gt|quot|#x[9AD]|amp);{_PLAIN_TEXT})*+\x22)*+ ?/>\z"
+)
+
 _XML_OPTIONS = (
     "map('ignoreSurroundingSpaces', 'false', 'attributePrefix', '@', "
     "'columnNameOfCorruptRecord', '@error')"
@@ -95,8 +118,50 @@ def _taken_apart(line: str, attributes: tuple[str, ...]) -> str:
     return f"transform(array({parts}), r -> {record})"
 
 
-def row_attributes(line: str, attributes: tuple[str, ...]) -> str:
-    """An array of one struct: the attributes (null if absent), and the error (null if none)."""
+def plain_parts(line: str) -> str:
+    """What lies between the quotes of a plain line: ` Id=`, value, ` Score=`, value, ` />`; else null."""
+    return (
+        f"case when octet_length({line}) <= {LONG_LINE} and {matches(line, _PLAIN)} "
+        f"then split(substr({line}, instr({line}, '<row') + 4), '\"') end"
+    )
+
+
+def plain_attributes(
+    line: str, parts: str, attributes: tuple[str, ...], numbers: tuple[str, ...]
+) -> str:
+    """A struct as `from_xml` gives it, of a column of `plain_parts`; null for a line to be left to `from_xml`."""
+    values = {n: f"get({parts}, int(nullif(array_position({parts}, ' {n}='), 0)))" for n in attributes}
+    # Texts are decoded; no reference of a plain line makes a number, so that ones in numbers are left.
+    fields = [
+        f"{value if name in numbers else _decoded(value)} as `@{name}`" for name, value in values.items()
+    ]
+    in_texts = f"not contains(concat_ws('', {', '.join(values[n] for n in numbers)}), '&')"
+    # A name that occurs twice is an error. If no two parts are equal, none does; else the names are looked at.
+    names = rf"regexp_extract_all({line}, r' ([A-Za-z]++)=\x22', 1)"
+    return (
+        f"case when {parts} is not null and (not contains({line}, '&') or {in_texts}) "
+        f"and (size(array_distinct({parts})) = size({parts}) "
+        f"or size(array_distinct({names})) = size({parts}) div 2) "
+        f"then struct({', '.join(fields)}, string(null) as `@error`) end"
+    )
+
+
+def _decoded(value: str) -> str:
+    for reference, character in _REFERENCES:
+        value = f"replace({value}, '{reference}', '{character}')"
+    return value
+
+
+def row_attributes(line: str, attributes: tuple[str, ...], plain: str) -> str:
+    """An array of one struct: the attributes (null if absent), and the error (null if none).
+
+    `plain` is a column of `plain_attributes`.
+    """
+    return f"if({plain} is not null, array({plain}), {_by_xml(line, attributes)})"
+
+
+def _by_xml(line: str, attributes: tuple[str, ...]) -> str:
+    """The same for lines of any kind, plain ones included."""
     nothing = ", ".join(f"string(null) as `@{name}`" for name in attributes)
     malformed = f"array(struct({nothing}, 'malformed' as `@error`))"
     # most lines pass the first test, which is a comparison of two bytes

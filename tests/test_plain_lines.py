@@ -1,0 +1,78 @@
+"""Plain lines, which are read without an XML parser, and the jobs that run side by side."""
+
+import random
+import threading
+import xml.etree.ElementTree as ET
+
+import pytest
+
+import __spark_entry__ as contract
+from fixtures import render
+from qadump.operators import row_xml
+from qadump.operators.records import parse
+from qadump.schemas import POSTS
+
+TEXTS = ["", "0", "0", "7", " a ", "x=1", " Id=", " Score=", "&lt;p class=&quot;a&quot;&gt;b&amp;lt;&#xA;", "&amp;amp;"]
+NAMES = ["Id", "PostTypeId", "Score", "Body", "Title", "id", "XMLx", "Error"]
+
+
+def plain(spark, lines):
+    return (
+        spark.createDataFrame([(line,) for line in lines], "line string")
+        .selectExpr("line", f"explode(array({row_xml.plain_parts('line')})) as parts")
+        .selectExpr("line", f"{row_xml.plain_attributes('line', 'parts', POSTS.attributes, POSTS.numbers)} as plain")
+    )
+
+
+def test_common_lines_need_no_xml_parser(spark):
+    lines = render.posts(spark, contract.SMOKE_DIR).where("value like '  <row%&lt;p&gt;%'").limit(50)
+    found = plain(spark, [row.value for row in lines.collect()]).collect()
+    assert found and all(row.plain is not None for row in found)
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        '<row Id="1" Id="1" />', '<row Id="1" Id="2" />', '<row Title="a" Id="1" Title="b" />', "<row Id='1' />",
+        '<row Id="&#65;" />', '<row Id="&nbsp;" />', '<row Id="1"/><row Id="2"/>', '<row Id="é" />', '<row Id="<" />',
+        '<row Id="1" error="1" />', '<row Id="1"Score="1" />', '<row xmlns="a" />', '<row Score="&#xA;1" />', None,
+    ],
+)
+def test_others_are_left_to_it(spark, line):
+    assert plain(spark, [line]).first().plain is None
+
+
+def test_plain_lines_are_read_as_by_an_xml_parser(spark):
+    chosen = random.Random(5)
+    lines = {
+        "  <row" + "".join(f' {n}="{chosen.choice(TEXTS)}"' for n in chosen.sample(NAMES, chosen.randint(0, 6))) + " />"
+        for _ in range(600)
+    }
+    for row in plain(spark, lines).where("plain is not null").collect():
+        wanted = ET.fromstring(row.line).attrib
+        assert [row.plain[f"@{name}"] for name in POSTS.attributes] == [wanted.get(name) for name in POSTS.attributes]
+    parsed = parse(spark.createDataFrame([(line,) for line in lines], "value string"), POSTS).collect()
+    assert len(parsed) == len(lines)
+    for row in parsed:
+        wanted = ET.fromstring(row.line).attrib
+        if "Error" not in wanted:  # a name that `from_xml` keeps for itself
+            assert [row[name] for name in POSTS.attributes] == [wanted.get(name) for name in POSTS.attributes]
+
+
+def test_the_files_of_a_dump_are_worked_on_side_by_side(spark):
+    meeting = threading.Barrier(len(render.FAULTY_LINES))
+
+    def work(entity, lines):
+        meeting.wait(60)  # fails unless all get here
+        return entity.name
+
+    assert contract._per_entity(spark, work) == [entity.name for entity in render.FAULTY_LINES]
+
+
+def test_a_failure_of_one_file_is_raised(spark):
+    def work(entity, lines):
+        if entity == POSTS:
+            raise ValueError("posts")
+
+    with pytest.raises(ValueError, match="posts"):
+        contract._per_entity(spark, work)
